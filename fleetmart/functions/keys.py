@@ -18,3 +18,11 @@ def surrogate_key(*parts: Column) -> Column:
 def utc_text(ts: Column) -> Column:
     """A timestamp as key text, with the offset the warehouse prints."""
     return F.concat(ts.cast("string"), F.lit("+00"))
+
+
+def integer_key(*parts: Column) -> Column:
+    """A 60-bit integer key: the leading 15 hex digits of the md5 key.
+
+    For dimensions; the natural key stays beside it, since among billions of keys two may meet.
+    """
+    return F.conv(F.substring(surrogate_key(*parts), 1, 15), 16, 10).cast("long")

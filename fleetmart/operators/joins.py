@@ -10,8 +10,8 @@ DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 
 
 def scanned_bytes(df: DataFrame) -> int:
-    """Bytes of everything a plan reads after column pruning, from the optimizer's own statistics; runs no job."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    """Bytes of all files a plan names, whole and before any pruning: an upper bound that runs no job."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length()))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["silver", "gold"]
+MODULES = ["silver", "gold", "ingest"]
 
 
 def load():

@@ -159,7 +159,7 @@ SELECT {ACTIVITY_KEYS}, pickup_zone_code FROM (
         {done_avg('passenger_rating', 2)} AS daily_avg_rating
         FROM {{o_rides}} WHERE driver_id IS NOT NULL GROUP BY ALL)
         SELECT agg.* EXCLUDE (requested_date), agg.requested_date AS ride_date, z.pickup_zone_code AS primary_zone_code, {STAMP}
-        FROM agg JOIN {{o_top_zone}} z ON z.driver_id = agg.driver_id AND z.requested_date = agg.requested_date""",
+        FROM agg JOIN {{o_top_zone}} z ON {' AND '.join(f'z.{k.strip()} IS NOT DISTINCT FROM agg.{k.strip()}' for k in ACTIVITY_KEYS.split(','))}""",
 )
 def _(d):
     return marts.mart_driver_daily_activity(d.rides, now())
