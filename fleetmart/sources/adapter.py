@@ -42,7 +42,7 @@ _PHONE = """CASE {k} % 5
          WHEN 1 THEN '0812-' || lpad(cast({k} % 10000 AS string), 4, '0') || '-7890'
          WHEN 2 THEN '0813' || lpad(cast({k} % 100000000 AS string), 8, '0')
          WHEN 3 THEN '12345'
-         ELSE '62 21 ' || lpad(cast({k} % 1000000 AS string), 6, '0') END"""
+         ELSE '62 21 ' || lpad(cast({k} % 10000000 AS string), 7, '0') END"""
 
 
 def _phone(key: str) -> str:

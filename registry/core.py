@@ -102,7 +102,7 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-_MARK = re.compile(r"\{(\w+)\}")
+_MARK = re.compile(r"\{([a-z]\w*)\}")
 
 
 def assemble(sql: str) -> str:

@@ -164,14 +164,14 @@ def _(d):
     return dedup.latest_per_key(rides, ["passenger_id"], ["updated_at", "created_at", "requested_at"], ["ride_id"])
 
 
-@query("row_number", f"SELECT {LINE}, l_partkey, l_suppkey, l_quantity, row_number() OVER (PARTITION BY {LINE} ORDER BY l_shipdate DESC, {TIES}) AS rn FROM lineitem")
+@query("row_number", f"SELECT * EXCLUDE (rn) FROM (SELECT {LINE}, l_partkey, l_suppkey, row_number() OVER (PARTITION BY {LINE} ORDER BY l_quantity, {TIES}) AS rn FROM lineitem) WHERE rn = 1")
 def _(d):
     from pyspark.sql import Window
 
     ties = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
-    order = [F.col(c).desc() for c in ["l_shipdate", *ties]]
+    order = [F.col("l_quantity").asc(), *[F.col(c).desc() for c in ties]]
     rank = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*order))
-    return d.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", rank.cast("long").alias("rn"))
+    return d.table("lineitem").withColumn("rn", rank).filter("rn = 1").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 # Three extracts of the customer table: later ones change status and time of some rows and miss others. ---------------
