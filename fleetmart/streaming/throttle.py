@@ -18,7 +18,8 @@ def ping_downsample(pings: DataFrame, key: str, ts: str, gap_seconds: int, gaps_
     """Greedy thinning per key, exact for a key of any size.
 
     The rule is sequential, but its only memory is the last kept time. Time is cut into slices; each slice is reduced to a
-    small table "first ping taken -> last ping kept" (only pings within one gap of the slice's start can be a first one).
+    small table "first ping taken -> last ping kept" (only pings within one gap of the slice's start can be a first one, and
+    few different ends remain).
     Walking those tables per key gives the last kept time before each slice, and then every slice is thinned by itself.
     No task holds more than one slice of pings, or the walk of one key, which has a few rows per slice.
     """
@@ -39,7 +40,10 @@ def ping_downsample(pings: DataFrame, key: str, ts: str, gap_seconds: int, gaps_
                 last[i] = last[following[i]]
         start = int(pdf["_slice"].iloc[0]) * slice_us
         reach = int(np.searchsorted(t, start + gap_us, side="left")) + 1
-        return pd.DataFrame({key: pdf[key].iloc[0], "_slice": int(pdf["_slice"].iloc[0]), "first_us": t[:reach], "last_us": last[:reach]})
+        out = pd.DataFrame({"first_us": t[:reach], "last_us": last[:reach]})
+        # Chains meet soon: first pings with the same end are neighbours, and the latest of them stands for all.
+        out = out.groupby("last_us", as_index=False)["first_us"].max()
+        return pd.DataFrame({key: pdf[key].iloc[0], "_slice": int(pdf["_slice"].iloc[0]), "first_us": out["first_us"], "last_us": out["last_us"]})
 
     def walk(pdf):
         import numpy as np
@@ -89,7 +93,7 @@ def stream_ping_downsample(pings: DataFrame, key: str, ts: str, gap_seconds: int
 
         last = state.get[0] if state.exists else None
         parts = [f for f in frames]
-        pdf = pd.concat(parts).sort_values(["_us", *columns]).reset_index(drop=True)
+        pdf = pd.concat([p for p in parts if len(p)]).sort_values(["_us", *columns]).reset_index(drop=True)
         t = pdf["_us"].to_numpy()
         i = 0 if last is None else int(np.searchsorted(t, last + gap_us, side="left"))
         keep = []

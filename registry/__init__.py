@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["silver", "gold", "ingest", "checks", "planned"]
+MODULES = ["silver", "gold", "ingest", "checks", "planned", "changes", "tables"]
 
 
 def load():
