@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+HUGE_METHOD_BYTES = "8000"
+
+
 def build_session(app_name: str = "fleetmart", master: str | None = None, **conf: str) -> SparkSession:
     """Session with UTC time, AQE and skew handling on. Sizes stay with the cluster's own settings."""
     builder = (
@@ -22,12 +25,16 @@ def build_session(app_name: str = "fleetmart", master: str | None = None, **conf
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return use_session(builder.getOrCreate())
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Date and hour extraction follow UTC, whatever the host's zone is."""
+def use_session(spark: SparkSession) -> SparkSession:
+    """Settings the jobs count on; both can be changed on a running session."""
+    # Date and hour extraction follow UTC, whatever the host's zone is.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # The JVM never compiles methods above 8000 bytes; wide projections then run interpreted. Below this limit Spark
+    # gives up the single large method and generates split code instead.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", HUGE_METHOD_BYTES)
     return spark
 
 

@@ -1,7 +1,8 @@
 """Bronze tables derived from the star-schema test tables.
 
 Each text runs unchanged in Spark and in the checking database: integer and decimal arithmetic only, ``{name}`` marks
-a table. ``bronze(spark, sf_dir, name)`` resolves the names recursively, so a bronze table is one lazy Spark plan over
+a table. Orders and line items meet by a shuffle on the order key, as both grow with the data, and the rides that result
+are spread over it whatever the files look like. ``bronze(spark, sf_dir, name)`` resolves the names recursively, so a bronze table is one lazy Spark plan over
 the parquet files. The rates and codes of the five vehicle types are the fixed seed rows.
 """
 
@@ -105,7 +106,7 @@ WITH item AS (
     SELECT l_orderkey AS k, min(l_suppkey) AS supp, cast(sum(cast(l_quantity AS decimal(8,2))) AS decimal(8,2)) AS km
     FROM {lineitem} GROUP BY l_orderkey
 ), base AS (
-    SELECT o.o_orderkey AS k, o.o_custkey AS cust, i.supp, i.km, cast(c.c_nationkey AS bigint) AS zone,
+    SELECT /*+ MERGE(i) */ o.o_orderkey AS k, o.o_custkey AS cust, i.supp, i.km, cast(c.c_nationkey AS bigint) AS zone,
            cast(o.o_totalprice AS decimal(10,2)) AS price, o.o_orderpriority AS prio,
            cast(o.o_orderdate AS timestamp) + INTERVAL '1' SECOND * (o.o_orderkey * 7919 % 86400) AS req,
            CASE WHEN i.k IS NULL THEN 'NO_DRIVER'

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from fleetmart.operators.sinks import path_exists
 from fleetmart.sources.contracts import TableSpec
 
+# Fixed value: the change topics that are landed.
 TOPIC_PATTERN = r"cdc\.(public\.(drivers|passengers|rides|vehicle_types|zones)|ride_ops_mg\.(ride_events|driver_location_stream))"
 
 

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleetmart.operators.changes import cdc_unwrap
 
+# Landing zone time, file size and roll interval, folder layout, lateness limit.
 LANDING_TZ = "Asia/Jakarta"
 RECORDS_PER_FILE = 1000
 ROLL_INTERVAL = "10 minutes"
@@ -89,17 +90,16 @@ def stream_dlq(
     return parsed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def hourly_incremental_load(spark: SparkSession, path: str, schema: T.StructType, out: str, checkpoint: str, max_files: int | None = None) -> int:
-    """Load files not loaded before and end; returns the rows added. The checkpoint remembers files, so a second run over
+def hourly_incremental_load(spark: SparkSession, path: str, schema: T.StructType, out: str, checkpoint: str, max_files: int | None = None) -> None:
+    """Load files not loaded before and end. The checkpoint remembers files, so a second run over
     the same folder adds nothing, and an hour without files is a run without rows.
     """
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.parquet(path).withColumn("_ingest_date", F.current_date())
-    run = rows.writeStream.format("parquet").partitionBy("_ingest_date").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
-    run.awaitTermination()
-    return sum(int(p["numInputRows"]) for p in run.recentProgress)
+    writer = rows.writeStream.format("parquet").partitionBy("_ingest_date").option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start(out).awaitTermination()
 
 
 def stream_late_data(rows: DataFrame, ts: str, keys: list[str], limit: str = LATE_LIMIT) -> DataFrame:

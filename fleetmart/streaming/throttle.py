@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 MINIMUM_GAP_SECONDS = 10
 GAPS_PER_SLICE = 64
+BEFORE_ALL = -(2**62)
 
 
 def min_gap_seconds(pings_per_minute: int) -> int:
@@ -19,67 +20,94 @@ def ping_downsample(pings: DataFrame, key: str, ts: str, gap_seconds: int, gaps_
 
     The rule is sequential, but its only memory is the last kept time. Time is cut into slices; each slice is reduced to a
     small table "first ping taken -> last ping kept" (only pings within one gap of the slice's start can be a first one, and
-    few different ends remain).
-    Walking those tables per key gives the last kept time before each slice, and then every slice is thinned by itself.
-    No task holds more than one slice of pings, or the walk of one key, which has a few rows per slice.
+    few different ends remain, since chains that meet stay together). Walking those tables per key gives the last kept time before each slice, and then every
+    slice is thinned by itself. All three passes stream over sorted partitions, so no group is held in memory, and a key
+    with much of the data is spread over its slices.
     """
     slice_us = gap_seconds * gaps_per_slice * 1_000_000
     gap_us = gap_seconds * 1_000_000
-    base = pings.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp"))).withColumn("_slice", F.floor(F.col("_us") / F.lit(slice_us)).cast("long"))
-    key_type = pings.schema[key].dataType.simpleString()
-
-    def exits(pdf):
-        import numpy as np
-        import pandas as pd
-
-        t = np.sort(pdf["_us"].to_numpy())
-        following = np.searchsorted(t, t + gap_us, side="left")
-        last = t.copy()
-        for i in range(len(t) - 1, -1, -1):
-            if following[i] < len(t):
-                last[i] = last[following[i]]
-        start = int(pdf["_slice"].iloc[0]) * slice_us
-        reach = int(np.searchsorted(t, start + gap_us, side="left")) + 1
-        out = pd.DataFrame({"first_us": t[:reach], "last_us": last[:reach]})
-        # Chains meet soon: first pings with the same end are neighbours, and the latest of them stands for all.
-        out = out.groupby("last_us", as_index=False)["first_us"].max()
-        return pd.DataFrame({key: pdf[key].iloc[0], "_slice": int(pdf["_slice"].iloc[0]), "first_us": out["first_us"], "last_us": out["last_us"]})
-
-    def walk(pdf):
-        import numpy as np
-        import pandas as pd
-
-        rows, kept = [], None
-        for number, part in pdf.sort_values(["_slice", "first_us"]).groupby("_slice", sort=True):
-            rows.append((int(number), kept))
-            first, last = part["first_us"].to_numpy(), part["last_us"].to_numpy()
-            at = 0 if kept is None else int(np.searchsorted(first, kept + gap_us, side="left"))
-            if at < len(first):
-                kept = int(last[at])
-        out = pd.DataFrame(rows, columns=["_slice", "before_us"])
-        out["before_us"] = out["before_us"].astype("Int64")
-        out[key] = pdf[key].iloc[0]
-        return out[[key, "_slice", "before_us"]]
-
-    def thin(pdf):
-        import numpy as np
-        import pandas as pd
-
-        pdf = pdf.sort_values(["_us", *columns]).reset_index(drop=True)
-        t = pdf["_us"].to_numpy()
-        before = pdf["before_us"].iloc[0]
-        i = 0 if pd.isna(before) else int(np.searchsorted(t, int(before) + gap_us, side="left"))
-        keep = []
-        while i < len(t):
-            keep.append(i)
-            i = int(np.searchsorted(t, t[i] + gap_us, side="left"))
-        return pdf.iloc[keep][columns]
-
     columns = list(pings.columns)
-    small = base.select(key, "_slice", "_us")
-    tables = small.groupBy(key, "_slice").applyInPandas(exits, f"{key} {key_type}, _slice long, first_us long, last_us long")
-    entries = tables.groupBy(key).applyInPandas(walk, f"{key} {key_type}, _slice long, before_us long")
-    return base.join(entries, [key, "_slice"]).groupBy(key, "_slice").applyInPandas(thin, pings.schema)
+    k = F.when(F.col(key).isNull(), "0").otherwise(F.concat(F.lit("1"), F.col(key).cast("string")))
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    base = pings.withColumns({"_k": k, "_us": us}).withColumn("_slice", F.floor(F.col("_us") / F.lit(slice_us)).cast("long"))
+
+    def table(names, rows):
+        import pyarrow as pa
+
+        kinds = {"_k": pa.string()}
+        data = list(zip(*rows)) if rows else [()] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(d, kinds.get(n, pa.int64())) for n, d in zip(names, data)], names=names)
+
+    def lists(batch, *names):
+        return zip(*[batch.column(n).to_pylist() for n in names])
+
+    def ends(group, chains):
+        """(first ping, last kept) in order of the first ping; neighbours with the same end are given once, by the latest."""
+        pairs = sorted((first, last) for last, firsts in chains for first in firsts)
+        return [(*group, f, e) for i, (f, e) in enumerate(pairs) if i + 1 == len(pairs) or pairs[i + 1][1] != e]
+
+    def exits(batches):
+        from collections import deque
+
+        names = ["_k", "_slice", "first_us", "last_us"]
+        group, chains, limit, taking = None, deque(), 0, True
+        for batch in batches:
+            rows = []
+            for k_, s, u in lists(batch, "_k", "_slice", "_us"):
+                if (k_, s) != group:
+                    rows.extend(ends(group, chains))
+                    group, chains, limit, taking = (k_, s), deque(), s * slice_us + gap_us, True
+                # Chains that may take this ping all end on it from here on, so they become one.
+                met = [u] if taking else []
+                taking = taking and u < limit
+                while chains and chains[0][0] <= u - gap_us:
+                    firsts = chains.popleft()[1]
+                    small, met = sorted((met, firsts), key=len)
+                    met.extend(small)
+                if met:
+                    chains.append((u, met))
+            yield table(names, rows)
+        if group:
+            yield table(names, ends(group, chains))
+
+    def walk(batches):
+        key_, slice_, kept, taken = None, None, BEFORE_ALL, False
+        for batch in batches:
+            rows = []
+            for k_, s, first, last in lists(batch, "_k", "_slice", "first_us", "last_us"):
+                if k_ != key_:
+                    key_, slice_, kept = k_, None, BEFORE_ALL
+                if s != slice_:
+                    rows.append((k_, s, kept))
+                    slice_, taken = s, False
+                if not taken and first >= kept + gap_us:
+                    kept, taken = last, True
+            yield table(["_k", "_slice", "_before"], rows)
+
+    def thin(batches):
+        import pyarrow as pa
+
+        last = BEFORE_ALL
+        for batch in batches:
+            keep = []
+            for u, before in lists(batch, "_us", "_before"):
+                if u == BEFORE_ALL:
+                    last, take = before, False
+                else:
+                    take = u - last >= gap_us
+                    last = u if take else last
+                keep.append(take)
+            yield batch.filter(pa.array(keep, pa.bool_())).select(columns)
+
+    small = base.select("_k", "_slice", "_us").repartition("_k", "_slice").sortWithinPartitions("_k", "_slice", "_us")
+    tables = small.mapInArrow(exits, "_k string, _slice long, first_us long, last_us long")
+    ordered = tables.repartition("_k").sortWithinPartitions("_k", "_slice", "first_us")
+    entries = ordered.mapInArrow(walk, "_k string, _slice long, _before long")
+    # An entry row sorts ahead of its slice and hands it the last kept time; no join is needed.
+    heads = entries.withColumn("_us", F.lit(BEFORE_ALL))
+    joined = base.withColumn("_before", F.lit(BEFORE_ALL)).unionByName(heads, allowMissingColumns=True)
+    sliced = joined.repartition("_k", "_slice").sortWithinPartitions("_k", "_slice", "_us", *columns)
+    return sliced.mapInArrow(thin, pings.schema)
 
 
 def stream_ping_downsample(pings: DataFrame, key: str, ts: str, gap_seconds: int) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from fleetmart.operators.history import scd2_snapshot
 from fleetmart.plans import dims, facts
-from fleetmart.session import use_utc
+from fleetmart.session import use_session
 from fleetmart.sources import adapter
 
 NOW = "2001-08-02 00:00:00"
@@ -42,7 +42,7 @@ class Data:
     """Lazy bronze and silver tables of one test folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = use_utc(spark)
+        self.spark = use_session(spark)
         self.sf_dir = sf_dir
         self._tables: dict[str, DataFrame] = {}
 
