@@ -158,6 +158,12 @@ def both_set(df: DataFrame, first: str, second: str) -> DataFrame:
     return df.filter(F.col(first) & F.col(second))
 
 
+def payment_amount_mismatch(payments: DataFrame, discount_limit: float) -> DataFrame:
+    """Payments whose fee and earning do not add up to the amount, or whose discount exceeds the limit."""
+    off = F.col("platform_fee") + F.col("driver_earning") != F.col("amount")
+    return payments.filter(_true(off) | _true(F.col("promo_discount") > discount_limit))
+
+
 def dates_outside(df: DataFrame, column: str, low: Column, high: Column) -> DataFrame:
     return df.filter((F.col(column) < low) | (F.col(column) > high))
 

@@ -57,7 +57,8 @@ def dim_trip_status(trips: DataFrame) -> DataFrame:
 def dim_promo(promotions: DataFrame) -> DataFrame:
     return promotions.select(
         integer_key(F.col("promo_id")).alias("promo_key"), F.col("promo_id").cast("string").alias("promo_id"), "promo_code",
-        "promo_name", "promo_type", "discount_value", F.to_date("valid_from").alias("start_date"), F.to_date("valid_until").alias("end_date"),
+        "promo_name", "promo_type", "discount_type", "discount_value", F.to_date("valid_from").alias("start_date"),
+        F.to_date("valid_until").alias("end_date"), "budget_amount", "promo_status",
     )
 
 
@@ -65,8 +66,9 @@ def dim_vehicle(drivers: DataFrame, vehicle_types: DataFrame) -> DataFrame:
     """One vehicle per driver, with seats from its type."""
     types = vehicle_types.select(F.col("vehicle_type_id").alias("_type"), F.col("type_name").alias("vehicle_type"), F.col("capacity").alias("seat_capacity"))
     joined = lookup_join(drivers, types, "vehicle_type_id", "_type", "driver_id")
+    vehicle = F.concat(F.lit("V-"), F.substring_index("driver_id", "-", -1))
     return joined.select(
-        integer_key(F.col("license_plate")).alias("vehicle_key"), F.col("license_plate").alias("vehicle_id"), "driver_id",
+        integer_key(vehicle).alias("vehicle_key"), vehicle.alias("vehicle_id"), "driver_id",
         F.col("license_plate").alias("plate_number"), "vehicle_type", F.col("vehicle_brand").alias("brand"),
         F.col("vehicle_model").alias("model"), F.col("vehicle_year").alias("production_year"), "seat_capacity",
     )
@@ -113,10 +115,13 @@ def fct_trip(trips: DataFrame) -> DataFrame:
         _day_key(F.col("completed_at")).alias("dropoff_date_key"),
         ref("passenger_id").alias("customer_key"),
         ref("driver_id").alias("driver_key"),
+        ref("vehicle_id").alias("vehicle_key"),
         ref("pickup_zone_id").alias("pickup_location_key"),
         ref("dropoff_zone_id").alias("dropoff_location_key"),
         integer_key(status).alias("trip_status_key"),
+        F.col("estimated_distance_km").cast("double").alias("estimated_distance_km"),
         F.col("distance_km").cast("double").alias("actual_distance_km"),
+        "estimated_fare",
         F.col("total_fare").alias("actual_fare"),
         F.col("surge_multiplier").cast("double").alias("surge_multiplier"),
         calendar.minutes_between(F.col("picked_up_at"), F.col("completed_at")).alias("trip_duration_minute"),
@@ -129,15 +134,12 @@ def fct_trip(trips: DataFrame) -> DataFrame:
 
 
 def fct_payment(payments: DataFrame) -> DataFrame:
-    """Net is gross less discount; the source carries no tax, toll or tip."""
-    zero = F.lit(0).cast("decimal(12,2)")
     return payments.select(
         integer_key(F.col("payment_id")).alias("payment_key"), "payment_id", integer_key(F.col("ride_id")).alias("trip_key"),
         integer_key(F.col("passenger_id")).alias("customer_key"), _day_key(F.col("created_at")).alias("payment_date_key"),
         integer_key(F.col("payment_method")).alias("payment_method_key"), F.col("amount").alias("gross_amount"),
-        F.col("promo_discount").alias("discount_amount"), zero.alias("tax_amount"), zero.alias("toll_amount"), zero.alias("tip_amount"),
-        (F.col("amount") - F.col("promo_discount")).alias("net_amount"), "payment_status", F.col("paid_at").alias("paid_ts"),
-        "created_at", "updated_at",
+        F.col("promo_discount").alias("discount_amount"), "tax_amount", "toll_amount", "tip_amount", "net_amount", "payment_status",
+        F.col("paid_at").alias("paid_ts"), "created_at", "updated_at",
     )
 
 
@@ -146,6 +148,7 @@ def fct_driver_payout(payouts: DataFrame) -> DataFrame:
         integer_key(F.col("payout_id")).alias("payout_key"), "payout_id", integer_key(F.col("ride_id")).alias("trip_key"),
         integer_key(F.col("driver_id")).alias("driver_key"), calendar.date_key(F.col("payout_date")).alias("payout_date_key"),
         "base_earning", "incentive_amount", "bonus_amount", "deduction_amount", "final_payout_amount", "payout_status",
+        "created_at", "updated_at",
     )
 
 
@@ -157,7 +160,7 @@ def fct_rating(trips: DataFrame) -> DataFrame:
         integer_key(F.col("ride_id")).alias("trip_key"), integer_key(F.col("passenger_id")).alias("customer_key"),
         integer_key(F.col("driver_id")).alias("driver_key"), _day_key(F.col("completed_at")).alias("rating_date_key"),
         F.round("passenger_rating", 0).cast("long").alias("rating_score"), F.col("notes").isNotNull().alias("has_review_text"),
-        F.col("completed_at").alias("rated_ts"),
+        F.col("completed_at").alias("rated_ts"), F.col("completed_at").alias("created_at"), "updated_at",
     )
 
 
@@ -166,7 +169,8 @@ def fct_promo_redemption(usage: DataFrame) -> DataFrame:
         integer_key(F.col("usage_id")).alias("promo_redemption_key"), F.col("usage_id").alias("redemption_id"),
         integer_key(F.col("promo_id")).alias("promo_key"), integer_key(F.col("ride_id")).alias("trip_key"),
         integer_key(F.col("passenger_id")).alias("customer_key"), _day_key(F.col("used_at")).alias("redemption_date_key"),
-        F.col("discount_given").alias("discount_amount"), F.col("used_at").alias("redeemed_ts"),
+        F.col("discount_given").alias("discount_amount"), "redemption_status", F.col("used_at").alias("redeemed_ts"), "created_at",
+        "updated_at",
     )
 
 
@@ -181,17 +185,21 @@ def _rate(part: Column, whole: Column) -> Column:
     return round_to(ratio(part, whole) * PERCENT, 2)
 
 
-def dm_trip_daily_city(rides: DataFrame) -> DataFrame:
-    """Per day and pickup city, from the ride fact."""
+def dm_trip_daily_city(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    """Per day and pickup city, from the trips and the zone dimension alone."""
+    city = zones.select(F.col("zone_id").alias("_zone"), "city")
+    placed = lookup_join(trips.withColumn("ride_status", F.upper("ride_status")), city, "pickup_zone_id", "_zone", "ride_id")
     waiting = calendar.minutes_between(F.col("requested_at"), F.col("picked_up_at"))
-    return rides.groupBy(calendar.date_key(F.col("requested_date")).alias("date_key"), F.col("pickup_city").alias("city")).agg(
+    riding = calendar.minutes_between(F.col("picked_up_at"), F.col("completed_at"))
+    return placed.groupBy(_day_key(F.col("requested_at")).alias("date_key"), "city").agg(
         F.count("*").alias("total_trip_requested"),
         F.count_if(_status("COMPLETED")).alias("total_trip_completed"),
         F.count_if(_status("CANCELLED")).alias("total_trip_cancelled"),
         _rate(F.count_if(_status("COMPLETED")), F.count("*")).alias("completion_rate"),
         _rate(F.count_if(_status("CANCELLED")), F.count("*")).alias("cancellation_rate"),
+        round_to(mean(F.col("estimated_distance_km")), 2).alias("avg_estimated_distance_km"),
         round_to(mean(F.when(_status("COMPLETED"), F.col("distance_km"))), 2).alias("avg_actual_distance_km"),
-        round_to(mean(F.when(_status("COMPLETED"), F.col("duration_minutes"))), 2).alias("avg_trip_duration_minute"),
+        round_to(mean(riding), 2).alias("avg_trip_duration_minute"),
         round_to(mean(waiting), 2).alias("avg_waiting_time_minute"),
         round_to(mean(F.when(_status("COMPLETED"), F.col("total_fare"))), 2).alias("avg_actual_fare"),
     )
@@ -207,30 +215,36 @@ def dm_trip_hourly_city(rides: DataFrame) -> DataFrame:
     )
 
 
-def dm_finance_daily_city(payments: DataFrame, payouts: DataFrame, rides: DataFrame) -> DataFrame:
+PAYMENT_SUMS = {
+    "total_gross_amount": "amount",
+    "total_discount_amount": "promo_discount",
+    "total_tax_amount": "tax_amount",
+    "total_toll_amount": "toll_amount",
+    "total_tip_amount": "tip_amount",
+    "total_net_amount": "net_amount",
+}
+
+
+def dm_finance_daily_city(payments: DataFrame, payouts: DataFrame, trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Payments and payouts, each summed per trip, meet the trips once; then day and city totals."""
-    paid = payments.filter("payment_status = 'SUCCESS'").groupBy("ride_id").agg(
-        F.sum("amount").alias("gross"), F.sum("promo_discount").alias("discount")
-    )
+    paid = payments.filter("payment_status = 'SUCCESS'").groupBy("ride_id").agg(*[F.sum(c).alias(c) for c in PAYMENT_SUMS.values()])
     out = payouts.groupBy("ride_id").agg(F.sum("final_payout_amount").alias("payout"))
-    trips = rides.select("ride_id", "requested_date", "pickup_city", "ride_status")
-    joined = trips.join(paid, "ride_id", "left").join(out, "ride_id", "left")
+    city = zones.select(F.col("zone_id").alias("_zone"), "city")
+    rows = trips.select("ride_id", "requested_at", "pickup_zone_id", F.upper("ride_status").alias("ride_status"))
+    joined = lookup_join(rows.join(paid, "ride_id", "left").join(out, "ride_id", "left"), city, "pickup_zone_id", "_zone", "ride_id")
     money = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    net = money("gross") - money("discount")
     done = F.count_if(_status("COMPLETED"))
-    return joined.groupBy(calendar.date_key(F.col("requested_date")).alias("date_key"), F.col("pickup_city").alias("city")).agg(
-        round_to(money("gross"), 2).alias("total_gross_amount"),
-        round_to(money("discount"), 2).alias("total_discount_amount"),
-        round_to(net, 2).alias("total_net_amount"),
+    return joined.groupBy(_day_key(F.col("requested_at")).alias("date_key"), "city").agg(
+        *[round_to(money(column), 2).alias(name) for name, column in PAYMENT_SUMS.items()],
         round_to(money("payout"), 2).alias("total_driver_payout"),
-        round_to(net - money("payout"), 2).alias("estimated_platform_revenue"),
+        round_to(money("net_amount") - money("payout"), 2).alias("estimated_platform_revenue"),
         done.alias("completed_trip_count"),
-        round_to(ratio(net, done), 2).alias("avg_revenue_per_trip"),
+        round_to(ratio(money("net_amount"), done), 2).alias("avg_revenue_per_trip"),
     )
 
 
 def dm_payment_method_daily(payments: DataFrame) -> DataFrame:
-    net = F.col("amount") - F.col("promo_discount")
+    net = F.col("net_amount")
     keys = [_day_key(F.col("created_at")).alias("date_key"), F.col("payment_method").alias("payment_method_name")]
     return payments.groupBy(*keys).agg(
         F.count("*").alias("payment_count"),

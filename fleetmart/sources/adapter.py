@@ -209,9 +209,14 @@ SELECT 'PAY-' || cast(o_orderkey AS string) AS payment_id,
        'P-' || cast(o_custkey AS string) AS passenger_id,
        o_orderkey % 4 + 1 AS method_id,
        cast(o_totalprice AS decimal(12,2)) AS amount,
-       cast(o_totalprice * 0.2 AS decimal(12,2)) AS platform_fee,
-       cast(o_totalprice AS decimal(12,2)) - cast(o_totalprice * 0.2 AS decimal(12,2)) AS driver_earning,
+       cast(cast(o_totalprice AS decimal(12,2)) * 0.20 AS decimal(12,2)) AS platform_fee,
+       cast(o_totalprice AS decimal(12,2)) - cast(cast(o_totalprice AS decimal(12,2)) * 0.20 AS decimal(12,2)) AS driver_earning,
        cast(CASE o_orderkey % 10 WHEN 0 THEN 2000 WHEN 1 THEN 3000 WHEN 2 THEN 5000 ELSE 0 END AS decimal(12,2)) AS promo_discount,
+       cast(cast(o_totalprice AS decimal(12,2)) * 0.11 AS decimal(12,2)) AS tax_amount,
+       cast(o_orderkey % 5 * 1000 AS decimal(12,2)) AS toll_amount,
+       cast(o_orderkey % 7 * 500 AS decimal(12,2)) AS tip_amount,
+       cast(cast(o_totalprice AS decimal(12,2)) + cast(cast(o_totalprice AS decimal(12,2)) * 0.11 AS decimal(12,2)) + o_orderkey % 5 * 1000 + o_orderkey % 7 * 500
+            - CASE o_orderkey % 10 WHEN 0 THEN 2000 WHEN 1 THEN 3000 WHEN 2 THEN 5000 ELSE 0 END AS decimal(14,2)) AS net_amount,
        'IDR' AS currency,
        CASE o_orderkey % 10 WHEN 4 THEN 'FAILED' WHEN 7 THEN 'PENDING' ELSE 'SUCCESS' END AS payment_status,
        'gw' || cast(o_orderkey % 3 AS string) AS payment_gateway,
@@ -236,7 +241,10 @@ SELECT 'U-' || cast(l_orderkey AS string) || '-' || cast(l_linenumber AS string)
        'R-' || cast(l_orderkey AS string) AS ride_id,
        'P-' || cast(o.o_custkey AS string) AS passenger_id,
        cast(l_discount * 50000 AS decimal(12,2)) AS discount_given,
-       cast(l_shipdate AS timestamp) AS used_at
+       CASE l_linenumber % 4 WHEN 0 THEN 'CANCELLED' ELSE 'REDEEMED' END AS redemption_status,
+       cast(l_shipdate AS timestamp) AS used_at,
+       cast(l_shipdate AS timestamp) AS created_at,
+       cast(l_shipdate AS timestamp) + INTERVAL '1' HOUR * l_linenumber AS updated_at
 FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
 WHERE l_discount > 0.05
 """
@@ -246,7 +254,10 @@ SELECT p_partkey % 40 + 1 AS promo_id,
        'PROMO' || lpad(cast(p_partkey % 40 + 1 AS string), 3, '0') AS promo_code,
        'Promo ' || cast(p_partkey % 40 + 1 AS string) AS promo_name,
        CASE (p_partkey % 40 + 1) % 2 WHEN 0 THEN 'PERCENT' ELSE 'FIXED' END AS promo_type,
+       CASE (p_partkey % 40 + 1) % 2 WHEN 0 THEN 'PERCENTAGE' ELSE 'AMOUNT' END AS discount_type,
        cast(count(*) AS bigint) AS current_usage,
+       cast(sum(cast(p_retailprice AS decimal(12,2))) AS decimal(14,2)) AS budget_amount,
+       CASE WHEN count(*) % 2 = 0 THEN 'ACTIVE' ELSE 'ENDED' END AS promo_status,
        cast(max(cast(p_retailprice AS decimal(12,2))) AS decimal(12,2)) AS discount_value,
        cast('1995-01-01 00:00:00' AS timestamp) AS valid_from,
        cast('2002-01-01 00:00:00' AS timestamp) AS valid_until
@@ -257,15 +268,23 @@ PAYOUTS = """
 SELECT 'PO-' || cast(k AS string) AS payout_id, driver_id, ride_id, payout_date,
        base_earning, incentive_amount, bonus_amount, deduction_amount,
        cast(base_earning + incentive_amount + bonus_amount - deduction_amount AS decimal(14,2)) AS final_payout_amount,
-       CASE k % 9 WHEN 0 THEN 'PENDING' ELSE 'PAID' END AS payout_status
+       CASE k % 9 WHEN 0 THEN 'PENDING' ELSE 'PAID' END AS payout_status, created_at, updated_at
 FROM (SELECT cast(substr(ride_id, 3) AS bigint) AS k, driver_id, ride_id, cast(completed_at AS date) AS payout_date,
              cast(total_fare * 0.8 AS decimal(12,2)) AS base_earning,
              cast(CASE WHEN surge_multiplier > 1.2 THEN 1500 ELSE 0 END AS decimal(12,2)) AS incentive_amount,
              cast(CASE WHEN passenger_rating >= 4.5 THEN 1000 ELSE 0 END AS decimal(12,2)) AS bonus_amount,
-             cast(CASE WHEN passenger_rating < 3.2 THEN 500 ELSE 0 END AS decimal(12,2)) AS deduction_amount
+             cast(CASE WHEN passenger_rating < 3.2 THEN 500 ELSE 0 END AS decimal(12,2)) AS deduction_amount,
+             completed_at AS created_at, updated_at
       FROM {rides} WHERE upper(ride_status) = 'COMPLETED') x
 """
 
+TRIPS = """
+SELECT r.*, 'V-' || substr(r.driver_id, 3) AS vehicle_id,
+       cast(r.distance_km * (9 + cast(substr(r.ride_id, 3) AS bigint) % 3) * 0.1 AS decimal(12,2)) AS estimated_distance_km,
+       cast(r.base_fare + r.distance_fare + r.time_fare AS decimal(12,2)) AS estimated_fare
+FROM {rides} r
+"""
+
 SEGMENTS = """
 SELECT 'P-' || cast(o_custkey AS string) AS passenger_id,
        CASE WHEN count(*) >= 4 THEN 'LOYAL' WHEN count(*) >= 2 THEN 'REGULAR' ELSE 'NEW' END AS segment_name,
@@ -309,6 +328,7 @@ TABLES = {
     "promo_usage": PROMO_USAGE,
     "promotions": PROMOTIONS,
     "payouts": PAYOUTS,
+    "trips": TRIPS,
     "segments": SEGMENTS,
     "campaign_spend": CAMPAIGN_SPEND,
     "change_log": CHANGE_LOG,

@@ -118,6 +118,28 @@ def _(d):
     return quality.orphans(d.table("payments"), d.table("rides"), "ride_id").select("payment_id", "ride_id")
 
 
+@query("dq_orphan_payouts", "SELECT payout_id, ride_id FROM {payouts} WHERE ride_id NOT IN (SELECT ride_id FROM {payments})")
+def _(d):
+    # Payouts whose trip has no payment.
+    return quality.orphans(d.table("payouts"), d.table("payments"), "ride_id").select("payout_id", "ride_id")
+
+
+@query("dq_payment_amount", "SELECT payment_id FROM {payments} WHERE platform_fee + driver_earning <> amount OR promo_discount > 4000")
+def _(d):
+    # Fee and earning must add up to the amount; a discount above the given limit is reported as well.
+    return quality.payment_amount_mismatch(d.table("payments"), 4000).select("payment_id")
+
+
+@query(
+    "dq_platform_revenue",
+    """SELECT requested_date AS ride_date, vehicle_type_code FROM {o_rides} WHERE ride_status = 'COMPLETED'
+       GROUP BY requested_date, vehicle_category, fare_tier, vehicle_type_code, pickup_province
+       HAVING round(sum(total_fare) * 0.20 - sum(promo_discount), 0) < 0""",
+)
+def _(d):
+    return quality.dq_accepted_range(marts.mart_revenue_daily(d.rides), "net_platform_revenue_idr", low=0).select("ride_date", "vehicle_type_code")
+
+
 @query(
     "dq_completed_has_one_payment",
     """SELECT r.ride_id, count(p.payment_id) AS children FROM {rides} r LEFT JOIN {payments} p ON p.ride_id = r.ride_id

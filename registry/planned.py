@@ -24,8 +24,8 @@ def day(c: str) -> str:
 
 
 METHODS = ["cash", "wallet", "card", "transfer"]
-CTES["o_pay"] = """SELECT *, CASE method_id WHEN 1 THEN 'cash' WHEN 2 THEN 'wallet' WHEN 3 THEN 'card' ELSE 'transfer' END AS payment_method,
- amount - promo_discount AS net FROM {payments}"""
+CTES["o_pay"] = """SELECT *, CASE method_id WHEN 1 THEN 'cash' WHEN 2 THEN 'wallet' WHEN 3 THEN 'card' ELSE 'transfer' END AS payment_method
+ FROM {payments}"""
 
 
 def payments(d):
@@ -63,8 +63,8 @@ def _(d):
 
 @query(
     "dim_promo",
-    f"""SELECT {key('promo_id')} AS promo_key, promo_id::varchar AS promo_id, promo_code, promo_name, promo_type, discount_value::double AS discount_value,
-        valid_from::date AS start_date, valid_until::date AS end_date FROM {{promotions}}""",
+    f"""SELECT {key('promo_id')} AS promo_key, promo_id::varchar AS promo_id, promo_code, promo_name, promo_type, discount_type, discount_value::double AS discount_value,
+        budget_amount::double AS budget_amount, promo_status, valid_from::date AS start_date, valid_until::date AS end_date FROM {{promotions}}""",
 )
 def _(d):
     return planned.dim_promo(d.table("promotions"))
@@ -72,7 +72,7 @@ def _(d):
 
 @query(
     "dim_vehicle",
-    f"""SELECT {key('license_plate')} AS vehicle_key, license_plate AS vehicle_id, driver_id, license_plate AS plate_number, type_name AS vehicle_type,
+    f"""SELECT {key("'V-' || substr(driver_id, 3)")} AS vehicle_key, 'V-' || substr(driver_id, 3) AS vehicle_id, driver_id, license_plate AS plate_number, type_name AS vehicle_type,
         vehicle_brand AS brand, vehicle_model AS model, vehicle_year AS production_year, capacity AS seat_capacity FROM {{drivers}} LEFT JOIN {{vehicle_types}} USING (vehicle_type_id)""",
 )
 def _(d):
@@ -109,21 +109,22 @@ def _(d):
 @query(
     "fct_trip",
     f"""SELECT {key('ride_id')} AS trip_key, ride_id AS trip_id, {day('requested_at')} AS request_date_key, hour(requested_at)::bigint AS request_time_key,
-        {day('picked_up_at')} AS pickup_date_key, {day('completed_at')} AS dropoff_date_key, {opt_key('passenger_id')} AS customer_key, {opt_key('driver_id')} AS driver_key,
+        {day('picked_up_at')} AS pickup_date_key, {day('completed_at')} AS dropoff_date_key, {opt_key('passenger_id')} AS customer_key, {opt_key('driver_id')} AS driver_key, {opt_key('vehicle_id')} AS vehicle_key,
+        estimated_distance_km::double AS estimated_distance_km, estimated_fare::double AS estimated_fare,
         {opt_key('pickup_zone_id')} AS pickup_location_key, {opt_key('dropoff_zone_id')} AS dropoff_location_key, {key('upper(ride_status)')} AS trip_status_key,
         distance_km::double AS actual_distance_km, total_fare::double AS actual_fare, surge_multiplier::double AS surge_multiplier,
         date_sub('minute', picked_up_at, completed_at) AS trip_duration_minute, date_sub('minute', requested_at, picked_up_at) AS waiting_time_minute,
-        upper(ride_status) = 'COMPLETED' AS is_completed, upper(ride_status) = 'CANCELLED' AS is_cancelled, created_at, updated_at FROM {{rides}}""",
+        upper(ride_status) = 'COMPLETED' AS is_completed, upper(ride_status) = 'CANCELLED' AS is_cancelled, created_at, updated_at FROM {{trips}}""",
 )
 def _(d):
-    return planned.fct_trip(d.table("rides"))
+    return planned.fct_trip(d.table("trips"))
 
 
 @query(
     "fct_payment",
     f"""SELECT {key('payment_id')} AS payment_key, payment_id, {key('ride_id')} AS trip_key, {key('passenger_id')} AS customer_key, {day('created_at')} AS payment_date_key,
-        {key('payment_method')} AS payment_method_key, amount::double AS gross_amount, promo_discount::double AS discount_amount, 0::double AS tax_amount,
-        0::double AS toll_amount, 0::double AS tip_amount, net::double AS net_amount, payment_status, paid_at AS paid_ts, created_at, updated_at FROM {{o_pay}}""",
+        {key('payment_method')} AS payment_method_key, amount::double AS gross_amount, promo_discount::double AS discount_amount, tax_amount::double AS tax_amount,
+        toll_amount::double AS toll_amount, tip_amount::double AS tip_amount, net_amount::double AS net_amount, payment_status, paid_at AS paid_ts, created_at, updated_at FROM {{o_pay}}""",
 )
 def _(d):
     return planned.fct_payment(payments(d))
@@ -133,7 +134,7 @@ def _(d):
     "fct_driver_payout",
     f"""SELECT {key('payout_id')} AS payout_key, payout_id, {key('ride_id')} AS trip_key, {key('driver_id')} AS driver_key, {day('payout_date')} AS payout_date_key,
         base_earning::double AS base_earning, incentive_amount::double AS incentive_amount, bonus_amount::double AS bonus_amount,
-        deduction_amount::double AS deduction_amount, final_payout_amount::double AS final_payout_amount, payout_status FROM {{payouts}}""",
+        deduction_amount::double AS deduction_amount, final_payout_amount::double AS final_payout_amount, payout_status, created_at, updated_at FROM {{payouts}}""",
 )
 def _(d):
     return planned.fct_driver_payout(d.table("payouts"))
@@ -143,7 +144,7 @@ def _(d):
     "fct_rating",
     f"""SELECT {key("'rating'", 'ride_id')} AS rating_key, 'RT-' || ride_id AS rating_id, {key('ride_id')} AS trip_key, {key('passenger_id')} AS customer_key,
         {key('driver_id')} AS driver_key, {day('completed_at')} AS rating_date_key, round(passenger_rating, 0)::bigint AS rating_score,
-        notes IS NOT NULL AS has_review_text, completed_at AS rated_ts FROM {{rides}} WHERE passenger_rating IS NOT NULL""",
+        notes IS NOT NULL AS has_review_text, completed_at AS rated_ts, completed_at AS created_at, updated_at FROM {{rides}} WHERE passenger_rating IS NOT NULL""",
 )
 def _(d):
     return planned.fct_rating(d.table("rides"))
@@ -152,7 +153,7 @@ def _(d):
 @query(
     "fct_promo_redemption",
     f"""SELECT {key('usage_id')} AS promo_redemption_key, usage_id AS redemption_id, {key('promo_id')} AS promo_key, {key('ride_id')} AS trip_key,
-        {key('passenger_id')} AS customer_key, {day('used_at')} AS redemption_date_key, discount_given::double AS discount_amount, used_at AS redeemed_ts FROM {{promo_usage}}""",
+        {key('passenger_id')} AS customer_key, {day('used_at')} AS redemption_date_key, discount_given::double AS discount_amount, redemption_status, used_at AS redeemed_ts, created_at, updated_at FROM {{promo_usage}}""",
 )
 def _(d):
     return planned.fct_promo_redemption(d.table("promo_usage"))
@@ -169,27 +170,38 @@ def done(c: str) -> str:
     return f"CASE WHEN {DONE} THEN {c} END"
 
 
-CTES["o_trip_daily"] = f"""SELECT {day('requested_date')} AS date_key, pickup_city AS city, count(*) AS total_trip_requested,
+CTES["o_city_trips"] = """SELECT t.* REPLACE (upper(t.ride_status) AS ride_status), z.city FROM {trips} t LEFT JOIN {o_zones} z ON z.zone_id = t.pickup_zone_id"""
+CTES["o_trip_daily"] = f"""SELECT {day('requested_at')} AS date_key, city, count(*) AS total_trip_requested,
  count(*) FILTER ({DONE}) AS total_trip_completed, count(*) FILTER (ride_status = 'CANCELLED') AS total_trip_cancelled,
- {rate(DONE)} AS completion_rate, {rate("ride_status = 'CANCELLED'")} AS cancellation_rate, {r(avg(done('distance_km')), 2)} AS avg_actual_distance_km,
- {r(avg(done('duration_minutes')), 2)} AS avg_trip_duration_minute, {r(avg("date_sub('minute', requested_at, picked_up_at)"), 2)} AS avg_waiting_time_minute,
- {r(avg(done('total_fare')), 2)} AS avg_actual_fare FROM {{o_rides}} GROUP BY 1, 2"""
+ {rate(DONE)} AS completion_rate, {rate("ride_status = 'CANCELLED'")} AS cancellation_rate, {r(avg('estimated_distance_km'), 2)} AS avg_estimated_distance_km,
+ {r(avg(done('distance_km')), 2)} AS avg_actual_distance_km, {r(avg("date_sub('minute', picked_up_at, completed_at)"), 2)} AS avg_trip_duration_minute,
+ {r(avg("date_sub('minute', requested_at, picked_up_at)"), 2)} AS avg_waiting_time_minute,
+ {r(avg(done('total_fare')), 2)} AS avg_actual_fare FROM {{o_city_trips}} GROUP BY 1, 2"""
+
+
+def trip_daily(d):
+    return planned.dm_trip_daily_city(d.table("trips"), d.zones)
 
 
 @query("dm_trip_daily_city", "SELECT * FROM {o_trip_daily}")
 def _(d):
-    return planned.dm_trip_daily_city(d.rides)
+    return trip_daily(d)
 
 
 @query("date_key_range", "SELECT * FROM {o_trip_daily} WHERE date_key BETWEEN 19970101 AND 19970131")
 def _(d):
-    return planned.date_key_range(planned.dm_trip_daily_city(d.rides), 19970101, 19970131)
+    return planned.date_key_range(trip_daily(d), 19970101, 19970131)
+
+
+LISTING = "SELECT date_key, city, total_trip_requested, total_trip_completed, total_trip_cancelled, completion_rate, cancellation_rate"
 
 
-@query("order_mart_queries", "SELECT date_key, city, total_trip_requested, total_trip_completed, completion_rate FROM {o_trip_daily} WHERE date_key BETWEEN 19970101 AND 19970131 ORDER BY date_key, city")
+@query("order_mart_queries", LISTING + " FROM {o_trip_daily} WHERE date_key BETWEEN 19970101 AND 19970131 ORDER BY date_key, city NULLS FIRST")
 def _(d):
-    out = planned.date_key_range(planned.dm_trip_daily_city(d.rides), 19970101, 19970131)
-    return out.select("date_key", "city", "total_trip_requested", "total_trip_completed", "completion_rate").orderBy("date_key", "city")
+    out = planned.date_key_range(trip_daily(d), 19970101, 19970131)
+    return out.select(
+        "date_key", "city", "total_trip_requested", "total_trip_completed", "total_trip_cancelled", "completion_rate", "cancellation_rate"
+    ).orderBy("date_key", "city")
 
 
 @query(
@@ -203,46 +215,71 @@ def _(d):
 
 
 CTES["o_payout"] = """SELECT ride_id, sum(final_payout_amount) AS payout, sum(bonus_amount) AS bonus, sum(incentive_amount) AS incentive FROM {payouts} GROUP BY ALL"""
-CTES["o_paid"] = """SELECT ride_id, sum(amount) AS gross, sum(promo_discount) AS discount FROM {payments} WHERE payment_status = 'SUCCESS' GROUP BY ALL"""
 
 
 def z(c: str) -> str:
     return f"coalesce(sum({c}), 0)"
 
 
+SUMS = {"amount": "gross", "promo_discount": "discount", "tax_amount": "tax", "toll_amount": "toll", "tip_amount": "tip", "net_amount": "net"}
+CTES["o_paid"] = "SELECT ride_id, " + ", ".join(f"sum({c}) AS paid_{c}" for c in SUMS) + " FROM {payments} WHERE payment_status = 'SUCCESS' GROUP BY ALL"
+CTES["o_finance"] = f"""SELECT {day('requested_at')} AS date_key, city, {', '.join(f"{r(z(f'paid_{c}'), 2)} AS total_{n}_amount" for c, n in SUMS.items())},
+        {r(z('payout'), 2)} AS total_driver_payout, {r(z('paid_net_amount') + ' - ' + z('payout'), 2)} AS estimated_platform_revenue,
+        count(*) FILTER ({DONE}) AS completed_trip_count,
+        {r(f"{z('paid_net_amount')}::double / nullif((count(*) FILTER ({DONE}))::double, 0)", 2)} AS avg_revenue_per_trip
+        FROM {{o_city_trips}} LEFT JOIN {{o_paid}} USING (ride_id) LEFT JOIN {{o_payout}} USING (ride_id) GROUP BY 1, 2"""
+
+
+@query("dm_finance_daily_city", "SELECT * FROM {o_finance}")
+def _(d):
+    return planned.dm_finance_daily_city(d.table("payments"), d.table("payouts"), d.table("trips"), d.zones)
+
+
 @query(
-    "dm_finance_daily_city",
-    f"""SELECT {day('requested_date')} AS date_key, pickup_city AS city, {r(z('gross'), 2)} AS total_gross_amount, {r(z('discount'), 2)} AS total_discount_amount,
-        {r(z('gross') + ' - ' + z('discount'), 2)} AS total_net_amount, {r(z('payout'), 2)} AS total_driver_payout,
-        {r(z('gross') + ' - ' + z('discount') + ' - ' + z('payout'), 2)} AS estimated_platform_revenue, count(*) FILTER ({DONE}) AS completed_trip_count,
-        {r(f"({z('gross')} - {z('discount')})::double / nullif((count(*) FILTER ({DONE}))::double, 0)", 2)} AS avg_revenue_per_trip
-        FROM {{o_rides}} LEFT JOIN {{o_paid}} USING (ride_id) LEFT JOIN {{o_payout}} USING (ride_id) GROUP BY 1, 2""",
+    "finance_day_listing",
+    "SELECT date_key, city, total_net_amount, total_driver_payout, estimated_platform_revenue FROM {o_finance} WHERE date_key = 19980615",
 )
 def _(d):
-    return planned.dm_finance_daily_city(d.table("payments"), d.table("payouts"), d.rides)
+    mart = planned.dm_finance_daily_city(d.table("payments"), d.table("payouts"), d.table("trips"), d.zones)
+    return planned.date_key_range(mart, 19980615, 19980615).select(
+        "date_key", "city", "total_net_amount", "total_driver_payout", "estimated_platform_revenue"
+    )
 
 
 @query(
     "dm_payment_method_daily",
-    f"""SELECT {day('created_at')} AS date_key, payment_method AS payment_method_name, count(*) AS payment_count, {r('sum(net)', 2)} AS total_net_amount,
-        {r(avg('net'), 2)} AS avg_net_amount, count(*) FILTER (payment_status = 'SUCCESS') AS success_payment_count,
+    f"""SELECT {day('created_at')} AS date_key, payment_method AS payment_method_name, count(*) AS payment_count, {r('sum(net_amount)', 2)} AS total_net_amount,
+        {r(avg('net_amount'), 2)} AS avg_net_amount, count(*) FILTER (payment_status = 'SUCCESS') AS success_payment_count,
         count(*) FILTER (payment_status = 'FAILED') AS failed_payment_count FROM {{o_pay}} GROUP BY 1, 2""",
 )
 def _(d):
     return planned.dm_payment_method_daily(payments(d))
 
 
-@query(
-    "dm_promo_daily",
-    f"""SELECT {day('u.used_at')} AS date_key, p.promo_code, p.promo_name, count(*) AS total_redemption, {r('sum(u.discount_given)', 2)} AS total_discount_amount,
+CTES["o_promo_daily"] = f"""SELECT {day('u.used_at')} AS date_key, p.promo_code, p.promo_name, count(*) AS total_redemption, {r('sum(u.discount_given)', 2)} AS total_discount_amount,
         count(DISTINCT u.passenger_id) AS unique_customer_count, count(DISTINCT u.ride_id) AS total_trip_count,
         count(DISTINCT CASE WHEN upper(t.ride_status) = 'COMPLETED' THEN u.ride_id END) AS completed_trip_count
-        FROM {{promo_usage}} u LEFT JOIN {{rides}} t ON t.ride_id = u.ride_id LEFT JOIN {{promotions}} p ON p.promo_id = u.promo_id GROUP BY 1, 2, 3""",
-)
-def _(d):
+        FROM {{promo_usage}} u LEFT JOIN {{rides}} t ON t.ride_id = u.ride_id LEFT JOIN {{promotions}} p ON p.promo_id = u.promo_id GROUP BY 1, 2, 3"""
+
+
+def promo_daily(d):
     return planned.dm_promo_daily(d.table("promo_usage"), d.table("promotions"), d.table("rides"))
 
 
+@query("dm_promo_daily", "SELECT * FROM {o_promo_daily}")
+def _(d):
+    return promo_daily(d)
+
+
+PROMO_LISTING = "date_key, promo_code, total_redemption, total_discount_amount, unique_customer_count"
+
+
+@query("order_promo_listing", f"SELECT {PROMO_LISTING} FROM {{o_promo_daily}} WHERE date_key BETWEEN 19970101 AND 19970131 ORDER BY total_redemption DESC")
+def _(d):
+    out = planned.date_key_range(promo_daily(d), 19970101, 19970131)
+    return out.select(*PROMO_LISTING.split(", ")).orderBy(F.desc("total_redemption"))
+
+
 @query(
     "dm_campaign_daily_channel",
     f"""SELECT {day('spend_date')} AS date_key, channel_name, campaign_name, {r('sum(spend_amount)', 2)} AS spend_amount, sum(impressions)::bigint AS impressions,
@@ -261,17 +298,26 @@ def _(d):
     return planned.dm_customer_segment_daily(d.table("segments"))
 
 
-@query(
-    "dm_driver_daily_performance",
-    f"""SELECT {day('requested_date')} AS date_key, driver_id, pickup_city AS city, count(*) AS total_trip_assigned, count(*) FILTER ({DONE}) AS total_trip_completed,
+CTES["o_driver_daily"] = f"""SELECT {day('requested_date')} AS date_key, driver_id, pickup_city AS city, count(*) AS total_trip_assigned, count(*) FILTER ({DONE}) AS total_trip_completed,
         count(*) FILTER (ride_status = 'CANCELLED') AS total_trip_cancelled, {rate(DONE)} AS completion_rate, {r(avg('passenger_rating'), 2)} AS avg_rating_score,
         {r(z(done('distance_km')), 2)} AS total_actual_distance_km, {r(z(done('total_fare')), 2)} AS total_working_revenue, {r(z('payout'), 2)} AS total_payout_amount
-        FROM {{o_rides}} LEFT JOIN {{o_payout}} USING (ride_id) WHERE driver_id IS NOT NULL GROUP BY 1, 2, 3""",
-)
+        FROM {{o_rides}} LEFT JOIN {{o_payout}} USING (ride_id) WHERE driver_id IS NOT NULL GROUP BY 1, 2, 3"""
+
+
+@query("dm_driver_daily_performance", "SELECT * FROM {o_driver_daily}")
 def _(d):
     return planned.dm_driver_daily_performance(d.rides, d.table("payouts"))
 
 
+DRIVER_LISTING = "date_key, driver_id, city, total_trip_completed, avg_rating_score, total_payout_amount"
+
+
+@query("order_driver_listing", f"SELECT {DRIVER_LISTING} FROM {{o_driver_daily}} WHERE date_key = 19980615 ORDER BY total_trip_completed DESC")
+def _(d):
+    out = planned.date_key_range(planned.dm_driver_daily_performance(d.rides, d.table("payouts")), 19980615, 19980615)
+    return out.select(*DRIVER_LISTING.split(", ")).orderBy(F.desc("total_trip_completed"))
+
+
 @query(
     "dm_driver_monthly_summary",
     f"""SELECT strftime(requested_date, '%Y%m') AS month_key, driver_id, pickup_city AS city, count(*) FILTER ({DONE}) AS total_trip_completed,

@@ -127,7 +127,7 @@ def _(d):
 @query("partition_overwrite", "SELECT date_key, city, total_trip_requested, total_trip_completed FROM {o_trip_daily}")
 def _(d):
     path = run_dir(d.spark, "daily")
-    daily = planned.dm_trip_daily_city(d.rides).select("city", "total_trip_requested", "total_trip_completed", "date_key")
+    daily = planned.dm_trip_daily_city(d.table("trips"), d.zones).select("city", "total_trip_requested", "total_trip_completed", "date_key")
     by_month = daily.withColumn("month_key", F.floor(F.col("date_key") / 100).cast("long"))
     stale = by_month.withColumn("total_trip_completed", F.when(F.col("month_key") == 199703, -1).otherwise(F.col("total_trip_completed")).cast("long"))
     sinks.partition_overwrite(stale, path, "month_key")
