@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NULL_SPREAD = 512
+NO_KEY = "\u0000no key "
 DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 
 
@@ -38,15 +39,16 @@ def is_small(df: DataFrame) -> bool:
 def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, spread_by: str | None = None) -> DataFrame:
     """fact LEFT JOIN dim on fact_key = dim_key; the dimension's key column is dropped.
 
-    A dimension within the broadcast threshold is broadcast. A larger one is shuffled: rows whose key is NULL get a
-    spread number from ``spread_by`` so they do not all land in one partition, and AQE splits hot keys (the join is
-    followed by another exchange or a write, so it keeps its skew handling).
+    A dimension within the broadcast threshold is broadcast. A larger one is shuffled on the key as text: rows without a
+    key get a stand-in made from ``spread_by`` that matches nothing, so they are spread over all tasks instead of meeting in
+    one. (A second join column for this would not do: the optimizer takes a constant side out of the join key.) AQE splits
+    hot keys; the join is followed by another exchange or a write, so it keeps its skew handling.
     """
     if is_small(dim):
         keyed = F.broadcast(dim.withColumnRenamed(dim_key, "_dim_key"))
         return fact.join(keyed, fact[fact_key] == F.col("_dim_key"), "left").drop("_dim_key")
-    spread = F.pmod(F.xxhash64(F.col(spread_by or fact_key)), F.lit(NULL_SPREAD)).cast("int")
-    left = fact.withColumn("_spread", F.when(F.col(fact_key).isNull(), spread).otherwise(F.lit(0)))
-    right = dim.withColumnRenamed(dim_key, "_dim_key").withColumn("_dim_spread", F.lit(0))
-    on: Column = (F.col(fact_key) == F.col("_dim_key")) & (F.col("_spread") == F.col("_dim_spread"))
-    return left.join(right, on, "left").drop("_dim_key", "_spread", "_dim_spread")
+    spread = F.pmod(F.xxhash64(F.col(spread_by or fact_key)), F.lit(NULL_SPREAD)).cast("string")
+    stand_in = F.concat(F.lit(NO_KEY), spread)
+    left = fact.withColumn("_fact_key", F.coalesce(F.col(fact_key).cast("string"), stand_in))
+    right = dim.withColumn("_dim_key", F.col(dim_key).cast("string")).drop(dim_key)
+    return left.join(right, F.col("_fact_key") == F.col("_dim_key"), "left").drop("_fact_key", "_dim_key")

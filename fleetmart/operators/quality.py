@@ -110,16 +110,29 @@ def accepted_range(column: str, low: float | None = None, high: float | None = N
     return Rule("accepted_range", column, out_of_range(column, low, high))
 
 
+def _repeated_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Number of repeated values per column. The columns are laid out as (column, value) rows, so one pass counts all; each
+    value is counted before the shuffle.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
+    values = df.select(F.explode(pairs).alias("_p")).select("_p.*").filter("value IS NOT NULL")
+    repeated = values.groupBy("column_name", "value").agg((F.count("*") > 1).alias("again"))
+    found = repeated.groupBy("column_name").agg(F.count_if("again").alias("failing"))
+    named = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return named.join(F.broadcast(found), "column_name", "left").select(
+        F.lit("unique").alias("check_name"), "column_name", F.coalesce("failing", F.lit(0)).alias("failing")
+    )
+
+
 def dq_report(df: DataFrame, table: str, rules: list[Rule], unique: list[str] = ()) -> DataFrame:
-    """One row per check with its failing count. All row-level rules share one pass over the table."""
+    """One row per check with its failing count. Row-level rules share one pass over the table, uniqueness rules another."""
     counts = df.agg(*[F.count_if(r.fails).alias(f"_c{i}") for i, r in enumerate(rules)])
     lines = F.array(
         *[F.struct(F.lit(r.name).alias("check_name"), F.lit(r.column).alias("column_name"), F.col(f"_c{i}").alias("failing")) for i, r in enumerate(rules)]
     )
     report = counts.select(F.explode(lines).alias("_l")).select("_l.*")
-    for column in unique:
-        repeated = dq_unique(df, column).agg(F.count("*").alias("failing"))
-        report = report.unionByName(repeated.select(F.lit("unique").alias("check_name"), F.lit(column).alias("column_name"), "failing"))
+    if unique:
+        report = report.unionByName(_repeated_values(df, unique))
     return report.select(F.lit(table).alias("table_name"), "*", (F.col("failing") == 0).alias("passed"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fleetmart.functions import calendar, cleaning, domain, jsonpath
 from fleetmart.functions.keys import surrogate_key, utc_text
 from fleetmart.functions.numbers import ratio
+from fleetmart.operators.joins import lookup_join
 from fleetmart.plans import dims, facts
 from registry.core import CTES, NOW, SNAPSHOT_NOW, n, now, query, today
 
@@ -345,10 +346,11 @@ def _(d):
 
 @query(
     "vehicle_category",
-    """SELECT vehicle_category, fare_tier, count(*) AS rides FROM {rides} JOIN {o_types} USING (vehicle_type_id) GROUP BY ALL""",
+    """SELECT vehicle_category, fare_tier, count(*) AS rides FROM {rides} LEFT JOIN {o_types} USING (vehicle_type_id) GROUP BY ALL""",
 )
 def _(d):
-    joined = d.table("rides").join(F.broadcast(d.vehicle_types.select("vehicle_type_id", "vehicle_category", "fare_tier")), "vehicle_type_id")
+    types = d.vehicle_types.select(F.col("vehicle_type_id").alias("_type"), "vehicle_category", "fare_tier")
+    joined = lookup_join(d.table("rides"), types, "vehicle_type_id", "_type", "ride_id")
     return joined.groupBy("vehicle_category", "fare_tier").agg(F.count("*").alias("rides"))
 
 

@@ -36,11 +36,38 @@ def test_facts_and_marts_do_not_depend_on_the_join_strategy(spark, request, plan
 def test_null_keys_are_spread_and_match_nothing(spark, no_broadcast):
     fact = spark.range(1000).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.concat(F.lit("D"), F.col("id") % 9)).alias("k"))
     dim = spark.createDataFrame([("D0", 1), ("D3", 2), (None, 99)], "dk string, v int")
-    out = lookup_join(fact, dim, "k", "dk", "id")
-    assert out.count() == 1000 and out.filter("k IS NULL AND v IS NOT NULL").count() == 0
-    assert out.filter("v = 1").count() == 112
-    placed = fact.withColumn("_spread", F.when(F.col("k").isNull(), F.pmod(F.xxhash64("id"), F.lit(512))).otherwise(0))
-    assert placed.filter("k IS NULL").select("_spread").distinct().count() > 300
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = lookup_join(fact, dim, "k", "dk", "id")
+        assert out.count() == 1000 and out.filter("k IS NULL AND v IS NOT NULL").count() == 0
+        assert out.filter("v = 1").count() == 112 and out.filter("k = 'D6' AND v IS NOT NULL").count() == 0
+        # Two thirds of the rows have no key; no task holds more than a good share of them.
+        held = [r["count"] for r in out.filter("k IS NULL").groupBy(F.spark_partition_id()).count().collect()]
+        assert len(held) == 4 and max(held) < 300
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_hot_keys_are_split_at_run_time(spark, no_broadcast, plan):
+    sizes = {
+        "spark.sql.shuffle.partitions": "24",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {key: spark.conf.get(key) for key in sizes}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 5000))
+        fact = spark.range(0, 100_000, 1, 8).select("id", hot.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+        dim = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("dk"), F.col("id").alias("v")).union(spark.createDataFrame([("hot", -1)], "dk string, v long"))
+        counted = lookup_join(fact, dim, "k", "dk", "id").groupBy("v").agg(F.count("pad").alias("n"))
+        rows = {r.v: r.n for r in counted.collect()}
+        assert rows[-1] == 33_334 and sum(rows.values()) == 100_000
+        assert "skew=true" in plan(counted)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def test_ride_scan_reads_only_what_a_mart_needs(spark, plan):
@@ -123,10 +150,10 @@ def test_freshness_states(spark):
 
 
 def test_report_counts_nulls_as_the_single_checks_do(spark):
-    df = spark.createDataFrame([("A", 1), ("X", -1), (None, None), ("A", 5)], "s string, v int")
-    report = quality.dq_report(df, "t", [quality.not_null("s"), quality.accepted_values("s", ["A"]), quality.accepted_range("v", 0, 4)], ["s"])
+    df = spark.createDataFrame([("A", 1, None), ("X", -1, None), (None, None, None), ("A", 5, None)], "s string, v int, e int")
+    report = quality.dq_report(df, "t", [quality.not_null("s"), quality.accepted_values("s", ["A"]), quality.accepted_range("v", 0, 4)], ["s", "v", "e"])
     assert {(r.check_name, r.column_name): r.failing for r in report.collect()} == {
-        ("not_null", "s"): 1, ("accepted_values", "s"): 1, ("accepted_range", "v"): 2, ("unique", "s"): 1,
+        ("not_null", "s"): 1, ("accepted_values", "s"): 1, ("accepted_range", "v"): 2, ("unique", "s"): 1, ("unique", "v"): 0, ("unique", "e"): 0,
     }
     assert quality.dq_accepted_values(df, "s", ["A"]).count() == 1 and quality.dq_accepted_range(df, "v", 0, 4).count() == 2
 
