@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NULL_SPREAD = 512
-NO_KEY = "\u0000no key "
 DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 
 
@@ -48,7 +47,8 @@ def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, sp
         keyed = F.broadcast(dim.withColumnRenamed(dim_key, "_dim_key"))
         return fact.join(keyed, fact[fact_key] == F.col("_dim_key"), "left").drop("_dim_key")
     spread = F.pmod(F.xxhash64(F.col(spread_by or fact_key)), F.lit(NULL_SPREAD)).cast("string")
-    stand_in = F.concat(F.lit(NO_KEY), spread)
-    left = fact.withColumn("_fact_key", F.coalesce(F.col(fact_key).cast("string"), stand_in))
-    right = dim.withColumn("_dim_key", F.col(dim_key).cast("string")).drop(dim_key)
+    # Real keys and stand-ins start with different letters, so no value can be taken for the other kind.
+    text = lambda column: F.concat(F.lit("k"), F.col(column).cast("string"))
+    left = fact.withColumn("_fact_key", F.coalesce(text(fact_key), F.concat(F.lit("n"), spread)))
+    right = dim.withColumn("_dim_key", text(dim_key)).drop(dim_key)
     return left.join(right, F.col("_fact_key") == F.col("_dim_key"), "left").drop("_fact_key", "_dim_key")

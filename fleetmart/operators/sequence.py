@@ -16,23 +16,22 @@ def with_neighbour(
     the nearest row of the neighbouring slice from a small table with one row per (key, slice). The outcome equals a
     plain lead or lag; a key holding a large share of the rows is spread over its slices.
     """
-    base = df.withColumn("_slice", slice_by)
+    # Keys as text without NULL: the window and the join then ask for one and the same distribution, so the rows are
+    # shuffled once.
+    text = lambda column: F.coalesce(F.concat(F.lit("k"), column.cast("string")), F.lit("n"))
+    parts = {f"_k{i}": text(F.col(k)) for i, k in enumerate(keys)}
+    parts["_ks"] = text(slice_by)
+    base = df.withColumns({**parts, "_slice": slice_by})
     packed = F.struct(*[F.col(c).alias(n) for n, c in values.items()])
-    within = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy("_slice")
+    within = Window.partitionBy(*parts).orderBy(*order)
+    across = Window.partitionBy(*[p for p in parts if p != "_ks"]).orderBy("_slice")
     position = F.struct(*order)
     if previous:
         inside, edge_row, hop = F.lag(packed).over(within), F.max_by(packed, position), F.lag("_edge").over(across)
     else:
         inside, edge_row, hop = F.lead(packed).over(within), F.min_by(packed, position), F.lead("_edge").over(across)
-    edges = (
-        base.groupBy(*keys, "_slice")
-        .agg(edge_row.alias("_edge"))
-        .select(*[F.col(k).alias(f"_e_{k}") for k in keys], F.col("_slice").alias("_e_slice"), hop.alias("_beyond"))
-    )
-    on = F.col("_slice").eqNullSafe(F.col("_e_slice"))
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_e_{k}"))
-    joined = base.withColumn("_inside", inside).join(edges, on, "left")
+    edges = base.groupBy(*parts).agg(edge_row.alias("_edge"), F.min("_slice").alias("_slice"))
+    beyond = edges.select(*parts, hop.alias("_beyond"))
+    joined = base.withColumn("_inside", inside).join(beyond, list(parts), "left")
     found = F.coalesce("_inside", "_beyond")
     return joined.withColumns({n: found[n] for n in values}).select(*[c for c in df.columns if c not in values], *values)

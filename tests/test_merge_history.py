@@ -91,7 +91,8 @@ def test_change_log_versions_with_ties_and_deletes(spark):
 @pytest.mark.parametrize("previous", [False, True])
 def test_neighbour_equals_plain_window_also_for_a_hot_key(spark, previous):
     rng = random.Random(7)
-    rows = [("hot" if rng.random() < 0.6 else f"k{rng.randrange(5)}", when(1) + dt.timedelta(minutes=rng.randrange(20000)), i) for i in range(800)]
+    name = lambda: "hot" if rng.random() < 0.6 else rng.choice([None, "a", "b", "c", "d"])
+    rows = [(name(), when(1) + dt.timedelta(minutes=rng.randrange(20000)), i) for i in range(800)]
     df = spark.createDataFrame(rows, "k string, ts timestamp, v long")
     w = Window.partitionBy("k").orderBy("ts", "v")
     plain = df.withColumn("o", (F.lag if previous else F.lead)("v").over(w))
@@ -99,6 +100,16 @@ def test_neighbour_equals_plain_window_also_for_a_hot_key(spark, previous):
     assert sorted(map(tuple, sliced.select("k", "v", "o").collect()), key=str) == sorted(map(tuple, plain.select("k", "v", "o").collect()), key=str)
 
 
+def test_neighbour_shuffles_the_rows_once(spark, no_broadcast, plan):
+    df = spark.range(1000).select((F.col("id") % 7).cast("string").alias("k"), F.timestamp_seconds(F.col("id") * 999).alias("ts"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    text = plan(with_neighbour(df, ["k"], ["ts"], {"next_ts": "ts"}, F.date_trunc("day", "ts"))).split("== Physical Plan ==")[-1]
+    assert "BroadcastHashJoin" not in text
+    # The wide rows cross one exchange; the others carry edge rows only.
+    assert text.count("Exchange hashpartitioning") <= 4
+    window_at = text.index("Window [lead(")
+    assert "Exchange" not in text[text.index("SortMergeJoin") : window_at]
+
+
 def test_high_water_mark_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "a timestamp, b timestamp")
     assert history.high_water_mark(empty, ["a", "b"], ts("2026-01-01")).first()[0] == when(1)
