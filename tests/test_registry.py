@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from check import TABLES, norm
+from registry import load
 
 SF = "/root/testdata/sf0.001"
 SPREAD = [
@@ -23,7 +24,8 @@ def database():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    queries, oracles = load()
+    assert set(queries) == set(oracles)
 
 
 def test_entry_runs(spark):
