@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.llm.minmax_dedup import MinMaxDedup, near_duplicates
+from fleetmart.llm.substring_dedup import remove_repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +18,14 @@ def op8_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), params=MinMaxDedup(shingle_words=4))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document without the 50-word passages that an earlier document holds."""
+    kept = remove_repeats(table(spark, sf_dir, "documents"), 50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op8_minmax_dedup": op8_minmax_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLES: dict[str, str] = {}
