@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetmart.llm import source_mixing
+from fleetmart.llm.language import predict_language, remainder
 from fleetmart.llm.minmax_dedup import MinMaxDedup, near_duplicates
+from fleetmart.llm.packing import Packing, pack_documents
 from fleetmart.llm.substring_dedup import remove_repeats
 
 
@@ -13,6 +16,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_language_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; rows whose id has remainder 1 are held out."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 3) == 1)
+    return predict_language(docs, ["doc_id", "held_out"], ~F.col("held_out"))
+
+
+def op4_conflict_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in bins of 2048 words; equal texts are a duplicate cluster."""
+    docs = table(spark, sf_dir, "documents")
+    sizes = docs.select("doc_id", "source", source_mixing.word_count("text").alias("size"), F.xxhash64("text").alias("cluster"))
+    return pack_documents(sizes, Packing(capacity=2048))
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents to the weights 5, 2, 1."""
+    return source_mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op8_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents on 4-word shingles at 80 percent."""
     return near_duplicates(table(spark, sf_dir, "documents"), params=MinMaxDedup(shingle_words=4))
@@ -25,7 +46,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_language_ppm": op3_language_ppm,
+    "op4_conflict_packing": op4_conflict_packing,
+    "op6_source_mixing": op6_source_mixing,
     "op8_minmax_dedup": op8_minmax_dedup,
     "op10_substring_dedup": op10_substring_dedup,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_source_mixing": source_mixing.SQL}
