@@ -9,6 +9,7 @@ from fleetmart.llm import source_mixing
 from fleetmart.llm.language import predict_language, remainder
 from fleetmart.llm.minmax_dedup import MinMaxDedup, near_duplicates
 from fleetmart.llm.packing import Packing, pack_documents
+from fleetmart.llm.pitman_yor import score_documents
 from fleetmart.llm.substring_dedup import remove_repeats
 
 
@@ -29,6 +30,11 @@ def op4_conflict_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(sizes, Packing(capacity=2048))
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document; rows whose id has remainder 2 are held out."""
+    return score_documents(table(spark, sf_dir, "documents"), remainder("doc_id", 7) == 2)
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents to the weights 5, 2, 1."""
     return source_mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -48,6 +54,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_language_ppm": op3_language_ppm,
     "op4_conflict_packing": op4_conflict_packing,
+    "op5_pitman_yor": op5_pitman_yor,
     "op6_source_mixing": op6_source_mixing,
     "op8_minmax_dedup": op8_minmax_dedup,
     "op10_substring_dedup": op10_substring_dedup,

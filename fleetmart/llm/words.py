@@ -75,18 +75,20 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def fingerprints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One 64-bit value per word."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+    """One 64-bit value per word, taken from its bytes in steps of eight."""
     lengths = ends - starts
-    word = np.repeat(np.arange(len(starts)), lengths)
-    head = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    place = np.arange(len(word)) - head[word]
-    powers = np.ones(int(lengths.max()), np.uint64)
-    if len(powers) > 1:
-        powers[1:] = np.cumprod(np.full(len(powers) - 1, _BASE))
-    values = (data[starts[word] + place].astype(np.uint64) + np.uint64(1)) * powers[place]
-    return mix(np.add.reduceat(values, head) + lengths.astype(np.uint64))
+    out = mix(lengths.astype(np.uint64) * _BASE)
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eights = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    todo, at, left = np.arange(len(starts)), starts, lengths
+    while len(todo):
+        part = eights[at]
+        short = np.maximum(8 - left, 0).astype(np.uint64) * np.uint64(8)
+        part = (part << short) >> short
+        out[todo] = mix(out[todo] * _BASE + part)
+        more = left > 8
+        todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    return out
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
