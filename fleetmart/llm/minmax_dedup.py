@@ -7,7 +7,9 @@ two minima of independent permutations. Bands of the signature propose candidate
 Documents with the same shingle set are one class and are compared once, whatever their number. Inside a bucket of a
 band every class is first compared with the least class of the bucket only; classes that this leaves in different
 components of a bucket are then compared with each other. Two classes of one component need no further comparison, so
-a large group of near copies costs about one comparison per class, and no link between components is lost.
+a group of near copies costs about one comparison per class, and no link between components is lost. In small buckets
+such pairs are listed; large ones are cut into blocks of classes, and two blocks are compared in one task that counts all
+shared shingles at once and hands on no more links than it has classes.
 """
 
 from __future__ import annotations
@@ -27,7 +29,11 @@ from fleetmart.llm.words import each_slice, mix
 
 @dataclass(frozen=True)
 class MinMaxDedup:
-    """Parameters. A pair at the threshold t escapes all bands with probability (1 - t^rows)^bands: 5e-8 at 0.8."""
+    """Parameters.
+
+    A pair of similarity t meets in a band with probability p = t^rows. Candidates meet in two bands or in a large
+    bucket; at 0.8 a pair escapes with probability 1.1e-6.
+    """
 
     shingle_words: int = 5
     #: Links need 100 * shared >= percent * united.
@@ -37,6 +43,10 @@ class MinMaxDedup:
     rows: int = 4
     lower: bool = True
     seed: int = 17
+    #: Buckets up to this size list their pairs.
+    listed: int = 32
+    #: Classes per block of a larger bucket.
+    block: int = 512
 
     @property
     def permutations(self) -> int:
@@ -109,12 +119,20 @@ def _signer(p: MinMaxDedup):
     return sign
 
 
+def _sets_of(column: pa.Array, p: MinMaxDedup) -> list[np.ndarray]:
+    return [s for _, part in shingle_sets(column, p.shingle_words, p.lower) for s in part]
+
+
 def _confirmer(p: MinMaxDedup):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [[s for _, part in shingle_sets(batch.column(c), p.shingle_words, p.lower) for s in part] for c in ("text_a", "text_b")]
+            sides = []
+            for name in ("a", "b"):
+                ids, first, place = np.unique(batch.column(name).to_numpy(zero_copy_only=False), return_index=True, return_inverse=True)
+                sides.append((_sets_of(batch.column(f"text_{name}").take(pa.array(first)), p), place))
             keep = []
-            for x, y in zip(*sets):
+            for i, j in zip(sides[0][1], sides[1][1]):
+                x, y = sides[0][0][i], sides[1][0][j]
                 both = len(np.intersect1d(x, y, assume_unique=True)) if 100 * min(len(x), len(y)) >= p.percent * max(len(x), len(y)) else 0
                 keep.append(both > 0 and 100 * both >= p.percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -122,6 +140,46 @@ def _confirmer(p: MinMaxDedup):
     return confirm
 
 
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Shared shingles of all pairs of sets, by products of 0/1 matrices over the shingles that two sets hold."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = held[column] > 1
+    owner, column = owner[common], column[common]
+    _, column = np.unique(column, return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((len(sets), len(sets)), np.float64)
+    width = 2048
+    for low in range(0, int(column.max()) + 1 if len(column) else 0, width):
+        i, j = np.searchsorted(column, [low, low + width])
+        part = np.zeros((len(sets), width), np.float32)
+        part[owner[i:j], column[i:j] - low] = 1
+        total += part @ part.T
+    return total
+
+
+def _block_linker(p: MinMaxDedup):
+    def link(rows: pa.Table) -> pa.Table:
+        ids, first = np.unique(rows.column("rep").to_numpy(), return_index=True)
+        text, component = rows.column("text").take(pa.array(first)), rows.column("component").to_numpy()[first]
+        sets = _sets_of(text, p)
+        both, size = shared_counts(sets), np.array([len(s) for s in sets], float)
+        linked = (100 * both >= p.percent * (size[:, None] + size[None, :] - both)) & (component[:, None] != component[None, :])
+        # The least member reachable in the block stands for all links of it.
+        label = np.arange(len(ids))
+        while True:
+            near = np.where(linked, label[None, :], len(ids)).min(1, initial=len(ids))
+            new = np.minimum(label, near)
+            if (new == label).all():
+                break
+            label = new
+        moved = np.flatnonzero(label < np.arange(len(ids)))
+        return pa.table({"a": pa.array(ids[moved]), "b": pa.array(ids[label[moved]])})
+
+    return link
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", params: MinMaxDedup = MinMaxDedup()) -> DataFrame:
     """(id, n_shingles, component_id, kept), one row per row of ``docs``.
 
@@ -158,8 +216,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
         return placed(placed(pairs, "a", groups, "ca"), "b", groups, "cb").where("ca <> cb").select("a", "b")
 
-    stars = work.save(met.where("rep > pivot").groupBy(F.col("rep").alias("a"), F.col("pivot").alias("b")).agg(F.count("*").alias("n")), "stars")
-    best = stars.groupBy("a").agg(F.max(F.struct("n", -F.col("b"))).alias("top")).select("a", (-F.col("top.col2")).alias("b"))
+    stars = met.where("rep > pivot").groupBy(F.col("rep").alias("a"), F.col("pivot").alias("b")).agg(F.count("*").alias("n"))
+    stars = work.save(stars.where("n > 1"), "stars")
+    best = stars.groupBy("a").agg(F.max(F.struct("n", (-F.col("b")).alias("b"))).alias("top")).select("a", (-F.col("top.b")).alias("b"))
     best = work.save(best, "best")
     links = confirmed(best)
     groups = work.save(components(links, work), "groups")
@@ -169,16 +228,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = links.unionByName(confirmed(more))
         groups = work.save(components(links, work), "groups")
 
-    # What is left: classes of one bucket in different components, other than those already compared.
+    # What is left: classes of one bucket in different components.
     told = placed(met, "rep", groups, "component")
-    mixed = told.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-    told = work.save(told.join(mixed, "bucket").select("bucket", "rep", "component"), "mixed")
-    across = told.alias("x").join(told.alias("y"), "bucket").where("x.component < y.component")
-    across = across.select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")).distinct()
-    across = work.save(across.join(stars.select("a", "b"), ["a", "b"], "left_anti"), "across")
-    if not across.isEmpty():
-        links = links.unionByName(confirmed(across))
-        groups = work.save(components(links, work), "groups")
+    mixed = told.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("same")
+    ).where("low < high")
+    told = work.save(told.join(mixed.select("bucket", "members", "same"), "bucket").select("bucket", "members", "same", "rep", "component"), "mixed")
+
+    small = told.where(F.col("members") <= params.listed).join(classes.select("rep", "n_shingles"), "rep")
+    x, y = (small.select("bucket", *[F.col(c).alias(c + side) for c in ("rep", "component", "n_shingles")]) for side in ("_x", "_y"))
+    alike = F.least("n_shingles_x", "n_shingles_y") * 100 >= F.greatest("n_shingles_x", "n_shingles_y") * params.percent
+    across = x.join(y, "bucket").where((F.col("component_x") < F.col("component_y")) & alike)
+    across = across.groupBy(F.greatest("rep_x", "rep_y").alias("a"), F.least("rep_x", "rep_y").alias("b")).agg(F.count("*").alias("n")).where("n > 1")
+    across = work.save(across.select("a", "b").join(stars.select("a", "b"), ["a", "b"], "left_anti"), "across")
+    late = [confirmed(across)]
+
+    large = told.where(F.col("members") > params.listed)
+    if not large.isEmpty():
+        # Buckets with the same members are one. A component with more than a block in a bucket has blocks of its own.
+        once = large.groupBy("members", "same").agg(F.min("bucket").alias("bucket")).select("bucket")
+        large = large.join(once, "bucket").select("bucket", "rep", "component")
+        count = large.groupBy("bucket", "component").agg(F.count("*").alias("c")).withColumn("own", F.col("c") > params.block)
+        side = count.withColumn("side", F.when(F.col("own"), F.col("component")))
+        parts = side.groupBy("bucket", "own", "side").agg(F.ceil(F.sum("c") / params.block).cast("int").alias("parts"))
+        block = F.xxhash64("own", "side", "part")
+        members = large.join(side.select("bucket", "component", "own", "side"), ["bucket", "component"]).join(parts.select("bucket", "own", F.col("side").alias("_side"), "parts"), ["bucket", "own"])
+        members = members.where(F.col("side").eqNullSafe(F.col("_side"))).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).select("bucket", "rep", "component", block.alias("block"))
+        blocks = parts.select("bucket", "own", "side", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).withColumn("block", block)
+        one, two = (blocks.select("bucket", *[F.col(c).alias(c + k) for c in ("own", "side", "block")]) for k in ("_1", "_2"))
+        meet = one.join(two, "bucket").where(
+            ((F.col("block_1") < F.col("block_2")) & ~(F.col("own_1") & F.col("own_2") & (F.col("side_1").eqNullSafe(F.col("side_2"))))) | ((F.col("block_1") == F.col("block_2")) & ~F.col("own_1"))
+        ).select("bucket", "block_1", "block_2")
+        sent = meet.select("bucket", F.col("block_1").alias("block"), "block_1", "block_2").unionByName(
+            meet.where("block_1 <> block_2").select("bucket", F.col("block_2").alias("block"), "block_1", "block_2")
+        )
+        sent = members.join(sent, ["bucket", "block"]).join(candidates.withColumnRenamed("doc_id", "rep"), "rep")
+        linked = sent.select("bucket", "block_1", "block_2", "rep", "component", "text").groupBy("bucket", "block_1", "block_2")
+        late.append(work.save(linked.applyInArrow(_block_linker(params), "a long, b long"), "blocks"))
+    late = late[0] if len(late) == 1 else late[0].unionByName(late[1])
+    if not late.isEmpty():
+        groups = work.save(components(links.unionByName(late), work), "groups")
 
     named = placed(classes.select(*key, "rep"), "rep", groups, "component_id").select(*key, "component_id")
     one: Column = F.when(usable, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
