@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from fleetmart.llm import source_mixing
 from fleetmart.llm.language import predict_language, remainder
 from fleetmart.llm.minmax_dedup import MinMaxDedup, near_duplicates
+from fleetmart.llm.multi_index import MultiIndex, nearest_vectors
 from fleetmart.llm.packing import Packing, pack_documents
 from fleetmart.llm.pitman_yor import score_documents
+from fleetmart.llm.polytope_dedup import PolytopeDedup, near_vectors
 from fleetmart.llm.substring_dedup import remove_repeats
 
 
@@ -40,11 +42,22 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op7_polytope_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label with a cosine of 0.98 or more."""
+    return near_vectors(table(spark, sf_dir, "embeddings"), params=PolytopeDedup(cosine=0.98))
+
+
 def op8_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents on 4-word shingles at 80 percent."""
     return near_duplicates(table(spark, sf_dir, "documents"), params=MinMaxDedup(shingle_words=4))
 
 
+def op9_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one, among all."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest_vectors(vectors, vectors.where("vec_id % 50 = 0"), params=MultiIndex(neighbours=5))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document without the 50-word passages that an earlier document holds."""
     kept = remove_repeats(table(spark, sf_dir, "documents"), 50)
@@ -56,7 +69,9 @@ QUERIES = {
     "op4_conflict_packing": op4_conflict_packing,
     "op5_pitman_yor": op5_pitman_yor,
     "op6_source_mixing": op6_source_mixing,
+    "op7_polytope_dedup": op7_polytope_dedup,
     "op8_minmax_dedup": op8_minmax_dedup,
+    "op9_multi_index": op9_multi_index,
     "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLES: dict[str, str] = {"op6_source_mixing": source_mixing.SQL}
