@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.llm import source_mixing
+from fleetmart.llm.block_labeller import extract_main_text
 from fleetmart.llm.language import predict_language, remainder
 from fleetmart.llm.minmax_dedup import MinMaxDedup, near_duplicates
 from fleetmart.llm.multi_index import MultiIndex, nearest_vectors
@@ -13,12 +14,25 @@ from fleetmart.llm.packing import Packing, pack_documents
 from fleetmart.llm.pitman_yor import score_documents
 from fleetmart.llm.polytope_dedup import PolytopeDedup, near_vectors
 from fleetmart.llm.substring_dedup import remove_repeats
+from fleetmart.llm.url_rules import judge_urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page by its url. A labelled document speaks for the page of the same number: bad if toxic or of no quality."""
+    bad = (F.col("toxic") == 1) | (F.col("quality") == 0)
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.when(bad, "block").otherwise("allow").alias("verdict"))
+    return judge_urls(table(spark, sf_dir, "pages"), labels)
+
+
 def op3_language_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; rows whose id has remainder 1 are held out."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder("doc_id", 3) == 1)
@@ -65,6 +79,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_block_labeller": op1_block_labeller,
+    "op2_url_rules": op2_url_rules,
     "op3_language_ppm": op3_language_ppm,
     "op4_conflict_packing": op4_conflict_packing,
     "op5_pitman_yor": op5_pitman_yor,
