@@ -66,15 +66,37 @@ def _contexts(tokens: np.ndarray, first: np.ndarray, frequent: np.ndarray) -> np
 
 
 class _Counter:
-    """Adds up counts of 64-bit keys; memory follows the number of different keys."""
+    """Adds up counts of 64-bit keys; memory follows the number of different keys, and every key is merged a few times only."""
 
     def __init__(self):
         self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self._new: list[tuple[np.ndarray, np.ndarray]] = []
+        self._waiting = 0
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        merged, place = np.unique(np.concatenate((self.keys, keys)), return_inverse=True)
-        self.counts = np.bincount(place, np.concatenate((self.counts, counts)), len(merged)).astype(np.int64)
-        self.keys = merged
+        self._new.append((keys, counts))
+        self._waiting += len(keys)
+        if self._waiting > max(len(self.keys), 500_000):
+            self.merge()
+
+    def merge(self) -> None:
+        if self._new:
+            keys, place = np.unique(np.concatenate([self.keys, *[k for k, _ in self._new]]), return_inverse=True)
+            self.counts = np.bincount(place, np.concatenate([self.counts, *[c for _, c in self._new]]), len(keys)).astype(np.int64)
+            self.keys, self._new, self._waiting = keys, [], 0
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 60_000) -> Iterator[pa.RecordBatch]:
+    """Batches joined to at least so many rows, but for the last."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.concat_batches(held)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,6 +105,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [t for _, _, t, _ in _tokens(batch.column("text"))]
         if parts:
             total.add(*np.unique(np.concatenate(parts), return_counts=True))
+    total.merge()
     yield pa.RecordBatch.from_arrays([pa.array(total.keys.view(np.int64)), pa.array(total.counts)], ["w", "n"])
 
 
@@ -104,6 +127,7 @@ def _pair_counter(frequent: np.ndarray):
                 if edges[k + 1] > edges[k]:
                     total.add(*np.unique(t[order[edges[k] : edges[k + 1]]], return_counts=True))
         for k, total in enumerate(totals):
+            total.merge()
             if len(total.keys):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(total.keys.view(np.int64)), pa.array(np.full(len(total.keys), k, np.int16)), pa.array(total.counts)], ["w", "ctx", "n"]
@@ -188,7 +212,7 @@ def _gibbs(totals: Totals, params: PitmanYor):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inner = log_stirling(totals.discount, params.exact_customers)
         outer = log_stirling(totals.parent_discount, params.exact_customers)
-        for batch in batches:
+        for batch in _gathered(batches):
             w = batch.column("w").to_numpy(zero_copy_only=False).view(np.uint64)
             lists = batch.column("seats")
             if not len(w):
@@ -215,8 +239,10 @@ def _gibbs(totals: Totals, params: PitmanYor):
                 above = np.add.reduceat(t, edges)
                 root = s + d1 * np.maximum(totals.parent_tables - tops, 0)
                 base = lambda rows, i: np.full((len(rows), len(i)), totals.base)
-                draws = [_uniform(w, np.full(len(w), 4 * sweep + k)) for k in (2, 3)]
-                tops = sample_tables(above, root, d1, outer, base, *draws)
+                many = np.flatnonzero(above > 1)
+                draws = [_uniform(w[many], np.full(len(many), 4 * sweep + k)) for k in (2, 3)]
+                tops = np.ones(len(w), np.int64)
+                tops[many] = sample_tables(above[many], root[many], d1, outer, base, *draws)
                 if sweep >= params.burn_in:
                     t_sum += t
                     above_sum += above
@@ -238,7 +264,7 @@ def _pack(totals: Totals):
     """(w, c, parent probability, probabilities in the contexts without the parent's part) per word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _gathered(batches):
             lists = batch.column("seats")
             if not len(lists):
                 continue
@@ -259,15 +285,16 @@ def _pack(totals: Totals):
 
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The different tokens of every block."""
-    found: dict[int, np.ndarray] = {}
+    found: dict[int, _Counter] = {}
     for batch in batches:
         block = batch.column("block").to_numpy(zero_copy_only=False)
-        for i, j, t, first in _tokens(batch.column("text")):
-            owner = np.repeat(block[i:j], np.diff(first))
-            for b in np.unique(owner):
-                found[b] = np.union1d(found.get(b, np.zeros(0, np.uint64)), t[owner == b])
+        for b in np.unique(block):
+            mine = batch.column("text").filter(pa.array(block == b))
+            parts = [t for _, _, t, _ in _tokens(mine)]
+            found.setdefault(int(b), _Counter()).add(*np.unique(np.concatenate(parts), return_counts=True))
     for b, words in found.items():
-        yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(np.full(len(words), b, np.int32))], ["w", "block"])
+        words.merge()
+        yield pa.RecordBatch.from_arrays([pa.array(words.keys.view(np.int64)), pa.array(np.full(len(words.keys), b, np.int32))], ["w", "block"])
 
 
 def _scorer(totals: Totals, frequent: np.ndarray, train_tokens: int):
@@ -357,14 +384,11 @@ def fit(texts: DataFrame, work: Workspace, params: PitmanYor = PitmanYor()) -> F
         seated = seats.mapInArrow(_gibbs(totals, params), schema)
         if last:
             seated = work.save(seated, "seated")
-        sums = seated.select(one, "tops", "w").select("s.ctx", "s.t").groupBy("ctx").agg(F.sum("t").alias("t")).collect() if last else None
-        if last:
-            top = seated.agg(F.sum("tops")).first()[0] or 0.0
-        else:
-            # One pass gives both: the word's own tables ride along as context -1.
-            both = seated.select(F.explode(F.concat(F.transform("seats", lambda x: F.struct(x["ctx"].alias("ctx"), x["t"].alias("t"))), F.array(F.struct(F.lit(-1).cast("short").alias("ctx"), F.col("tops").alias("t"))))).alias("s"))
-            sums = both.groupBy("s.ctx").agg(F.sum("s.t").alias("t")).collect()
-            top = sum(r["t"] for r in sums if r["ctx"] == -1)
+        # One pass gives both: the parent's tables ride along as context -1.
+        parent = F.array(F.struct(F.lit(-1).cast("short").alias("ctx"), F.col("tops").alias("t")))
+        both = seated.select(F.explode(F.concat(F.transform("seats", lambda x: F.struct(x["ctx"].alias("ctx"), x["t"].alias("t"))), parent)).alias("s"))
+        sums = both.groupBy("s.ctx").agg(F.sum("s.t").alias("t")).collect()
+        top = sum(r["t"] for r in sums if r["ctx"] == -1)
         tables = np.zeros(k)
         for r in sums:
             if r["ctx"] >= 0:
