@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-NULL_SPREAD = 512
 DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 
 
@@ -17,12 +19,8 @@ def scanned_bytes(df: DataFrame) -> int:
 
 def broadcast_limit(df: DataFrame) -> int:
     raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", str(DEFAULT_BROADCAST_BYTES))
-    units = {"kb": 1 << 10, "mb": 1 << 20, "gb": 1 << 30, "b": 1}
-    text = raw.strip().lower()
-    for suffix, factor in units.items():
-        if text.endswith(suffix) and text[: -len(suffix)].strip().lstrip("-").isdigit():
-            return int(text[: -len(suffix)]) * factor
-    return int(text)
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([kmgt]?)b?\s*", raw.lower()).groups()
+    return int(number) * 1024 ** " kmgt".index(unit or " ")
 
 
 def is_small(df: DataFrame) -> bool:
@@ -35,20 +33,34 @@ def is_small(df: DataFrame) -> bool:
     return limit > 0 and scanned_bytes(df) <= limit
 
 
-def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, spread_by: str | None = None) -> DataFrame:
-    """fact LEFT JOIN dim on fact_key = dim_key; the dimension's key column is dropped.
+def common_type(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> T.DataType:
+    """The type in which an equality of two columns is decided."""
+    one, two = left.schema[left_key].dataType, right.schema[right_key].dataType
+    if one == two:
+        return one
+    pair = T.StructType([T.StructField("a", one), T.StructField("b", two)])
+    return left.sparkSession.createDataFrame([], pair).select(F.coalesce("a", "b").alias("k")).schema["k"].dataType
+
+
+def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, spread_by: str | None = None, also: Column | None = None) -> DataFrame:
+    """fact LEFT JOIN dim on fact_key = dim_key, and on ``also`` if given; the dimension's key column is dropped.
 
-    A dimension within the broadcast threshold is broadcast. A larger one is shuffled on the key as text: rows without a
-    key get a stand-in made from ``spread_by`` that matches nothing, so they are spread over all tasks instead of meeting in
-    one. (A second join column for this would not do: the optimizer takes a constant side out of the join key.) AQE splits
-    hot keys; the join is followed by another exchange or a write, so it keeps its skew handling.
+    Both keys are brought to one type and compared in it, whatever the size of the dimension, so the size never changes
+    the result. A dimension within the broadcast threshold is broadcast. A larger one is shuffled on the key and on its
+    hash; rows without a key match nothing and take a hash of ``spread_by`` instead, so they are spread over all tasks
+    and do not meet in one. AQE splits hot keys; the join is followed by another exchange or a write, so it keeps its
+    skew handling.
     """
+    kind = common_type(fact, fact_key, dim, dim_key)
+    meets = lambda same: same if also is None else same & also
+    key = lambda column: F.col(column).cast(kind)
     if is_small(dim):
-        keyed = F.broadcast(dim.withColumnRenamed(dim_key, "_dim_key"))
-        return fact.join(keyed, fact[fact_key] == F.col("_dim_key"), "left").drop("_dim_key")
-    spread = F.pmod(F.xxhash64(F.col(spread_by or fact_key)), F.lit(NULL_SPREAD)).cast("string")
-    # Real keys and stand-ins start with different letters, so no value can be taken for the other kind.
-    text = lambda column: F.concat(F.lit("k"), F.col(column).cast("string"))
-    left = fact.withColumn("_fact_key", F.coalesce(text(fact_key), F.concat(F.lit("n"), spread)))
-    right = dim.withColumn("_dim_key", text(dim_key)).drop(dim_key)
-    return left.join(right, F.col("_fact_key") == F.col("_dim_key"), "left").drop("_fact_key", "_dim_key")
+        keyed = F.broadcast(dim.withColumn("_dim_key", key(dim_key)).drop(dim_key))
+        return fact.withColumn("_fact_key", key(fact_key)).join(keyed, meets(F.col("_fact_key") == F.col("_dim_key")), "left").drop("_fact_key", "_dim_key")
+    # A zero of either sign is one key.
+    plain = lambda column: F.when(F.col(column) == 0, F.lit(0).cast(kind)).otherwise(F.col(column)) if isinstance(kind, (T.DoubleType, T.FloatType)) else F.col(column)
+    left = fact.withColumn("_fact_key", key(fact_key)).withColumn("_fact_key", plain("_fact_key"))
+    left = left.withColumn("_fact_hash", F.when(F.col("_fact_key").isNull(), F.xxhash64(F.lit("no key"), F.col(spread_by or fact_key))).otherwise(F.xxhash64("_fact_key")))
+    right = dim.withColumn("_dim_key", key(dim_key)).drop(dim_key).withColumn("_dim_key", plain("_dim_key")).withColumn("_dim_hash", F.xxhash64("_dim_key"))
+    same = (F.col("_fact_key") == F.col("_dim_key")) & (F.col("_fact_hash") == F.col("_dim_hash"))
+    return left.join(right, meets(same), "left").drop("_fact_key", "_dim_key", "_fact_hash", "_dim_hash")
