@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.functions.keys import surrogate_key, utc_text
 from fleetmart.operators.dedup import latest_per_key
+from fleetmart.operators.joins import lookup_join
 from fleetmart.operators.sequence import with_neighbour
 
 VERSION_COLUMNS = ["scd_id", "scd_updated_at", "valid_from", "valid_to"]
@@ -59,6 +60,11 @@ def scd2_current(history: DataFrame) -> DataFrame:
     return history.filter("valid_to IS NULL").withColumn("is_current", F.lit(True))
 
 
+def scd2_versions(history: DataFrame) -> DataFrame:
+    """All versions, with a mark on the open ones."""
+    return history.withColumn("is_current", F.col("valid_to").isNull())
+
+
 def scd2_as_of(history: DataFrame, moment: Column) -> DataFrame:
     """The versions valid at one moment."""
     return history.filter((F.col("valid_from") <= moment) & (F.col("valid_to").isNull() | (moment < F.col("valid_to"))))
@@ -74,6 +80,23 @@ def scd2_as_of_each(history: DataFrame, probes: DataFrame, key: str, at: str) ->
     return probes.join(versions, (F.col(key) == F.col("_vk")) & inside).drop("_vk")
 
 
+def with_version(
+    rows: DataFrame, history: DataFrame, row_key: str, key: str, at: str, values: dict[str, Column], spread_by: str | None = None
+) -> DataFrame:
+    """Every row with values of the version valid at its moment, NULL if there is none.
+
+    The first version of a key also holds for all that came before it. ``values`` are columns over the history.
+    """
+    since = history.groupBy(F.col(key).alias("_fk")).agg(F.min("valid_from").alias("_since"))
+    first = history.join(since, F.col(key) == F.col("_fk"))
+    spans = first.select(
+        F.col(key).alias("_vk"), F.when(F.col("valid_from") > F.col("_since"), F.col("valid_from")).alias("_from"), F.col("valid_to").alias("_to"),
+        *[c.alias(n) for n, c in values.items()],
+    )
+    inside = (F.col("_from").isNull() | (F.col("_from") <= F.col(at))) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
+    return lookup_join(rows, spans, row_key, "_vk", spread_by, inside).drop("_from", "_to")
+
+
 def with_previous_value(history: DataFrame, key: str, attribute: str, order: list[str] | None = None, slice_by: Column | None = None) -> DataFrame:
     """Adds ``previous_<attribute>`` of the version before."""
     cut = F.date_trunc("year", "valid_from") if slice_by is None else slice_by

@@ -36,11 +36,23 @@ def _paired(target: DataFrame, source: DataFrame, keys: list[str]) -> tuple[Data
     return left.join(right, on, "full_outer"), columns
 
 
+def _later(source: str, target: str, order_cols: list[str]):
+    """True where the source row is provably later: the first differing order column decides, and a NULL decides nothing."""
+    later, equal = F.lit(False), F.lit(True)
+    for c in order_cols:
+        s, t = F.col(f"{source}.{c}"), F.col(f"{target}.{c}")
+        later = later | (equal & (s > t))
+        equal = equal & s.eqNullSafe(t)
+    return F.coalesce(later, F.lit(False))
+
+
 def merge_if_newer(target: DataFrame, source: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
-    """Matched rows take the source row when it is newer, unmatched source rows are added."""
+    """Matched rows take the source row when it is newer, unmatched source rows are added.
+
+    A source row is newer if the comparison says so: where either side of it is NULL, the target row stays.
+    """
     paired, columns = _paired(target, latest_per_key(source, keys, order_cols), keys)
-    newer = F.struct(*[F.col(f"_s.{c}") for c in order_cols]) > F.struct(*[F.col(f"_t.{c}") for c in order_cols])
-    take_source = F.col("_t").isNull() | (F.col("_s").isNotNull() & newer)
+    take_source = F.col("_t").isNull() | (F.col("_s").isNotNull() & _later("_s", "_t", order_cols))
     row = F.when(take_source, F.col("_s")).otherwise(F.col("_t"))
     return paired.select(row.alias("_r")).select(*[F.col(f"_r.{c}") for c in columns])
 

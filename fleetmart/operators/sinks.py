@@ -59,8 +59,8 @@ def write_partitioned(
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Table content without the layout column."""
-    return spark.read.parquet(path).drop(PARTITION_COLUMN)
+    """Table content without the layout column; columns that only some files have are NULL elsewhere."""
+    return spark.read.option("mergeSchema", True).parquet(path).drop(PARTITION_COLUMN)
 
 
 def write_mode(df: DataFrame, path: str, disposition: str) -> None:
@@ -135,37 +135,74 @@ def materialize_table(spark: SparkSession, df: DataFrame, name: str, root: str)
     return spark.table(name)
 
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+#: Readers pass over names that begin with an underscore.
+JOURNAL = "_merge_journal"
+_READY = "_ready"
+
+
+def finish_merge(spark: SparkSession, path: str) -> bool:
+    """Puts a replacement that broke off into effect from its journal; True if there was one.
+
+    A journal without its ready mark belongs to a merge that has replaced nothing yet and is dropped. Doing this twice
+    gives the same table, so it may break off itself.
+    """
+    journal = f"{path}/{JOURNAL}"
+    if not path_exists(spark, journal):
+        return False
+    if not path_exists(spark, f"{journal}/{_READY}"):
+        remove_path(spark, journal)
+        return False
+    staged = spark.read.parquet(f"{journal}/rows")
+    touched = [r[0] for r in spark.read.parquet(f"{journal}/touched").toLocalIterator()]
+    filled = {r[0] for r in staged.select(PARTITION_COLUMN).distinct().toLocalIterator()}
+    partition_overwrite(staged, path, PARTITION_COLUMN)
+    for day in touched:
+        if day not in filled:
+            remove_path(spark, f"{path}/{PARTITION_COLUMN}={NULL_PARTITION if day is None else day}")
+    remove_path(spark, journal)
+    return True
+
+
 def merge_table(
     spark: SparkSession, path: str, source: DataFrame, keys: list[str], order_cols: list[str], partition_col: str,
-    grain: str = "DAY", mode: str = "if_newer", cluster_cols: list[str] = (),
+    grain: str = "DAY", mode: str = "if_newer", cluster_cols: list[str] = (), partition_fixed: bool = False,
 ) -> None:
     """Upsert into a partitioned table on files, reading and rewriting only the partitions it touches.
 
     Touched are the partitions source rows fall in and those their keys are stored in now, so a row whose partition
-    column changed leaves its old place. The result is staged in full before any file of the table is replaced; a run
-    that breaks off during the replacement is repaired by running it again. ``mode``: if_newer, overwrite, append_only.
+    column changed leaves its old place; the NULL partition is one of them. With ``partition_fixed`` a key never changes
+    its partition, and the keys of other partitions are not read. The merged partitions and their list are first written
+    to a journal inside the table's folder and marked ready; only then is anything replaced, and the journal goes last.
+    A replacement that breaks off is completed from the journal by ``finish_merge``, which every merge calls first.
+    ``mode``: if_newer, overwrite, append_only.
     """
     if not path_exists(spark, path):
         write_partitioned(latest_per_key(source, keys, order_cols), path, partition_col, grain, cluster_cols)
         return
-    with staging_table(spark, "source") as source_path, staging_table(spark, "merged") as merged_path:
+    finish_merge(spark, path)
+    with staging_table(spark, "source") as source_path:
         placed = latest_per_key(source, keys, order_cols).withColumn(PARTITION_COLUMN, partition_value(partition_col, grain))
         placed.write.parquet(source_path)
-        fresh = spark.read.parquet(source_path)
-        target, _ = evolve_schema(spark.read.option("mergeSchema", True).parquet(path), fresh)
+        fresh = spark.read.schema(placed.schema).parquet(source_path)
+        stored = spark.read.option("mergeSchema", True).parquet(path)
+        # A folder that holds the NULL partition alone says nothing about the type.
+        target, _ = evolve_schema(stored.withColumn(PARTITION_COLUMN, F.col(PARTITION_COLUMN).cast("date")), fresh)
         if mode == "append_only":
             added = merge_append_only(target, fresh, keys)
             clustered(added, PARTITION_COLUMN, list(cluster_cols)).write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
             return
-        moved_from = target.join(fresh.select(*keys), keys, "left_semi").select(PARTITION_COLUMN)
+        places = fresh.select(PARTITION_COLUMN)
+        if not partition_fixed:
+            places = places.union(target.join(fresh.select(*keys), keys, "left_semi").select(PARTITION_COLUMN))
+        journal = f"{path}/{JOURNAL}"
         # One value per table partition, such as a day: bounded by the layout, not by the rows.
-        touched = [r[0] for r in fresh.select(PARTITION_COLUMN).union(moved_from).distinct().toLocalIterator()]
-        scope = target.filter(F.col(PARTITION_COLUMN).isin(touched))
+        places.distinct().coalesce(1).write.mode("overwrite").parquet(f"{journal}/touched")
+        touched = [r[0] for r in spark.read.schema(places.schema).parquet(f"{journal}/touched").toLocalIterator()]
+        inside = F.col(PARTITION_COLUMN).isin([d for d in touched if d is not None])
+        scope = target.filter(inside | F.col(PARTITION_COLUMN).isNull() if None in touched else inside)
         merged = merge_if_newer(scope, fresh, keys, order_cols) if mode == "if_newer" else merge_overwrite(scope, fresh, keys)
-        clustered(merged, PARTITION_COLUMN, list(cluster_cols)).write.partitionBy(PARTITION_COLUMN).parquet(merged_path)
-        staged = spark.read.parquet(merged_path)
-        partition_overwrite(staged, path, PARTITION_COLUMN)
-        filled = {r[0] for r in staged.select(PARTITION_COLUMN).distinct().toLocalIterator()}
-        for day in touched:
-            if day not in filled:
-                remove_path(spark, f"{path}/{PARTITION_COLUMN}={day}")
+        merged.write.mode("overwrite").parquet(f"{journal}/rows")
+        hadoop, fs = _path_object(spark, f"{journal}/{_READY}")
+        fs.create(hadoop, True).close()
+    finish_merge(spark, path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.functions import calendar, cleaning, domain
 from fleetmart.functions.keys import surrogate_key, utc_text
-from fleetmart.operators.history import scd2_current
+from fleetmart.operators.history import scd2_current, scd2_versions
 from fleetmart.operators.joins import lookup_join
 
 
@@ -82,11 +82,11 @@ def _home_zone(zones: DataFrame, *extra: str) -> DataFrame:
     return zones.select(F.col("zone_id").alias("_zone_id"), *[F.col(k).alias(v) for k, v in names.items()])
 
 
-def dim_drivers(history: DataFrame, vehicle_types: DataFrame, zones: DataFrame) -> DataFrame:
+def dim_drivers(history: DataFrame, vehicle_types: DataFrame, zones: DataFrame, all_versions: bool = False) -> DataFrame:
     """Current driver versions, cleaned, with registered vehicle type, tier and home zone.
 
     ``history`` is the driver snapshot; ``vehicle_types`` and ``zones`` are the built dimensions. Only open versions are
-    kept, so a driver id appears once and joins on it do not fan out.
+    kept, so a driver id appears once and joins on it do not fan out; ``all_versions`` keeps the closed ones too.
     """
     types = vehicle_types.select(
         F.col("vehicle_type_id").alias("_type_id"),
@@ -96,7 +96,7 @@ def dim_drivers(history: DataFrame, vehicle_types: DataFrame, zones: DataFrame)
         F.col("capacity").alias("vehicle_capacity"),
         "vehicle_category",
     )
-    cleaned = clean_drivers(scd2_current(history))
+    cleaned = clean_drivers((scd2_versions if all_versions else scd2_current)(history))
     joined = lookup_join(cleaned, types, "vehicle_type_id", "_type_id", spread_by="driver_id")
     joined = lookup_join(joined, _home_zone(zones, "area_type"), "home_zone_id", "_zone_id", spread_by="driver_id")
     return joined.select(
@@ -138,8 +138,8 @@ def dim_drivers(history: DataFrame, vehicle_types: DataFrame, zones: DataFrame)
     )
 
 
-def dim_passengers(history: DataFrame, zones: DataFrame, today: Column) -> DataFrame:
-    cleaned = clean_passengers(scd2_current(history), today)
+def dim_passengers(history: DataFrame, zones: DataFrame, today: Column, all_versions: bool = False) -> DataFrame:
+    cleaned = clean_passengers((scd2_versions if all_versions else scd2_current)(history), today)
     joined = lookup_join(cleaned, _home_zone(zones), "home_zone_id", "_zone_id", spread_by="passenger_id")
     return joined.select(
         surrogate_key(F.col("passenger_id"), utc_text(F.col("valid_from"))).alias("passenger_key"),

@@ -1,7 +1,8 @@
 """Models the design documents give as schemas only: integer-keyed dimensions, transaction facts and data marts.
 
-Column names follow the schemas; formulas are read off the names. Keys that point to a dimension are computed from the
-natural key by the same function on both sides, so a fact needs no join to obtain them.
+Column names follow the schemas; formulas are read off the names. Keys that point to a dimension with one row per natural
+key are computed from that key by the same function on both sides and need no join. Drivers and customers have one row
+per version, so a fact looks up the version valid at its moment.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from fleetmart.functions import calendar, domain
 from fleetmart.functions.keys import integer_key
 from fleetmart.functions.numbers import mean, ratio, round_to
+from fleetmart.operators.history import with_version
 from fleetmart.operators.joins import lookup_join
 
 PERCENT = 100.0
@@ -29,11 +31,11 @@ def _day_key(ts: Column) -> Column:
 
 
 def dim_time(trips: DataFrame) -> DataFrame:
-    """Hours that occur among the trips."""
-    hour = F.hour("requested_at")
-    return trips.groupBy(hour.cast("long").alias("time_key")).agg(
-        F.min(hour).cast("long").alias("hour_num"), F.min(domain.time_bucket(F.col("requested_at"))).alias("time_bucket")
-    )
+    """All 24 hours, with the number of trips requested in each."""
+    counts = trips.groupBy(F.hour("requested_at").cast("long").alias("time_key")).agg(F.count("*").alias("trips"))
+    hours = trips.sparkSession.range(24).withColumnRenamed("id", "time_key")
+    bucket = domain.time_bucket(F.timestamp_seconds(F.col("time_key") * 3600))
+    return hours.join(counts, "time_key", "left").select("time_key", F.col("time_key").alias("hour_num"), bucket.alias("time_bucket"), F.coalesce("trips", F.lit(0)).alias("trips"))
 
 
 def dim_location(zones: DataFrame) -> DataFrame:
@@ -66,7 +68,7 @@ def dim_vehicle(drivers: DataFrame, vehicle_types: DataFrame) -> DataFrame:
     """One vehicle per driver, with seats from its type."""
     types = vehicle_types.select(F.col("vehicle_type_id").alias("_type"), F.col("type_name").alias("vehicle_type"), F.col("capacity").alias("seat_capacity"))
     joined = lookup_join(drivers, types, "vehicle_type_id", "_type", "driver_id")
-    vehicle = F.concat(F.lit("V-"), F.substring_index("driver_id", "-", -1))
+    vehicle = F.concat(F.lit("V-"), "driver_id")
     return joined.select(
         integer_key(vehicle).alias("vehicle_key"), vehicle.alias("vehicle_id"), "driver_id",
         F.col("license_plate").alias("plate_number"), "vehicle_type", F.col("vehicle_brand").alias("brand"),
@@ -103,7 +105,15 @@ def dim_customer_segment(segments: DataFrame) -> DataFrame:
 # Facts ---------------------------------------------------------------------------------------------------------------
 
 
-def fct_trip(trips: DataFrame) -> DataFrame:
+def _version_key(rows: DataFrame, history: DataFrame, natural: str, at: str, name: str, spread_by: str) -> DataFrame:
+    """``rows`` with the key of the driver or customer version valid at ``at``; ``history`` has one row per version."""
+    key = integer_key(F.col(natural), F.col("valid_from"))
+    return with_version(rows, history, natural, natural, at, {name: key}, spread_by)
+
+
+def fct_trip(trips: DataFrame, drivers: DataFrame, customers: DataFrame) -> DataFrame:
+    trips = _version_key(trips, drivers, "driver_id", "requested_at", "driver_key", "ride_id")
+    trips = _version_key(trips, customers, "passenger_id", "requested_at", "customer_key", "ride_id")
     status = F.upper("ride_status")
     ref = lambda c: _when_present(integer_key(F.col(c)), F.col(c))
     return trips.select(
@@ -113,8 +123,8 @@ def fct_trip(trips: DataFrame) -> DataFrame:
         F.hour("requested_at").cast("long").alias("request_time_key"),
         _day_key(F.col("picked_up_at")).alias("pickup_date_key"),
         _day_key(F.col("completed_at")).alias("dropoff_date_key"),
-        ref("passenger_id").alias("customer_key"),
-        ref("driver_id").alias("driver_key"),
+        "customer_key",
+        "driver_key",
         ref("vehicle_id").alias("vehicle_key"),
         ref("pickup_zone_id").alias("pickup_location_key"),
         ref("dropoff_zone_id").alias("dropoff_location_key"),
@@ -133,47 +143,64 @@ def fct_trip(trips: DataFrame) -> DataFrame:
     )
 
 
-def fct_payment(payments: DataFrame) -> DataFrame:
+def fct_payment(payments: DataFrame, customers: DataFrame) -> DataFrame:
+    payments = _version_key(payments, customers, "passenger_id", "created_at", "customer_key", "payment_id")
     return payments.select(
         integer_key(F.col("payment_id")).alias("payment_key"), "payment_id", integer_key(F.col("ride_id")).alias("trip_key"),
-        integer_key(F.col("passenger_id")).alias("customer_key"), _day_key(F.col("created_at")).alias("payment_date_key"),
+        "customer_key", _day_key(F.col("created_at")).alias("payment_date_key"),
         integer_key(F.col("payment_method")).alias("payment_method_key"), F.col("amount").alias("gross_amount"),
         F.col("promo_discount").alias("discount_amount"), "tax_amount", "toll_amount", "tip_amount", "net_amount", "payment_status",
         F.col("paid_at").alias("paid_ts"), "created_at", "updated_at",
     )
 
 
-def fct_driver_payout(payouts: DataFrame) -> DataFrame:
+def fct_driver_payout(payouts: DataFrame, drivers: DataFrame) -> DataFrame:
+    payouts = _version_key(payouts, drivers, "driver_id", "created_at", "driver_key", "payout_id")
     return payouts.select(
         integer_key(F.col("payout_id")).alias("payout_key"), "payout_id", integer_key(F.col("ride_id")).alias("trip_key"),
-        integer_key(F.col("driver_id")).alias("driver_key"), calendar.date_key(F.col("payout_date")).alias("payout_date_key"),
+        "driver_key", calendar.date_key(F.col("payout_date")).alias("payout_date_key"),
         "base_earning", "incentive_amount", "bonus_amount", "deduction_amount", "final_payout_amount", "payout_status",
         "created_at", "updated_at",
     )
 
 
-def fct_rating(trips: DataFrame) -> DataFrame:
+def fct_rating(trips: DataFrame, drivers: DataFrame, customers: DataFrame) -> DataFrame:
     """Passenger ratings of completed trips."""
     rated = trips.filter("passenger_rating IS NOT NULL")
+    rated = _version_key(rated, drivers, "driver_id", "completed_at", "driver_key", "ride_id")
+    rated = _version_key(rated, customers, "passenger_id", "completed_at", "customer_key", "ride_id")
     return rated.select(
         integer_key(F.lit("rating"), F.col("ride_id")).alias("rating_key"), F.concat(F.lit("RT-"), "ride_id").alias("rating_id"),
-        integer_key(F.col("ride_id")).alias("trip_key"), integer_key(F.col("passenger_id")).alias("customer_key"),
-        integer_key(F.col("driver_id")).alias("driver_key"), _day_key(F.col("completed_at")).alias("rating_date_key"),
+        integer_key(F.col("ride_id")).alias("trip_key"), "customer_key", "driver_key", _day_key(F.col("completed_at")).alias("rating_date_key"),
         F.round("passenger_rating", 0).cast("long").alias("rating_score"), F.col("notes").isNotNull().alias("has_review_text"),
         F.col("completed_at").alias("rated_ts"), F.col("completed_at").alias("created_at"), "updated_at",
     )
 
 
-def fct_promo_redemption(usage: DataFrame) -> DataFrame:
+def fct_promo_redemption(usage: DataFrame, customers: DataFrame) -> DataFrame:
+    usage = _version_key(usage, customers, "passenger_id", "used_at", "customer_key", "usage_id")
     return usage.select(
         integer_key(F.col("usage_id")).alias("promo_redemption_key"), F.col("usage_id").alias("redemption_id"),
         integer_key(F.col("promo_id")).alias("promo_key"), integer_key(F.col("ride_id")).alias("trip_key"),
-        integer_key(F.col("passenger_id")).alias("customer_key"), _day_key(F.col("used_at")).alias("redemption_date_key"),
+        "customer_key", _day_key(F.col("used_at")).alias("redemption_date_key"),
         F.col("discount_given").alias("discount_amount"), "redemption_status", F.col("used_at").alias("redeemed_ts"), "created_at",
         "updated_at",
     )
 
 
+def star_orphans(facts: dict[str, DataFrame], dimensions: dict[str, DataFrame]) -> DataFrame:
+    """(fact, key, rows, orphans): for every key of a fact that a dimension has, its rows with a key and those without a dimension row."""
+    out = None
+    for fact, rows in facts.items():
+        for key, dim in dimensions.items():
+            if key in rows.columns:
+                known = dim.select(F.col(key).alias("_known"), F.lit(True).alias("_there"))
+                met = lookup_join(rows.select(key).where(F.col(key).isNotNull()), known, key, "_known")
+                part = met.agg(F.count("*").alias("rows"), F.count_if(F.col("_there").isNull()).alias("orphans")).select(F.lit(fact).alias("fact"), F.lit(key).alias("key"), "rows", "orphans")
+                out = part if out is None else out.unionByName(part)
+    return out
+
+
 # Marts ---------------------------------------------------------------------------------------------------------------
 
 

@@ -26,7 +26,7 @@ BASE_TABLES = list(BASE_SCHEMAS)
 
 ZONES = """
 SELECT cast(n.n_nationkey AS bigint) AS zone_id,
-       CASE WHEN r.r_regionkey = 0 THEN 'JKT-' ELSE 'Z' END || lpad(cast(n.n_nationkey AS string), 2, '0') AS zone_code,
+       CASE WHEN r.r_regionkey = 0 THEN 'JKT-' ELSE 'Z' END || lpad(cast(n.n_nationkey AS string), cast(greatest(2, length(cast(n.n_nationkey AS string))) AS int), '0') AS zone_code,
        n.n_name AS zone_name,
        CASE r.r_regionkey WHEN 0 THEN 'Jakarta' WHEN 1 THEN 'Banten' WHEN 2 THEN 'Jawa Barat' ELSE r.r_name END AS city,
        cast(-6.1 - 0.01 * n.n_nationkey AS decimal(10,7)) AS latitude,
@@ -64,15 +64,15 @@ def _phone(key: str) -> str:
 
 DRIVERS = f"""
 SELECT 'D-' || cast(s_suppkey AS string) AS driver_id,
-       'DRV' || lpad(cast(s_suppkey AS string), 6, '0') AS driver_code,
+       'DRV' || lpad(cast(s_suppkey AS string), cast(greatest(6, length(cast(s_suppkey AS string))) AS int), '0') AS driver_code,
        s_name AS full_name,
        {_phone('s_suppkey')} AS phone_number,
        CASE WHEN s_suppkey % 4 = 3 THEN 'driver' || cast(s_suppkey AS string)
             ELSE ' Driver' || cast(s_suppkey AS string) || '@Fleet.co.id ' END AS email,
        CASE s_suppkey % 3
-         WHEN 0 THEN '3271' || lpad(cast(s_suppkey AS string), 12, '0')
+         WHEN 0 THEN '3271' || lpad(cast(s_suppkey AS string), cast(greatest(12, length(cast(s_suppkey AS string))) AS int), '0')
          WHEN 1 THEN '3271 0123 ' || lpad(cast(s_suppkey % 10000 AS string), 4, '0') || ' 8901'
-         ELSE '327' || lpad(cast(s_suppkey AS string), 12, '0') END AS nik,
+         ELSE '327' || lpad(cast(s_suppkey AS string), cast(greatest(12, length(cast(s_suppkey AS string))) AS int), '0') END AS nik,
        'SIM' || cast(s_suppkey AS string) AS sim_number,
        CASE s_suppkey % 3
          WHEN 0 THEN 'b ' || cast(1000 + s_suppkey % 9000 AS string) || ' abc'
@@ -95,7 +95,7 @@ FROM {{supplier}}
 
 PASSENGERS = f"""
 SELECT 'P-' || cast(c_custkey AS string) AS passenger_id,
-       'PSG' || lpad(cast(c_custkey AS string), 8, '0') AS passenger_code,
+       'PSG' || lpad(cast(c_custkey AS string), cast(greatest(8, length(cast(c_custkey AS string))) AS int), '0') AS passenger_code,
        c_name AS full_name,
        {_phone('c_custkey')} AS phone_number,
        'p' || cast(c_custkey AS string) || '@mail.id' AS email,
@@ -150,7 +150,7 @@ WITH item AS (
     FROM staged s
 )
 SELECT 'R-' || cast(k AS string) AS ride_id,
-       'RIDE-' || replace(cast(cast(req AS date) AS string), '-', '') || '-' || lpad(cast(k % 1000000 AS string), 6, '0') AS ride_code,
+       'RIDE-' || replace(cast(cast(req AS date) AS string), '-', '') || '-' || lpad(cast(k AS string), cast(greatest(6, length(cast(k AS string))) AS int), '0') AS ride_code,
        CASE WHEN acc IS NOT NULL THEN 'D-' || cast(supp AS string) END AS driver_id,
        'P-' || cast(cust AS string) AS passenger_id,
        vt AS vehicle_type_id,
@@ -190,8 +190,9 @@ FROM done LEFT JOIN {vehicle_types} v ON done.vt = v.vehicle_type_id
 """
 
 RIDE_EVENTS = """
+WITH first_ride AS (SELECT o_custkey, min(o_orderkey) AS k FROM {orders} GROUP BY o_custkey)
 SELECT 'E-' || cast(event_id AS string) AS event_id,
-       'R-' || cast(event_id % 1500 AS string) AS ride_id,
+       'R-' || coalesce(cast(f.k AS string), 'none-' || cast(user_id AS string)) AS ride_id,
        CASE event_type WHEN 'view' THEN 'RIDE_REQUESTED' WHEN 'click' THEN 'RIDE_ACCEPTED'
                        WHEN 'signup' THEN 'PASSENGER_PICKED_UP' WHEN 'purchase' THEN 'RIDE_COMPLETED'
                        ELSE 'RIDE_CANCELLED' END AS event_type,
@@ -201,7 +202,7 @@ SELECT 'E-' || cast(event_id AS string) AS event_id,
                         THEN ', "surge_multiplier": 1.2, "pickup_zone": "Z' || cast(event_id % 25 AS string) || '"'
                       WHEN event_type = 'view'
                         THEN ', "surge": ' || cast(cast(value AS decimal(12,2)) AS string) || ', "zone": "Z' || cast(event_id % 25 AS string) || '"'
-                      WHEN event_type = 'click' THEN ', "driver_id": "D-' || cast(event_id % 10 AS string) || '"'
+                      WHEN event_type = 'click' THEN ', "driver_id": "D-' || cast(user_id AS string) || '"'
                       WHEN event_type = 'signup' THEN ', "zone": ' || chr(123) || '"id": 3' || chr(125) || ', "tags": ["a", "b"]'
                       WHEN event_type = 'purchase' AND event_id % 10 = 0
                         THEN ', "total_fare": ' || cast(cast(value * 1000 AS decimal(12,2)) AS string)
@@ -211,13 +212,13 @@ SELECT 'E-' || cast(event_id AS string) AS event_id,
               || chr(125) END AS event_payload,
        cast(ts AS timestamp) AS occurred_at,
        'mongodb' AS _source_system
-FROM {events}
+FROM {events} LEFT JOIN first_ride f ON f.o_custkey = user_id
 """
 
 PAYMENTS = """
 SELECT 'PAY-' || cast(o_orderkey AS string) AS payment_id,
-       'PC' || lpad(cast(o_orderkey AS string), 9, '0') AS payment_code,
-       'R-' || cast(CASE WHEN o_orderkey % 199 = 0 THEN o_orderkey + 1000000000 ELSE o_orderkey END AS string) AS ride_id,
+       'PC' || lpad(cast(o_orderkey AS string), cast(greatest(9, length(cast(o_orderkey AS string))) AS int), '0') AS payment_code,
+       CASE WHEN o_orderkey % 199 = 0 THEN 'R-none-' ELSE 'R-' END || cast(o_orderkey AS string) AS ride_id,
        'P-' || cast(o_custkey AS string) AS passenger_id,
        o_orderkey % 4 + 1 AS method_id,
        cast(o_totalprice AS decimal(12,2)) AS amount,
@@ -249,7 +250,7 @@ FROM {orders}
 PROMO_USAGE = """
 SELECT 'U-' || cast(l_orderkey AS string) || '-' || cast(l_linenumber AS string) || '-' || cast(l_partkey AS string)
             || '-' || cast(l_suppkey AS string) AS usage_id,
-       l_partkey % 40 + 1 AS promo_id,
+       cast((l_partkey - l_partkey % 50) / 50 AS bigint) + 1 AS promo_id,
        'R-' || cast(l_orderkey AS string) AS ride_id,
        'P-' || cast(o.o_custkey AS string) AS passenger_id,
        cast(l_discount * 50000 AS decimal(12,2)) AS discount_given,
@@ -262,18 +263,18 @@ WHERE l_discount > 0.05
 """
 
 PROMOTIONS = """
-SELECT p_partkey % 40 + 1 AS promo_id,
-       'PROMO' || lpad(cast(p_partkey % 40 + 1 AS string), 3, '0') AS promo_code,
-       'Promo ' || cast(p_partkey % 40 + 1 AS string) AS promo_name,
-       CASE (p_partkey % 40 + 1) % 2 WHEN 0 THEN 'PERCENT' ELSE 'FIXED' END AS promo_type,
-       CASE (p_partkey % 40 + 1) % 2 WHEN 0 THEN 'PERCENTAGE' ELSE 'AMOUNT' END AS discount_type,
+SELECT promo_id, 'PROMO' || lpad(cast(promo_id AS string), cast(greatest(3, length(cast(promo_id AS string))) AS int), '0') AS promo_code,
+       'Promo ' || cast(promo_id AS string) AS promo_name,
+       CASE promo_id % 2 WHEN 0 THEN 'PERCENT' ELSE 'FIXED' END AS promo_type,
+       CASE promo_id % 2 WHEN 0 THEN 'PERCENTAGE' ELSE 'AMOUNT' END AS discount_type,
        cast(count(*) AS bigint) AS current_usage,
-       cast(sum(cast(p_retailprice AS decimal(12,2))) AS decimal(14,2)) AS budget_amount,
+       cast(sum(price) AS decimal(14,2)) AS budget_amount,
        CASE WHEN count(*) % 2 = 0 THEN 'ACTIVE' ELSE 'ENDED' END AS promo_status,
-       cast(max(cast(p_retailprice AS decimal(12,2))) AS decimal(12,2)) AS discount_value,
+       cast(max(price) AS decimal(12,2)) AS discount_value,
        cast('1995-01-01 00:00:00' AS timestamp) AS valid_from,
        cast('2002-01-01 00:00:00' AS timestamp) AS valid_until
-FROM {part} GROUP BY p_partkey % 40 + 1
+FROM (SELECT cast((p_partkey - p_partkey % 50) / 50 AS bigint) + 1 AS promo_id, cast(p_retailprice AS decimal(12,2)) AS price FROM {part}) p
+GROUP BY promo_id
 """
 
 PAYOUTS = """
@@ -291,7 +292,7 @@ FROM (SELECT cast(substr(ride_id, 3) AS bigint) AS k, driver_id, ride_id, cast(c
 """
 
 TRIPS = """
-SELECT r.*, 'V-' || substr(r.driver_id, 3) AS vehicle_id,
+SELECT r.*, 'V-' || r.driver_id AS vehicle_id,
        cast(r.distance_km * (9 + cast(substr(r.ride_id, 3) AS bigint) % 3) * 0.1 AS decimal(12,2)) AS estimated_distance_km,
        cast(r.base_fare + r.distance_fare + r.time_fare AS decimal(12,2)) AS estimated_fare
 FROM {rides} r

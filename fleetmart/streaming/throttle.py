@@ -110,29 +110,50 @@ def ping_downsample(pings: DataFrame, key: str, ts: str, gap_seconds: int, gaps_
     return sliced.mapInArrow(thin, pings.schema)
 
 
-def stream_ping_downsample(pings: DataFrame, key: str, ts: str, gap_seconds: int) -> DataFrame:
-    """The same rule on a stream: the last kept time per key is the state. Pings older than it are dropped."""
+def stream_ping_downsample(pings: DataFrame, key: str, ts: str, gap_seconds: int, lateness: str = "1 hour") -> DataFrame:
+    """The same rule on a stream whose pings may come up to ``lateness`` late; later ones are left out.
+
+    A ping is decided once the watermark has passed it, as none before it can come any more; until then it waits in the
+    state of its key, with the time of the last ping kept. The state is freed when nothing waits and the gap after the
+    last kept ping has passed. The last pings of a stream are handed on when a later event moves the watermark.
+    """
     gap_us = gap_seconds * 1_000_000
     columns = list(pings.columns)
 
     def step(group_key, frames, state):
+        import pickle
+
         import numpy as np
         import pandas as pd
 
-        last = state.get[0] if state.exists else None
-        parts = [f for f in frames]
-        pdf = pd.concat([p for p in parts if len(p)]).sort_values(["_us", *columns]).reset_index(drop=True)
-        t = pdf["_us"].to_numpy()
-        i = 0 if last is None else int(np.searchsorted(t, last + gap_us, side="left"))
+        last, waiting = state.get if state.exists else (None, None)
+        parts = [pickle.loads(waiting)] if waiting else []
+        if not state.hasTimedOut:
+            parts += [f for f in frames if len(f)]
+        mark = state.getCurrentWatermarkMs() * 1000
         keep = []
-        while i < len(t):
-            keep.append(i)
-            last = int(t[i])
-            i = int(np.searchsorted(t, last + gap_us, side="left"))
-        if last is not None:
-            state.update((last,))
-        yield pdf.iloc[keep][columns]
-
-    state_schema = T.StructType([T.StructField("last_us", T.LongType())])
-    with_us = pings.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
-    return with_us.groupBy(key).applyInPandasWithState(step, pings.schema, state_schema, "append", "NoTimeout")
+        held = None
+        if parts:
+            rows = pd.concat(parts).sort_values(["_us", *columns]).reset_index(drop=True)
+            t = rows["_us"].to_numpy()
+            ready = int(np.searchsorted(t, mark, side="right"))
+            i = 0 if last is None else int(np.searchsorted(t, last + gap_us, side="left"))
+            while i < ready:
+                keep.append(i)
+                last = int(t[i])
+                i = int(np.searchsorted(t, last + gap_us, side="left"))
+            held = rows.iloc[ready:] if ready < len(rows) else None
+        if held is not None:
+            state.update((last, pickle.dumps(held)))
+            state.setTimeoutTimestamp(max(int(held["_us"].iloc[0]), mark) // 1000 + 1)
+        elif last is not None and last + gap_us > mark:
+            state.update((last, None))
+            state.setTimeoutTimestamp((last + gap_us) // 1000 + 1)
+        elif state.exists:
+            state.remove()
+        if keep:
+            yield rows.iloc[keep][columns]
+
+    state_schema = T.StructType([T.StructField("last_us", T.LongType()), T.StructField("waiting", T.BinaryType())])
+    with_us = pings.withWatermark(ts, lateness).withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
+    return with_us.groupBy(key).applyInPandasWithState(step, pings.schema, state_schema, "append", "EventTimeTimeout")

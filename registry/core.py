@@ -17,6 +17,8 @@ from fleetmart.sources import adapter
 
 NOW = "2001-08-02 00:00:00"
 SNAPSHOT_NOW = "2026-06-01 00:00:00"
+FIRST_LOAD = "1992-01-01 00:00:00"
+SECOND_LOAD = "1995-01-01 00:00:00"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,6 +81,25 @@ class Data:
     def passengers(self) -> DataFrame:
         return dims.dim_passengers(self.passenger_history, self.zones, today(SNAPSHOT_NOW))
 
+    def _loads(self, table: str, key: str, status: str) -> DataFrame:
+        """History of three extracts: a first load, a change of two thirds some years later, and today's rows."""
+        rows, k = self.table(table), F.substring(key, 3, 20).cast("long")
+        first = rows.withColumns({"updated_at": F.lit(FIRST_LOAD).cast("timestamp"), "status": F.lit("PENDING")})
+        later = F.lit(SECOND_LOAD).cast("timestamp") + F.make_dt_interval(days=(k % 700).cast("int"))
+        second = first.withColumns({"updated_at": F.when(k % 3 != 0, later).otherwise(F.col("updated_at")), "status": F.when(k % 3 != 0, status).otherwise(F.col("status"))})
+        history = scd2_snapshot(None, first, key, "updated_at", now(SNAPSHOT_NOW))
+        for load in (second, rows):
+            history = scd2_snapshot(history, load, key, "updated_at", now(SNAPSHOT_NOW))
+        return history
+
+    @cached_property
+    def driver_versions(self) -> DataFrame:
+        return self._loads("drivers", "driver_id", "SUSPENDED")
+
+    @cached_property
+    def passenger_versions(self) -> DataFrame:
+        return self._loads("passengers", "passenger_id", "BANNED")
+
     @cached_property
     def rides(self) -> DataFrame:
         return facts.fct_rides(self.table("rides"), self.drivers, self.passengers, self.zones, self.vehicle_types)

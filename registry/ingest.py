@@ -25,13 +25,13 @@ def _(d):
 
 @query(
     "cast_to_contract",
-    f"""SELECT 'E-' || event_id::varchar AS event_id, 'R-' || (event_id % 1500)::varchar AS ride_id, event_type, props AS event_payload,
+    f"""SELECT 'E-' || event_id::varchar AS event_id, 'R-' || user_id::varchar AS ride_id, event_type, props AS event_payload,
         ts - {JKT} AS occurred_at FROM {{events}}""",
 )
 def _(d):
     # The raw extract has naive local timestamps, so they are read in the source's zone.
     raw = d.table("events").select(
-        F.concat(F.lit("E-"), "event_id").alias("event_id"), F.concat(F.lit("R-"), (F.col("event_id") % 1500).cast("string")).alias("ride_id"),
+        F.concat(F.lit("E-"), "event_id").alias("event_id"), F.concat(F.lit("R-"), "user_id").alias("ride_id"),
         "event_type", F.col("props").alias("event_payload"), F.col("ts").alias("occurred_at"),
     )
     return ingest.cast_to_contract(raw, EVENT_SPEC)
@@ -181,7 +181,7 @@ CTES["batch0"] = """SELECT c_custkey AS id, c_mktsegment AS status, 'v0' AS tag,
 CTES["batch1"] = """SELECT c_custkey AS id, CASE WHEN c_custkey % 7 = 1 THEN 'MOVED' ELSE c_mktsegment END AS status, 'v1' AS tag,
  cast('2026-01-01 00:00:00' AS timestamp) + (CASE WHEN c_custkey % 7 = 1 THEN INTERVAL 1 DAY WHEN c_custkey % 7 = 3 THEN INTERVAL '-1' DAY ELSE INTERVAL 0 DAY END) AS updated_at,
  DATE '2026-01-01' + ((c_custkey + CASE WHEN c_custkey % 7 = 1 THEN 5 ELSE 0 END) % 28)::int AS day FROM customer WHERE c_custkey % 101 <> 1
- UNION ALL SELECT c_custkey + 100000000, 'NEW', 'v1', cast('2026-01-02 00:00:00' AS timestamp), DATE '2026-02-01' FROM customer WHERE c_custkey % 50 = 0"""
+ UNION ALL SELECT -c_custkey - 1, 'NEW', 'v1', cast('2026-01-02 00:00:00' AS timestamp), DATE '2026-02-01' FROM customer WHERE c_custkey % 50 = 0"""
 CTES["batch2"] = """SELECT c_custkey AS id, CASE WHEN c_custkey % 7 IN (1, 2) THEN c_mktsegment ELSE 'X' END AS status, 'v2' AS tag,
  cast('2026-01-01 00:00:00' AS timestamp) + (CASE WHEN c_custkey % 7 IN (1, 2) THEN INTERVAL 3 DAY ELSE INTERVAL 0 DAY END) AS updated_at,
  DATE '2026-01-01' + (c_custkey % 28)::int AS day FROM customer WHERE c_custkey % 101 <> 2"""
@@ -200,7 +200,7 @@ def batches(d):
     shift1 = F.when(moved, 1).when(key % 7 == 3, -1).otherwise(0)
     b1 = shape(c.filter(key % 101 != 1), F.when(moved, "MOVED").otherwise(seg), "v1", start + span(shift1), day(F.when(moved, 5).otherwise(0)))
     extra = c.filter(key % 50 == 0).select(
-        (key + 100000000).alias("id"), F.lit("NEW").alias("status"), F.lit("v1").alias("tag"),
+        (-key - 1).alias("id"), F.lit("NEW").alias("status"), F.lit("v1").alias("tag"),
         now("2026-01-02 00:00:00").alias("updated_at"), F.lit("2026-02-01").cast("date").alias("day"),
     )
     late = (key % 7).isin(1, 2)
@@ -266,14 +266,14 @@ def _(d):
 
 @query(
     "ingest_table",
-    f"""SELECT 'E-' || event_id::varchar AS event_id, 'R-' || (event_id % 1500)::varchar AS ride_id, event_type, props AS event_payload,
+    f"""SELECT 'E-' || event_id::varchar AS event_id, 'R-' || user_id::varchar AS ride_id, event_type, props AS event_payload,
         ts - {JKT} AS occurred_at, TIMESTAMP '{SNAPSHOT_NOW}' AS _ingested_at, 'ride_ops_pg' AS _source_system
         FROM events WHERE ts >= TIMESTAMP '2024-01-05 07:00:00' AND ts < TIMESTAMP '2024-01-20 07:00:00'""",
 )
 def _(d):
     # Two overlapping windows of the raw event extract; the second run appends only keys the first lacks.
     raw = d.table("events").select(
-        F.concat(F.lit("E-"), "event_id").alias("event_id"), F.concat(F.lit("R-"), (F.col("event_id") % 1500).cast("string")).alias("ride_id"),
+        F.concat(F.lit("E-"), "event_id").alias("event_id"), F.concat(F.lit("R-"), "user_id").alias("ride_id"),
         "event_type", F.col("props").alias("event_payload"), F.col("ts").alias("occurred_at"),
     )
     first = ingest.ingest_table(EVENT_SPEC, raw, None, "2024-01-05T00:00:00", "2024-01-12T00:00:00", now(SNAPSHOT_NOW))
@@ -296,7 +296,7 @@ WITH seen AS (
   UNION ALL
   SELECT id, s2, u2, NULL FROM seen WHERE NOT gone2 AND (gone1 OR u2 > coalesce(f1, f0))
   UNION ALL
-  SELECT id, status, updated_at, TIMESTAMP '2026-03-01' FROM {{batch1}} WHERE id >= 100000000
+  SELECT id, status, updated_at, TIMESTAMP '2026-03-01' FROM {{batch1}} WHERE id < 0
 )
 SELECT id, status, valid_from, valid_to FROM versions
 """

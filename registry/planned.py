@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fleetmart.plans import planned
-from registry.core import CTES, avg, query, r
+from fleetmart.plans import dims, planned
+from registry.core import CTES, FIRST_LOAD, SECOND_LOAD, SNAPSHOT_NOW, avg, query, r, today
 
 NULL_MARK = "_dbt_utils_surrogate_key_null_"
 
@@ -37,7 +37,9 @@ def payments(d):
 
 @query(
     "dim_time",
-    """SELECT hour(requested_at)::bigint AS time_key, hour(requested_at)::bigint AS hour_num, min(time_bucket) AS time_bucket FROM {o_rides} GROUP BY ALL""",
+    """SELECT h.time_key, h.time_key AS hour_num, CASE WHEN h.time_key BETWEEN 7 AND 9 THEN 'morning_peak' WHEN h.time_key BETWEEN 17 AND 19 THEN 'evening_peak'
+        WHEN h.time_key >= 22 OR h.time_key <= 4 THEN 'late_night' ELSE 'off_peak' END AS time_bucket, count(r.ride_id) AS trips
+        FROM (SELECT unnest(range(24)) AS time_key) h LEFT JOIN {rides} r ON hour(r.requested_at) = h.time_key GROUP BY ALL""",
 )
 def _(d):
     return planned.dim_time(d.table("rides"))
@@ -72,30 +74,63 @@ def _(d):
 
 @query(
     "dim_vehicle",
-    f"""SELECT {key("'V-' || substr(driver_id, 3)")} AS vehicle_key, 'V-' || substr(driver_id, 3) AS vehicle_id, driver_id, license_plate AS plate_number, type_name AS vehicle_type,
+    f"""SELECT {key("'V-' || driver_id")} AS vehicle_key, 'V-' || driver_id AS vehicle_id, driver_id, license_plate AS plate_number, type_name AS vehicle_type,
         vehicle_brand AS brand, vehicle_model AS model, vehicle_year AS production_year, capacity AS seat_capacity FROM {{drivers}} LEFT JOIN {{vehicle_types}} USING (vehicle_type_id)""",
 )
 def _(d):
     return planned.dim_vehicle(d.table("drivers"), d.table("vehicle_types"))
 
 
+def versions_sql(table: str, id_: str, status: str) -> str:
+    """The three versions a key can have, of those of one third two."""
+    k, second = f"cast(substr({id_}, 3) AS bigint)", f"TIMESTAMP '{SECOND_LOAD}' + INTERVAL 1 DAY * (cast(substr({id_}, 3) AS bigint) % 700)"
+    return f"""SELECT {id_}, TIMESTAMP '{FIRST_LOAD}' AS valid_from, CASE WHEN {k} % 3 <> 0 THEN {second} ELSE updated_at END AS valid_to, 'PENDING' AS status, true AS is_first FROM {{{table}}}
+ UNION ALL SELECT {id_}, {second}, updated_at, '{status}', false FROM {{{table}}} WHERE {k} % 3 <> 0
+ UNION ALL SELECT {id_}, updated_at, NULL, NULL, false FROM {{{table}}}"""
+
+
+CTES["o_driver_versions"] = versions_sql("drivers", "driver_id", "SUSPENDED")
+CTES["o_passenger_versions"] = versions_sql("passengers", "passenger_id", "BANNED")
+
+
+def at(version: str, id_: str, moment: str) -> str:
+    """The version of a fact row's key at its moment."""
+    table = {"driver_id": "o_driver_versions", "passenger_id": "o_passenger_versions"}[id_]
+    return f"LEFT JOIN {{{table}}} {version} ON {version}.{id_} = f.{id_} AND ({version}.is_first OR {version}.valid_from <= f.{moment}) AND ({version}.valid_to IS NULL OR f.{moment} < {version}.valid_to)"
+
+
+def version_key(version: str, id_: str) -> str:
+    return f"CASE WHEN {version}.{id_} IS NOT NULL THEN {key(f'{version}.{id_}', f'{version}.valid_from')} END"
+
+
+DRIVER_KEY, CUSTOMER_KEY = version_key("dv", "driver_id"), version_key("pv", "passenger_id")
+
+
+def customers(d):
+    return dims.dim_passengers(d.passenger_versions, d.zones, today(SNAPSHOT_NOW), all_versions=True)
+
+
+def star_drivers(d):
+    return dims.dim_drivers(d.driver_versions, d.vehicle_types, d.zones, all_versions=True)
+
+
 @query(
     "dim_customer",
-    f"""SELECT {key('p.passenger_id', 'p.valid_from')} AS customer_key, p.passenger_id AS customer_id, p.passenger_name AS full_name, p.gender, p.age_bucket AS age_group,
-        p.registered_at::date AS signup_date, p.email, p.phone_number, s.current_segment, p.home_city AS city, p.valid_from, p.valid_to, p.is_current
-        FROM {{o_passengers}} p LEFT JOIN (SELECT passenger_id, arg_max(segment_name, snapshot_date) AS current_segment FROM {{segments}} GROUP BY ALL) s USING (passenger_id)""",
+    f"""SELECT {key('p.passenger_id', 'v.valid_from')} AS customer_key, p.passenger_id AS customer_id, p.passenger_name AS full_name, p.gender, p.age_bucket AS age_group,
+        p.registered_at::date AS signup_date, p.email, p.phone_number, s.current_segment, p.home_city AS city, v.valid_from, v.valid_to, v.valid_to IS NULL AS is_current
+        FROM {{o_passengers}} p JOIN {{o_passenger_versions}} v USING (passenger_id) LEFT JOIN (SELECT passenger_id, arg_max(segment_name, snapshot_date) AS current_segment FROM {{segments}} GROUP BY ALL) s USING (passenger_id)""",
 )
 def _(d):
-    return planned.dim_customer(d.passengers, d.table("segments"))
+    return planned.dim_customer(customers(d), d.table("segments"))
 
 
 @query(
     "dim_driver",
-    f"""SELECT {key('driver_id', 'valid_from')} AS driver_key, driver_id, driver_name AS full_name, driver_status, joined_at::date AS join_date, home_city AS city,
-        sim_number AS license_number, valid_from, valid_to, is_current FROM {{o_drivers}}""",
+    f"""SELECT {key('d.driver_id', 'v.valid_from')} AS driver_key, d.driver_id, driver_name AS full_name, coalesce(v.status, driver_status) AS driver_status, joined_at::date AS join_date, home_city AS city,
+        sim_number AS license_number, v.valid_from, v.valid_to, v.valid_to IS NULL AS is_current FROM {{o_drivers}} d JOIN {{o_driver_versions}} v USING (driver_id)""",
 )
 def _(d):
-    return planned.dim_driver(d.drivers)
+    return planned.dim_driver(star_drivers(d))
 
 
 @query(
@@ -108,55 +143,80 @@ def _(d):
 
 @query(
     "fct_trip",
-    f"""SELECT {key('ride_id')} AS trip_key, ride_id AS trip_id, {day('requested_at')} AS request_date_key, hour(requested_at)::bigint AS request_time_key,
-        {day('picked_up_at')} AS pickup_date_key, {day('completed_at')} AS dropoff_date_key, {opt_key('passenger_id')} AS customer_key, {opt_key('driver_id')} AS driver_key, {opt_key('vehicle_id')} AS vehicle_key,
+    f"""SELECT {key('f.ride_id')} AS trip_key, f.ride_id AS trip_id, {day('requested_at')} AS request_date_key, hour(requested_at)::bigint AS request_time_key,
+        {day('picked_up_at')} AS pickup_date_key, {day('completed_at')} AS dropoff_date_key, {CUSTOMER_KEY} AS customer_key, {DRIVER_KEY} AS driver_key, {opt_key('vehicle_id')} AS vehicle_key,
         estimated_distance_km::double AS estimated_distance_km, estimated_fare::double AS estimated_fare,
         {opt_key('pickup_zone_id')} AS pickup_location_key, {opt_key('dropoff_zone_id')} AS dropoff_location_key, {key('upper(ride_status)')} AS trip_status_key,
         distance_km::double AS actual_distance_km, total_fare::double AS actual_fare, surge_multiplier::double AS surge_multiplier,
         date_sub('minute', picked_up_at, completed_at) AS trip_duration_minute, date_sub('minute', requested_at, picked_up_at) AS waiting_time_minute,
-        upper(ride_status) = 'COMPLETED' AS is_completed, upper(ride_status) = 'CANCELLED' AS is_cancelled, created_at, updated_at FROM {{trips}}""",
+        upper(ride_status) = 'COMPLETED' AS is_completed, upper(ride_status) = 'CANCELLED' AS is_cancelled, created_at, updated_at FROM {{trips}} f {at('dv', 'driver_id', 'requested_at')} {at('pv', 'passenger_id', 'requested_at')}""",
 )
 def _(d):
-    return planned.fct_trip(d.table("trips"))
+    return planned.fct_trip(d.table("trips"), d.driver_versions, d.passenger_versions)
 
 
 @query(
     "fct_payment",
-    f"""SELECT {key('payment_id')} AS payment_key, payment_id, {key('ride_id')} AS trip_key, {key('passenger_id')} AS customer_key, {day('created_at')} AS payment_date_key,
+    f"""SELECT {key('payment_id')} AS payment_key, payment_id, {key('ride_id')} AS trip_key, {CUSTOMER_KEY} AS customer_key, {day('created_at')} AS payment_date_key,
         {key('payment_method')} AS payment_method_key, amount::double AS gross_amount, promo_discount::double AS discount_amount, tax_amount::double AS tax_amount,
-        toll_amount::double AS toll_amount, tip_amount::double AS tip_amount, net_amount::double AS net_amount, payment_status, paid_at AS paid_ts, created_at, updated_at FROM {{o_pay}}""",
+        toll_amount::double AS toll_amount, tip_amount::double AS tip_amount, net_amount::double AS net_amount, payment_status, paid_at AS paid_ts, created_at, updated_at FROM {{o_pay}} f {at('pv', 'passenger_id', 'created_at')}""",
 )
 def _(d):
-    return planned.fct_payment(payments(d))
+    return planned.fct_payment(payments(d), d.passenger_versions)
 
 
 @query(
     "fct_driver_payout",
-    f"""SELECT {key('payout_id')} AS payout_key, payout_id, {key('ride_id')} AS trip_key, {key('driver_id')} AS driver_key, {day('payout_date')} AS payout_date_key,
+    f"""SELECT {key('payout_id')} AS payout_key, payout_id, {key('ride_id')} AS trip_key, {DRIVER_KEY} AS driver_key, {day('payout_date')} AS payout_date_key,
         base_earning::double AS base_earning, incentive_amount::double AS incentive_amount, bonus_amount::double AS bonus_amount,
-        deduction_amount::double AS deduction_amount, final_payout_amount::double AS final_payout_amount, payout_status, created_at, updated_at FROM {{payouts}}""",
+        deduction_amount::double AS deduction_amount, final_payout_amount::double AS final_payout_amount, payout_status, created_at, updated_at FROM {{payouts}} f {at('dv', 'driver_id', 'created_at')}""",
 )
 def _(d):
-    return planned.fct_driver_payout(d.table("payouts"))
+    return planned.fct_driver_payout(d.table("payouts"), d.driver_versions)
 
 
 @query(
     "fct_rating",
-    f"""SELECT {key("'rating'", 'ride_id')} AS rating_key, 'RT-' || ride_id AS rating_id, {key('ride_id')} AS trip_key, {key('passenger_id')} AS customer_key,
-        {key('driver_id')} AS driver_key, {day('completed_at')} AS rating_date_key, round(passenger_rating, 0)::bigint AS rating_score,
-        notes IS NOT NULL AS has_review_text, completed_at AS rated_ts, completed_at AS created_at, updated_at FROM {{rides}} WHERE passenger_rating IS NOT NULL""",
+    f"""SELECT {key("'rating'", 'ride_id')} AS rating_key, 'RT-' || ride_id AS rating_id, {key('ride_id')} AS trip_key, {CUSTOMER_KEY} AS customer_key,
+        {DRIVER_KEY} AS driver_key, {day('completed_at')} AS rating_date_key, round(passenger_rating, 0)::bigint AS rating_score,
+        notes IS NOT NULL AS has_review_text, completed_at AS rated_ts, completed_at AS created_at, updated_at FROM {{rides}} f {at('dv', 'driver_id', 'completed_at')} {at('pv', 'passenger_id', 'completed_at')} WHERE passenger_rating IS NOT NULL""",
 )
 def _(d):
-    return planned.fct_rating(d.table("rides"))
+    return planned.fct_rating(d.table("rides"), d.driver_versions, d.passenger_versions)
 
 
 @query(
     "fct_promo_redemption",
     f"""SELECT {key('usage_id')} AS promo_redemption_key, usage_id AS redemption_id, {key('promo_id')} AS promo_key, {key('ride_id')} AS trip_key,
-        {key('passenger_id')} AS customer_key, {day('used_at')} AS redemption_date_key, discount_given::double AS discount_amount, redemption_status, used_at AS redeemed_ts, created_at, updated_at FROM {{promo_usage}}""",
+        {CUSTOMER_KEY} AS customer_key, {day('used_at')} AS redemption_date_key, discount_given::double AS discount_amount, redemption_status, used_at AS redeemed_ts, created_at, updated_at FROM {{promo_usage}} f {at('pv', 'passenger_id', 'used_at')}""",
 )
 def _(d):
-    return planned.fct_promo_redemption(d.table("promo_usage"))
+    return planned.fct_promo_redemption(d.table("promo_usage"), d.passenger_versions)
+
+
+STAR_KEYS = [
+    ("fct_trip", "driver_key", "trips", "dv", "driver_id", "requested_at"), ("fct_trip", "customer_key", "trips", "pv", "passenger_id", "requested_at"),
+    ("fct_payment", "customer_key", "payments", "pv", "passenger_id", "created_at"), ("fct_driver_payout", "driver_key", "payouts", "dv", "driver_id", "created_at"),
+    ("fct_rating", "driver_key", "rides", "dv", "driver_id", "completed_at"), ("fct_rating", "customer_key", "rides", "pv", "passenger_id", "completed_at"),
+    ("fct_promo_redemption", "customer_key", "promo_usage", "pv", "passenger_id", "used_at"),
+]
+# Every row whose driver or passenger is known has a version, so none may be an orphan.
+ORPHANS = " UNION ALL ".join(
+    f"SELECT '{fact}' AS fact, '{name}' AS key, count({v}.{id_}) AS rows, 0::bigint AS orphans FROM {{{source}}} f {at(v, id_, moment)}" + (" WHERE passenger_rating IS NOT NULL" if fact == "fct_rating" else "")
+    for fact, name, source, v, id_, moment in STAR_KEYS
+)
+
+
+@query("dq_star_orphans", ORPHANS)
+def _(d):
+    drivers, people = d.driver_versions, d.passenger_versions
+    facts = {
+        "fct_trip": planned.fct_trip(d.table("trips"), drivers, people), "fct_payment": planned.fct_payment(payments(d), people),
+        "fct_driver_payout": planned.fct_driver_payout(d.table("payouts"), drivers), "fct_rating": planned.fct_rating(d.table("rides"), drivers, people),
+        "fct_promo_redemption": planned.fct_promo_redemption(d.table("promo_usage"), people),
+    }
+    dimensions = {"driver_key": planned.dim_driver(star_drivers(d)), "customer_key": planned.dim_customer(customers(d), d.table("segments"))}
+    return planned.star_orphans(facts, dimensions)
 
 
 DONE = "ride_status = 'COMPLETED'"

@@ -45,7 +45,7 @@ SELECT md5(vehicle_type_id::varchar) AS vehicle_type_key, vehicle_type_id, type_
        per_minute_rate, capacity,
        CASE type_code WHEN 'MOTOR' THEN '2-Wheeler' WHEN 'ECONOMI' THEN 'Standard Car' WHEN 'COMFORT' THEN 'Standard Car'
                       WHEN 'SUV' THEN 'Large Car' WHEN 'PREMIUM' THEN 'Premium Car' END AS vehicle_category,
-       CASE WHEN base_fare >= 20000 THEN 'Premium' WHEN base_fare >= 10000 THEN 'Mid-Range' ELSE 'Economy' END AS fare_tier,
+       CASE WHEN base_fare < 10000 THEN 'Economy' WHEN base_fare < 20000 THEN 'Mid-Range' ELSE 'Premium' END AS fare_tier,
        created_at
 FROM {vehicle_types}
 """
@@ -58,28 +58,30 @@ SELECT md5(d.driver_id || '-' || d.updated_at::varchar || '+00') AS driver_key,
        length(regexp_replace(d.nik, '\\s', '', 'g')) <> 16 AS nik_was_dirty, lower(d.license_plate) = d.license_plate AS plate_was_dirty,
        t.vehicle_type_id, t.type_code AS vehicle_type_code, t.type_name AS vehicle_type_name, t.capacity AS vehicle_capacity,
        t.vehicle_category, d.vehicle_brand, d.vehicle_model, d.vehicle_year, d.vehicle_color,
-       CASE WHEN d.total_trips < 100 OR d.total_trips IS NULL THEN 'Bronze' WHEN d.total_trips < 500 THEN 'Silver'
-            WHEN d.total_trips < 1000 THEN 'Gold' ELSE 'Platinum' END AS experience_tier,
+       CASE WHEN d.total_trips >= 1000 THEN 'Platinum' WHEN d.total_trips >= 500 THEN 'Gold'
+            WHEN d.total_trips >= 100 THEN 'Silver' ELSE 'Bronze' END AS experience_tier,
        z.zone_code AS home_zone_code, z.zone_name AS home_zone_name, z.city AS home_city, z.province AS home_province,
        z.area_type AS home_area_type, d.updated_at AS valid_from, NULL::timestamp AS valid_to, true AS is_current
 FROM {{drivers}} d LEFT JOIN {{o_types}} t USING (vehicle_type_id) LEFT JOIN {{o_zones}} z ON z.zone_id = d.home_zone_id
 """
+# Years between year boundaries up to the day of the snapshot.
+AGE_SQL = f"date_diff('year', p.birth_date, DATE '{SNAPSHOT_NOW[:10]}')::int"
 CTES["o_passengers"] = f"""
 SELECT md5(p.passenger_id || '-' || p.updated_at::varchar || '+00') AS passenger_key, p.passenger_id, p.passenger_code,
        p.full_name AS passenger_name, {phone_sql('p.phone_number')} AS phone_number, p.email, p.birth_date,
-       (2026 - year(p.birth_date))::int AS age_years,
-       CASE WHEN year(p.birth_date) BETWEEN 2001 AND 2008 THEN '18-25' WHEN year(p.birth_date) BETWEEN 1991 AND 2000 THEN '26-35'
-            WHEN year(p.birth_date) BETWEEN 1981 AND 1990 THEN '36-45' WHEN year(p.birth_date) BETWEEN 1971 AND 1980 THEN '46-55'
+       {AGE_SQL} AS age_years,
+       CASE WHEN {AGE_SQL} BETWEEN 18 AND 25 THEN '18-25' WHEN {AGE_SQL} BETWEEN 26 AND 35 THEN '26-35'
+            WHEN {AGE_SQL} BETWEEN 36 AND 45 THEN '36-45' WHEN {AGE_SQL} BETWEEN 46 AND 55 THEN '46-55'
             ELSE '56+' END AS age_bucket,
        coalesce(upper(p.gender), 'UNKNOWN') AS gender, p.referral_code, p.is_verified, coalesce(p.total_trips, 0) AS total_trips,
        upper(p.status) AS passenger_status, p.registered_at, p.updated_at, {phone_dirty_sql('p.phone_number')} AS phone_was_dirty,
-       CASE WHEN p.total_trips < 10 OR p.total_trips IS NULL THEN 'New' WHEN p.total_trips < 50 THEN 'Silver'
-            WHEN p.total_trips < 200 THEN 'Gold' ELSE 'Platinum' END AS loyalty_tier,
+       CASE WHEN p.total_trips >= 200 THEN 'Platinum' WHEN p.total_trips >= 50 THEN 'Gold'
+            WHEN p.total_trips >= 10 THEN 'Silver' ELSE 'New' END AS loyalty_tier,
        z.zone_code AS home_zone_code, z.zone_name AS home_zone_name, z.city AS home_city, z.province AS home_province,
        p.updated_at AS valid_from, NULL::timestamp AS valid_to, true AS is_current
 FROM {{passengers}} p LEFT JOIN {{o_zones}} z ON z.zone_id = p.home_zone_id
 """
-_BUCKET = """CASE WHEN hour({c}) IN (7, 8, 9) THEN 'morning_peak' WHEN hour({c}) IN (17, 18, 19) THEN 'evening_peak'
+_BUCKET = """CASE WHEN hour({c}) BETWEEN 7 AND 9 THEN 'morning_peak' WHEN hour({c}) BETWEEN 17 AND 19 THEN 'evening_peak'
             WHEN hour({c}) >= 22 OR hour({c}) <= 4 THEN 'late_night' ELSE 'off_peak' END"""
 CTES["o_rides"] = f"""
 SELECT md5(r.ride_id) AS ride_key, d.driver_key, p.passenger_key, a.zone_key, t.vehicle_type_key, r.ride_id, r.ride_code,
@@ -292,7 +294,7 @@ def _(d):
 
 @query(
     "is_valid_email",
-    """SELECT id, regexp_full_match(lower(trim(email)), '[a-z0-9._%+-]+@[a-z0-9.-]+\\.[a-z][a-z]+') AS valid FROM
+    """SELECT id, regexp_full_match(lower(trim(email)), '[a-z0-9._%+-]+@[a-z0-9.-]+\\.[a-z]{2,}') AS valid FROM
        (SELECT driver_id AS id, email FROM {drivers} UNION ALL SELECT passenger_id, email FROM {passengers})""",
 )
 def _(d):
@@ -319,8 +321,8 @@ def _(d):
 
 @query(
     "default_nulls",
-    """SELECT ride_id, coalesce(distance_km, 0)::double AS distance_km, ifnull(duration_minutes, 0) AS duration_minutes,
-       ifnull(surge_multiplier, 1)::double AS surge_multiplier, ifnull(promo_discount, 0)::double AS promo_discount FROM {rides}""",
+    """SELECT ride_id, coalesce(distance_km, 0)::double AS distance_km, coalesce(duration_minutes, 0) AS duration_minutes,
+       coalesce(surge_multiplier, 1)::double AS surge_multiplier, coalesce(promo_discount, 0)::double AS promo_discount FROM {rides}""",
 )
 def _(d):
     return facts.derive_rides(d.table("rides")).select("ride_id", "distance_km", "duration_minutes", "surge_multiplier", "promo_discount")
@@ -414,7 +416,7 @@ def _(d):
 
 @query(
     "fn_email",
-    "SELECT regexp_full_match(lower(trim(email)), '[a-z0-9._%+-]+@[a-z0-9.-]+\\.[a-z][a-z]+') AS valid, count(*) AS drivers FROM {drivers} GROUP BY ALL",
+    "SELECT regexp_full_match(lower(trim(email)), '[a-z0-9._%+-]+@[a-z0-9.-]+\\.[a-z]{2,}') AS valid, count(*) AS drivers FROM {drivers} GROUP BY ALL",
 )
 def _(d):
     return d.table("drivers").groupBy(cleaning.is_valid_email(F.col("email")).alias("valid")).agg(F.count("*").alias("drivers"))
@@ -497,3 +499,26 @@ def _(d):
 @query("fn_try_divide", "SELECT ride_id, total_fare::double / nullif(promo_discount::double, 0) AS v FROM {rides}")
 def _(d):
     return d.table("rides").select("ride_id", ratio(F.col("total_fare"), F.col("promo_discount")).alias("v"))
+
+
+@query(
+    "lookup_join_mixed_types",
+    """SELECT kind, way, o_orderkey, c_name FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS k FROM orders) o LEFT JOIN customer ON c_custkey = k,
+       (VALUES ('decimal(20,2)'), ('double'), ('int'), ('bigint')) kinds(kind), (VALUES ('small'), ('large')) ways(way)""",
+)
+def _(d):
+    """One lookup under every pair of key types, with the dimension taken for small and for large."""
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    keyed = d.table("orders").select("o_orderkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey")).alias("k"))
+    names = d.table("customer").select("c_custkey", "c_name")
+    before, out = d.spark.conf.get(setting), None
+    try:
+        for way, limit in (("small", "1g"), ("large", "-1")):
+            d.spark.conf.set(setting, limit)
+            for kind in ("decimal(20,2)", "double", "int", "bigint"):
+                rows = lookup_join(keyed.withColumn("k", F.col("k").cast(kind)), names, "k", "c_custkey", "o_orderkey")
+                rows = rows.select(F.lit(kind).alias("kind"), F.lit(way).alias("way"), "o_orderkey", "c_name")
+                out = rows if out is None else out.unionByName(rows)
+    finally:
+        d.spark.conf.set(setting, before)
+    return out

@@ -115,6 +115,28 @@ def _(d):
     return sinks.read_table(d.spark, path)
 
 
+NULL_DAY = "(id % 5 = 0 AND tag = 'v0') OR (id % 5 = 1 AND tag = 'v2')"
+
+
+@query("merge_table_null_partition", f"SELECT * REPLACE (CASE WHEN {NULL_DAY} THEN NULL ELSE day END AS day) FROM ({NEWER2})")
+def _(d):
+    # Rows stand in the NULL partition, enter it and leave it.
+    path = run_dir(d.spark, "merged")
+    for batch in batches(d):
+        batch = batch.withColumn("day", F.when(~F.expr(NULL_DAY), F.col("day")))
+        sinks.merge_table(d.spark, path, batch, ["id"], ["updated_at"], "day", "DAY")
+    return sinks.read_table(d.spark, path)
+
+
+@query("merge_table_new_column", f"SELECT *, CASE WHEN tag <> 'v0' THEN tag || '/' || status END AS note FROM ({NEWER2})")
+def _(d):
+    path = run_dir(d.spark, "merged")
+    for i, batch in enumerate(batches(d)):
+        batch = batch.withColumn("note", F.concat_ws("/", "tag", "status")) if i else batch
+        sinks.merge_table(d.spark, path, batch, ["id"], ["updated_at"], "day", "DAY")
+    return sinks.read_table(d.spark, path)
+
+
 @query("merge_table_append_only", "SELECT * FROM {batch0} UNION ALL SELECT * FROM {batch1} WHERE id NOT IN (SELECT id FROM {batch0})")
 def _(d):
     path = run_dir(d.spark, "log")

@@ -160,10 +160,77 @@ def test_merge_table_accepts_new_columns(spark):
     path = run_dir(spark, "t")
     sinks.merge_table(spark, path, spark.createDataFrame([(1, 1, when(1).date()), (5, 1, when(5).date())], "id int, v int, day date"), ["id"], ["v"], "day")
     sinks.merge_table(spark, path, spark.createDataFrame([(1, 2, when(1).date(), "x")], "id int, v int, day date, extra string"), ["id"], ["v"], "day")
-    got = {r.id: r.extra for r in spark.read.option("mergeSchema", True).parquet(path).collect()}
+    got = {r.id: r.extra for r in sinks.read_table(spark, path).collect()}
     assert got == {1: "x", 5: None}
 
 
+def test_merge_table_keeps_and_moves_rows_of_the_null_partition(spark):
+    path, make = run_dir(spark, "t"), lambda rows: spark.createDataFrame(rows, "id int, v int, day date")
+    sinks.merge_table(spark, path, make([(1, 1, None), (2, 1, None), (3, 1, when(3).date())]), ["id"], ["v"], "day")
+    sinks.merge_table(spark, path, make([(2, 2, None), (3, 2, when(3).date())]), ["id"], ["v"], "day")
+    assert sorted(map(str, rows_of_any(spark, path))) == sorted(map(str, [(1, 1, None), (2, 2, None), (3, 2, when(3).date())]))
+    sinks.merge_table(spark, path, make([(1, 3, when(4).date()), (2, 3, when(4).date())]), ["id"], ["v"], "day")
+    assert sorted(map(str, rows_of_any(spark, path))) == sorted(map(str, [(1, 3, when(4).date()), (2, 3, when(4).date()), (3, 2, when(3).date())]))
+    assert not sinks.path_exists(spark, f"{path}/{sinks.PARTITION_COLUMN}={sinks.NULL_PARTITION}")
+    sinks.merge_table(spark, path, make([(9, 1, None)]), ["id"], ["v"], "day")
+    assert (9, 1, None) in rows_of_any(spark, path)
+
+
+def rows_of_any(spark, path):
+    return [tuple(r) for r in sinks.read_table(spark, path).select("id", "v", "day").collect()]
+
+
+def test_merge_table_that_holds_the_null_partition_alone(spark):
+    path, make = run_dir(spark, "t"), lambda rows: spark.createDataFrame(rows, "id int, v int, day date")
+    for v in (1, 2):
+        sinks.merge_table(spark, path, make([(1, v, None)]), ["id"], ["v"], "day")
+    assert rows_of_any(spark, path) == [(1, 2, None)]
+
+
+@pytest.mark.parametrize("fixed", [False, True])
+def test_merge_table_survives_a_replacement_that_breaks_off(spark, monkeypatch, fixed):
+    path, make = run_dir(spark, "t"), lambda rows: spark.createDataFrame(rows, "id int, v int, day date")
+    sinks.merge_table(spark, path, make([(i, 1, when(1 + i % 2).date()) for i in range(5)]), ["id"], ["v"], "day")
+
+    def broken(df, target, partition):
+        # The old folder is gone, the new one not yet in its place.
+        sinks.remove_path(spark, f"{target}/{partition}=2026-01-01")
+        raise RuntimeError("lost")
+
+    source = make([(0, 2, when(1).date()), (7, 1, when(1).date())])
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "partition_overwrite", broken)
+        with pytest.raises(RuntimeError):
+            sinks.merge_table(spark, path, source, ["id"], ["v"], "day", partition_fixed=fixed)
+    want = [(0, 2, when(1).date())] + [(i, 1, when(1 + i % 2).date()) for i in range(1, 5)] + [(7, 1, when(1).date())]
+    sinks.merge_table(spark, path, source, ["id"], ["v"], "day", partition_fixed=fixed)
+    assert sorted(rows_of_any(spark, path)) == want
+    assert not sinks.path_exists(spark, f"{path}/{sinks.JOURNAL}") and not sinks.finish_merge(spark, path)
+
+
+def test_merge_table_drops_a_journal_that_never_got_ready(spark, monkeypatch):
+    path, make = run_dir(spark, "t"), lambda rows: spark.createDataFrame(rows, "id int, v int, day date")
+    sinks.merge_table(spark, path, make([(1, 1, when(1).date())]), ["id"], ["v"], "day")
+    make([(1, 9, when(1).date())]).write.parquet(f"{path}/{sinks.JOURNAL}/rows")
+    sinks.merge_table(spark, path, make([(2, 1, when(1).date())]), ["id"], ["v"], "day")
+    assert sorted(rows_of_any(spark, path)) == [(1, 1, when(1).date()), (2, 1, when(1).date())]
+
+
+def test_newer_merge_with_nulls_in_the_order_columns(spark):
+    make = lambda rows: spark.createDataFrame(rows, "id int, a int, b int, v string")
+    target = make([(1, None, 1, "t"), (2, 1, 1, "t"), (3, 1, None, "t"), (4, 1, 1, "t"), (5, None, 1, "t")])
+    source = make([(1, 5, 1, "s"), (2, None, 9, "s"), (3, 1, 5, "s"), (4, 1, 2, "s"), (5, None, 2, "s"), (6, None, None, "s")])
+    got = {r.id: r.v for r in merge.merge_if_newer(target, source, ["id"], ["a", "b"]).collect()}
+    assert got == {1: "t", 2: "t", 3: "t", 4: "s", 5: "s", 6: "s"}
+
+
+def test_facts_find_the_version_of_their_moment(spark):
+    versions = spark.createDataFrame([("a", when(5), when(8), 1), ("a", when(8), None, 2), ("b", when(5), when(6), 3)], "id string, valid_from timestamp, valid_to timestamp, n int")
+    rows = spark.createDataFrame([(1, "a", when(1)), (2, "a", when(5)), (3, "a", when(8)), (4, "a", when(9)), (5, "b", when(7)), (6, None, when(7)), (7, "c", when(7)), (8, "b", when(2))], "k int, ref string, at timestamp")
+    got = {r.k: r.n for r in history.with_version(rows, versions, "ref", "id", "at", {"n": F.col("n")}, "k").collect()}
+    assert got == {1: 1, 2: 1, 3: 2, 4: 2, 5: None, 6: None, 7: None, 8: 3}
+
+
 def test_staging_is_removed_when_the_work_fails(spark):
     with pytest.raises(RuntimeError):
         with sinks.staging_table(spark, "x") as path:
