@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetmart.functions import calendar
 from fleetmart.operators.dedup import latest_per_key
@@ -31,6 +32,20 @@ def cdc_unwrap(envelopes: DataFrame, drop_tombstones: bool = False) -> DataFrame
     )
 
 
+def cdc_unwrap_documents(envelopes: DataFrame, document: T.StructType, key: str = "_id", drop_tombstones: bool = False) -> DataFrame:
+    """The same for a document store, whose envelopes carry ``after`` as JSON text and name a collection.
+
+    ``document`` is the shape the text is read with. A delete holds no document: its row has the key of the event, from
+    the column of that name in the envelope, and NULLs. A text that cannot be read gives NULLs beside its key.
+    """
+    rows = envelopes.filter("op IS NOT NULL") if drop_tombstones else envelopes
+    rows = rows.withColumn("_row", F.from_json("after", document))
+    fields = [F.coalesce(F.col(f"_row.{f.name}"), F.col(key).cast(f.dataType)).alias(f.name) if f.name == key else F.col(f"_row.{f.name}").alias(f.name) for f in document]
+    return rows.select(
+        *fields, F.col("op").alias("__op"), F.col("source.ts_ms").alias("__source_ts_ms"), F.col("source.collection").alias("__collection"), (F.col("op") == DELETE).alias("__deleted")
+    )
+
+
 def cdc_flatten_before_after(envelopes: DataFrame, key: str, attributes: list[str]) -> DataFrame:
     """One row per change with before and after values, event time and log position."""
     pairs = [F.col(f"{side}.{a}").alias(f"{a}_{side}") for a in attributes for side in ("before", "after")]

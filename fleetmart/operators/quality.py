@@ -136,6 +136,21 @@ def dq_report(df: DataFrame, table: str, rules: list[Rule], unique: list[str] =
     return report.select(F.lit(table).alias("table_name"), "*", (F.col("failing") == 0).alias("passed"))
 
 
+def suite(lines: list[tuple]) -> tuple[list[Rule], list[str]]:
+    """(row rules, unique columns) of declared checks: (kind, column, values or bounds)."""
+    kinds = {"not_null": not_null, "accepted_values": accepted_values, "accepted_range": accepted_range}
+    return [kinds[kind](column, *args) for kind, column, *args in lines if kind != "unique"], [column for kind, column, *_ in lines if kind == "unique"]
+
+
+def dq_report_all(suites: dict[str, tuple[DataFrame, tuple[list[Rule], list[str]]]]) -> DataFrame:
+    """The reports of several tables in one: a row per table and check."""
+    out = None
+    for table, (df, (rules, unique)) in suites.items():
+        report = dq_report(df, table, rules, unique)
+        out = report if out is None else out.unionByName(report)
+    return out
+
+
 def dq_transition_legality(
     log: DataFrame, key: str = "ride_id", status: str = "status", ts: str = "ts", tie: str = "event_id",
     allowed: list[tuple[str, str]] = ALLOWED_TRANSITIONS, slice_by: Column | None = None,

@@ -123,8 +123,15 @@ def parse_event_payload(events: DataFrame, both_key_sets: bool = True) -> DataFr
     return raw.withColumns(fields).drop(*[f"_j_{k}" for k in keys])
 
 
+def ride_context(rides: DataFrame) -> DataFrame:
+    """What events take from a ride, straight from the raw rides: no dimension is joined for it."""
+    return derive_rides(rides).withColumn("ride_key", surrogate_key(F.col("ride_id"))).select(
+        "ride_id", "ride_key", "ride_status", "vehicle_type_id", "pickup_zone_id", "driver_id", "passenger_id", "total_fare", "requested_date"
+    )
+
+
 def enrich_events(events: DataFrame, rides: DataFrame) -> DataFrame:
-    """Events left-joined to the context columns of the ride fact; a hot ride is split by AQE."""
+    """Events left-joined to the context columns of the ride fact or of ``ride_context``; a hot ride is split by AQE."""
     context = rides.select(
         F.col("ride_id").alias("_ride_id"), "ride_key", "ride_status", "vehicle_type_id", "pickup_zone_id", "driver_id",
         "passenger_id", "total_fare", "requested_date",

@@ -53,6 +53,21 @@ def _(d):
     return changes.cdc_unwrap(envelopes(d))
 
 
+@query(
+    "cdc_unwrap_documents",
+    """SELECT event_id AS _id, CASE WHEN op <> 'd' THEN user_id END AS user_id, CASE WHEN op <> 'd' THEN event_type END AS event_type, op AS __op, epoch_us(ts) // 1000 AS __source_ts_ms,
+       collection AS __collection, op = 'd' AS __deleted FROM (SELECT *, CASE WHEN event_id % 19 = 0 THEN 'd' WHEN event_id % 3 = 0 THEN 'u' ELSE 'c' END AS op,
+       CASE WHEN event_id % 2 = 0 THEN 'ride_events' ELSE 'driver_locations' END AS collection FROM events)""",
+)
+def _(d):
+    key = F.col("event_id")
+    op = F.when(key % 19 == 0, "d").when(key % 3 == 0, "u").otherwise("c")
+    text = F.to_json(F.struct(key.alias("_id"), "user_id", "event_type", F.col("props").alias("payload")))
+    source = F.struct(F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"), F.when(key % 2 == 0, "ride_events").otherwise("driver_locations").alias("collection"))
+    sent = d.table("events").select(op.alias("op"), key.alias("_id"), F.when(op != "d", text).alias("after"), source.alias("source"))
+    return changes.cdc_unwrap_documents(sent, T.StructType.fromDDL("_id long, user_id long, event_type string"))
+
+
 @query("cdc_rewrite_deletes", UNWRAPPED + " WHERE op = 'd'")
 def _(d):
     return changes.cdc_unwrap(envelopes(d), drop_tombstones=True).filter("__deleted")
@@ -144,9 +159,25 @@ SELECT *, {_span('second', 'ts_requested', 'ts_driver_accepted')} AS sec_request
 FROM p"""
 
 
-@query("fct_trip_status_timeline", TIMELINE_SQL)
+# The change log of trip statuses also holds deletes and first reads, which the timeline leaves out.
+CTES["o_trip_changes"] = """SELECT trip_id, event_ts, status_code, CASE WHEN epoch_ms(event_ts) // 1000 % 13 = 0 THEN 'd' WHEN epoch_ms(event_ts) // 1000 % 13 = 1 THEN 'r'
+ WHEN status_code = 'requested' THEN 'c' ELSE 'u' END AS op FROM {o_trip_events}"""
+CHANGES_SQL = TIMELINE_SQL.replace("{o_trip_events}", "(SELECT * FROM {o_trip_changes} WHERE op IN ('c', 'u'))")
+
+
+def trip_changes(d):
+    """Status changes as change events with the row before and after."""
+    part = F.unix_seconds("event_ts") % 13
+    op = F.when(part == 0, "d").when(part == 1, "r").when(F.col("status_code") == "requested", "c").otherwise("u")
+    row = F.struct("trip_id", "status_code", "event_ts")
+    shape = trip_events(d).withColumn("op", op)
+    return shape.select("op", F.when(F.col("op") == "d", row).alias("before"), F.when(F.col("op") != "d", row).alias("after"))
+
+
+@query("fct_trip_status_timeline", CHANGES_SQL)
 def _(d):
-    return timeline.fct_trip_status_timeline(trip_events(d))
+    kept = changes.op_filter(trip_changes(d)).select("after.*")
+    return timeline.fct_trip_status_timeline(kept)
 
 
 @query(

@@ -110,7 +110,55 @@ def _(d):
         quality.Rule("fare_consistency", "total_fare", quality.fare_is_inconsistent()),
         quality.Rule("timestamp_order", "requested_at", quality.timestamps_are_disordered()),
     ]
-    return quality.dq_report(d.rides, "fct_rides", row_rules, ["ride_id", "ride_code"])
+    # The fact is stored once; row rules and uniqueness then read the columns they need.
+    return quality.dq_report(d.stored("fct_rides", d.rides), "fct_rides", row_rules, ["ride_id", "ride_code"])
+
+
+# Declared checks by table: what must hold of each column.
+NOT_NULL, UNIQUE = "not_null", "unique"
+SUITES = {
+    "zones": [(UNIQUE, "zone_id"), (NOT_NULL, "zone_id"), (UNIQUE, "zone_code"), (NOT_NULL, "zone_code"), (NOT_NULL, "zone_name")],
+    "vehicle_types": [
+        (UNIQUE, "vehicle_type_id"), (NOT_NULL, "vehicle_type_id"), (UNIQUE, "type_code"), (NOT_NULL, "type_code"),
+        ("accepted_values", "type_code", ["MOTOR", "ECONOMI", "COMFORT", "SUV", "PREMIUM"]),
+    ],
+    "drivers": [
+        (UNIQUE, "driver_id"), (NOT_NULL, "driver_id"), (UNIQUE, "driver_code"), (NOT_NULL, "driver_code"), ("accepted_values", "status", ["ACTIVE", "INACTIVE", "SUSPENDED", "PENDING"]),
+    ],
+    "passengers": [
+        (UNIQUE, "passenger_id"), (NOT_NULL, "passenger_id"), (UNIQUE, "passenger_code"), (NOT_NULL, "passenger_code"), ("accepted_values", "gender", ["M", "F", "OTHER", "UNKNOWN"]),
+        ("accepted_values", "status", ["ACTIVE", "INACTIVE", "BANNED"]),
+    ],
+    "rides": [
+        (UNIQUE, "ride_id"), (NOT_NULL, "ride_id"), (UNIQUE, "ride_code"), (NOT_NULL, "ride_code"), (NOT_NULL, "passenger_id"), (NOT_NULL, "requested_at"),
+        ("accepted_values", "ride_status", domain.RIDE_STATUSES), ("accepted_range", "total_fare", 0, None), ("accepted_range", "distance_km", 0, None),
+    ],
+    "ride_events": [(UNIQUE, "event_id"), (NOT_NULL, "event_id"), (NOT_NULL, "ride_id"), (NOT_NULL, "occurred_at"), ("accepted_values", "event_type", domain.EVENT_TYPES)],
+    "payments": [(UNIQUE, "payment_id"), (NOT_NULL, "payment_id"), (NOT_NULL, "ride_id"), ("accepted_values", "payment_status", ["SUCCESS", "FAILED", "PENDING"]), ("accepted_range", "amount", 0, None)],
+    "promo_usage": [(UNIQUE, "usage_id"), (NOT_NULL, "usage_id"), (NOT_NULL, "promo_id"), ("accepted_range", "discount_given", 0, None)],
+}
+
+
+def _fails(kind: str, column: str, *args) -> str:
+    """What a check counts, as SQL."""
+    if kind == NOT_NULL:
+        return f"{column} IS NULL"
+    if kind == "accepted_values":
+        return f"{column} NOT IN ({', '.join(repr(v) for v in args[0])})"
+    return " OR ".join(f"{column} {sign} {bound}" for sign, bound in zip("<>", args) if bound is not None)
+
+
+ALL_SQL = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, '{kind}' AS check_name, '{column}' AS column_name, count(*) AS failing, count(*) = 0 AS passed FROM "
+    + (f"(SELECT {column} FROM {{{table}}} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1)" if kind == UNIQUE else f"{{{table}}} WHERE {_fails(kind, column, *args)}")
+    for table, suite in SUITES.items()
+    for kind, column, *args in suite
+)
+
+
+@query("dq_report_all", ALL_SQL)
+def _(d):
+    return quality.dq_report_all({table: (d.table(table), quality.suite(lines)) for table, lines in SUITES.items()})
 
 
 @query("dq_orphan_payments", "SELECT payment_id, ride_id FROM {payments} WHERE ride_id NOT IN (SELECT ride_id FROM {rides})")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from fleetmart.operators.history import scd2_snapshot
 from fleetmart.plans import dims, facts
-from fleetmart.session import use_session
+from fleetmart.session import run_dir, use_session
 from fleetmart.sources import adapter
 
 NOW = "2001-08-02 00:00:00"
@@ -106,7 +106,17 @@ class Data:
 
     @cached_property
     def ride_events(self) -> DataFrame:
-        return facts.fct_ride_events(self.table("ride_events"), self.rides)
+        return facts.fct_ride_events(self.table("ride_events"), self.ride_context)
+
+    @cached_property
+    def ride_context(self) -> DataFrame:
+        return facts.ride_context(self.table("rides"))
+
+    def stored(self, name: str, df: DataFrame) -> DataFrame:
+        """A table written once to the shared folder, for jobs that read it several times."""
+        path = run_dir(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
 def query(name: str, sql: str | None = None):

@@ -193,7 +193,7 @@ def _(d):
 @query("enrich_events", """SELECT e.event_id, e.ride_id, r.ride_key, r.ride_status, r.total_fare::double AS total_fare
  FROM {ride_events} e LEFT JOIN {o_rides} r USING (ride_id)""")
 def _(d):
-    return facts.enrich_events(d.table("ride_events"), d.rides).select("event_id", "ride_id", "ride_key", "ride_status", "total_fare")
+    return facts.enrich_events(d.table("ride_events"), d.ride_context).select("event_id", "ride_id", "ride_key", "ride_status", "total_fare")
 
 
 @query("enrich_drivers", """SELECT driver_id, vehicle_type_code, vehicle_category, home_zone_code, home_province FROM {o_drivers}""")

@@ -178,3 +178,21 @@ def test_label_cost(spark):
 
 def test_status_lists():
     assert set(domain.TERMINAL_STATUSES) < set(domain.RIDE_STATUSES)
+
+
+def test_lookup_compares_keys_alike_at_every_size(spark, no_broadcast):
+    """The same rows match whether the dimension counts as small or as large."""
+    dim = spark.createDataFrame([(1, "one"), (2, "two"), (0, "zero")], "dk long, v string")
+    for kind, keys in {"decimal(10,2)": ["1.00", "2.50", None, "0"], "double": ["1", "-0.0", None, "2"], "int": ["1", "2", None, "7"], "string": ["1", "02", None, "0"]}.items():
+        fact = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id int, k string").withColumn("k", F.col("k").cast(kind))
+        found = {}
+        for limit in ("1g", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            found[limit] = {r.id: r.v for r in lookup_join(fact, dim, "k", "dk", "id").collect()}
+        assert found["1g"] == found["-1"] and found["-1"][0] == "one" and found["-1"][2] is None, kind
+
+
+def test_event_fact_joins_the_rides_only(spark):
+    plan_text = Data(spark, "/root/testdata/sf0.001").ride_events._jdf.queryExecution().optimizedPlan().toString()
+    # Rides come from orders, their items, the customer's zone and the fare table; their context adds one join.
+    assert plan_text.count("Join ") <= 6
