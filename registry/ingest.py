@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from fleetmart.functions import domain
+from fleetmart.functions.keys import integer_key
 from fleetmart.operators import dedup, history, ingest, merge
 from fleetmart.operators.sequence import with_neighbour
 from fleetmart.plans import rules
@@ -280,6 +283,74 @@ def _(d):
     return ingest.ingest_table(EVENT_SPEC, raw, first, "2024-01-10T00:00:00", "2024-01-20T00:00:00", now(SNAPSHOT_NOW))
 
 
+# Upserts of whole tables: two runs over overlapping windows, the second on rows that have changed since and with a column more.
+FIRST_RUN, SECOND_RUN = "2026-05-01 00:00:00", SNAPSHOT_NOW
+RUNS = {
+    # table: key, column that changes, window ends, columns shown
+    "rides": ("ride_id", "notes", ("1992-01-01", "1996-01-01", "1995-06-01", "2010-01-01"), ["total_fare"]),
+    "drivers": ("driver_id", "vehicle_color", ("2026-01-01", "2026-03-01", "2026-02-01", "2027-01-01"), ["rating"]),
+    "payments": ("payment_id", "currency", ("1992-01-01", "1996-01-01", "1995-06-01", "2010-01-01"), ["amount"]),
+}
+
+
+def upsert_sql(table: str) -> str:
+    key, changing, (a, b, c, e), shown = RUNS[table]
+    number = f"cast(regexp_extract({key}, '([0-9]+)$', 1) AS bigint)"
+    later = f"updated_at + CASE WHEN {number} % 3 = 0 THEN INTERVAL 400 DAY ELSE INTERVAL 0 DAY END"
+    taken = lambda column: f"CASE WHEN t.{key} IS NULL OR s.updated_at > t.updated_at THEN s.{column} ELSE t.{column} END AS {column}"
+    doubles = ", ".join(f"{x}::double AS {x}" for x in shown)
+    return f"""WITH old AS (SELECT {key}, {changing}, {doubles}, updated_at, NULL::varchar AS channel, TIMESTAMP '{FIRST_RUN}' AS _ingested_at FROM {{{table}}} WHERE updated_at >= '{a}' AND updated_at < '{b}'),
+ fresh AS (SELECT {key}, CASE WHEN {number} % 3 = 0 THEN 'changed' ELSE {changing} END AS {changing}, {doubles}, {later} AS updated_at, 'app' AS channel, TIMESTAMP '{SECOND_RUN}' AS _ingested_at
+   FROM {{{table}}} WHERE {later} >= '{c}' AND {later} < '{e}')
+ SELECT coalesce(s.{key}, t.{key}) AS {key}, {', '.join(taken(x) for x in [changing, *shown, 'updated_at', 'channel', '_ingested_at'])} FROM old t FULL JOIN fresh s ON s.{key} = t.{key}"""
+
+
+def upsert(d, table):
+    key, changing, (a, b, c, e), shown = RUNS[table]
+    spec = SPECS[table]
+    wider = replace(spec, declared=spec.declared + ", channel STRING")
+    rows = d.table(table)
+    rows = rows.withColumns({name: F.lit(None).cast("string") for name in spec.types if name not in rows.columns})
+    turn = F.regexp_extract(key, "([0-9]+)$", 1).cast("long") % 3 == 0
+    later = F.when(turn, F.col("updated_at") + F.expr("INTERVAL 400 DAY")).otherwise(F.col("updated_at"))
+    changed = rows.withColumns({changing: F.when(turn, "changed").otherwise(F.col(changing)), "updated_at": later, "channel": F.lit("app")})
+    first = ingest.ingest_table(spec, rows, None, a, b, now(FIRST_RUN))
+    return ingest.ingest_table(wider, changed, first, c, e, now(SECOND_RUN)).select(key, changing, *shown, "updated_at", "channel", "_ingested_at")
+
+
+@query("ingest_rides", upsert_sql("rides"))
+def _(d):
+    return upsert(d, "rides")
+
+
+@query("ingest_drivers", upsert_sql("drivers"))
+def _(d):
+    return upsert(d, "drivers")
+
+
+@query("ingest_payments", upsert_sql("payments"))
+def _(d):
+    return upsert(d, "payments")
+
+
+USAGE_KEY = "('0x' || substr(md5(usage_id), 1, 15))::bigint"
+
+
+@query(
+    "ingest_promo_usage",
+    f"""SELECT {USAGE_KEY} AS usage_id, promo_id, ride_id, discount_given::double AS discount_given, used_at,
+        CASE WHEN used_at < '1996-01-01' THEN TIMESTAMP '{FIRST_RUN}' ELSE TIMESTAMP '{SECOND_RUN}' END AS _ingested_at FROM {{promo_usage}} WHERE used_at >= '1992-01-01' AND used_at < '2010-01-01'""",
+)
+def _(d):
+    spec = SPECS["promo_usage"]
+    rows = d.table("promo_usage").withColumn("usage_id", integer_key(F.col("usage_id")))
+    first = ingest.ingest_table(spec, rows, None, "1992-01-01", "1996-01-01", now(FIRST_RUN))
+    # The log never changes: what the second window finds again is left alone.
+    later = rows.withColumn("discount_given", F.when(F.col("used_at") < "1996-01-01", F.lit(-1).cast("decimal(12,2)")).otherwise(F.col("discount_given")))
+    both = ingest.ingest_table(spec, later, first, "1995-06-01", "2010-01-01", now(SECOND_RUN))
+    return both.select("usage_id", "promo_id", "ride_id", "discount_given", "used_at", "_ingested_at")
+
+
 # History -------------------------------------------------------------------------------------------------------------
 
 CTES["o_history"] = f"""
