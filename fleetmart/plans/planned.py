@@ -350,5 +350,11 @@ def dm_driver_monthly_summary(rides: DataFrame, payouts: DataFrame) -> DataFrame
     return out.withColumnRenamed("period", "month_key")
 
 
+def between_days(source: DataFrame, column: str, low: int, high: int) -> DataFrame:
+    """Source rows whose time falls on the days of a key range; the column stays bare, so the bounds reach a stored table's scan."""
+    first, last = (F.to_date(F.lit(str(k)), "yyyyMMdd") for k in (low, high))
+    return source.filter((F.col(column) >= first.cast("timestamp")) & (F.col(column) < F.date_add(last, 1).cast("timestamp")))
+
+
 def date_key_range(mart: DataFrame, low: int, high: int, column: str = "date_key") -> DataFrame:
     return mart.filter(F.col(column).between(low, high))

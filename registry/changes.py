@@ -41,7 +41,7 @@ def envelopes(d):
 def as_files(d, df, name, order):
     """A stream's input: the rows in several files."""
     path = run_dir(d.spark, name)
-    df.repartitionByRange(INPUT_FILES, order).write.parquet(path)
+    df.repartitionByRange(max(INPUT_FILES, d.spark.sparkContext.defaultParallelism), order).write.parquet(path)
     return path
 
 
@@ -265,13 +265,17 @@ def _(d):
 @query("stream_apply", LATEST)
 def _(d):
     env = envelopes(d)
-    path = as_files(d, env, "envelopes", "ts_ms")
-    out = run_dir(d.spark, "applied")
-    rows = landing.stream_unwrap_changes(landing.read_envelopes(d.spark, path, env.schema, max_files=1))
-    apply.stream_apply(rows, out, run_dir(d.spark, "ck"), ["customer_id"]).awaitTermination()
-    compacted = run_dir(d.spark, "base")
-    apply.compact(d.spark, out, compacted, ["customer_id"])
-    return apply.applied_state(d.spark, compacted, ["customer_id"]).select(*STATE_COLUMNS)
+    # Half of the log, folded into a base; then the other half on top. Every seventh event of the first half comes late.
+    low, high = env.agg(F.min("ts_ms"), F.max("ts_ms")).first()
+    early = (F.col("ts_ms") < (low + high) // 2) & (F.col("source.lsn") % 7 != 0)
+    path, out, ck = run_dir(d.spark, "envelopes"), run_dir(d.spark, "applied"), run_dir(d.spark, "ck")
+    for part in (early, ~early):
+        env.where(part).repartitionByRange(INPUT_FILES, "ts_ms").write.mode("append").parquet(path)
+        rows = landing.stream_unwrap_changes(landing.read_envelopes(d.spark, path, env.schema, max_files=2))
+        apply.stream_apply(rows, out, ck, ["customer_id"]).awaitTermination()
+        if part is early:
+            apply.compact(d.spark, out, ["customer_id"])
+    return apply.applied_state(d.spark, out, ["customer_id"]).select(*STATE_COLUMNS)
 
 
 @query("hourly_incremental_load", "SELECT count(*) AS rows, count(DISTINCT lsn) AS distinct_rows FROM {change_log}")

@@ -239,8 +239,10 @@ CTES["o_trip_daily"] = f"""SELECT {day('requested_at')} AS date_key, city, count
  {r(avg(done('total_fare')), 2)} AS avg_actual_fare FROM {{o_city_trips}} GROUP BY 1, 2"""
 
 
-def trip_daily(d):
-    return planned.dm_trip_daily_city(d.table("trips"), d.zones)
+def trip_daily(d, low=None, high=None):
+    """The mart of all days, or of a range of days from the trips of these days alone."""
+    trips = d.table("trips")
+    return planned.dm_trip_daily_city(trips if low is None else planned.between_days(trips, "requested_at", low, high), d.zones)
 
 
 @query("dm_trip_daily_city", "SELECT * FROM {o_trip_daily}")
@@ -250,7 +252,7 @@ def _(d):
 
 @query("date_key_range", "SELECT * FROM {o_trip_daily} WHERE date_key BETWEEN 19970101 AND 19970131")
 def _(d):
-    return planned.date_key_range(trip_daily(d), 19970101, 19970131)
+    return planned.date_key_range(trip_daily(d, 19970101, 19970131), 19970101, 19970131)
 
 
 LISTING = "SELECT date_key, city, total_trip_requested, total_trip_completed, total_trip_cancelled, completion_rate, cancellation_rate"
@@ -258,7 +260,7 @@ LISTING = "SELECT date_key, city, total_trip_requested, total_trip_completed, to
 
 @query("order_mart_queries", LISTING + " FROM {o_trip_daily} WHERE date_key BETWEEN 19970101 AND 19970131 ORDER BY date_key, city NULLS FIRST")
 def _(d):
-    out = planned.date_key_range(trip_daily(d), 19970101, 19970131)
+    out = planned.date_key_range(trip_daily(d, 19970101, 19970131), 19970101, 19970131)
     return out.select(
         "date_key", "city", "total_trip_requested", "total_trip_completed", "total_trip_cancelled", "completion_rate", "cancellation_rate"
     ).orderBy("date_key", "city")
@@ -322,8 +324,9 @@ CTES["o_promo_daily"] = f"""SELECT {day('u.used_at')} AS date_key, p.promo_code,
         FROM {{promo_usage}} u LEFT JOIN {{rides}} t ON t.ride_id = u.ride_id LEFT JOIN {{promotions}} p ON p.promo_id = u.promo_id GROUP BY 1, 2, 3"""
 
 
-def promo_daily(d):
-    return planned.dm_promo_daily(d.table("promo_usage"), d.table("promotions"), d.table("rides"))
+def promo_daily(d, low=None, high=None):
+    usage = d.table("promo_usage")
+    return planned.dm_promo_daily(usage if low is None else planned.between_days(usage, "used_at", low, high), d.table("promotions"), d.table("rides"))
 
 
 @query("dm_promo_daily", "SELECT * FROM {o_promo_daily}")
@@ -336,7 +339,7 @@ PROMO_LISTING = "date_key, promo_code, total_redemption, total_discount_amount,
 
 @query("order_promo_listing", f"SELECT {PROMO_LISTING} FROM {{o_promo_daily}} WHERE date_key BETWEEN 19970101 AND 19970131 ORDER BY total_redemption DESC")
 def _(d):
-    out = planned.date_key_range(promo_daily(d), 19970101, 19970131)
+    out = planned.date_key_range(promo_daily(d, 19970101, 19970131), 19970101, 19970131)
     return out.select(*PROMO_LISTING.split(", ")).orderBy(F.desc("total_redemption"))
 
 
@@ -374,7 +377,8 @@ DRIVER_LISTING = "date_key, driver_id, city, total_trip_completed, avg_rating_sc
 
 @query("order_driver_listing", f"SELECT {DRIVER_LISTING} FROM {{o_driver_daily}} WHERE date_key = 19980615 ORDER BY total_trip_completed DESC")
 def _(d):
-    out = planned.date_key_range(planned.dm_driver_daily_performance(d.rides, d.table("payouts")), 19980615, 19980615)
+    rides = planned.between_days(d.rides, "requested_at", 19980615, 19980615)
+    out = planned.date_key_range(planned.dm_driver_daily_performance(rides, d.table("payouts")), 19980615, 19980615)
     return out.select(*DRIVER_LISTING.split(", ")).orderBy(F.desc("total_trip_completed"))
 
 

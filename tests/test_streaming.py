@@ -46,13 +46,25 @@ def test_apply_resumes_from_its_checkpoint(spark):
     assert [r.v for r in apply.applied_state(spark, out, ["id"]).collect()] == ["2"]
 
 
-def test_compaction_keeps_deletes_in_force(spark):
-    rows = [("a", "1", 5, 1, False), ("a", "1", 9, 2, True)]
-    path, out, base = write(spark, rows, CHANGE), run_dir(spark, "applied"), run_dir(spark, "base")
-    apply.stream_apply(stream(spark, path, CHANGE, 10), out, run_dir(spark, "ck"), ["id"]).awaitTermination()
-    apply.compact(spark, out, base, ["id"])
-    spark.createDataFrame([("a", "old", 7, 3, False)], CHANGE).write.parquet(f"{base}/batch_id=1")
-    assert apply.applied_state(spark, base, ["id"]).count() == 0
+def test_compaction_keeps_deletes_in_force_and_takes_further_batches(spark):
+    path, out, ck = write(spark, [("a", "1", 5, 1, False), ("a", "1", 9, 2, True), ("b", "1", 1, 3, False)], CHANGE), run_dir(spark, "applied"), run_dir(spark, "ck")
+    run = lambda: apply.stream_apply(stream(spark, path, CHANGE, 10), out, ck, ["id"]).awaitTermination()
+    state = lambda: {r.id: r.v for r in apply.applied_state(spark, out, ["id"]).collect()}
+    run()
+    apply.compact(spark, out, ["id"])
+    assert state() == {"b": "1"}
+    for v, t in (("2", 10), ("3", 11)):
+        spark.createDataFrame([("a", "old", 7, 4, False), ("b", v, t, t, False)], CHANGE).write.mode("append").parquet(path)
+        run()
+        assert state() == {"b": v}
+        apply.compact(spark, out, ["id"])
+        assert state() == {"b": v}
+    # A base without its success mark and batches that a base already holds do not count.
+    spark.createDataFrame([("c", "x", 99, 99, False)], CHANGE).write.parquet(f"{out}/batch_id=0")
+    broken = f"{out}/{apply.BASE}/upto=99"
+    spark.createDataFrame([("d", "x", 99, 99, False)], CHANGE).write.parquet(broken)
+    apply.remove_path(spark, f"{broken}/_SUCCESS")
+    assert state() == {"b": "3"}
 
 
 def test_landing_folders_follow_local_wall_clock(spark):
