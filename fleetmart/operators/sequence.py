@@ -2,9 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ROWS_PER_SLICE = 1_000_000
+
+
+def row_slices(df: DataFrame, column: str, rows_per_slice: int = ROWS_PER_SLICE) -> Column:
+    """A slice for ``with_neighbour`` with about so many rows of the whole table, so that no key has more in one slice.
+
+    The cuts are quantiles of the time column, found in one pass; more rows than that stay together only where they
+    carry one and the same time. One number per slice comes to the driver.
+    """
+    us = F.unix_micros(F.col(column).cast("timestamp"))
+    parts = -(-df.count() // rows_per_slice)
+    if parts < 2:
+        return F.lit(0).cast("long")
+    shares = F.array(*[F.lit(k / parts) for k in range(1, parts)])
+    cuts = df.agg(F.percentile_approx(us, shares, F.lit(100 * parts)).alias("cuts")).first()["cuts"]
+    cuts = sorted(set(cuts or []))
+
+    def place(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for values in batches:
+            yield pd.Series(np.searchsorted(cuts, values.to_numpy(), side="right"))
+
+    placed = F.pandas_udf(place, "long")
+    return F.when(us.isNotNull(), placed(F.coalesce(us, F.lit(0))))
+
 
 def with_neighbour(
     df: DataFrame, keys: list[str], order: list[str], values: dict[str, str], slice_by: Column, previous: bool = False
@@ -12,7 +40,7 @@ def with_neighbour(
     """Adds values of the next (or previous) row per key, in ``order``.
 
     ``values`` maps a new column to the column it is taken from. ``slice_by`` is a coarse, non-decreasing function of
-    the order (such as its day or year): rows are sorted per (key, slice) only, and the row at the edge of a slice takes
+    the order (such as its day or year, or ``row_slices``, which bounds the rows of a slice): rows are sorted per (key, slice) only, and the row at the edge of a slice takes
     the nearest row of the neighbouring slice from a small table with one row per (key, slice). The outcome equals a
     plain lead or lag; a key holding a large share of the rows is spread over its slices.
     """

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fleetmart.functions import domain
 from fleetmart.functions.keys import integer_key
 from fleetmart.operators import dedup, history, ingest, merge
-from fleetmart.operators.sequence import with_neighbour
+from fleetmart.operators.sequence import row_slices, with_neighbour
 from fleetmart.plans import rules
 from fleetmart.sources.contracts import SPECS
 from registry.core import CTES, NOW, SNAPSHOT_NOW, now, query, today
@@ -455,7 +455,8 @@ def _(d):
 
 @query("version_chaining", "SELECT customer_id, lsn, lag(lsn) OVER (PARTITION BY customer_id ORDER BY ts, lsn) AS previous_lsn, lead(lsn) OVER (PARTITION BY customer_id ORDER BY ts, lsn) AS next_lsn FROM {change_log}")
 def _(d):
-    cut = F.date_trunc("year", "ts")
+    # A slice has about 5,000 rows whatever their dates and keys are.
+    cut = row_slices(d.table("change_log"), "ts", 5000)
     chained = with_neighbour(d.table("change_log"), ["customer_id"], ["ts", "lsn"], {"next_lsn": "lsn"}, cut)
     chained = with_neighbour(chained, ["customer_id"], ["ts", "lsn"], {"previous_lsn": "lsn"}, cut, previous=True)
     return chained.select("customer_id", "lsn", "previous_lsn", "next_lsn")

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fleetmart.operators import changes, history, merge, sinks
-from fleetmart.operators.sequence import with_neighbour
+from fleetmart.operators.sequence import row_slices, with_neighbour
 from fleetmart.session import run_dir
 
 
@@ -100,6 +100,21 @@ def test_neighbour_equals_plain_window_also_for_a_hot_key(spark, previous):
     assert sorted(map(tuple, sliced.select("k", "v", "o").collect()), key=str) == sorted(map(tuple, plain.select("k", "v", "o").collect()), key=str)
 
 
+@pytest.mark.parametrize("previous", [False, True])
+def test_row_slices_bound_a_hot_key_within_a_day(spark, previous):
+    rng = random.Random(5)
+    rows = [("hot", when(3) + dt.timedelta(seconds=rng.randrange(86_000)), i) for i in range(1200)] + [(f"k{rng.randrange(9)}", when(rng.randrange(1, 20)), i) for i in range(800)] + [("hot", None, -1), (None, when(3), -2)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, v int")
+    cut = row_slices(df, "ts", 100)
+    sizes = [r.n for r in df.groupBy("k", cut.alias("s")).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) < 250 and len(sizes) > 20
+    w = Window.partitionBy("k").orderBy("ts", "v")
+    plain = df.withColumn("o", (F.lag if previous else F.lead)("v").over(w))
+    sliced = with_neighbour(df, ["k"], ["ts", "v"], {"o": "v"}, cut, previous)
+    assert sorted(map(str, sliced.select("k", "v", "o").collect())) == sorted(map(str, plain.select("k", "v", "o").collect()))
+    assert df.select(row_slices(df, "ts")).distinct().count() == 1
+
+
 def test_neighbour_shuffles_the_rows_once(spark, no_broadcast, plan):
     df = spark.range(1000).select((F.col("id") % 7).cast("string").alias("k"), F.timestamp_seconds(F.col("id") * 999).alias("ts"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
     text = plan(with_neighbour(df, ["k"], ["ts"], {"next_ts": "ts"}, F.date_trunc("day", "ts"))).split("== Physical Plan ==")[-1]
