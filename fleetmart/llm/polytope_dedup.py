@@ -5,9 +5,10 @@ cross-polytope, that is the largest component and its sign. Several hashes toget
 vector also visits the buckets that the second largest component of one hash would give. Vectors that meet in a bucket
 are compared by their exact cosine.
 
-Equal vectors of one label are one class. Buckets with the same members are compared once; larger ones are cut into
-blocks and every two blocks are one task. A pair is counted only in the least bucket that its vectors share, so numbers
-of links are sums of what the tasks count and no pair is ever listed.
+Equal vectors of one label are one class. Buckets with the same members are compared once. Small buckets list their
+pairs; larger ones are cut into blocks and every two blocks are one task that hands on counts and no pairs. A pair that
+shares a small bucket is counted there, any other in the least bucket that its vectors share, so numbers of links are
+sums.
 """
 
 from __future__ import annotations
@@ -32,7 +33,9 @@ class PolytopeDedup:
 
     cosine: float = 0.98
     tables: int = 8
-    hashes: int = 2
+    hashes: int = 3
+    #: Buckets up to this size list their pairs.
+    listed: int = 32
     block: int = 512
     seed: int = 23
 
@@ -94,28 +97,52 @@ def _hasher(p: PolytopeDedup):
     return run
 
 
+def _confirmer(p: PolytopeDedup):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                close = np.zeros(batch.num_rows, bool)
+                for rows, x in by_length(batch.column("vector_a")):
+                    # Vectors of a bucket have one length.
+                    y = matrix(batch.column("vector_b").take(pa.array(rows)))
+                    close[rows] = (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1))) >= p.cosine
+                yield batch.select(["a", "b", "members_a", "members_b"]).filter(pa.array(close))
+
+    return run
+
+
+def _lists(column: pa.Array) -> np.ndarray:
+    """(row, place) of a list column of numbers; places without a number hold one that no other row has."""
+    lists = column.to_pylist()
+    out = np.iinfo(np.int64).min + np.arange(len(lists))[:, None] + np.zeros((1, max([1, *(len(x) for x in lists if x)])), np.int64)
+    for i, x in enumerate(lists):
+        if x:
+            out[i, : len(x)] = x
+    return out
+
+
 def _block_counter(p: PolytopeDedup):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         here, one, two = (k.as_py() for k in key)
         ids, first = np.unique(rows.column("rep").to_numpy(), return_index=True)
         rows = rows.take(pa.array(first)).combine_chunks()
         weight, block = rows.column("members").to_numpy(), rows.column("block").to_numpy()
-        x = matrix(rows.column("vector"))
-        # Rows are scaled to length one, so the product is the cosine.
-        y = unit(x)
+        y = unit(matrix(rows.column("vector")))
         close = y @ y.T >= p.cosine
         if one != two:
             close &= block[:, None] != block[None, :]
         i, j = np.nonzero(np.triu(close, 1))
-        lists = rows.column("kept").to_pylist()
-        width = max(len(k) for k in lists)
-        kept = np.array([k + [k[0]] * (width - len(k)) for k in lists], np.int64)
+        small, large = _lists(rows.column("small")), _lists(rows.column("large"))
+        mine = np.ones(len(i), bool)
+        for a in range(small.shape[1]):
+            for b in range(small.shape[1]):
+                mine &= small[i, a] != small[j, b]
         least = np.full(len(i), np.iinfo(np.int64).max)
-        for a in range(width):
-            for b in range(width):
-                same = kept[i, a] == kept[j, b]
-                least[same] = np.minimum(least[same], kept[i[same], a])
-        mine = least == here
+        for a in range(large.shape[1]):
+            for b in range(large.shape[1]):
+                same = large[i, a] == large[j, b]
+                least[same] = np.minimum(least[same], large[i[same], a])
+        mine &= least == here
         i, j = i[mine], j[mine]
         links = np.bincount(i, weight[j], len(ids)) + np.bincount(j, weight[i], len(ids))
         linked = np.zeros((len(ids), len(ids)), bool)
@@ -149,15 +176,30 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 
     met = hashed.select("rep", F.explode(F.array_distinct("buckets")).alias("bucket"))
     size = met.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("same")).where("n > 1")
-    once = work.save(size.groupBy("n", "same").agg(F.min("bucket").alias("bucket")).select("bucket", F.ceil(F.col("n") / params.block).cast("int").alias("parts")), "once")
+    once = size.groupBy("n", "same").agg(F.min("bucket").alias("bucket"))
+    once = work.save(once.select("bucket", "n", F.ceil(F.col("n") / params.block).cast("int").alias("parts")), "once")
     placed = work.save(met.join(once, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")), "placed")
-    kept = placed.groupBy("rep").agg(F.sort_array(F.collect_list("bucket")).alias("kept"))
-    vectors = classes.select("rep", "members", "vector").join(kept, "rep")
-    # Block k of a bucket meets every block: the smaller of two blocks comes first in the name of their task.
-    sent = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    sent = sent.select("rep", "bucket", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
-    found = sent.join(vectors, "rep").groupBy("bucket", "one", "two").applyInArrow(_block_counter(params), "rep long, links long, root long")
-    found = work.save(found, "found")
+    vectors = classes.select("rep", "members", "vector")
+
+    small = placed.where(F.col("n") <= params.listed).select("bucket", "rep")
+    pairs = small.select("bucket", F.col("rep").alias("a")).join(small.select("bucket", F.col("rep").alias("b")), "bucket").where("a < b").select("a", "b").distinct()
+    side = lambda k: vectors.select(F.col("rep").alias(k), F.col("members").alias(f"members_{k}"), F.col("vector").alias(f"vector_{k}"))
+    listed = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_confirmer(params), "a long, b long, members_a long, members_b long")
+    listed = work.save(listed, "listed")
+    found = listed.select(F.col("a").alias("rep"), F.col("members_b").alias("links"), F.col("b").alias("root")).unionByName(
+        listed.select(F.col("b").alias("rep"), F.col("members_a").alias("links"), F.col("a").alias("root"))
+    )
+
+    large = placed.where(F.col("n") > params.listed)
+    if not large.isEmpty():
+        held = lambda few: F.collect_list(F.when(few, F.col("bucket")))
+        kept = placed.groupBy("rep").agg(held(F.col("n") <= params.listed).alias("small"), held(F.col("n") > params.listed).alias("large"))
+        # Block k of a bucket meets every block: the smaller of two blocks comes first in the name of their task.
+        sent = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        sent = sent.select("rep", "bucket", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
+        sent = sent.join(vectors, "rep").join(kept, "rep")
+        blocks = sent.groupBy("bucket", "one", "two").applyInArrow(_block_counter(params), "rep long, links long, root long")
+        found = found.unionByName(work.save(blocks, "blocks"))
 
     groups = work.save(components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), work), "groups")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))

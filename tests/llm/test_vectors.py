@@ -45,7 +45,7 @@ def test_hadamard_keeps_lengths():
     assert np.allclose((x * x).sum(1), (y * y).sum(1)) and np.allclose(polytope_dedup.hadamard(y), x)
 
 
-@pytest.mark.parametrize("params", [PolytopeDedup(tables=16), PolytopeDedup(tables=16, block=5)])
+@pytest.mark.parametrize("params", [PolytopeDedup(tables=24), PolytopeDedup(tables=24, listed=2, block=5), PolytopeDedup(tables=24, hashes=2, listed=9, block=5)])
 def test_links_equal_brute_force(spark, vectors, params):
     links, parent = {i: 0 for i, _, _ in vectors}, {i: i for i, _, _ in vectors}
 
