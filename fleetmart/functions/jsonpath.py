@@ -35,11 +35,6 @@ def json_as(doc: Column, key: str, type_name: str) -> Column:
     return json_scalar(doc, key).try_cast(type_name)
 
 
-def first_scalar(doc: Column, *keys: str) -> Column:
-    """First key that has a scalar; serves documents written under different key names."""
-    return F.coalesce(*[json_scalar(doc, k) for k in keys])
-
-
 GATEWAY_FIELDS = [
     # Output column, path, type.
     ("gateway_name", "$.gateway", "string"),

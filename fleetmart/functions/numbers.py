@@ -25,20 +25,7 @@ def percent(part: Column, whole: Column, places: int = 2) -> Column:
     return round_to(ratio(part, whole) * F.lit(100.0), places)
 
 
-def exact_sum(value: Column) -> Column:
-    return F.sum(value)
-
 
 def mean(value: Column) -> Column:
     """Average of a decimal or integer column: exact sum over the number of non-NULL values."""
     return ratio(F.sum(value), F.count(value))
-
-
-def only_when(condition: Column, value: Column) -> Column:
-    """The value on matching rows and NULL elsewhere, so a group without a match sums to NULL."""
-    return F.when(condition, value)
-
-
-def or_zero(condition: Column, value: Column, zero_type: str) -> Column:
-    """The value on matching rows and 0 elsewhere, so a group without a match sums to 0."""
-    return F.when(condition, value).otherwise(F.lit(0).cast(zero_type))

@@ -277,12 +277,6 @@ def most_frequent(df: DataFrame, group: list[str], value: str) -> DataFrame:
     return top_per_group(counts, group, value, "_n")
 
 
-def most_frequent_approx(df: DataFrame, group: list[str], value: str, tracked: int = 1000) -> DataFrame:
-    """Sketch form: one pass, bounded memory per group."""
-    top = F.expr(f"element_at(approx_top_k({value}, 1, {tracked}), 1).item")
-    return df.groupBy(*group).agg(top.alias(value))
-
-
 def label_cost_rollup(jobs: DataFrame, label_key: str) -> DataFrame:
     """Billed bytes by the value of one label; ``labels`` is an array of (key, value)."""
     labels = jobs.select("total_bytes_billed", F.explode("labels").alias("label"))
