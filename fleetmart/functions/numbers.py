@@ -25,7 +25,6 @@ def percent(part: Column, whole: Column, places: int = 2) -> Column:
     return round_to(ratio(part, whole) * F.lit(100.0), places)
 
 
-
 def mean(value: Column) -> Column:
     """Average of a decimal or integer column: exact sum over the number of non-NULL values."""
     return ratio(F.sum(value), F.count(value))
