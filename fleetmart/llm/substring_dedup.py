@@ -176,21 +176,22 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
 
     halves = work.save(known.mapInArrow(_half_windows(length), "doc_id long, lo int, hi int, half long, stretch long"), "halves")
     repeated = halves.groupBy("half").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1")).where("d0 < d1").select("half")
-    hits = work.save(halves.join(repeated, "half"), "hits")
+    # The small side of each join is written first: a join of two plain shuffles is one whose hot keys AQE can split.
+    hits = work.save(halves.join(work.save(repeated, "repeated"), "half"), "hits")
     work.drop(halves)
 
     # A document may hold its stretch at several places; the least document keeps them all.
-    least = hits.groupBy("half", "stretch").agg(F.min("doc_id").alias("least_doc"))
+    least = work.save(hits.groupBy("half", "stretch").agg(F.min("doc_id").alias("least_doc")), "least")
     told = work.save(hits.join(least, ["half", "stretch"]), "told")
     work.drop(hits)
     copied = told.where("doc_id > least_doc").select("doc_id", "lo", "hi")
     first = told.where("doc_id = least_doc")
     open_halves = first.groupBy("half").agg(F.min("stretch").alias("s0"), F.max("stretch").alias("s1")).where("s0 <> s1").select("half")
-    stretches = first.join(open_halves, "half").groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    stretches = first.join(work.save(open_halves, "open"), "half").groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     full = known.join(stretches, "doc_id").select("doc_id", "text", "ranges").mapInArrow(_full_windows(length), "full long, doc_id long, start int")
     full = work.save(full, "full")
     source = full.groupBy("full").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1")).where("d0 < d1").select("full", "d0")
-    later = full.join(source, "full").where("doc_id > d0").select("doc_id", F.col("start").alias("lo"), F.col("start").alias("hi"))
+    later = full.join(work.save(source, "source"), "full").where("doc_id > d0").select("doc_id", F.col("start").alias("lo"), F.col("start").alias("hi"))
 
     gone = copied.unionByName(later).groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     schema = "doc_id long, n_words long, n_removed long, kept_text string"
