@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import source_mixing
+from fleetmart.llm import checking_sql, source_mixing
 from fleetmart.llm.block_labeller import extract_main_text
 from fleetmart.llm.language import predict_language, remainder
 from fleetmart.llm.minmax_dedup import MinMaxDedup, near_duplicates
@@ -90,4 +90,9 @@ QUERIES = {
     "op9_multi_index": op9_multi_index,
     "op10_substring_dedup": op10_substring_dedup,
 }
-ORACLES: dict[str, str] = {"op6_source_mixing": source_mixing.SQL}
+ORACLES: dict[str, str] = {
+    "op6_source_mixing": source_mixing.SQL,
+    "op7_polytope_dedup": checking_sql.OP7,
+    "op8_minmax_dedup": checking_sql.OP8,
+    "op10_substring_dedup": checking_sql.OP10,
+}
