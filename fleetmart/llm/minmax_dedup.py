@@ -198,7 +198,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     rows = classes.select("rep", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.count("*").alias("members")).where("members > 1")
-    met = work.save(rows.join(shared.select("bucket", "pivot"), "bucket"), "met")
+    # The small side is written first: a join of two plain shuffles is one whose hot keys AQE can split.
+    met = work.save(rows.join(work.save(shared.select("bucket", "pivot"), "shared"), "bucket"), "met")
     candidates = work.save(
         texts.join(met.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text")), "texts"
     )
@@ -233,7 +234,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = told.groupBy("bucket").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("same")
     ).where("low < high")
-    told = work.save(told.join(mixed.select("bucket", "members", "same"), "bucket").select("bucket", "members", "same", "rep", "component"), "mixed")
+    told = work.save(told.join(work.save(mixed.select("bucket", "members", "same"), "mixed"), "bucket").select("bucket", "members", "same", "rep", "component"), "mixed")
 
     small = told.where(F.col("members") <= params.listed).join(classes.select("rep", "n_shingles"), "rep")
     x, y = (small.select("bucket", *[F.col(c).alias(c + side) for c in ("rep", "component", "n_shingles")]) for side in ("_x", "_y"))
