@@ -182,6 +182,8 @@ def train(labelled: DataFrame, work: Workspace, params: LanguageModel = Language
     Two numbers per language and the counted contexts of the bounded sample come to the driver.
     """
     sums = labelled.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).where("bytes > 0")
+    # Written first, so its size is known before the join and a small one does not make the texts move.
+    sums = work.save(sums, "languages")
     share = F.least(F.lit(1.0), F.lit(float(params.bytes_per_language)) / F.col("bytes"))
     drawn = labelled.join(sums, "lang").where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1_000_000)) < share * 1_000_000)
     counted = drawn.select("lang", "text").mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
