@@ -1,9 +1,10 @@
 """A hierarchical Pitman-Yor language model over words.
 
 Restaurants: one per context, all with the same parent, the restaurant of single words, whose own base is uniform over
-the words known and one unknown word. The context of a word is the word before it if that is frequent (at least one in
-``context_part`` of all tokens, so there are at most that many contexts), else the context that all rarer words share;
-the start of a text is a context too.
+the words known and one unknown word. The context of a word is the word before it; the start of a text is a context too.
+Module ``word_contexts`` seats this model. With ``context_part`` only a frequent word before it (at least one in
+``context_part`` of all tokens, so there are at most that many contexts) is a context of its own, all rarer words share one,
+and what follows here and in this module holds.
 
 Customers are counted over the whole training text. Per dish only the number of tables matters, and Gibbs sampling
 draws it from its conditional distribution: generalised Stirling numbers times the strength of the restaurant times the
@@ -36,7 +37,8 @@ OTHER, START = 0, 1
 class PitmanYor:
     """Parameters."""
 
-    context_part: int = 200
+    #: None: every previous word has its restaurant. A number: only words of at least that part of all tokens.
+    context_part: int | None = None
     strength: float = 1.0
     burn_in: int = 2
     samples: int = 4
@@ -355,8 +357,8 @@ class FittedModel:
     train_tokens: int
 
 
-def fit(texts: DataFrame, work: Workspace, params: PitmanYor = PitmanYor()) -> FittedModel:
-    """Counts and seats the training texts (column text)."""
+def fit(texts: DataFrame, work: Workspace, params: PitmanYor = PitmanYor(context_part=200)) -> FittedModel:
+    """Counts and seats the training texts (column text) with the contexts of ``context_part``."""
     counted = work.save(texts.mapInArrow(_count_words, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")), "words")
     row = counted.agg(F.count("*").alias("v"), F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).first()
     n_words, tokens = row["v"], row["n"] or 0
@@ -407,6 +409,10 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     """
     work = Workspace(docs.sparkSession, "pitman-yor")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), held_out.alias("held_out"))
+    if params.context_part is None:
+        from fleetmart.llm import word_contexts
+
+        return word_contexts.score(texts, work, params, SCORES)
     model = fit(texts.where(~F.col("held_out")).select("text"), work, params)
     blocks = max(1, -(-model.train_tokens // params.block_tokens))
     dealt = texts.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).repartition(blocks, "block")

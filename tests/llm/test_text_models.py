@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fleetmart.llm import packing, pitman_yor, source_mixing
+from fleetmart.llm import packing, pitman_yor, source_mixing, word_contexts
 from fleetmart.llm.language import ContextTrees, LanguageModel, predict_language, remainder
 from fleetmart.llm.packing import Packing, pack_documents
 from fleetmart.llm.queries import ORACLES, QUERIES
@@ -276,6 +276,33 @@ def test_probabilities_add_up_to_one(spark):
         assert total == pytest.approx(1)
 
 
+def test_rare_words_have_their_own_context(spark, documents):
+    """A flat corpus: no word makes up one in 200 of the tokens, and every word foretells the next one."""
+    rng = random.Random(4)
+    texts = [" ".join(f"w{(i + k) % 400}" for k in range(40)) for i in (rng.randrange(400) for _ in range(300))]
+    docs = documents([(i, t, None, None) for i, t in enumerate(texts)])
+    held = [r for r in pitman_yor.score_documents(docs, F.col("doc_id") % 7 == 2).collect() if r["held_out"]]
+    assert sum(r["score"] for r in held) / sum(r["n_tokens"] for r in held) > -0.6
+    assert sum(r["base_score"] for r in held) / sum(r["n_tokens"] for r in held) < -2
+
+
+def test_all_contexts_add_up_to_one(spark, monkeypatch):
+    monkeypatch.setattr(word_contexts, "PIECE", 2)
+    texts = ["a b a c", "a b", "", "b b b a c d", "a a", "c a d a", "d b c b"] * 3
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    model = word_contexts.fit(df, pitman_yor.Workspace(spark, "t"))
+    words = {r["w"]: r for r in model.words.collect()}
+    pairs = {r["key"]: r["v"] for r in model.pairs.collect()}
+    keys = np.array(list(words), np.int64).view(np.uint64)
+    used = 0
+    for u, row in words.items():
+        mine = word_contexts.pair_keys(keys, np.full(len(keys), u, np.int64).view(np.uint64)).view(np.int64).tolist()
+        used += sum(k in pairs for k in mine)
+        own = sum(pairs.get(k, 0.0) for k in mine) / (model.parent.strength + row["c"])
+        assert own + row["back"] * (model.parent.chance(0.0, 0.0) + sum(r["p"] for r in words.values())) == pytest.approx(1)
+    assert used == len(pairs) == len({(a, b) for t in texts for a, b in zip([None, *t.split()], [*t.split(), None])})
+
+
 def test_scores_of_odd_rows(documents):
     docs = documents([(1, "A b", None, None), (1, "A b", None, None), (None, "b c", None, None), (2, None, None, None), (3, "", None, None), (4, "a " * 60_000, None, None)])
     got = pitman_yor.score_documents(docs, remainder("doc_id", 7) == 2).collect()
