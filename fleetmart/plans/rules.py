@@ -161,7 +161,8 @@ def free_drivers(drivers: DataFrame, open_rides: DataFrame) -> DataFrame:
 
 
 def max_ride_sequence(rides: DataFrame) -> DataFrame:
-    """Highest sequence number among well-formed ride codes, 0 when there is none."""
+    """Highest sequence number among well-formed ride codes, 0 when there is none. Well-formed are the six digits of the
+    generator and of the checking SQL; codes with longer numbers are left out on purpose."""
     number = F.when(F.col("ride_code").rlike(RIDE_CODE_PATTERN), F.regexp_extract("ride_code", RIDE_CODE_PATTERN, 2)).try_cast("long")
     return rides.agg(F.coalesce(F.max(number), F.lit(0).cast("long")).alias("max_sequence"))
 

@@ -365,7 +365,8 @@ CANDIDATE = "left(ride_code, 14) || lpad(((right(ride_code, 6)::bigint + CASE WH
 )
 def _(d):
     step = F.when(F.col("ride_code").endswith("0"), 0).otherwise(1)
-    number = (F.substring("ride_code", 15, 6).cast("long") + step) % 1000000
+    # The last six digits, as in the SQL, also where a longer key makes the code longer.
+    number = (F.right("ride_code", F.lit(6)).cast("long") + step) % 1000000
     rides = d.table("rides")
     wanted = rides.select("ride_id", F.concat(F.substring("ride_code", 1, 14), F.lpad(number.cast("string"), 6, "0")).alias("code"))
     return rules.code_exists(wanted, rides.withColumnRenamed("ride_code", "code"), "code")
