@@ -181,11 +181,15 @@ def train(labelled: DataFrame, work: Workspace, params: LanguageModel = Language
 
     Two numbers per language and the counted contexts of the bounded sample come to the driver.
     """
-    sums = labelled.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).where("bytes > 0")
+    # A row without an id is drawn by its text.
+    hashed = labelled.withColumn("_hash", F.when(F.col("id").isNotNull(), F.xxhash64("id", F.lit("sample"))).otherwise(F.xxhash64("text", F.lit("sample"))))
+    size = F.octet_length("text")
+    sums = hashed.groupBy("lang").agg(F.sum(size).alias("bytes"), F.min(F.when(size > 0, F.col("_hash"))).alias("_least")).where("bytes > 0")
     # Written first, so its size is known before the join and a small one does not make the texts move.
     sums = work.save(sums, "languages")
     share = F.least(F.lit(1.0), F.lit(float(params.bytes_per_language)) / F.col("bytes"))
-    drawn = labelled.join(sums, "lang").where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1_000_000)) < share * 1_000_000)
+    # The least hash of a language is always taken, so a language of few and very long texts is learned too.
+    drawn = hashed.join(sums, "lang").where((F.pmod("_hash", F.lit(1_000_000)) < share * 1_000_000) | (F.col("_hash") == F.col("_least")))
     counted = drawn.select("lang", "text").mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     if not len(counted):
         return None

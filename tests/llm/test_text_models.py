@@ -151,6 +151,16 @@ def test_mix_of_odd_rows(documents):
     assert source_mixing.mix_sources(docs.limit(0)).count() == 0 and source_mixing.mixed_documents(docs.limit(0)).count() == 0
 
 
+def test_language_of_long_texts_is_learned_without_ids(spark):
+    """A sample of 10 bytes draws none of these texts by its share; the least hash of each language is taken all the same."""
+    texts = [("x", "aab " * 500), ("y", "ccd " * 500), ("z", "eef " * 500)]
+    for with_id in (True, False):
+        rows = [(i if with_id else None, t, l, True) for i, (l, t) in enumerate(texts)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string, train boolean")
+        got = predict_language(df, ["lang"], F.col("train"), params=LanguageModel(bytes_per_language=10)).collect()
+        assert sorted((r["lang"], r["lang_pred"]) for r in got) == [("x", "x"), ("y", "y"), ("z", "z")]
+
+
 # packing
 
 
