@@ -120,3 +120,18 @@ def test_neighbours_of_odd_rows(spark):
     got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in nearest_vectors(df, df.where("vec_id % 50 = 0")).collect())
     assert got == [(0, 1, 1, 1.0), (0, 2, 2, 0.0)]
     assert nearest_vectors(df.limit(0), df).count() == 0
+
+
+def test_registered_parameters_find_all_links(spark):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((600, 64))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    y = rng.standard_normal((600, 64))
+    y -= (x * y).sum(1, keepdims=True) * x
+    y /= np.sqrt((y * y).sum(1, keepdims=True))
+    near = rng.uniform(0.9805, 0.99, (600, 1))
+    both = np.concatenate((x, near * x + np.sqrt(1 - near**2) * y)).astype(np.float32).astype(float)
+    unit = both / np.sqrt((both * both).sum(1, keepdims=True))
+    links = (unit @ unit.T >= 0.98).sum(1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in near_vectors(table(spark, [(i, list(v), 1) for i, v in enumerate(both)]), params=PolytopeDedup()).collect()}
+    assert links.sum() >= 1200 and got == dict(enumerate(links.tolist()))
