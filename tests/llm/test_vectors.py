@@ -135,3 +135,19 @@ def test_registered_parameters_find_all_links(spark):
     links = (unit @ unit.T >= 0.98).sum(1) - 1
     got = {r["vec_id"]: r["n_links"] for r in near_vectors(table(spark, [(i, list(v), 1) for i, v in enumerate(both)]), params=PolytopeDedup()).collect()}
     assert links.sum() >= 1200 and got == dict(enumerate(links.tolist()))
+
+
+def test_recall_of_registered_parameters(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((6000, 64))
+    df = table(spark, [(i, list(v), 0) for i, v in enumerate(x)])
+    got = {}
+    for r in nearest_vectors(df, df.where("vec_id % 100 = 0"), params=MultiIndex(neighbours=5)).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    hits = 0
+    for q in range(0, 6000, 100):
+        c = x @ x[q]
+        c[q] = -2
+        hits += len(set(np.argsort(-c)[:5].tolist()) & got[q])
+    assert hits / 300 >= 0.9
