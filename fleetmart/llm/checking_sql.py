@@ -50,3 +50,39 @@ placed AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS q FR
 kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY q) AS t, count(*) AS n FROM placed ANTI JOIN gone USING (doc_id, q) GROUP BY doc_id)
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM words w LEFT JOIN kept USING (doc_id)
 """
+
+OP11 = """
+WITH lines AS (
+  SELECT doc_id, line, p, translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS p FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))
+),
+repeated AS (SELECT key FROM (SELECT DISTINCT doc_id, key FROM lines WHERE length(key) >= 1) GROUP BY key HAVING count(*) >= 10),
+marked AS (SELECT l.*, r.key IS NOT NULL AS gone FROM lines l LEFT JOIN repeated r ON r.key = l.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+OP12 = f"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM pieces),
+totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(ws[p:p + k - 1], ' ') AS g FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS p FROM words, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k)
+),
+f AS (SELECT lang, k, g, count(*) AS a FROM grams GROUP BY lang, k, g HAVING count(*) >= 30),
+cuts AS (
+  SELECT c.lang, c.g, c.a, c.k, cut, x.a AS l, y.a AS r, (2000000 * c.a::HUGEINT) // (x.a + y.a) AS score
+  FROM (SELECT *, string_split(g, ' ') AS ws, unnest(range(1, k)) AS cut FROM f WHERE k > 1) c
+  JOIN f x ON x.lang = c.lang AND x.g = array_to_string(ws[1:cut], ' ') JOIN f y ON y.lang = c.lang AND y.g = array_to_string(ws[cut + 1:], ' ')
+),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, array_to_string(ws[p:p + m - 1], ' ') AS g, max(a) AS longer
+  FROM (SELECT lang, a, string_split(g, ' ') AS ws, m, unnest(range(1, k - m + 2)) AS p FROM f, (SELECT unnest([2, 3]) AS m) WHERE m < k) GROUP BY 1, 2
+),
+ranked AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.g) AS rank, b.g AS phrase, a, l, r, score::BIGINT AS score
+  FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.g = b.g WHERE i.longer IS NULL OR 100 * i.longer < 80 * b.a
+)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from fleetmart.llm import checking_sql, source_mixing
 from fleetmart.llm.block_labeller import extract_main_text
 from fleetmart.llm.language import predict_language, remainder
+from fleetmart.llm.line_dedup import LineDedup, remove_repeated_lines
 from fleetmart.llm.minmax_dedup import MinMaxDedup, near_duplicates
 from fleetmart.llm.multi_index import MultiIndex, nearest_vectors
 from fleetmart.llm.packing import Packing, pack_documents
+from fleetmart.llm.phrase_mining import PhraseMining, mine_phrases
 from fleetmart.llm.pitman_yor import score_documents
 from fleetmart.llm.polytope_dedup import PolytopeDedup, near_vectors
 from fleetmart.llm.substring_dedup import remove_repeats
 from fleetmart.llm.url_rules import judge_urls
+from fleetmart.llm.whitening import Whitening, whiten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +81,22 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document without those that ten documents hold."""
+    kept = remove_repeated_lines(table(spark, sf_dir, "documents"), LineDedup(documents=10, least_chars=1))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of two to four words of every language."""
+    return mine_phrases(table(spark, sf_dir, "documents"), PhraseMining(words=4, least=30, percent=80, top=2000))
+
+
+def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on their first four principal components, with unit variance."""
+    return whiten(table(spark, sf_dir, "embeddings"), params=Whitening(components=4))
+
+
 QUERIES = {
     "op1_block_labeller": op1_block_labeller,
     "op2_url_rules": op2_url_rules,
@@ -89,10 +108,15 @@ QUERIES = {
     "op8_minmax_dedup": op8_minmax_dedup,
     "op9_multi_index": op9_multi_index,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_phrase_mining": op12_phrase_mining,
+    "op13_feast_whitening": op13_feast_whitening,
 }
 ORACLES: dict[str, str] = {
     "op6_source_mixing": source_mixing.SQL,
     "op7_polytope_dedup": checking_sql.OP7,
     "op8_minmax_dedup": checking_sql.OP8,
     "op10_substring_dedup": checking_sql.OP10,
+    "op11_line_dedup": checking_sql.OP11,
+    "op12_phrase_mining": checking_sql.OP12,
 }

@@ -19,6 +19,9 @@ COLUMNS = {
     "op8_minmax_dedup": "doc_id bigint, n_shingles bigint, component_id bigint, kept boolean",
     "op9_multi_index": "query_id bigint, rank int, vec_id bigint, score double",
     "op10_substring_dedup": "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string",
+    "op11_line_dedup": "doc_id bigint, n_lines bigint, n_dropped bigint, kept_sha256 string",
+    "op12_phrase_mining": "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint",
+    "op13_feast_whitening": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double",
 }
 
 
