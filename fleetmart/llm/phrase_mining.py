@@ -266,7 +266,8 @@ def frequent_phrases(texts: DataFrame, vocabulary: DataFrame, params: PhraseMini
     told = pairs.agg(F.count("*").alias("pairs"), F.sum("n").alias("n")).first()
     known = sc.broadcast(_filter(pairs.select("p"), told["pairs"], params, work))
     # At most one in ``budget`` suffixes is the first of a hot prefix, so these lists are short.
-    hot = [np.sort(np.array([r["p"] for r in pairs.where(F.col("n") > params.budget).select("p").collect()], np.int64).view(np.uint64))]
+    first = pairs.where((F.col("n") > params.budget) & F.lit(params.words > 2)).select("p").collect()
+    hot = [np.sort(np.array([r["p"] for r in first], np.int64).view(np.uint64))]
     spread: list[DataFrame] = []
     while len(hot[-1]) and len(hot) + 2 <= params.words:
         d = len(hot) + 2
