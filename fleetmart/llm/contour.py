@@ -40,62 +40,86 @@ def above(a: np.ndarray, shift: float) -> int:
     return positive
 
 
-def cut_below(a: np.ndarray, wanted: int, low: float, high: float) -> tuple[float, int]:
-    """(shift, count): a shift with at least ``wanted`` eigenvalues above it, as few as can be, in a gap of the spectrum."""
-    tiny = 64 * EPS * max(abs(high), abs(low))
+def located(a: np.ndarray, wanted: int, low: float, high: float) -> tuple[np.ndarray, np.ndarray]:
+    """(lo, hi): bounds of the ``wanted`` largest eigenvalues, each found by counting, until neighbours are told apart.
 
-    def edge(n: int, lo: float, hi: float) -> tuple[float, float]:
-        # At least n eigenvalues are above lo, fewer above hi.
-        while hi - lo > max(tiny, 1e-9 * (high - low)):
-            mid = (lo + hi) / 2
-            lo, hi = (mid, hi) if above(a, mid) >= n else (lo, mid)
-        return lo, hi
+    Neighbours closer than a small part of the spectrum's width stay together.
+    """
+    lo, hi = np.full(wanted, low), np.full(wanted, high)
+    tiny = 1e-7 * (high - low)
+    while True:
+        width = hi - lo
+        gap = lo[:-1] - hi[1:]
+        near = gap < 4 * np.maximum(width[:-1], width[1:])
+        vague = np.zeros(wanted, bool)
+        vague[:-1] |= near
+        vague[1:] |= near
+        vague &= width > tiny
+        if not vague.any():
+            return lo, hi
+        j = int(np.where(vague, width, -1).argmax())
+        shift = (lo[j] + hi[j]) / 2
+        n = above(a, shift)
+        lo[:n] = np.maximum(lo[:n], shift)
+        hi[n:] = np.minimum(hi[n:], shift)
 
-    lo, hi = edge(wanted, low, high)
-    # Eigenvalues too close to tell apart stay on one side.
-    count = above(a, lo)
-    if count == len(a):
-        return low - max(tiny, 1e-6 * (high - low)), count
-    next_, _ = edge(count + 1, low - max(tiny, 1e-6 * (high - low)), lo)
-    return (lo + next_) / 2, count
 
-
-def feast(a: np.ndarray, low: float, high: float, count: int, nodes: int = 8, rounds: int = 40, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """(values, vectors) of the ``count`` eigenvalues between two shifts, by falling value."""
+def feast(a: np.ndarray, low: float, high: float, count: int, scale: float, nodes: int = 8, rounds: int = 12, seed: int = 11) -> np.ndarray:
+    """Vectors of the ``count`` eigenvalues between two shifts; ``scale`` is the size of the matrix."""
     n = len(a)
     middle, radius = (low + high) / 2, (high - low) / 2
     x, weight = np.polynomial.legendre.leggauss(nodes)
-    angle = np.pi / 2 * (1 - x)
-    # The lower half of the circle gives the conjugate, so twice the real part stands for both.
-    turns = radius * np.exp(1j * angle)
+    # The lower half of the circle gives the conjugate, so the real part stands for both.
+    turns = radius * np.exp(1j * np.pi / 2 * (1 - x))
     inverses = [np.linalg.inv((middle + t) * np.eye(n) - a) for t in turns]
-    size = min(n, count + max(4, count // 2))
-    y = np.random.default_rng(seed).standard_normal((n, size))
-    scale = max(abs(low), abs(high))
+    y = np.random.default_rng(seed).standard_normal((n, min(n, count + max(4, count // 2))))
     for _ in range(rounds):
-        projected = sum((w / 2) * (t * (r @ y)).real for w, t, r in zip(weight, turns, inverses))
+        projected = sum(w / 2 * (t * (r @ y)).real for w, t, r in zip(weight, turns, inverses))
         basis, _ = np.linalg.qr(projected)
         values, inner = np.linalg.eigh(basis.T @ a @ basis)
         y = basis @ inner
         inside = np.flatnonzero((values > low) & (values < high))
         wrong = np.linalg.norm(a @ y[:, inside] - y[:, inside] * values[inside], axis=0)
-        good = inside[wrong <= 32 * EPS * scale * np.sqrt(n)]
-        if len(good) == count == len(inside):
-            order = good[::-1]
-            return values[order], y[:, order]
-    raise ArithmeticError(f"{len(good)} of {count} eigenvalues between {low} and {high} found")
+        if len(inside) == count and (wrong <= 32 * EPS * scale * np.sqrt(n)).all():
+            return y[:, inside]
+    if nodes < 64:
+        return feast(a, low, high, count, scale, 2 * nodes, rounds, seed + 1)
+    raise ArithmeticError(f"{len(inside)} of {count} eigenvalues between {low} and {high} found")
 
 
 def leading(a: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
-    """(values, vectors): the ``wanted`` largest eigenvalues of a positive semidefinite matrix, without those that are zero to rounding."""
+    """(values, vectors): the ``wanted`` largest eigenvalues of a positive semidefinite matrix, without those that are zero to rounding.
+
+    Every cluster of eigenvalues has an interval of its own, that ends in the middle of the gaps beside it.
+    """
     a = (a + a.T) / 2
-    high = float(np.abs(a).sum(1).max(initial=0.0)) * (1 + 1e-6)
-    zero = len(a) * 16 * EPS * high
-    wanted = min(wanted, above(a, zero)) if high > 0 else 0
+    scale = float(np.abs(a).sum(1).max(initial=0.0))
+    zero, high = len(a) * 16 * EPS * scale, scale * (1 + 1e-6)
+    positive = above(a, zero) if scale > 0 else 0
+    wanted = k = min(wanted, positive)
     if not wanted:
         return np.zeros(0), np.zeros((len(a), 0))
-    low, count = cut_below(a, wanted, zero, high)
-    values, vectors = feast(a, low, high, count)
-    if above(a, low) - above(a, high) != len(values):
-        raise ArithmeticError("the inertia counts other eigenvalues than were found")
-    return values[:wanted], vectors[:, :wanted]
+    while True:
+        more = min(k + 1, positive)
+        lo, hi = located(a, more, zero, high)
+        apart = lo[:-1] > hi[1:] + 1e-8 * scale
+        if more == k or apart[k - 1]:
+            break
+        # The last one wanted cannot be told from the next: that one belongs to its interval.
+        k = more
+    below = hi[k] if more > k else zero
+    ends = [j for j in range(k) if j == k - 1 or apart[j]]
+    vectors, first = [], 0
+    for j in ends:
+        under = lo[j] - (hi[j + 1] if j < k - 1 else below)
+        margin = max(min(under, lo[first - 1] - hi[first] if first else under), 0.0) / 2
+        bounds = lo[j] - margin, hi[first] + margin
+        found = feast(a, *bounds, j - first + 1, scale)
+        if above(a, bounds[0]) - above(a, bounds[1]) != found.shape[1]:
+            raise ArithmeticError("the inertia counts other eigenvalues than were found")
+        vectors.append(found)
+        first = j + 1
+    basis, _ = np.linalg.qr(np.concatenate(vectors, 1))
+    values, inner = np.linalg.eigh(basis.T @ a @ basis)
+    order = np.argsort(-values, kind="stable")[:wanted]
+    return values[order], basis @ inner[:, order]

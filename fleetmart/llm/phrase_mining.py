@@ -37,7 +37,7 @@ _PLAIN[_BREAKS] = 32
 _CHAIN = np.uint64(0x9E3779B97F4A7C15)
 UNKNOWN = "und"
 #: Words gathered before they are counted.
-GATHERED = 3_000_000
+GATHERED = 1_500_000
 
 
 @dataclass(frozen=True)

@@ -191,7 +191,7 @@ def test_whitening_of_few_flat_and_huge_vectors(spark):
     assert all(abs(abs(r.whitened) - 1) < 1e-9 and abs(r.explained - 1) < 1e-9 for r in got)
 
 
-@pytest.mark.parametrize("values", [[5.0] * 6 + [1.0] * 4, [100, 99.9999999, 50, 49.9999] + [0.1 * k for k in range(20)], [2.0**-k for k in range(30)], [3.0, 2.0, 0, 0, 0], [1.0], list(1000 + np.linspace(1, 0, 40))])
+@pytest.mark.parametrize("values", [[5.0] * 6 + [1.0] * 4, [100, 99.9999999, 50, 49.9999] + [0.1 * k for k in range(20)], [2.0**-k for k in range(30)], [3.0, 2.0, 0, 0, 0], [1.0], [14000.0, *(1090 - 0.5 * k for k in range(60))], [1.0] * 9, [9.0, 4, 4, 4, 4, 4, 1], list(1000 + np.linspace(1, 0, 40))])
 def test_contour_finds_the_leading_eigenvalues(values):
     d = len(values)
     q = np.linalg.qr(np.random.default_rng(d).standard_normal((d, d)))[0]
