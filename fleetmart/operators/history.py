@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.functions.keys import surrogate_key, utc_text
+from fleetmart.operators.asof import version_at
 from fleetmart.operators.dedup import latest_per_key
-from fleetmart.operators.joins import lookup_join
-from fleetmart.operators.sequence import with_neighbour
+from fleetmart.operators.sequence import row_slices, with_neighbour
+from fleetmart.session import run_dir
 
 VERSION_COLUMNS = ["scd_id", "scd_updated_at", "valid_from", "valid_to"]
 
@@ -70,36 +71,47 @@ def scd2_as_of(history: DataFrame, moment: Column) -> DataFrame:
     return history.filter((F.col("valid_from") <= moment) & (F.col("valid_to").isNull() | (moment < F.col("valid_to"))))
 
 
-def scd2_as_of_each(history: DataFrame, probes: DataFrame, key: str, at: str) -> DataFrame:
+def _hidden(history: DataFrame, key: str, rows_per_slice: int | None) -> DataFrame:
+    """Versions that outlast the beginning of the next one, from that moment on; written, as the next step reads them again."""
+    ended = history.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull()).withColumn("__end", F.coalesce("valid_to", F.lit("9999-12-31").cast("timestamp")))
+    chained = with_neighbour(ended, [key], ["valid_from", "__end"], {"__next": "valid_from"}, row_slices(ended, "valid_from", rows_per_slice))
+    hidden = chained.where("__end > __next").withColumn("valid_from", F.col("__next")).drop("__end", "__next")
+    path = run_dir(history.sparkSession, "hidden-versions")
+    hidden.write.parquet(path)
+    return history.sparkSession.read.schema(hidden.schema).parquet(path)
+
+
+def scd2_as_of_each(history: DataFrame, probes: DataFrame, key: str, at: str, rows_per_slice: int | None = None) -> DataFrame:
     """Each probe row with the version valid at its own moment; probes without one are dropped.
 
-    An equality join on the key with the interval as a further condition; a hot key is split by AQE.
+    A sweep over versions and probes (``version_at``) finds the version that began last. Where versions overlap, what is
+    hidden behind a later one is swept again, once for every further version valid at the same time, so all are found.
+    Columns of the probes come first, then those of the version but its key.
     """
-    versions = history.withColumnRenamed(key, "_vk")
-    inside = (F.col("valid_from") <= F.col(at)) & (F.col("valid_to").isNull() | (F.col(at) < F.col("valid_to")))
-    return probes.join(versions, (F.col(key) == F.col("_vk")) & inside).drop("_vk")
+    values = {c: F.col("__began" if c == "valid_from" else c) for c in history.columns if c != key}
+    left = history.withColumn("__began", F.col("valid_from"))
+    found = version_at(probes, left, key, key, at, values, keep_unmatched=False, rows_per_slice=rows_per_slice)
+    left = _hidden(left, key, rows_per_slice)
+    while not left.isEmpty():
+        found = found.unionByName(version_at(probes, left, key, key, at, values, keep_unmatched=False, rows_per_slice=rows_per_slice))
+        left = _hidden(left, key, rows_per_slice)
+    return found
 
 
 def with_version(
-    rows: DataFrame, history: DataFrame, row_key: str, key: str, at: str, values: dict[str, Column], spread_by: str | None = None
+    rows: DataFrame, history: DataFrame, row_key: str, key: str, at: str, values: dict[str, Column], spread_by: str | None = None,
+    rows_per_slice: int | None = None,
 ) -> DataFrame:
     """Every row with values of the version valid at its moment, NULL if there is none.
 
     The first version of a key also holds for all that came before it. ``values`` are columns over the history.
     """
-    since = history.groupBy(F.col(key).alias("_fk")).agg(F.min("valid_from").alias("_since"))
-    first = history.join(since, F.col(key) == F.col("_fk"))
-    spans = first.select(
-        F.col(key).alias("_vk"), F.when(F.col("valid_from") > F.col("_since"), F.col("valid_from")).alias("_from"), F.col("valid_to").alias("_to"),
-        *[c.alias(n) for n, c in values.items()],
-    )
-    inside = (F.col("_from").isNull() | (F.col("_from") <= F.col(at))) & (F.col("_to").isNull() | (F.col(at) < F.col("_to")))
-    return lookup_join(rows, spans, row_key, "_vk", spread_by, inside).drop("_from", "_to")
+    return version_at(rows, history, row_key, key, at, values, True, spread_by=spread_by, rows_per_slice=rows_per_slice)
 
 
 def with_previous_value(history: DataFrame, key: str, attribute: str, order: list[str] | None = None, slice_by: Column | None = None) -> DataFrame:
     """Adds ``previous_<attribute>`` of the version before."""
-    cut = F.date_trunc("year", "valid_from") if slice_by is None else slice_by
+    cut = row_slices(history, "valid_from") if slice_by is None else slice_by
     return with_neighbour(
         history, [key], order or ["valid_from"], {f"previous_{attribute}": attribute}, cut, previous=True
     )
@@ -136,7 +148,7 @@ def scd2_from_changes(changes: DataFrame, key: str, ts: str = "ts", lsn: str = "
     opens none.
     """
     distinct = latest_per_key(changes, [key, ts], [lsn])
-    cut = F.date_trunc("year", ts) if slice_by is None else slice_by
+    cut = row_slices(distinct, ts) if slice_by is None else slice_by
     chained = with_neighbour(distinct, [key], [ts, lsn], {"valid_to": ts}, cut)
     return chained.filter(F.col(op) != "d").withColumn("valid_from", F.col(ts)).withColumn(
         "is_current", F.col("valid_to").isNull()

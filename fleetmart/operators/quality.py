@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.functions.cleaning import is_canonical_phone
 from fleetmart.functions.domain import ALLOWED_TRANSITIONS
-from fleetmart.operators.sequence import with_neighbour
+from fleetmart.operators.sequence import row_slices, with_neighbour
 
 # Age of the newest row in hours at which a table warns and fails.
 FRESHNESS_HOURS = (2, 6)
@@ -156,7 +156,7 @@ def dq_transition_legality(
     allowed: list[tuple[str, str]] = ALLOWED_TRANSITIONS, slice_by: Column | None = None,
 ) -> DataFrame:
     """Status changes outside the allowed pairs, including any change after a terminal status."""
-    cut = F.date_trunc("day", ts) if slice_by is None else slice_by
+    cut = row_slices(log, ts) if slice_by is None else slice_by
     steps = with_neighbour(log, [key], [ts, tie], {"previous_status": status}, cut, previous=True)
     legal = _any([(F.col("previous_status") == a) & (F.col(status) == b) for a, b in allowed])
     return steps.filter(F.col("previous_status").isNotNull() & ~legal)
@@ -177,7 +177,7 @@ def not_exactly_one(parent: DataFrame, child: DataFrame, column: str) -> DataFra
 
 def scd2_overlaps(history: DataFrame, key: str, slice_by: Column | None = None) -> DataFrame:
     """Versions that end after the next one starts, or stay open although a next one exists."""
-    cut = F.date_trunc("year", "valid_from") if slice_by is None else slice_by
+    cut = row_slices(history, "valid_from") if slice_by is None else slice_by
     chained = with_neighbour(history, [key], ["valid_from"], {"next_from": "valid_from"}, cut)
     return chained.filter(F.col("next_from").isNotNull() & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("next_from"))))
 

@@ -2,36 +2,58 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetmart.operators.joins import scanned_bytes
+
 ROWS_PER_SLICE = 1_000_000
+#: Tables read from no more than this stay one slice; their rows are not counted.
+ONE_SLICE_BYTES = 128 * 1024 * 1024
+_BRANCHES = 32
 
 
-def row_slices(df: DataFrame, column: str, rows_per_slice: int = ROWS_PER_SLICE) -> Column:
-    """A slice for ``with_neighbour`` with about so many rows of the whole table, so that no key has more in one slice.
+def time_cuts(df: DataFrame, us: Column, rows_per_slice: int | None = None) -> list[int]:
+    """Cuts of a time in microseconds into slices of about so many rows of the whole table, so that no key has more in one slice.
 
-    The cuts are quantiles of the time column, found in one pass; more rows than that stay together only where they
-    carry one and the same time. One number per slice comes to the driver.
+    They are quantiles, found in one pass; more rows than that stay together only where they carry one and the same time.
+    One number per slice comes to the driver. Without a number of rows, a table read from few bytes has no cuts.
     """
-    us = F.unix_micros(F.col(column).cast("timestamp"))
-    parts = -(-df.count() // rows_per_slice)
+    if rows_per_slice is None and scanned_bytes(df) <= ONE_SLICE_BYTES:
+        return []
+    parts = -(-df.count() // (rows_per_slice or ROWS_PER_SLICE))
     if parts < 2:
-        return F.lit(0).cast("long")
+        return []
     shares = F.array(*[F.lit(k / parts) for k in range(1, parts)])
-    cuts = df.agg(F.percentile_approx(us, shares, F.lit(100 * parts)).alias("cuts")).first()["cuts"]
-    cuts = sorted(set(cuts or []))
+    return sorted(set(df.agg(F.percentile_approx(us, shares, F.lit(100 * parts)).alias("cuts")).first()["cuts"] or []))
+
+
+def placed(us: Column, cuts: list[int]) -> Column:
+    """Number of the cuts that are not above a value: nested branches, or two steps through an array for many cuts."""
 
-    def place(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for values in batches:
-            yield pd.Series(np.searchsorted(cuts, values.to_numpy(), side="right"))
+    def branch(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo).cast("long")
+        mid = (lo + hi) // 2
+        return F.when(us >= cuts[mid], branch(mid + 1, hi)).otherwise(branch(lo, mid))
 
-    placed = F.pandas_udf(place, "long")
-    return F.when(us.isNotNull(), placed(F.coalesce(us, F.lit(0))))
+    if len(cuts) <= _BRANCHES:
+        return branch(0, len(cuts))
+    step = math.isqrt(len(cuts))
+    listed = lambda numbers: F.array(*[F.lit(c).cast("long") for c in numbers])
+    reached = lambda some: F.size(F.filter(some, lambda c: c <= us)).cast("long")
+    block = reached(listed(cuts[::step]))
+    inside = reached(F.slice(listed(cuts), (F.greatest(block - 1, F.lit(0)) * step + 1).cast("int"), step))
+    return F.when(block == 0, F.lit(0).cast("long")).otherwise((block - 1) * step + inside)
+
+
+def row_slices(df: DataFrame, column: str, rows_per_slice: int | None = None) -> Column:
+    """A slice for ``with_neighbour`` with about so many rows of the whole table (see ``time_cuts``)."""
+    us = F.unix_micros(F.col(column).cast("timestamp"))
+    cuts = time_cuts(df, us, rows_per_slice)
+    return F.when(us.isNotNull(), placed(us, cuts)) if cuts else F.lit(0).cast("long")
 
 
 def with_neighbour(

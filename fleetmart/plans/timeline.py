@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.functions.calendar import minutes_between, seconds_between
-from fleetmart.operators.sequence import with_neighbour
+from fleetmart.operators.sequence import row_slices, with_neighbour
 
 # Status codes of the timeline with their output column, and the limits of the cancel classes in minutes.
 TIMELINE_STATUSES = [
@@ -59,6 +59,6 @@ def fct_trip_status_timeline(events: DataFrame) -> DataFrame:
 
 def status_durations(log: DataFrame, key: str, ts: str, tie: str, slice_by: Column | None = None) -> DataFrame:
     """Minutes from each status to the next one of the same trip; NULL on the last."""
-    cut = F.date_trunc("day", ts) if slice_by is None else slice_by
+    cut = row_slices(log, ts) if slice_by is None else slice_by
     chained = with_neighbour(log, [key], [ts, tie], {"next_ts": ts}, cut)
     return chained.withColumn("minutes_to_next", minutes_between(F.col(ts), F.col("next_ts")))

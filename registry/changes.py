@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetmart.operators import changes
-from fleetmart.operators.sequence import with_neighbour
+from fleetmart.operators.sequence import row_slices, with_neighbour
 from fleetmart.plans import timeline
 from fleetmart.session import run_dir
 from fleetmart.sources import readers
@@ -24,7 +24,7 @@ CTES["o_env"] = """SELECT customer_id, status, ts, lsn, op, epoch_ms(ts) AS ts_m
 def envelopes(d):
     """The change log as nested change events with the row before and after."""
     log = with_neighbour(
-        d.table("change_log"), ["customer_id"], ["ts", "lsn"], {"before_status": "status", "before_ts": "ts"}, F.date_trunc("year", "ts"), previous=True
+        d.table("change_log"), ["customer_id"], ["ts", "lsn"], {"before_status": "status", "before_ts": "ts"}, row_slices(d.table("change_log"), "ts"), previous=True
     )
     row = lambda status, ts: F.struct(F.col("customer_id"), F.col(status).alias("status"), F.col(ts).alias("updated_at"))
     ms = F.unix_millis("ts")

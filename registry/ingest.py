@@ -415,7 +415,8 @@ def _(d):
         "o_orderkey", F.col("o_custkey").alias("id"),
         (now("2026-01-01 00:00:00") + F.make_dt_interval(hours=(F.col("o_orderkey") % 2000).cast("int"))).alias("at"),
     )
-    return history.scd2_as_of_each(driver_log(d).select("id", "status", "valid_from", "valid_to"), probes, "id", "at").select("o_orderkey", "status")
+    # Slices of about 4,000 rows, so that versions are carried over their edges at every scale.
+    return history.scd2_as_of_each(driver_log(d).select("id", "status", "valid_from", "valid_to"), probes, "id", "at", 4000).select("o_orderkey", "status")
 
 
 CTES["o_versions"] = """SELECT customer_id, status, ts AS valid_from, lsn, op,

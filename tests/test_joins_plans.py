@@ -102,11 +102,6 @@ def test_daily_activity_top_zone_ties_and_nulls(spark):
     assert out["g"].daily_gmv_idr == 0.0 and out["g"].avg_fare_idr is None and out["g"].daily_cancelled == 1
 
 
-def test_approximate_top_zone_agrees_on_a_clear_winner(spark):
-    rows = spark.createDataFrame([("d", "A")] * 5 + [("d", "B")] * 2, "driver_id string, zone string")
-    assert marts.most_frequent_approx(rows, ["driver_id"], "zone", 100).first().zone == marts.most_frequent(rows, ["driver_id"], "zone").first().zone == "A"
-
-
 def test_incremental_fact_equals_its_slice_of_the_full_one(spark):
     d = Data(spark, SF)
     part = facts.fct_rides(d.table("rides"), d.drivers, d.passengers, d.zones, d.vehicle_types, now("2000-01-01 00:00:00"), 30)
