@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetmart.operators.changes import cdc_apply, cdc_fold
-from fleetmart.operators.dedup import latest_per_key
 from fleetmart.operators.sinks import path_exists, remove_path
-from fleetmart.plans.timeline import earliest_per_status, with_durations
+from fleetmart.plans.timeline import TIMELINE_STATUSES, earliest_per_status, with_durations
 
 ORDER = ("__source_ts_ms", "__lsn")
 
@@ -62,8 +63,12 @@ def compact(spark: SparkSession, path: str, keys: list[str], order: tuple[str, .
     they are passed over, as the base says up to which batch it holds them. Delete markers stay, so that late older
     events have no effect.
     """
+    _fold(spark, path, lambda rows: cdc_apply(None, rows, keys, order, True))
+
+
+def _fold(spark: SparkSession, path: str, folded: Callable[[DataFrame], DataFrame]) -> None:
     rows, last, batches, bases = _changes(spark, path)
-    cdc_apply(None, rows, keys, order, True).write.mode("overwrite").parquet(f"{path}/{BASE}/upto={last}")
+    folded(rows).write.mode("overwrite").parquet(f"{path}/{BASE}/upto={last}")
     for n in batches:
         if n <= last:
             remove_path(spark, f"{path}/batch_id={n}")
@@ -72,16 +77,28 @@ def compact(spark: SparkSession, path: str, keys: list[str], order: tuple[str, .
             remove_path(spark, f"{path}/{BASE}/upto={n}")
 
 
-def stream_trip_timeline(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Earliest time per trip and status, kept as running state; each batch writes the trips it changed."""
+def _earlier(rows: DataFrame, key: str) -> DataFrame:
+    return rows.groupBy(key).agg(*[F.min(c).alias(c) for _, c in TIMELINE_STATUSES])
+
+
+def stream_trip_timeline(events: DataFrame, path: str, checkpoint: str, key: str = "trip_id") -> StreamingQuery:
+    """Earliest time per trip and status of each micro-batch, under the batch's own folder.
+
+    The earliest of all is the earliest of the batches' earliest, whatever their order and however often a batch is
+    written, so the stream keeps no state, late events count whenever they come, and a batch costs what it holds.
+    ``compact_timeline`` folds the batches into a base.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        earliest_per_status(batch, key).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
 
-    firsts = earliest_per_status(events)
-    return firsts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def compact_timeline(spark: SparkSession, path: str, key: str = "trip_id") -> None:
+    """Folds the base and the batches after it into a new base, one row per trip, and drops what it replaces."""
+    _fold(spark, path, lambda rows: _earlier(rows, key))
 
 
 def current_timeline(spark: SparkSession, path: str, key: str = "trip_id") -> DataFrame:
-    last = latest_per_key(spark.read.parquet(path).drop("batch_id"), [key], ["_batch"])
-    return with_durations(last.drop("_batch"))
+    return with_durations(_earlier(_changes(spark, path)[0], key))

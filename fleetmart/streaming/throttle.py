@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
 MINIMUM_GAP_SECONDS = 10
 GAPS_PER_SLICE = 64
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 BEFORE_ALL = -(2**62)
 
 
@@ -15,145 +22,219 @@ def min_gap_seconds(pings_per_minute: int) -> int:
     return max(MINIMUM_GAP_SECONDS, 60 // max(1, pings_per_minute))
 
 
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that no (_k, _slice) group is split; the rows come sorted by group."""
+    name = lambda batch, row: (batch.column("_k")[row].as_py(), batch.column("_slice")[row].as_py())
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = name(batch, batch.num_rows - 1)
+        if held and name(held[-1], 0) == last:
+            held.append(batch)
+            continue
+        edge = int(np.flatnonzero(_new_group(batch))[-1])
+        done = pa.concat_batches([*held, batch.slice(0, edge)])
+        if done.num_rows:
+            yield done
+        held = [batch.slice(edge)]
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _new_group(batch: pa.RecordBatch) -> np.ndarray:
+    """True where a (_k, _slice) group begins."""
+    codes = batch.column("_k").dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    slices = batch.column("_slice").to_numpy(zero_copy_only=False)
+    new = np.ones(len(codes), bool)
+    new[1:] = (codes[1:] != codes[:-1]) | (slices[1:] != slices[:-1])
+    return new
+
+
+def _hops(group: np.ndarray, offset: np.ndarray, width: int, gap_us: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, next): the times of all groups on one line, and the first row of the same group at least a gap later, or -1."""
+    line = group * (width + gap_us + 1) + offset
+    at = np.searchsorted(line, line + gap_us)
+    inside = np.minimum(at, len(line) - 1)
+    return line, np.where((at < len(line)) & (group[inside] == group), inside, -1)
+
+
+def _exits(slice_us: int, gap_us: int):
+    """Per slice "first ping taken -> last ping kept", for the pings that can be first; of those with one end the latest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_groups(batches):
+            slices, us = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_slice", "_us"))
+            group = np.cumsum(_new_group(batch)) - 1
+            offset = us - slices * slice_us
+            _, next_ = _hops(group, offset, slice_us, gap_us)
+            end = np.where(next_ < 0, np.arange(len(us)), next_)
+            while (end[end] != end).any():
+                end = end[end]
+            early = offset < gap_us
+            # Whatever was kept before the slice, the first ping after one gap can be taken at the latest.
+            first = np.flatnonzero(early | _new_group(batch) | np.concatenate(([True], early[:-1])))
+            told = np.ones(len(first), bool)
+            told[:-1] = (group[first][1:] != group[first][:-1]) | (end[first][1:] != end[first][:-1])
+            first = first[told]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_k").take(pa.array(first)), pa.array(slices[first]), pa.array(us[first]), pa.array(us[end[first]])], ["_k", "_slice", "first_us", "last_us"]
+            )
+
+    return run
+
+
+def _walk(gap_us: int):
+    """The last ping kept before every slice of a key; a row for each slice, whose tables have a few rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key_, slice_, kept, taken = None, None, BEFORE_ALL, False
+        for batch in batches:
+            out: tuple[list, list, list] = ([], [], [])
+            for k, s, first, last in zip(*[batch.column(c).to_pylist() for c in ("_k", "_slice", "first_us", "last_us")]):
+                if k != key_:
+                    key_, slice_, kept = k, None, BEFORE_ALL
+                if s != slice_:
+                    for column, value in zip(out, (k, s, kept)):
+                        column.append(value)
+                    slice_, taken = s, False
+                if not taken and first >= kept + gap_us:
+                    kept, taken = last, True
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64())], ["_k", "_slice", "_before"])
+
+    return run
+
+
+def _thin(slice_us: int, gap_us: int, columns: list[str]):
+    """The pings kept; a row without a time stands ahead of its slice and tells the last ping kept before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_groups(batches):
+            slices, us, before = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_slice", "_us", "_before"))
+            group = np.cumsum(_new_group(batch)) - 1
+            ping = np.flatnonzero(us != BEFORE_ALL)
+            head = np.flatnonzero(us == BEFORE_ALL)
+            line, next_ = _hops(group[ping], us[ping] - slices[ping] * slice_us, slice_us, gap_us)
+            earliest = np.clip(before[head], -(2**61), None) + gap_us - slices[head] * slice_us
+            start = group[head] * (slice_us + gap_us + 1) + np.clip(earliest, 0, slice_us)
+            at = np.searchsorted(line, start)
+            at = at[(at < len(line)) & (group[ping][np.minimum(at, len(line) - 1)] == group[head])] if len(line) else at[:0]
+            keep = np.zeros(batch.num_rows, bool)
+            while len(at):
+                keep[ping[at]] = True
+                at = next_[at]
+                at = at[at >= 0]
+            yield batch.filter(pa.array(keep)).select(columns)
+
+    return run
+
+
 def ping_downsample(pings: DataFrame, key: str, ts: str, gap_seconds: int, gaps_per_slice: int = GAPS_PER_SLICE) -> DataFrame:
-    """Greedy thinning per key, exact for a key of any size.
+    """Greedy thinning per key, exact for a key of any size. Pings without a time are left out.
 
     The rule is sequential, but its only memory is the last kept time. Time is cut into slices; each slice is reduced to a
     small table "first ping taken -> last ping kept" (only pings within one gap of the slice's start can be a first one, and
     few different ends remain, since chains that meet stay together). Walking those tables per key gives the last kept time before each slice, and then every
-    slice is thinned by itself. All three passes stream over sorted partitions, so no group is held in memory, and a key
-    with much of the data is spread over its slices.
+    slice is thinned by itself. All three passes stream over sorted partitions, so that only the pings of a slice are held at once, and a key
+    with much of the data is spread over its slices. Within a batch all slices hop from kept ping to kept ping together.
     """
-    slice_us = gap_seconds * gaps_per_slice * 1_000_000
-    gap_us = gap_seconds * 1_000_000
+    slice_us, gap_us = gap_seconds * gaps_per_slice * 1_000_000, gap_seconds * 1_000_000
     columns = list(pings.columns)
     k = F.when(F.col(key).isNull(), "0").otherwise(F.concat(F.lit("1"), F.col(key).cast("string")))
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    base = pings.withColumns({"_k": k, "_us": us}).withColumn("_slice", F.floor(F.col("_us") / F.lit(slice_us)).cast("long"))
-
-    def table(names, rows):
-        import pyarrow as pa
-
-        kinds = {"_k": pa.string()}
-        data = list(zip(*rows)) if rows else [()] * len(names)
-        return pa.RecordBatch.from_arrays([pa.array(d, kinds.get(n, pa.int64())) for n, d in zip(names, data)], names=names)
-
-    def lists(batch, *names):
-        return zip(*[batch.column(n).to_pylist() for n in names])
-
-    def ends(group, chains):
-        """(first ping, last kept) in order of the first ping; neighbours with the same end are given once, by the latest."""
-        pairs = sorted((first, last) for last, firsts in chains for first in firsts)
-        return [(*group, f, e) for i, (f, e) in enumerate(pairs) if i + 1 == len(pairs) or pairs[i + 1][1] != e]
-
-    def exits(batches):
-        from collections import deque
-
-        names = ["_k", "_slice", "first_us", "last_us"]
-        group, chains, limit, taking = None, deque(), 0, True
-        for batch in batches:
-            rows = []
-            for k_, s, u in lists(batch, "_k", "_slice", "_us"):
-                if (k_, s) != group:
-                    rows.extend(ends(group, chains))
-                    group, chains, limit, taking = (k_, s), deque(), s * slice_us + gap_us, True
-                # Chains that may take this ping all end on it from here on, so they become one.
-                met = [u] if taking else []
-                taking = taking and u < limit
-                while chains and chains[0][0] <= u - gap_us:
-                    firsts = chains.popleft()[1]
-                    small, met = sorted((met, firsts), key=len)
-                    met.extend(small)
-                if met:
-                    chains.append((u, met))
-            yield table(names, rows)
-        if group:
-            yield table(names, ends(group, chains))
-
-    def walk(batches):
-        key_, slice_, kept, taken = None, None, BEFORE_ALL, False
-        for batch in batches:
-            rows = []
-            for k_, s, first, last in lists(batch, "_k", "_slice", "first_us", "last_us"):
-                if k_ != key_:
-                    key_, slice_, kept = k_, None, BEFORE_ALL
-                if s != slice_:
-                    rows.append((k_, s, kept))
-                    slice_, taken = s, False
-                if not taken and first >= kept + gap_us:
-                    kept, taken = last, True
-            yield table(["_k", "_slice", "_before"], rows)
-
-    def thin(batches):
-        import pyarrow as pa
-
-        last = BEFORE_ALL
-        for batch in batches:
-            keep = []
-            for u, before in lists(batch, "_us", "_before"):
-                if u == BEFORE_ALL:
-                    last, take = before, False
-                else:
-                    take = u - last >= gap_us
-                    last = u if take else last
-                keep.append(take)
-            yield batch.filter(pa.array(keep, pa.bool_())).select(columns)
+    base = pings.withColumns({"_k": k, "_us": us}).where("_us is not null").withColumn("_slice", F.floor(F.col("_us") / F.lit(slice_us)).cast("long"))
 
     small = base.select("_k", "_slice", "_us").repartition("_k", "_slice").sortWithinPartitions("_k", "_slice", "_us")
-    tables = small.mapInArrow(exits, "_k string, _slice long, first_us long, last_us long")
+    tables = small.mapInArrow(_exits(slice_us, gap_us), "_k string, _slice long, first_us long, last_us long")
     ordered = tables.repartition("_k").sortWithinPartitions("_k", "_slice", "first_us")
-    entries = ordered.mapInArrow(walk, "_k string, _slice long, _before long")
+    entries = ordered.mapInArrow(_walk(gap_us), "_k string, _slice long, _before long")
     # An entry row sorts ahead of its slice and hands it the last kept time; no join is needed.
     heads = entries.withColumn("_us", F.lit(BEFORE_ALL))
     joined = base.withColumn("_before", F.lit(BEFORE_ALL)).unionByName(heads, allowMissingColumns=True)
     sliced = joined.repartition("_k", "_slice").sortWithinPartitions("_k", "_slice", "_us", *columns)
-    return sliced.mapInArrow(thin, pings.schema)
+    return sliced.mapInArrow(_thin(slice_us, gap_us, columns), pings.schema)
+
+
+def _clock_free(field: T.StructField) -> bool:
+    return not isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType))
+
+
+class Thinner(StatefulProcessor):
+    """Pings of a key that the watermark has not passed, as a list, and the last one kept; a timer decides the passed ones."""
+
+    def __init__(self, schema: T.StructType, columns: list[str], gap_us: int):
+        self.schema, self.columns, self.gap_us = schema, columns, gap_us
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.schema)
+        self.last = handle.getValueState("last", "us long")
+
+    def _rows(self, frame: pd.DataFrame) -> list[tuple]:
+        whole = [isinstance(f.dataType, T.IntegralType) for f in self.schema]
+        plain = frame[self.schema.names].astype(object)
+        return [tuple(None if pd.isna(v) else int(v) if w else v for v, w in zip(row, whole)) for row in plain.itertuples(index=False)]
+
+    def _wake(self, us: int) -> None:
+        self.handle.registerTimer(us // 1000 + 1)
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        for frame in rows:
+            if len(frame):
+                # Spark hands on names that begin with an underscore by their place.
+                frame = frame.set_axis(self.columns, axis=1)
+                self.waiting.appendList(self._rows(frame))
+                self._wake(int(frame["_us"].min()))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        known = self.last.get() if self.last.exists() else None
+        last = known[0] if known else None
+        frame = pd.DataFrame(list(self.waiting.get()), columns=self.schema.names, dtype=object)
+        frame = frame.sort_values(["_us", *[c for c in self.schema.names if c != "_us"]], kind="stable").reset_index(drop=True)
+        t = frame["_us"].to_numpy().astype(np.int64)
+        ready = int(np.searchsorted(t, mark, side="right"))
+        keep, i = [], 0 if last is None else int(np.searchsorted(t, last + self.gap_us))
+        while i < ready:
+            keep.append(i)
+            last = int(t[i])
+            i = int(np.searchsorted(t, last + self.gap_us))
+        # The first ping that waits always has a timer of its own.
+        if ready:
+            self.waiting.clear()
+            if ready < len(t):
+                self.waiting.put(self._rows(frame.iloc[ready:]))
+                self._wake(int(t[ready]))
+            else:
+                self._wake(last + self.gap_us)
+            self.last.update((last,))
+        elif not len(t) and last is not None and last + self.gap_us <= mark:
+            self.last.clear()
+        if keep:
+            yield frame.iloc[keep]
+
+    def close(self) -> None:
+        pass
 
 
 def stream_ping_downsample(pings: DataFrame, key: str, ts: str, gap_seconds: int, lateness: str = "1 hour") -> DataFrame:
     """The same rule on a stream whose pings may come up to ``lateness`` late; later ones are left out.
 
     A ping is decided once the watermark has passed it, as none before it can come any more; until then it waits in the
-    state of its key, with the time of the last ping kept. The state is freed when nothing waits and the gap after the
-    last kept ping has passed. The last pings of a stream are handed on when a later event moves the watermark.
+    state of its key (``Thinner``), with the time of the last ping kept. Timers in event time decide, and free the state when nothing waits and the gap after the
+    last kept ping has passed. The last pings of a stream are handed on when a later event moves the watermark. State
+    of this kind needs the RocksDB store, which is set on the session.
     """
-    gap_us = gap_seconds * 1_000_000
-    columns = list(pings.columns)
-
-    def step(group_key, frames, state):
-        import pickle
-
-        import numpy as np
-        import pandas as pd
-
-        last, waiting = state.get if state.exists else (None, None)
-        parts = [pickle.loads(waiting)] if waiting else []
-        if not state.hasTimedOut:
-            parts += [f for f in frames if len(f)]
-        mark = state.getCurrentWatermarkMs() * 1000
-        keep = []
-        held = None
-        if parts:
-            rows = pd.concat(parts).sort_values(["_us", *columns]).reset_index(drop=True)
-            t = rows["_us"].to_numpy()
-            ready = int(np.searchsorted(t, mark, side="right"))
-            i = 0 if last is None else int(np.searchsorted(t, last + gap_us, side="left"))
-            while i < ready:
-                keep.append(i)
-                last = int(t[i])
-                i = int(np.searchsorted(t, last + gap_us, side="left"))
-            held = rows.iloc[ready:] if ready < len(rows) else None
-        if held is not None:
-            state.update((last, pickle.dumps(held)))
-            state.setTimeoutTimestamp(max(int(held["_us"].iloc[0]), mark) // 1000 + 1)
-        elif last is not None and last + gap_us > mark:
-            state.update((last, None))
-            state.setTimeoutTimestamp((last + gap_us) // 1000 + 1)
-        elif state.exists:
-            state.remove()
-        if keep:
-            yield rows.iloc[keep][columns]
-
-    state_schema = T.StructType([T.StructField("last_us", T.LongType()), T.StructField("waiting", T.BinaryType())])
-    with_us = pings.withWatermark(ts, lateness).withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
-    return with_us.groupBy(key).applyInPandasWithState(step, pings.schema, state_schema, "append", "EventTimeTimeout")
+    pings.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    moments = [f for f in pings.schema if not _clock_free(f)]
+    # Times go through the state as numbers, which no time zone of a worker can touch.
+    plain = pings.withWatermark(ts, lateness).withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp"))).where("_us is not null")
+    state = T.StructType([T.StructField("_us", T.LongType())] + [f if _clock_free(f) else T.StructField(f.name, T.LongType()) for f in pings.schema])
+    names = {f.name: f"_as_{f.name}" for f in moments}
+    text = F.when(F.col(key).isNull(), "0").otherwise(F.concat(F.lit("1"), F.col(key).cast("string")))
+    numbered = plain.withColumns({**{n: F.unix_micros(F.col(c).cast("timestamp")) for c, n in names.items()}, "_k": text})
+    stored = T.StructType([T.StructField(names.get(f.name, f.name), f.dataType, True) for f in state])
+    kept = numbered.groupBy("_k").transformWithStateInPandas(Thinner(stored, numbered.columns, gap_seconds * 1_000_000), stored, "append", "EventTime")
+    back = lambda f: F.timestamp_micros(names[f.name]).cast(f.dataType).alias(f.name) if f.name in names else F.col(f.name)
+    return kept.select(*[back(f) for f in pings.schema])

@@ -16,6 +16,8 @@ from registry.core import CTES, now, query
 
 TOPIC = "cdc.public.customers"
 INPUT_FILES = 4
+#: Micro-batches of a stream that is read in several.
+BATCHES = 4
 
 CTES["o_env"] = """SELECT customer_id, status, ts, lsn, op, epoch_ms(ts) AS ts_ms,
  lag(status) OVER (PARTITION BY customer_id ORDER BY ts, lsn) AS before_status FROM {change_log}"""
@@ -269,9 +271,10 @@ def _(d):
     low, high = env.agg(F.min("ts_ms"), F.max("ts_ms")).first()
     early = (F.col("ts_ms") < (low + high) // 2) & (F.col("source.lsn") % 7 != 0)
     path, out, ck = run_dir(d.spark, "envelopes"), run_dir(d.spark, "applied"), run_dir(d.spark, "ck")
+    files = max(INPUT_FILES, d.spark.sparkContext.defaultParallelism)
     for part in (early, ~early):
-        env.where(part).repartitionByRange(INPUT_FILES, "ts_ms").write.mode("append").parquet(path)
-        rows = landing.stream_unwrap_changes(landing.read_envelopes(d.spark, path, env.schema, max_files=2))
+        env.where(part).repartitionByRange(files, "ts_ms").write.mode("append").parquet(path)
+        rows = landing.stream_unwrap_changes(landing.read_envelopes(d.spark, path, env.schema, max_files=files // 2))
         apply.stream_apply(rows, out, ck, ["customer_id"]).awaitTermination()
         if part is early:
             apply.compact(d.spark, out, ["customer_id"])
@@ -301,7 +304,8 @@ def _(d):
 def _(d):
     events = trip_events(d)
     path, out = as_files(d, events, "trips", "event_ts"), run_dir(d.spark, "timeline")
-    source = d.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    files = -(-max(INPUT_FILES, d.spark.sparkContext.defaultParallelism) // BATCHES)
+    source = d.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(path)
     apply.stream_trip_timeline(source, out, run_dir(d.spark, "ck")).awaitTermination()
     return apply.current_timeline(d.spark, out)
 
@@ -340,18 +344,20 @@ def _(d):
 
 @query("stream_ping_downsample", THIN_SQL)
 def _(d):
-    # Four batches in the order of arrival; every tenth ping comes half a day late. A heartbeat from far ahead closes the stream.
+    # Batches in the order of arrival; every tenth ping comes half a day late. A heartbeat from far ahead closes the stream.
     rows = pings(d)
-    path, out = run_dir(d.spark, "pings"), run_dir(d.spark, "kept")
+    path, out, ck = run_dir(d.spark, "pings"), run_dir(d.spark, "kept"), run_dir(d.spark, "ck")
+    d.spark.createDataFrame([], rows.schema).write.parquet(path)
     arrived = F.unix_seconds("ts") + F.when(F.col("event_id") % 10 == 0, 12 * 3600).otherwise(0)
     timed = rows.withColumn("arrived", arrived)
     low, high = timed.agg(F.min("arrived"), F.max("arrived")).first()
-    batch = F.least(F.floor((F.col("arrived") - low) * 4 / max(high - low, 1)), F.lit(3))
-    for k in range(4):
-        timed.where(batch == k).drop("arrived").coalesce(1).write.mode("append").parquet(path)
+    batch = F.least(F.floor((F.col("arrived") - low) * BATCHES / max(high - low, 1)), F.lit(BATCHES - 1))
     beat = d.spark.range(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"), now("2100-01-01 00:00:00").alias("ts"))
-    beat.write.mode("append").parquet(path)
-    source = d.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    source = d.spark.readStream.schema(rows.schema).parquet(path)
     kept = throttle.stream_ping_downsample(source, "user_id", "ts", PING_GAP, "1 day")
-    kept.writeStream.format("parquet").option("checkpointLocation", run_dir(d.spark, "ck")).trigger(availableNow=True).start(out).awaitTermination()
+    # A batch is written by as many tasks as there are, and the stream goes on from its checkpoint once it is there.
+    for k in range(BATCHES + 1):
+        arriving = timed.where(batch == k).drop("arrived") if k < BATCHES else beat
+        arriving.write.mode("append").parquet(path)
+        kept.writeStream.format("parquet").option("checkpointLocation", ck).trigger(availableNow=True).start(out).awaitTermination()
     return d.spark.read.schema(rows.schema).parquet(out).where("event_id >= 0")

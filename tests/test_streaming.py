@@ -135,6 +135,54 @@ def test_thinning_equals_the_sequential_rule(spark, seed, gap, slices):
     assert len(got) == len(set(got)) and set(got) == greedy(rows, gap)
 
 
+def test_thinning_leaves_out_pings_without_a_time(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", dt.datetime(2026, 1, 1), 2), ("b", None, 3)], "driver string, at timestamp, n long")
+    assert [r.n for r in throttle.ping_downsample(df, "driver", "at", 10).collect()] == [2]
+    assert throttle.ping_downsample(df.limit(0), "driver", "at", 10).collect() == []
+
+
+def test_streamed_thinning_equals_the_rule_and_frees_its_state(spark):
+    rng, start, gap = random.Random(6), dt.datetime(2026, 1, 1), 60
+    rows = [(rng.choice(["a", "b", "c", None]), start + dt.timedelta(seconds=rng.randrange(20_000)), i, None if i % 7 == 0 else i) for i in range(600)]
+    # Batches in order of arrival; a third of the pings come up to 50 minutes late, none later than the limit.
+    arrival = {r[2]: r[1] + dt.timedelta(seconds=rng.choice([0, 0, rng.randrange(3000)])) for r in rows}
+    schema = "driver string, at timestamp, n long, maybe int"
+    path, out, ck = run_dir(spark, "pings"), run_dir(spark, "kept"), run_dir(spark, "ck")
+    spark.createDataFrame([], schema).write.parquet(path)
+    kept = throttle.stream_ping_downsample(spark.readStream.schema(schema).parquet(path), "driver", "at", gap, "1 hour")
+    held = []
+    far = [("beat", dt.datetime(2030, 1, 1), -1, None)]
+    parts = [[r for r in rows if k * 5000 <= (arrival[r[2]] - start).total_seconds() < (k + 1) * 5000] for k in range(5)]
+    for part in [*parts, far, [("beat", dt.datetime(2030, 1, 3), -2, None)], [("a", dt.datetime(2026, 1, 1), 999, None)], [("beat", dt.datetime(2030, 1, 5), -3, None)]]:
+        spark.createDataFrame(part, schema).write.mode("append").parquet(path)
+        query = kept.writeStream.format("parquet").option("checkpointLocation", ck).trigger(availableNow=True).start(out)
+        query.awaitTermination()
+        held.append(query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"])
+    got = {r.n: r for r in spark.read.parquet(out).collect()}
+    assert {n for n in got if n >= 0} == greedy([(k, t, i) for k, t, i, _ in rows], gap)
+    assert all(got[i].at == t and got[i].maybe == m and got[i].driver == k for k, t, i, m in rows if i in got)
+    # What waits and what the gap still needs is held; in the end that is the last heartbeat alone, with its timer.
+    assert max(held) >= 8 and held[-1] <= 2
+
+
+def test_timeline_takes_late_events_and_compacts(spark):
+    schema = "trip_id string, event_ts timestamp, status_code string"
+    rng, start = random.Random(8), dt.datetime(2026, 1, 1)
+    rows = [(f"t{rng.randrange(9)}", start + dt.timedelta(minutes=rng.randrange(10_000)), rng.choice(["requested", "driver_accepted", "completed", "cancelled", "other"])) for _ in range(300)]
+    path, out, ck = run_dir(spark, "trips"), run_dir(spark, "timeline"), run_dir(spark, "ck")
+    for k in range(3):
+        spark.createDataFrame(rows[k * 100 : (k + 1) * 100], schema).coalesce(2).write.mode("append").parquet(path)
+        query = apply.stream_trip_timeline(stream(spark, path, schema), out, ck)
+        query.awaitTermination()
+        assert not query.recentProgress[-1]["stateOperators"]
+        for _ in range(2):
+            got = {r.trip_id: r.ts_requested for r in apply.current_timeline(spark, out).collect()}
+            seen = rows[: (k + 1) * 100]
+            assert got == {t: min((ts for x, ts, s in seen if x == t and s == "requested"), default=None) for t, _, _ in seen}
+            apply.compact_timeline(spark, out)
+        assert spark.read.parquet(f"{out}/{apply.BASE}").count() == len({t for t, _, _ in seen})
+
+
 def test_minimum_gap():
     assert [throttle.min_gap_seconds(r) for r in (0, 1, 2, 6, 60)] == [60, 60, 30, 10, 10]
 
