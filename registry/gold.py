@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fleetmart.functions.numbers import mean, percent, ratio, round_to
+from fleetmart.operators import sketches
 from fleetmart.plans import marts
 from registry.core import CTES, NOW, avg, now, pct, query, r, today
 
@@ -269,6 +270,30 @@ def _(d):
     return d.table("promo_usage").groupBy("promo_id").agg(F.count_distinct("passenger_id").alias("customers"))
 
 
+@query("agg_distinct_sketch", "SELECT date_trunc('month', requested_at)::date AS month, count(DISTINCT passenger_id) AS customers, true AS within_error FROM {rides} GROUP BY ALL")
+def _(d):
+    # Sketches are stored per day; the month reads them alone. The exact figure is there to hold them against.
+    rides, month = d.table("rides"), lambda c: F.to_date(F.date_trunc("month", c)).alias("month")
+    daily = d.stored("daily-sketches", sketches.distinct_sketch(rides, [F.to_date("requested_at").alias("day")], "passenger_id"))
+    monthly = sketches.union_distinct(daily, [month("day")])
+    exact = rides.groupBy(month("requested_at")).agg(F.count_distinct("passenger_id").alias("customers"))
+    off = F.abs(F.col("estimate") - F.col("customers")) <= F.greatest(F.lit(1.0), F.col("customers") * sketches.distinct_error(sigmas=5))
+    return exact.join(monthly, "month").select("month", "customers", off.alias("within_error"))
+
+
+@query(
+    "agg_top1_sketch",
+    """WITH c AS (SELECT pickup_zone_id, date_trunc('year', requested_at)::date AS year, driver_id, count(*) AS n FROM {rides} WHERE driver_id IS NOT NULL GROUP BY ALL),
+       t AS (SELECT pickup_zone_id, year, sum(n) AS rows, arg_max(driver_id, n) AS driver_id, max(n, 2) AS two FROM c GROUP BY ALL)
+       SELECT pickup_zone_id, year, rows::bigint AS rows, ceil(rows * 3.5 / 1024)::bigint AS bound, CASE WHEN two[1] - coalesce(two[2], 0) > 2 * ceil(rows * 3.5 / 1024) THEN driver_id END AS driver_id FROM t""",
+)
+def _(d):
+    day = F.to_date("requested_at").alias("day")
+    daily = d.stored("daily-tops", sketches.top_sketch(d.table("rides"), ["pickup_zone_id", day], "driver_id"))
+    yearly = sketches.union_top(daily, ["pickup_zone_id", F.to_date(F.date_trunc("year", "day")).alias("year")])
+    return sketches.clear_winner(sketches.top_values(yearly, 2), "driver_id")
+
+
 @query(
     "label_cost_rollup",
     """SELECT o_orderpriority AS label_value, sum(o_orderkey * 1024)::bigint AS total_bytes_billed, count(*) AS jobs FROM {orders} GROUP BY ALL""",

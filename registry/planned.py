@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fleetmart.operators import keymap
 from fleetmart.plans import dims, planned
+from fleetmart.session import run_dir
 from registry.core import CTES, FIRST_LOAD, SECOND_LOAD, SNAPSHOT_NOW, avg, query, r, today
 
 NULL_MARK = "_dbt_utils_surrogate_key_null_"
@@ -390,3 +392,15 @@ def _(d):
 )
 def _(d):
     return planned.dm_driver_monthly_summary(d.rides, d.table("payouts"))
+
+
+@query(
+    "dim_key_map",
+    """WITH l AS (SELECT passenger_id, CASE WHEN substr(passenger_id, 3)::bigint % 3 <> 0 THEN 1 ELSE 2 END AS load FROM {passengers})
+       SELECT passenger_id AS natural_key, row_number() OVER (ORDER BY load, passenger_id) AS dense_key, load FROM l""",
+)
+def _(d):
+    # The second load repeats the keys of the first, which keep their numbers.
+    path, keys = run_dir(d.spark, "key-map"), d.table("passengers").select("passenger_id")
+    keymap.extend_key_map(d.spark, path, keys.where(F.substring("passenger_id", 3, 18).cast("long") % 3 != 0), "passenger_id", 400)
+    return keymap.extend_key_map(d.spark, path, keys.unionByName(keys), "passenger_id", 400)
