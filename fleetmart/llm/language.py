@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetmart.llm.store import Workspace
 from fleetmart.llm.words import flat, lowered, slices
@@ -211,5 +212,5 @@ def predict_language(docs: DataFrame, keep: list[str], train_on: Column, text_co
     labelled = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     model = train(labelled, work, params)
     rows = docs.select(F.struct(*keep).alias("kept"), F.col(text_col).cast("string").alias("text"))
-    kind = rows.schema["kept"].dataType.simpleString()
-    return rows.mapInArrow(_predictor(model), f"kept {kind}, lang_pred string, score double").select("kept.*", "lang_pred", "score")
+    schema = T.StructType([rows.schema["kept"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(_predictor(model), schema).select("kept.*", "lang_pred", "score")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fleetmart.llm.store import Workspace
-from fleetmart.llm.vectors import by_length, cast_vectors, matrix, unit, usable
+from fleetmart.llm.vectors import by_length, cast_vectors, matrix, scaled, unit, usable
 
 
 @dataclass(frozen=True)
@@ -110,11 +110,11 @@ def _ranker(p: MultiIndex):
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if rows.num_rows and queries.num_rows:
-            x, ids = matrix(rows.column("vector")), rows.column("ids").to_pylist()
+            x, ids = scaled(matrix(rows.column("vector"))), rows.column("ids").to_pylist()
             norms, cells = np.sqrt((x * x).sum(1)), rows.column("cell").to_numpy()
             order = np.argsort(cells, kind="stable")
             x, norms, cells = x[order], norms[order], cells[order]
-            for query, q, wanted in zip(queries.column("query_id").to_pylist(), matrix(queries.column("vector")), queries.column("cells").to_pylist()):
+            for query, q, wanted in zip(queries.column("query_id").to_pylist(), scaled(matrix(queries.column("vector"))), queries.column("cells").to_pylist()):
                 low, high = np.searchsorted(cells, wanted, "left"), np.searchsorted(cells, wanted, "right")
                 at = np.concatenate([np.arange(a, b) for a, b in zip(low, high)])
                 if not len(at):
@@ -138,7 +138,8 @@ def nearest_vectors(table: DataFrame, queries: DataFrame, id_col: str = "vec_id"
     Both have an id and a vector. Nearest first by cosine, ties to the smaller id; all candidates if there are fewer.
     Vectors that are null, zero or hold null or non-finite components, and rows without an id, take no part; vectors of
     different length are not compared. Equal vectors are ranked once and stand for their smallest ids, so a vector that
-    very many rows share costs no more than others. Rows that repeat an id and its vector count once. Empty tables give
+    very many rows share costs no more than others. Rows that repeat an id and its vector count once; an id with
+    several vectors is ranked by each of them, and asks with each. Empty tables give
     an empty result; further columns are not read.
     """
     work = Workspace(table.sparkSession, "multi-index")
@@ -168,7 +169,7 @@ def nearest_vectors(table: DataFrame, queries: DataFrame, id_col: str = "vec_id"
 
     group = F.pmod(F.xxhash64("cell"), F.lit(params.groups)).cast("int")
     asked = cast_vectors(queries, id_col, vector_col).where(good).distinct().withColumnRenamed("vec_id", "query_id").where(F.size("vector").isin(list(books)))
-    visits = asked.mapInArrow(_visitor(books, sizes, params), "query_id long, vector array<double>, cells array<int>")
+    visits = asked.repartition(params.groups, "query_id").mapInArrow(_visitor(books, sizes, params), "query_id long, vector array<double>, cells array<int>")
     visits = visits.select("query_id", "vector", F.explode("cells").alias("cell")).withColumn("group", group)
     visits = visits.groupBy("query_id", "vector", "group").agg(F.collect_list("cell").alias("cells")).withColumn("length", F.size("vector"))
 

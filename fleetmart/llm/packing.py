@@ -8,7 +8,7 @@ compatible bin is found or a new one is opened.
 A bin never holds two documents of one duplicate cluster. A source owns as many bits as its fair share of the
 documents of a bin, at least one, so that a source with a third of all rows does not leave bins half empty.
 
-Documents are dealt to shards by the hash of their id; a shard is packed by one task and has a bounded number of rows
+Documents are dealt to shards by the hash of their id, equal rows in turn; a shard is packed by one task and has a bounded number of rows
 of a few numbers each. A bin belongs to one shard, so the rules hold over the whole table.
 """
 
@@ -47,19 +47,24 @@ def pack_shard(sizes: list[int], sources: list[int], clusters: list[int], slots:
     of_source: list[int] = []
     of_cluster: list[int] = []
     bins, offsets = [], []
+    before, passed = None, (0, 0)
     for size, source, cluster in zip(sizes, sources, clusters):
         mask = ((1 << slots[source]) - 1) << first_bit[source]
         mark = 1 << cluster if cluster >= 0 else 0
-        at, end = bisect_left(room, (size, -1)), len(room)
+        # What forbade a bin to the item before forbids it to an equal one: the search goes on behind the bin found last.
+        again = mark and before == (size, source, cluster)
+        at, end = bisect_left(room, passed if again else (size, -1)), len(room)
+        before = size, source, cluster
         while at < end:
             b = room[at][1]
             if of_source[b] & mask != mask and not of_cluster[b] & mark:
                 break
             at += 1
         if at < end:
-            left, b = room.pop(at)
+            left, b = passed = room.pop(at)
         else:
             left, b = capacity, len(used)
+            passed = (capacity + 1, 0)
             used.append(0)
             of_source.append(0)
             of_cluster.append(0)
@@ -123,5 +128,8 @@ def pack_documents(sizes: DataFrame, params: Packing = Packing()) -> DataFrame:
     per_bin = params.capacity * parts / words if words else 1
     slots = {r["source"]: max(1, math.ceil(params.slack * per_bin * r["parts"] / max(parts, 1))) for r in stats}
     shards = max(1, math.ceil(sum(r["n"] for r in stats) / params.shard_docs))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(shards)))
+    # Equal rows are dealt in turn; they conflict with each other wherever they are.
+    each = rows.groupBy("doc_id", "size", "source", "cluster").agg(F.count("*").alias("n")).withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    turned = F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(shards)) + F.col("turn")
+    dealt = each.withColumn("shard", F.pmod(turned, F.lit(shards)).cast("long")).drop("n", "turn")
     return dealt.groupBy("shard").applyInPandas(_packer(params, slots), PLACES)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.llm.graph import components
 from fleetmart.llm.store import Workspace
-from fleetmart.llm.vectors import by_length, cast_vectors, matrix, unit, usable
+from fleetmart.llm.vectors import by_length, cast_vectors, matrix, scaled, unit, usable
 from fleetmart.llm.words import mix
 
 
@@ -104,7 +104,7 @@ def _confirmer(p: PolytopeDedup):
                 close = np.zeros(batch.num_rows, bool)
                 for rows, x in by_length(batch.column("vector_a")):
                     # Vectors of a bucket have one length.
-                    y = matrix(batch.column("vector_b").take(pa.array(rows)))
+                    x, y = scaled(x), scaled(matrix(batch.column("vector_b").take(pa.array(rows))))
                     close[rows] = (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1))) >= p.cosine
                 yield batch.select(["a", "b", "members_a", "members_b"]).filter(pa.array(close))
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetmart.llm.store import Workspace
+from fleetmart.llm.store import Workspace, every
 from fleetmart.llm.words import WORD
 
 WEIGHTS = (5, 2, 1)
@@ -103,8 +103,7 @@ def mixed_documents(docs: DataFrame, source_col: str = "source") -> DataFrame:
     """The documents of the mix: every row as often as the plan takes it, with the columns of ``docs``."""
     work = Workspace(docs.sparkSession, "mixing")
     plan = mixing_plan(work.save(sized(docs, source_col), "sizes"), work)
-    names = docs.columns
-    taken = with_copies(docs.select(F.struct(*names).alias("_row"), F.col(source_col).alias("_src"), F.col("doc_id").alias("_id")), plan, "_src", "_id")
+    taken = with_copies(docs.select(F.struct(*every(docs)).alias("_row"), F.col(source_col).alias("_src"), F.col("doc_id").alias("_id")), plan, "_src", "_id")
     return taken.where("copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy")).select("_row.*")
 
 

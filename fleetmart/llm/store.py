@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetmart.session import run_dir
 
@@ -10,6 +11,11 @@ from fleetmart.session import run_dir
 TEXT_ROWS = "1000"
 
 
+def every(df: DataFrame) -> list[Column]:
+    """All columns, whatever their names."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]
+
+
 class Workspace:
     """A fresh folder below ``spark.checkpoint.dir`` for the intermediate tables of one run."""
 

@@ -14,8 +14,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetmart.llm.store import Workspace
 from fleetmart.llm.words import each_slice, flat, mix, slices, spans, windows
@@ -44,7 +45,7 @@ def _half_windows(length: int):
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            ids, variants = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "variant"))
             for i, j, h, first in each_slice(batch.column("text"), lower=False):
                 if len(h) < length:
                     continue
@@ -67,9 +68,9 @@ def _half_windows(length: int):
                 whole = mix((sums[hi + length] - sums[lo]) * down[lo] + (hi - lo).astype(np.uint64) * np.uint64(4096) + (at - lo).astype(np.uint64))
                 d = document[lo]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[i:j][d]), pa.array((lo - first[d]).astype(np.int32)), pa.array((hi - first[d]).astype(np.int32)),
+                    [pa.array(ids[i:j][d]), pa.array(variants[i:j][d]), pa.array((lo - first[d]).astype(np.int32)), pa.array((hi - first[d]).astype(np.int32)),
                      pa.array(half[at].view(np.int64)), pa.array(whole.view(np.int64))],
-                    ["doc_id", "lo", "hi", "half", "stretch"],
+                    ["doc_id", "variant", "lo", "hi", "half", "stretch"],
                 )
 
     return find
@@ -88,7 +89,7 @@ def _ranges(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _full_windows(length: int):
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            ids, variants = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "variant"))
             row, lo, hi = _ranges(batch.column("ranges"))
             for i, j, h, first in each_slice(batch.column("text"), lower=False):
                 mine = (row >= i) & (row < j)
@@ -100,13 +101,14 @@ def _full_windows(length: int):
                 at = base + np.arange(len(base)) - np.repeat(np.cumsum(n) - n, n)
                 owner = np.repeat(row[mine], n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(full[at].view(np.int64)), pa.array(ids[owner]), pa.array((at - first[owner - i]).astype(np.int32))], ["full", "doc_id", "start"]
+                    [pa.array(full[at].view(np.int64)), pa.array(ids[owner]), pa.array(variants[owner]), pa.array((at - first[owner - i]).astype(np.int32))],
+                    ["full", "doc_id", "variant", "start"],
                 )
 
     return extend
 
 
-def _cutter(length: int, layout: bool):
+def _cutter(length: int, layout: bool, carried: list[str]):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, lo, hi = _ranges(batch.column("ranges"))
@@ -150,31 +152,44 @@ def _cutter(length: int, layout: bool):
             sizes = np.concatenate(([0], np.cumsum(np.concatenate(kept_sizes))))
             text = pa.LargeStringArray.from_buffers(len(sizes) - 1, pa.py_buffer(sizes.astype(np.int64).tobytes()), pa.py_buffer(np.concatenate(kept_bytes).tobytes()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.concatenate(n_words).astype(np.int64)), pa.array(np.concatenate(n_removed).astype(np.int64)), text.cast(pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept_text"],
+                [batch.column("doc_id"), pa.array(np.concatenate(n_words).astype(np.int64)), pa.array(np.concatenate(n_removed).astype(np.int64)), text.cast(pa.string()), *[batch.column(c) for c in carried]],
+                ["doc_id", "n_words", "n_removed", "kept_text", *carried],
             )
 
     return cut
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", layout: bool = False) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_text), one row per row of ``docs``.
+def _told_apart(texts: DataFrame, work: Workspace) -> DataFrame:
+    """``texts`` with variant: 0, or the hash of the text where an id has several unlike texts."""
+    hashed = texts.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("h"))
+    several = work.save(hashed.groupBy("doc_id").agg(F.min("h").alias("h0"), F.max("h").alias("h1")).where("h0 <> h1").select(F.col("doc_id").alias("several")), "several")
+    if several.isEmpty():
+        return texts.withColumn("variant", F.lit(0).cast("long"))
+    met = texts.join(several, F.col("doc_id") == F.col("several"), "left")
+    return met.withColumn("variant", F.when(F.col("several").isNotNull() & F.col("text").isNotNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))).drop("several")
+
+
+def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", layout: bool = False, carry: Column | None = None) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_text), one row per row of ``docs``, and with ``carry`` that column as ``carried``.
 
     A word goes when a window of ``length`` words covers it whose word sequence also starts in a document with a smaller
     id. Windows are judged on the input. ``kept_text`` holds the kept words joined by one space, or, with ``layout``,
     the text as it was without the removed words and the white space behind them.
 
     A null or blank text has no words and an empty kept text; texts shorter than a window lose nothing. Rows without an
-    id lose nothing and cause nothing. Rows that repeat an id are one document and must repeat its text. Further columns
+    id lose nothing and cause nothing. Rows that repeat an id, with the same text or another, are judged each by
+    its own text and cause nothing for each other, as none has the smaller id. Further columns
     are not read; an empty table gives an empty result.
     """
     if length < 4 or length > 4096:
         raise ValueError("length must be between 4 and 4096 words")
     work = Workspace(docs.sparkSession, "doubling")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    known = texts.where("doc_id is not null and text is not null")
+    more = [] if carry is None else ["carried"]
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[carry.alias(c) for c in more])
+    texts = _told_apart(texts, work)
+    known = texts.where("doc_id is not null and text is not null").select("doc_id", "variant", "text")
 
-    halves = work.save(known.mapInArrow(_half_windows(length), "doc_id long, lo int, hi int, half long, stretch long"), "halves")
+    halves = work.save(known.mapInArrow(_half_windows(length), "doc_id long, variant long, lo int, hi int, half long, stretch long"), "halves")
     repeated = halves.groupBy("half").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1")).where("d0 < d1").select("half")
     # The small side of each join is written first: a join of two plain shuffles is one whose hot keys AQE can split.
     hits = work.save(halves.join(work.save(repeated, "repeated"), "half"), "hits")
@@ -184,15 +199,17 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     least = work.save(hits.groupBy("half", "stretch").agg(F.min("doc_id").alias("least_doc")), "least")
     told = work.save(hits.join(least, ["half", "stretch"]), "told")
     work.drop(hits)
-    copied = told.where("doc_id > least_doc").select("doc_id", "lo", "hi")
+    copied = told.where("doc_id > least_doc").select("doc_id", "variant", "lo", "hi")
     first = told.where("doc_id = least_doc")
     open_halves = first.groupBy("half").agg(F.min("stretch").alias("s0"), F.max("stretch").alias("s1")).where("s0 <> s1").select("half")
-    stretches = first.join(work.save(open_halves, "open"), "half").groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    full = known.join(stretches, "doc_id").select("doc_id", "text", "ranges").mapInArrow(_full_windows(length), "full long, doc_id long, start int")
+    stretches = first.join(work.save(open_halves, "open"), "half").groupBy("doc_id", "variant").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    full = known.join(stretches, ["doc_id", "variant"]).select("doc_id", "variant", "text", "ranges").mapInArrow(_full_windows(length), "full long, doc_id long, variant long, start int")
     full = work.save(full, "full")
     source = full.groupBy("full").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1")).where("d0 < d1").select("full", "d0")
-    later = full.join(work.save(source, "source"), "full").where("doc_id > d0").select("doc_id", F.col("start").alias("lo"), F.col("start").alias("hi"))
+    later = full.join(work.save(source, "source"), "full").where("doc_id > d0").select("doc_id", "variant", F.col("start").alias("lo"), F.col("start").alias("hi"))
 
-    gone = copied.unionByName(later).groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    schema = "doc_id long, n_words long, n_removed long, kept_text string"
-    return texts.join(gone, "doc_id", "left").select("doc_id", "text", "ranges").mapInArrow(_cutter(length, layout), schema)
+    gone = copied.unionByName(later).groupBy("doc_id", "variant").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    schema = T.StructType.fromDDL("doc_id long, n_words long, n_removed long, kept_text string")
+    for c in more:
+        schema = schema.add(c, texts.schema[c].dataType)
+    return texts.join(gone, ["doc_id", "variant"], "left").select("doc_id", "text", "ranges", *more).mapInArrow(_cutter(length, layout, more), schema)

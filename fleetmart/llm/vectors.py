@@ -36,5 +36,12 @@ def by_length(column: pa.Array):
         yield rows, matrix(column.take(pa.array(rows)))
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two, so that their largest component is between a half and one and no square is lost; angles stay as they are."""
+    _, exponent = np.frexp(np.abs(x).max(1, keepdims=True, initial=0.0))
+    return np.ldexp(x, -exponent)
+
+
 def unit(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
