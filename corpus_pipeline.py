@@ -13,7 +13,7 @@ from fleetmart.llm.language import UNKNOWN, predict_language, remainder
 from fleetmart.llm.minmax_dedup import MinMaxDedup, near_duplicates
 from fleetmart.llm.packing import Packing, pack_documents
 from fleetmart.llm.source_mixing import mixed_documents, word_count
-from fleetmart.llm.store import Workspace
+from fleetmart.llm.store import Workspace, every
 from fleetmart.llm.substring_dedup import remove_repeats
 
 #: A language must be at least this likely among those learned.
@@ -24,7 +24,7 @@ BIN_WORDS = 2048
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents written in one of the languages learned; null texts, texts without letters and undecided ones go."""
-    judged = predict_language(docs.withColumn("_row", F.struct(*docs.columns)), ["_row"], remainder("doc_id", 3) != 1)
+    judged = predict_language(docs.withColumn("_row", F.struct(*every(docs))), ["_row"], remainder("doc_id", 3) != 1)
     return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("_row.*")
 
 
@@ -32,23 +32,25 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Keeps the document with the least id of every group of near duplicates, and rows without an id."""
     judged = near_duplicates(docs, params=MinMaxDedup(shingle_words=5, percent=80))
     dropped = judged.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    # The row goes through the join whole, so no name in it can clash.
+    rows = docs.select(F.col("doc_id"), F.struct(*every(docs)).alias("_row"))
+    return rows.join(dropped, "doc_id", "left_anti").select("_row.*")
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of 50 words that an earlier document holds; a document left without words goes."""
-    kept = remove_repeats(docs, PASSAGE_WORDS, layout=True).where("n_removed > 0").groupBy("doc_id").agg(F.max("kept_text").alias("_kept"))
-    cut = docs.join(kept, "doc_id", "left")
-    text = F.coalesce("_kept", "text")
-    new = {"text": text}
+    others = F.struct(F.col("text").isNull().alias("none"), F.struct(*[c for c, n in zip(every(docs), docs.columns) if n != "text"]).alias("row"))
+    judged = remove_repeats(docs, PASSAGE_WORDS, layout=True, carry=others).where("n_removed = 0 or n_words > n_removed")
+    rows = judged.select("n_removed", F.when(~F.col("carried.none"), F.col("kept_text")).alias("text"), F.col("carried.row").alias("row"))
+    out = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("_kept")).cast(docs.schema["n_chars"].dataType)
-    return cut.where(F.col("_kept").isNull() | (word_count("_kept") > 0)).withColumns(new).select(*docs.columns)
+        out["n_chars"] = F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[out.get(n, F.col("row").getField(n)).alias(n) for n in docs.columns])
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or leaves out documents so that sources take their target weights."""
-    return mixed_documents(docs).select(*docs.columns)
+    return mixed_documents(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
