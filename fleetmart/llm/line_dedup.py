@@ -23,6 +23,7 @@ from fleetmart.llm.store import Workspace
 from fleetmart.llm.words import _SOLID, fingerprints, flat, lowered, slices
 
 NEWLINE = 10
+_SHORT_RUN = 32
 
 
 @dataclass(frozen=True)
@@ -51,11 +52,19 @@ def lines(part: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def stripped(part: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Byte ranges without white space at both ends; a blank line becomes empty."""
-    solid = np.flatnonzero(_SOLID[part])
-    lo, hi = np.searchsorted(solid, starts), np.searchsorted(solid, ends)
-    some = lo < hi
-    first, last = starts.copy(), starts.copy()
-    first[some], last[some] = solid[lo[some]], solid[hi[some] - 1] + 1
+    first, last = starts.copy(), ends.copy()
+    for edge, step, behind in ((first, 1, 0), (last, -1, -1)):
+        todo = np.flatnonzero(first < last)
+        # Runs of white space are short; a long one is searched as a whole.
+        for _ in range(_SHORT_RUN):
+            todo = todo[~_SOLID[part[edge[todo] + behind]]]
+            edge[todo] += step
+            todo = todo[first[todo] < last[todo]]
+            if not len(todo):
+                break
+        for k in todo:
+            solid = np.flatnonzero(_SOLID[part[first[k] : last[k]]])
+            first[k], last[k] = (first[k] + solid[0], first[k] + solid[-1] + 1) if len(solid) else (first[k], first[k])
     return first, last
 
 
@@ -67,8 +76,11 @@ def _keys(column: pa.Array, least_chars: int):
         part = lowered(data[offsets[i] : offsets[j]])
         starts, ends, first = lines(part, offsets[i : j + 1] - offsets[i])
         starts, ends = stripped(part, starts, ends)
-        chars = np.concatenate(([0], np.cumsum((part & 0xC0) != 0x80)))
-        some = np.flatnonzero((chars[ends] - chars[starts] >= least_chars) & (ends > starts))
+        long_enough = ends > starts
+        if least_chars > 1:
+            chars = np.concatenate(([0], np.cumsum((part & 0xC0) != 0x80)))
+            long_enough &= chars[ends] - chars[starts] >= least_chars
+        some = np.flatnonzero(long_enough)
         if not len(some):
             continue
         document = np.repeat(np.arange(j - i), np.diff(first))[some]

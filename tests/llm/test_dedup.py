@@ -125,3 +125,10 @@ def test_repeats_of_odd_rows(documents):
     assert sorted((d, n) for d, n, _ in got if d is not None) == [(1, 0), (1, 0), (2, 60), (3, 60)]
     assert [n for d, n, _ in got if d is None] == [0]
     assert remove_repeats(docs.limit(0), 50).count() == 0
+
+
+def test_ids_with_several_texts_are_judged_row_by_row(spark, documents):
+    shared = " ".join(f"s{k}" for k in range(12))
+    rows = [(1, "a b " + shared, "en", "x"), (2, shared + " one more", "en", "x"), (2, "c", "en", "x"), (2, "d " + shared, "en", "x"), (2, "d " + shared, "en", "x"), (3, None, "en", "x"), (None, shared, "en", "x")]
+    got = sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_text) for r in remove_repeats(documents(rows), 10).collect())
+    assert got == [("1", 14, 0, "a b " + shared), ("2", 1, 0, "c"), ("2", 13, 12, "d"), ("2", 13, 12, "d"), ("2", 14, 12, "one more"), ("3", 0, 0, ""), ("None", 12, 0, shared)]

@@ -55,6 +55,7 @@ LINE_ROWS = [
     (None, "only here\nonly here", "en", "b"),
     (8, "É\nÉ\x85\n　", "en", "b"),
     (9, "\x00\nÉ", "en", "b"),
+    (10, " " * 100 + "MENU" + "\t" * 70 + "\n" + " " * 90 + "\n" + " " * 40 + "É", "en", "b"),
 ]
 
 

@@ -73,3 +73,21 @@ def test_stages_take_odd_rows(spark, documents):
             if name == "near_duplicates" and start is docs:
                 kept = sorted((r["doc_id"] or 0 for r in frame.collect()))
                 assert kept == [0, 1, 6, 6]
+
+
+def test_stages_take_odd_column_names_and_repeated_ids(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars int, `my col` int, `a.b` string, _kept string, _row int, `x``y` string, variant int, row int, n_removed int, score double"
+    docs = [r for r in spark.read.parquet(f"{TINY}/documents.parquet").orderBy("doc_id").collect()]
+    long = " ".join(f"word{k}" for k in range(60))
+    made = [(r.doc_id, r.text, r.lang, r.source, r.n_chars, k, "ab", "k", k, "xy", 1, 2, 3, 0.5) for k, r in enumerate(docs)]
+    extra = [(docs[0].doc_id, docs[5].text), (10**6, docs[3].text + " " + long), (10**6, "another " + long), (None, docs[2].text), (10**6 + 1, None), (10**6 + 2, "")]
+    made += [(d, t, "en", None, None, -1, "ab", "k", -1, "xy", 1, 2, 3, 0.5) for d, t in extra]
+    df = spark.createDataFrame(made, schema)
+    work = Workspace(spark, "odd")
+    for name, stage in corpus_pipeline.STAGES:
+        out = work.save(stage(spark, df, TINY), name)
+        if name != "packing":
+            assert out.columns == df.columns
+            assert {(r["a.b"], r["_kept"], r["x`y"], r["variant"], r["score"]) for r in out.collect()} == {("ab", "k", "xy", 1, 0.5)}
+        df = out
+    assert df.count() > 100

@@ -320,3 +320,17 @@ def test_scores_of_odd_rows(documents):
     nothing = pitman_yor.score_documents(docs, F.lit(True)).collect()
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["score"] <= 0 for r in nothing)
     assert pitman_yor.score_documents(docs.limit(0), F.lit(False)).count() == 0
+
+
+def test_equal_rows_are_packed_fast_and_apart(spark):
+    import time
+
+    from fleetmart.llm.packing import Packing, pack_documents, pack_shard
+
+    began = time.time()
+    bins, _ = pack_shard([10] * 20_000, [0] * 20_000, [0] * 20_000, {0: 4}, 2048)
+    assert len(set(bins)) == 20_000 and time.time() - began < 5
+    rows = spark.createDataFrame([(7, 10, "s", 1)] * 3000 + [(k, 100, "s", None) for k in range(50)], "doc_id long, size long, source string, cluster long")
+    got = pack_documents(rows, Packing(capacity=2048, shard_docs=500)).collect()
+    held = [r.bin_id for r in got if r.doc_id == 7 and r.length == 10]
+    assert len(got) == 3050 and len(held) == len(set(held)) == 3000

@@ -151,3 +151,12 @@ def test_recall_of_registered_parameters(spark):
         c[q] = -2
         hits += len(set(np.argsort(-c)[:5].tolist()) & got[q])
     assert hits / 300 >= 0.9
+
+
+def test_vectors_of_any_size_are_compared_by_angle(spark):
+    rows = [(1, [1e200, 1e200]), (2, [2e200, 2e200]), (3, [1e-200, 1e-200]), (4, [1.0, 0.0]), (5, [1e-200, -1e-200]), (6, [5e-324, 5e-324]), (7, [1e308, 1.0]), (8, [0.0, 0.0])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(df).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 6: (3, 1), 4: (1, 4), 7: (1, 4), 5: (0, 5), 8: (0, 8)}
+    near = nearest_vectors(df, df.where("vec_id = 1"), params=MultiIndex(neighbours=3)).collect()
+    assert [(r.rank, r.vec_id) for r in sorted(near, key=lambda r: r.rank)] == [(1, 2), (2, 3), (3, 6)] and all(abs(r.score - 1) < 1e-12 for r in near)
