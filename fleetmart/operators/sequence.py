@@ -30,8 +30,8 @@ def time_cuts(df: DataFrame, us: Column, rows_per_slice: int | None = None) -> l
     return sorted(set(df.agg(F.percentile_approx(us, shares, F.lit(100 * parts)).alias("cuts")).first()["cuts"] or []))
 
 
-def placed(us: Column, cuts: list[int]) -> Column:
-    """Number of the cuts that are not above a value: nested branches, or two steps through an array for many cuts."""
+def placed(us: Column, cuts: list[int], kind: str = "bigint") -> Column:
+    """Number of the cuts that are not above a value: nested branches, or two steps through an array (of type ``kind``) for many cuts."""
 
     def branch(lo: int, hi: int) -> Column:
         if lo == hi:
@@ -42,7 +42,7 @@ def placed(us: Column, cuts: list[int]) -> Column:
     if len(cuts) <= _BRANCHES:
         return branch(0, len(cuts))
     step = math.isqrt(len(cuts))
-    listed = lambda numbers: F.array(*[F.lit(c).cast("long") for c in numbers])
+    listed = lambda numbers: F.array(*[F.lit(c).cast(kind) for c in numbers])
     reached = lambda some: F.size(F.filter(some, lambda c: c <= us)).cast("long")
     block = reached(listed(cuts[::step]))
     inside = reached(F.slice(listed(cuts), (F.greatest(block - 1, F.lit(0)) * step + 1).cast("int"), step))

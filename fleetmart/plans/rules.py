@@ -29,6 +29,9 @@ MIDDAY_HOURS = [10, 11, 12, 13, 14]
 SPEED_RUSH, SPEED_MIDDAY, SPEED_NIGHT, SPEED_ELSE = 18.0, 24.0, 35.0, 28.0
 MINIMUM_MINUTES = 6
 RIDE_CODE_PATTERN = r"^RIDE-(\d{8})-(\d{6})$"
+LONG_CODE_PATTERN = r"^RIDE-[0-9]{8}-[0-9]{6,18}$"
+#: Characters before the number.
+CODE_HEAD = 14
 LOOKBACK_DAYS = 14
 
 
@@ -167,6 +170,19 @@ def max_ride_sequence(rides: DataFrame) -> DataFrame:
     return rides.agg(F.coalesce(F.max(number), F.lit(0).cast("long")).alias("max_sequence"))
 
 
+def max_ride_sequence_any_length(rides: DataFrame) -> DataFrame:
+    """The same over codes of six and more digits."""
+    number = F.when(F.col("ride_code").rlike(LONG_CODE_PATTERN), F.substring("ride_code", CODE_HEAD + 1, 30)).try_cast("long")
+    return rides.agg(F.coalesce(F.max(number), F.lit(0).cast("long")).alias("max_sequence"))
+
+
+def code_after(code: Column, step: Column) -> Column:
+    """The code whose number is ``step`` greater, of six digits or as many as it takes; NULL for codes of another form."""
+    number = (F.substring(code, CODE_HEAD + 1, 30).try_cast("long") + step).cast("string")
+    padded = F.when(F.length(number) < 6, F.lpad(number, 6, "0")).otherwise(number)
+    return F.when(code.rlike(LONG_CODE_PATTERN), F.concat(F.substring(code, 1, CODE_HEAD), padded))
+
+
 def code_exists(candidates: DataFrame, rides: DataFrame, code: str = "ride_code") -> DataFrame:
     """Candidate codes with whether they are taken."""
     taken = rides.select(F.col(code).alias("_code")).distinct().withColumn("_hit", F.lit(True))

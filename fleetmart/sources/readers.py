@@ -30,9 +30,15 @@ def scan_relational(
     return reader.load()
 
 
-def scan_documents(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json") -> DataFrame:
-    """Exported documents with a declared nested schema; the payload stays nested."""
-    return spark.read.schema(schema).format(fmt).load(path)
+def scan_documents(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json", unreadable: str | None = None) -> DataFrame:
+    """Exported documents with a declared nested schema; the payload stays nested.
+
+    ``unreadable`` names a further column with the text of documents that cannot be read, NULL for the others.
+    """
+    if unreadable is None:
+        return spark.read.schema(schema).format(fmt).load(path)
+    told = T.StructType([*schema.fields, T.StructField(unreadable, T.StringType())])
+    return spark.read.schema(told).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", unreadable).format(fmt).load(path)
 
 
 def scan_warehouse(spark: SparkSession, name: str) -> DataFrame:

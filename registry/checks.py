@@ -372,6 +372,33 @@ def _(d):
     return rules.code_exists(wanted, rides.withColumnRenamed("ride_code", "code"), "code")
 
 
+# Numbers times 1,000, so that codes of six to nine digits stand side by side at every scale.
+LONG_CODE = "left(ride_code, 14) || (CASE WHEN length(n) < 6 THEN lpad(n, 6, '0') ELSE n END)"
+CTES["o_long_codes"] = f"SELECT ride_id, {LONG_CODE} AS ride_code FROM (SELECT ride_id, ride_code, (substr(ride_code, 15)::bigint * 1000)::varchar AS n FROM {{rides}})"
+
+
+def long_codes(d):
+    number = F.substring("ride_code", 15, 20).cast("long")
+    return d.table("rides").select("ride_id", rules.code_after(F.col("ride_code"), number * 999).alias("ride_code"))
+
+
+@query("max_ride_sequence_any_length", "SELECT max(substr(ride_code, 15)::bigint) AS max_sequence FROM {o_long_codes} WHERE regexp_full_match(ride_code, 'RIDE-[0-9]{8}-[0-9]{6,18}')")
+def _(d):
+    return rules.max_ride_sequence_any_length(long_codes(d))
+
+
+@query(
+    "code_exists_any_length",
+    f"""WITH w AS (SELECT ride_id, ride_code, (substr(ride_code, 15)::bigint + CASE WHEN substr(ride_code, 15)::bigint % 3000 = 0 THEN 0 ELSE 1000 END)::varchar AS n FROM {{o_long_codes}}),
+        c AS (SELECT ride_id, {LONG_CODE} AS code FROM w) SELECT ride_id, code, code IN (SELECT ride_code FROM {{o_long_codes}}) AS taken FROM c""",
+)
+def _(d):
+    codes = long_codes(d)
+    step = F.when(F.substring("ride_code", 15, 20).cast("long") % 3000 == 0, 0).otherwise(1000)
+    wanted = codes.select("ride_id", rules.code_after(F.col("ride_code"), step).alias("code"))
+    return rules.code_exists(wanted, codes.withColumnRenamed("ride_code", "code"), "code")
+
+
 @query(
     "driver_trip_counter",
     """SELECT d.driver_id, ifnull(d.total_trips, 0) AS stored_trips, count(r.ride_id) AS completed_trips, count(r.ride_id) - ifnull(d.total_trips, 0) AS difference

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmart.operators import sinks
+from fleetmart.operators import curve, sinks
 from fleetmart.operators.ingest import cast_to_contract
 from fleetmart.plans import marts, planned
 from fleetmart.session import run_dir
@@ -175,6 +175,13 @@ DOCUMENT = T.StructType(
 )
 
 
+@query("clustered_write_curve", RIDE_ROWS)
+def _(d):
+    path = run_dir(d.spark, "rides")
+    curve.write_curve(ride_rows(d), path, ["ride_status", "requested_at", "total_fare"], 2000)
+    return d.spark.read.parquet(path)
+
+
 @query(
     "scan_documents",
     """SELECT event_id AS _id, ride_id, event_type, occurred_at AS event_time, CASE WHEN json_valid(event_payload) THEN json_extract_string(event_payload, '$.k')::bigint END AS k
@@ -185,8 +192,11 @@ def _(d):
     docs = d.table("ride_events").select(
         F.col("event_id").alias("_id"), "ride_id", "event_type", F.col("occurred_at").alias("event_time"), F.parse_json(F.when(F.try_parse_json("event_payload").isNotNull(), F.col("event_payload"))).alias("payload")
     )
-    docs.filter("payload IS NOT NULL").write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
-    return readers.scan_documents(d.spark, path, DOCUMENT).select("_id", "ride_id", "event_type", "event_time", "payload.k")
+    # Documents with a broken payload are broken lines of the export; the reader tells them from the others.
+    text = F.to_json(F.struct(*docs.columns), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    docs.select(F.when(F.col("payload").isNotNull(), text).otherwise(F.substring(text, 1, 20)).alias("value")).write.text(path)
+    read = readers.scan_documents(d.spark, path, DOCUMENT, unreadable="raw")
+    return read.filter("raw IS NULL").select("_id", "ride_id", "event_type", "event_time", "payload.k")
 
 
 @query("scan_warehouse", "SELECT zone_code, count(*) AS rides FROM {rides} r JOIN {zones} z ON z.zone_id = r.pickup_zone_id GROUP BY ALL")
