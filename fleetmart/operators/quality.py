@@ -110,7 +110,7 @@ def accepted_range(column: str, low: float | None = None, high: float | None = N
     return Rule("accepted_range", column, out_of_range(column, low, high))
 
 
-def _repeated_values(df: DataFrame, columns: list[str]) -> DataFrame:
+def repeated_values(df: DataFrame, columns: list[str]) -> DataFrame:
     """Number of repeated values per column. The columns are laid out as (column, value) rows, so one pass counts all; each
     value is counted before the shuffle.
     """
@@ -132,7 +132,7 @@ def dq_report(df: DataFrame, table: str, rules: list[Rule], unique: list[str] =
     )
     report = counts.select(F.explode(lines).alias("_l")).select("_l.*")
     if unique:
-        report = report.unionByName(_repeated_values(df, unique))
+        report = report.unionByName(repeated_values(df, unique))
     return report.select(F.lit(table).alias("table_name"), "*", (F.col("failing") == 0).alias("passed"))
 
 

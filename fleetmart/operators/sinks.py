@@ -120,6 +120,15 @@ def materialize_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
+def point_table(spark: SparkSession, name: str, version: str) -> None:
+    """Lets a catalog name stand for the files of a version."""
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, path=version, source="parquet")
+
+
 def materialize_table(spark: SparkSession, df: DataFrame, name: str, root: str) -> DataFrame:
     """Full rebuild: a new version is written first, then the catalog entry is pointed at it.
 
@@ -127,11 +136,7 @@ def materialize_table(spark: SparkSession, df: DataFrame, name: str, root: str)
     """
     version = f"{root}/{name.replace('.', '/')}/{uuid.uuid4().hex[:12]}"
     df.write.parquet(version)
-    if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
-        spark.catalog.refreshTable(name)
-    else:
-        spark.catalog.createTable(name, path=version, source="parquet")
+    point_table(spark, name, version)
     return spark.table(name)
 
 

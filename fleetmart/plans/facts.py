@@ -9,6 +9,7 @@ from fleetmart.functions import calendar, domain, jsonpath
 from fleetmart.functions.keys import surrogate_key
 from fleetmart.operators.ingest import incremental_lookback
 from fleetmart.operators.joins import lookup_join
+from fleetmart.operators.shred import Member, shred
 
 LOOKBACK_DAYS = 3
 
@@ -123,6 +124,17 @@ def parse_event_payload(events: DataFrame, both_key_sets: bool = True) -> DataFr
     return raw.withColumns(fields).drop(*[f"_j_{k}" for k in keys])
 
 
+def parse_event_payload_variant(events: DataFrame, both_key_sets: bool = True) -> DataFrame:
+    """The same fields with ``payload_rest``: JSON of all members they do not take, or a text that is no JSON object.
+
+    Numbers in text fields come in their shortest form, and a document that repeats a key cannot be read.
+    """
+    used = [(name, keys if both_key_sets else keys[:1], kind) for name, keys, kind in PAYLOAD_FIELDS]
+    wanted = [Member(key, f"_v_{key}", kind) for _, keys, kind in used for key in keys]
+    rows = shred(events, "event_payload", wanted, "payload_rest")
+    return rows.withColumns({name: F.coalesce(*[F.col(f"_v_{k}") for k in keys]) for name, keys, _ in used}).drop(*[m.column for m in wanted])
+
+
 def ride_context(rides: DataFrame) -> DataFrame:
     """What events take from a ride, straight from the raw rides: no dimension is joined for it."""
     return derive_rides(rides).withColumn("ride_key", surrogate_key(F.col("ride_id"))).select(

@@ -10,7 +10,7 @@ from fleetmart.operators.sequence import row_slices, with_neighbour
 from fleetmart.plans import timeline
 from fleetmart.session import run_dir
 from fleetmart.sources import readers
-from fleetmart.streaming import apply, landing, throttle
+from fleetmart.streaming import apply, lag, landing, throttle
 from registry.checks import status_log
 from registry.core import CTES, now, query
 
@@ -310,6 +310,38 @@ def _(d):
     return apply.current_timeline(d.spark, out)
 
 
+# The change stream's record of each status: half a minute before to a quarter of an hour after the application's.
+CTES["o_log_changes"] = "SELECT ride_id, status, ts + to_seconds(substr(event_id, 3)::bigint % 901 - 30) AS event_ts FROM {o_log}"
+
+
+@query(
+    "stream_app_vs_log_lag",
+    """SELECT a.ride_id, a.status, a.ts AS app_recorded_ts, c.event_ts AS wal_recorded_ts, date_sub('second', a.ts, c.event_ts) AS lag_seconds FROM {o_log} a
+       JOIN {o_log_changes} c ON c.ride_id = a.ride_id AND c.status = a.status AND c.event_ts BETWEEN a.ts - INTERVAL 1 HOUR AND a.ts + INTERVAL 1 HOUR""",
+)
+def _(d):
+    number = F.substring("event_id", 3, 18).cast("long")
+    log = status_log(d).withColumn("number", number)
+    app = log.select("ride_id", "status", "ts", "number")
+    moved = log.select("ride_id", "status", F.timestamp_add("SECOND", number % 901 - 30, "ts").alias("event_ts"), "number")
+    low, high = app.agg(F.min(F.unix_seconds("ts")), F.max(F.unix_seconds("ts"))).first()
+    out, ck, sides = run_dir(d.spark, "lag"), run_dir(d.spark, "ck"), []
+    # On both sides every tenth row comes two hours late; the streams go on from their checkpoint after each batch.
+    for name, rows, at, turn in (("app", app, "ts", 0), ("moved", moved, "event_ts", 5)):
+        arrived = F.unix_seconds(at) + F.when(F.col("number") % 10 == turn, 2 * 3600).otherwise(0)
+        batch = F.greatest(F.least(F.floor((arrived - low) * BATCHES / max(high - low, 1)), F.lit(BATCHES - 1)), F.lit(0))
+        path = run_dir(d.spark, name)
+        rows.limit(0).drop("number").write.parquet(path)
+        sides.append((path, rows.drop("number").schema, rows.withColumn("_batch", batch).drop("number")))
+    streams = [d.spark.readStream.schema(schema).parquet(path) for path, schema, _ in sides]
+    pairs = lag.stream_app_vs_log_lag(*streams, "ride_id", "status", "ts", "event_ts", "1 hour", "3 hours")
+    for k in range(BATCHES):
+        for path, _, rows in sides:
+            rows.where(F.col("_batch") == k).drop("_batch").write.mode("append").parquet(path)
+        pairs.writeStream.format("parquet").option("checkpointLocation", ck).trigger(availableNow=True).start(out).awaitTermination()
+    return d.spark.read.schema(pairs.schema).parquet(out)
+
+
 @query("scan_topic", "SELECT topic, count(*) AS rows FROM (SELECT CASE WHEN lsn % 2 = 0 THEN 'cdc.public.rides' ELSE 'cdc.public.zones' END AS topic FROM {change_log} WHERE lsn % 5 <> 0) GROUP BY ALL")
 def _(d):
     name = F.when(F.col("lsn") % 5 == 0, "cdc.public.payments").when(F.col("lsn") % 2 == 0, "cdc.public.rides").otherwise("cdc.public.zones")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fleetmart.functions import domain
-from fleetmart.operators import quality
+from fleetmart.operators import checked, quality
 from fleetmart.plans import marts, rules
+from fleetmart.session import run_dir
 from registry.core import CTES, NOW, SNAPSHOT_NOW, now, query, r
 
 BAD_FARE = """(ride_status = 'COMPLETED' AND total_fare <= 0) OR least(base_fare, distance_fare, time_fare, total_fare) < 0
@@ -163,6 +164,16 @@ def _(d):
     return quality.dq_report_all({table: (d.table(table), quality.suite(lines)) for table, lines in SUITES.items()})
 
 
+@query("dq_report_on_write", ALL_SQL)
+def _(d):
+    out = None
+    for table, lines in SUITES.items():
+        rules_, unique = quality.suite(lines)
+        report = checked.write_checked(d.table(table), run_dir(d.spark, f"checked-{table}"), table, rules_, unique)
+        out = report if out is None else out.unionByName(report)
+    return out
+
+
 @query("dq_orphan_payments", "SELECT payment_id, ride_id FROM {payments} WHERE ride_id NOT IN (SELECT ride_id FROM {rides})")
 def _(d):
     return quality.orphans(d.table("payments"), d.table("rides"), "ride_id").select("payment_id", "ride_id")

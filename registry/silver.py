@@ -8,6 +8,7 @@ from fleetmart.functions import calendar, cleaning, domain, jsonpath
 from fleetmart.functions.keys import surrogate_key, utc_text
 from fleetmart.functions.numbers import ratio
 from fleetmart.operators.joins import lookup_join
+from fleetmart.operators.shred import document_members
 from fleetmart.plans import dims, facts
 from registry.core import CTES, NOW, SNAPSHOT_NOW, n, now, query, today
 
@@ -215,6 +216,42 @@ def _(d):
     return out.select("event_id", *[name for name, _, _ in facts.PAYLOAD_FIELDS])
 
 
+_NUMBERS = "('surge', 'surge_multiplier', 'fare', 'total_fare', 'distance', 'estimated_distance_km')"
+_TEXTS = "('zone', 'pickup_zone', 'driver_id', 'reason', 'cancellation_reason')"
+CTES["o_members"] = """SELECT event_id, event_payload AS doc, unnest(json_keys(CASE WHEN json_valid(event_payload) THEN event_payload END)) AS name FROM {ride_events}"""
+
+
+@query(
+    "parse_event_payload_variant",
+    f"""WITH kept AS (SELECT event_id, string_agg(name, ',' ORDER BY name) AS rest_keys FROM {{o_members}}
+        WHERE CASE WHEN name IN {_NUMBERS} THEN try_cast(json_extract_string(doc, '$.' || name) AS double) IS NULL
+                   WHEN name IN {_TEXTS} THEN json_type(doc, '$.' || name) IN ('OBJECT', 'ARRAY') ELSE true END GROUP BY ALL)
+        SELECT e.event_id, req_surge, req_zone, acc_driver_id, cmp_fare, cmp_distance_km, can_reason, rest_keys,
+               CASE WHEN NOT json_valid(event_payload) THEN event_payload END AS unreadable
+        FROM {{o_events}} e JOIN {{ride_events}} USING (event_id) LEFT JOIN kept USING (event_id)""",
+)
+def _(d):
+    out = facts.parse_event_payload_variant(d.table("ride_events"))
+    names = F.array_join(F.array_sort(F.json_object_keys("payload_rest")), ",")
+    unreadable = F.when(F.try_parse_json("event_payload").isNull(), F.col("payload_rest"))
+    return out.select("event_id", *[name for name, _, _ in facts.PAYLOAD_FIELDS], names.alias("rest_keys"), unreadable.alias("unreadable"))
+
+
+@query(
+    "payload_members",
+    """SELECT name, count(*) AS documents, CASE WHEN count(DISTINCT k) = 1 THEN min(k) ELSE 'mixed' END AS kind FROM (
+         SELECT name, CASE json_type(doc, '$.' || name) WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'VARCHAR' THEN 'text'
+                      ELSE 'number' END AS k FROM {o_members}) GROUP BY name""",
+)
+def _(d):
+    kind = F.col("kind")
+    word = (
+        F.when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array").when(kind == "BOOLEAN", "boolean")
+        .when(kind == "STRING", "text").when(kind == "VARIANT", "mixed").otherwise("number")
+    )
+    return document_members(d.table("ride_events"), "event_payload").select("name", "documents", word.alias("kind"))
+
+
 @query(
     "parse_gateway_response",
     f"""SELECT payment_id, {scalar_sql('gateway_raw_response', '$.gateway')} AS gateway_name,
