@@ -14,13 +14,14 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, islice, takewhile
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetmart.llm.blocks import TRUTH, Block, blocks
+from fleetmart.llm.blocks import TRUTH, Block, Place, blocks
 from fleetmart.llm.store import Workspace
 from fleetmart.llm.words import each_slice
 
@@ -62,6 +63,17 @@ def taught(path: tuple[str, ...]) -> bool | None:
     return None
 
 
+def taught_blocks(page: list[Block]) -> list[bool | None]:
+    """``taught`` of all blocks of a page; every element is looked at once."""
+    known: dict[Place | None, bool | None] = {None: None}
+    for b in page:
+        unknown = list(takewhile(lambda p: p not in known, b.place.outwards())) if b.place else []
+        for p in reversed(unknown):
+            own = taught(p.names)
+            known[p] = own if own is not None else known[p.around]
+    return [known[b.place] for b in page]
+
+
 _WORK_MAIN = ["<article>", "<main>", '<div class="content">', '<div id="main">', '<div class="post-content">', '<section class="entry">', '<div class="article-body">', '<div class="story">', '<div role="main">', "<div>", "<td>"]
 _WORK_ASIDE = [
     ("<nav>", "li"), ('<div class="menu">', "li"), ('<ul class="navigation">', "li"), ("<header>", "div"), ('<div id="header">', "div"), ("<aside>", "p"), ('<div class="sidebar">', "p"), ('<div class="ad">', ""),
@@ -121,15 +133,35 @@ def features(page: list[Block], p: Labeller) -> np.ndarray:
     """(block, feature) of one page."""
     n = len(page)
     x = np.zeros((n, p.path_size + p.word_size + 8), np.float32)
-    memo: dict[tuple, np.ndarray] = {}
+    # The names around a block weigh 1, 0.9, ... from the innermost outwards, and all further ones a quarter. The sum of
+    # all open names goes along with the page, so a name is added and taken away once, however deep the page is.
+    around, at = np.zeros(p.path_size, np.int64), None
+
+    def add(place: Place, times: int) -> None:
+        for token in place.names:
+            slot = _slot(token)
+            around[slot % p.path_size] += times if slot >> 16 & 1 else -times
+
     for i, b in enumerate(page):
-        row = memo.get(b.path)
-        if row is None:
-            row = np.zeros(p.path_size, np.float32)
-            for k, token in enumerate(reversed(b.path)):
-                slot = _slot(token)
-                row[slot % p.path_size] += (1 if slot >> 16 & 1 else -1) * max(0.25, 1 - 0.1 * k)
-            memo[b.path] = row
+        if i and b.place is at:
+            x[i, : p.path_size] = x[i - 1, : p.path_size]
+            continue
+        entered, to = [], b.place
+        while at is not to:
+            if to is None or (at is not None and at.depth >= to.depth):
+                add(at, -1)
+                at = at.around
+            else:
+                entered.append(to)
+                to = to.around
+        for place in reversed(entered):
+            add(place, 1)
+        at = b.place
+        row = 0.25 * around
+        inner = chain.from_iterable(reversed(place.names) for place in at.outwards()) if at else ()
+        for k, token in enumerate(islice(inner, 8)):
+            slot = _slot(token)
+            row[slot % p.path_size] += (1 if slot >> 16 & 1 else -1) * (0.75 - 0.1 * k)
         x[i, : p.path_size] = row
     lengths = np.array([len(b.text) for b in page], np.float32)
     for i, j, h, first in each_slice(pa.array([b.text for b in page], pa.string()), lower=True):
@@ -144,7 +176,7 @@ def features(page: list[Block], p: Labeller) -> np.ndarray:
     x[:, -5] = np.arange(n) / max(n, 1)
     x[:, -4] = np.arange(n) < 3
     x[:, -3] = np.arange(n) >= n - 3
-    x[:, -2] = [len(b.path) / 10 for b in page]
+    x[:, -2] = [b.place.size / 10 if b.place else 0 for b in page]
     x[:, -1] = 1
     return x
 
@@ -224,7 +256,7 @@ def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def training_pages(sample: list[str], p: Labeller) -> list[tuple[np.ndarray, np.ndarray]]:
     """(features, labels) of the sampled pages as they are and in other layouts."""
     rng = np.random.default_rng(p.seed)
-    parsed = [[(b, taught(b.path)) for b in blocks(page)][: p.train_blocks] for page in sample]
+    parsed = [list(zip(read, taught_blocks(read)))[: p.train_blocks] for read in map(blocks, sample)]
     main = [[b.text for b, y in page if y] for page in parsed]
     other = [[b.text for b, y in page if y is False] for page in parsed]
     out = [(features([b for b, _ in page], p), np.array([bool(y) for _, y in page], np.float32)) for page in parsed if page and any(y for _, y in page)]

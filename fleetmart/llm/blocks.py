@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import html
 import re
-from dataclasses import dataclass, field
+from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S
@@ -25,21 +27,37 @@ INLINE = frozenset(
 TRUTH = "data-truth"
 
 
+class Place:
+    """Where a block stands: the names of one element, and the place that element stands at."""
+
+    __slots__ = ("around", "name", "names", "depth", "size", "truth")
+
+    def __init__(self, around: Place | None, name: str, names: tuple[str, ...], truth: bool | None):
+        self.around, self.name, self.names = around, name, names
+        self.depth = around.depth + 1 if around else 1
+        self.size = (around.size if around else 0) + len(names)
+        self.truth = truth if truth is not None or around is None else around.truth
+
+    def outwards(self) -> Iterator[Place]:
+        at: Place | None = self
+        while at is not None:
+            yield at
+            at = at.around
+
+
 @dataclass
 class Block:
     text: str
-    #: Element names and the words of class, id and role, outermost first.
-    path: tuple[str, ...]
+    #: Innermost element around it, None for text outside of all.
+    place: Place | None
     link_chars: int = 0
     truth: bool | None = None
 
-
-@dataclass
-class _Open:
-    name: str
-    tokens: tuple[str, ...] = ()
-    truth: bool | None = None
-    _words: list = field(default_factory=list)
+    @property
+    def path(self) -> tuple[str, ...]:
+        """Element names and the words of class, id and role, outermost first."""
+        around = list(self.place.outwards()) if self.place else []
+        return tuple(t for p in reversed(around) for t in p.names)
 
 
 def _tokens(name: str, attributes: str) -> tuple[str, ...]:
@@ -54,7 +72,9 @@ def _tokens(name: str, attributes: str) -> tuple[str, ...]:
 def blocks(page: str | None) -> list[Block]:
     """The blocks of a page; character references decoded, white space made one space. Markup may be broken."""
     out: list[Block] = []
-    stack: list[_Open] = []
+    stack: list[Place] = []
+    # Names of the open elements, so that an end tag without its element costs nothing on a deep page.
+    open_: Counter[str] = Counter()
     parts: list[str] = []
     links, silent, at = 0, 0, 0
     page = page or ""
@@ -64,16 +84,18 @@ def blocks(page: str | None) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                truth = next((o.truth for o in reversed(stack) if o.truth is not None), None)
-                out.append(Block(text, tuple(t for o in stack for t in o.tokens), min(links, len(text)), truth))
+                place = stack[-1] if stack else None
+                out.append(Block(text, place, min(links, len(text)), place.truth if place else None))
             parts.clear()
         links = 0
 
-    def end(depth: int) -> None:
+    def end() -> str:
+        """Closes the innermost element."""
         nonlocal silent
-        for o in stack[depth:]:
-            silent -= o.name in SILENT
-        del stack[depth:]
+        name = stack.pop().name
+        open_[name] -= 1
+        silent -= name in SILENT
+        return name
 
     anchors = 0
     while at < len(page):
@@ -99,29 +121,29 @@ def blocks(page: str | None) -> list[Block]:
             continue
         close_block()
         if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].name == name), None)
-            if depth is not None:
-                end(depth)
+            if open_[name]:
+                while end() != name:
+                    pass
                 anchors = 0
             continue
         if name in EMPTY or attributes.endswith("/"):
             continue
         if name in ("p", "li", "dt", "dd", "tr", "td", "th") and stack and stack[-1].name == name:
-            end(len(stack) - 1)
+            end()
         elif stack and stack[-1].name == "p":
-            end(len(stack) - 1)
+            end()
         if name == "body":
-            depth = next((i for i, o in enumerate(stack) if o.name == "head"), None)
-            if depth is not None:
-                end(depth)
+            while open_["head"]:
+                end()
         truth = None
         if TRUTH in attributes:
             truth = f'{TRUTH}="1"' in attributes
-        stack.append(_Open(name, _tokens(name, attributes), truth))
+        stack.append(Place(stack[-1] if stack else None, name, _tokens(name, attributes), truth))
+        open_[name] += 1
         silent += name in SILENT
         if name in RAW:
             stop = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = stop.end() if stop else len(page)
-            end(len(stack) - 1)
+            end()
     close_block()
     return out

@@ -1,6 +1,7 @@
 import itertools
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -33,6 +34,31 @@ def test_blocks():
     assert [b.link_chars for b in blocks("<p><a>all</a><p>no")] == [3, 0]
 
 
+def test_path_vectors_equal_the_sum_over_the_path():
+    rng = random.Random(2)
+    names = ["div", 'div class="post body"', "nav", "section id=mainCol", "ul", "table", "p", "li"]
+    p = Labeller()
+    for _ in range(30):
+        page = "".join(rng.choice([f"<{rng.choice(names)}>", f"</{rng.choice(names).split()[0]}>", "text "]) for _ in range(200))
+        read = blocks(page)
+        x = block_labeller.features(read, p)
+        for i, b in enumerate(read):
+            want = np.zeros(p.path_size)
+            for k, token in enumerate(reversed(b.path)):
+                slot = block_labeller._slot(token)
+                want[slot % p.path_size] += (1 if slot >> 16 & 1 else -1) * max(0.25, 1 - 0.1 * k)
+            assert np.allclose(x[i, : p.path_size], want, atol=1e-5) and x[i, -2] == pytest.approx(len(b.path) / 10)
+        assert block_labeller.taught_blocks(read) == [block_labeller.taught(b.path) for b in read]
+
+
+def test_deep_pages_are_read_fast():
+    began = time.time()
+    for page in ("<div class=a>x" * 20_000, "<div>x" * 20_000 + "</p></ul>" * 20_000, "<div><p>x" * 10_000 + "</div>y" * 10_000):
+        read = blocks(page)
+        assert len(read) >= 20_000 and block_labeller.features(read, Labeller()).shape[0] == len(read) and len(block_labeller.taught_blocks(read)) == len(read)
+    assert time.time() - began < 15
+
+
 def test_gradients():
     rng = np.random.default_rng(0)
     net = BiLstm(5, 3, rng)
