@@ -3,8 +3,10 @@
 Every language has a tree of byte contexts of up to three bytes. The code length of a byte is exact: a byte seen behind
 the longest known context costs by its share of n + q (n bytes, q different ones, seen there); for the others the
 context gives the escape share q / (n + q), dealt out as the next shorter context deals out the bytes not seen. Below
-the empty context all bytes are equal. Statistics are frozen after training, so the code length of a whole text is a
-sum of table entries, and the language with the shortest code is predicted.
+the empty context all bytes are equal. All 256 bytes are symbols. Statistics are frozen after training, so the code length
+of a whole text is a sum of table entries, and the language with the shortest code is predicted.
+
+The tables are sparse: per order the contexts and the bytes behind them that some language has shown.
 """
 
 from __future__ import annotations
@@ -31,8 +33,6 @@ class LanguageModel:
 
     #: Training text per language, in bytes: a bounded sample of the labelled rows, chosen by the hash of the id.
     bytes_per_language: int = 4_000_000
-    #: Different bytes modelled one by one; the rarer ones share one symbol and then split it evenly.
-    symbols: int = 64
 
 
 def remainder(column: str, modulus: int) -> Column:
@@ -67,76 +67,106 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def _shares(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-    """Probabilities behind each context (rows) from its counts and those of the next shorter context."""
-    total, kinds = counts.sum(1, keepdims=True), (counts > 0).sum(1, keepdims=True)
-    rest = np.where(counts > 0, 0.0, shorter)
-    left = rest.sum(1, keepdims=True)
-    escape = np.where(left > 0, kinds, 0)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        share = counts / (total + escape) + np.where(left > 0, escape / (total + escape) * rest / left, 0.0)
-    return np.where(total > 0, share, shorter)
+class Index:
+    """Places of 32-bit keys: a hash table a quarter full, probed for many keys at once."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys.astype(np.uint32)
+        self.width = max(4, int(4 * len(keys)).bit_length())
+        self.table = np.full(1 << self.width, -1, np.int32)
+        todo, at = np.arange(len(keys), dtype=np.int32), self._slots(self.keys)
+        while len(todo):
+            free = np.flatnonzero(self.table[at] < 0)
+            _, first = np.unique(at[free], return_index=True)
+            self.table[at[free[first]]] = todo[free[first]]
+            left = self.table[at] != todo
+            todo, at = todo[left], self._next(at[left])
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint32(0x9E3779B1)) >> np.uint32(32 - self.width)).astype(np.int64)
+
+    def _next(self, at: np.ndarray) -> np.ndarray:
+        return (at + 1) & ((1 << self.width) - 1)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """Place of every key, -1 for those that are not there."""
+        at = self._slots(wanted)
+        out = self.table[at]
+        other = np.flatnonzero((out >= 0) & (self.keys[out] != wanted)) if len(self.keys) else np.zeros(0, np.int64)
+        at = at[other]
+        while len(other):
+            at = self._next(at)
+            out[other] = got = self.table[at]
+            wrong = (got >= 0) & (self.keys[got] != wanted[other])
+            other, at = other[wrong], at[wrong]
+        return out
+
+
+@dataclass
+class Order:
+    """Contexts of one length. A key holds the byte lowest, the byte before it above that, and so on."""
+
+    grams: Index
+    #: (gram, language): bits of its last byte behind its context.
+    bits: np.ndarray
+    contexts: Index
+    #: (context, language): bits of the escape to the next shorter context, 0 where the language has not shown the context.
+    escape: np.ndarray
 
 
 @dataclass
 class ContextTrees:
-    """Frozen code lengths of all languages."""
+    """Frozen code lengths of all languages, by length of the context."""
 
     languages: list[str]
-    symbol: np.ndarray  # symbol of a byte
-    row: np.ndarray  # row of a context of three symbols
-    bits: np.ndarray  # (row * symbols + symbol, language)
-    #: Bits that single out a byte of the shared symbol.
-    shared_bits: float
+    orders: list[Order]
 
     @staticmethod
-    def fit(languages: list[str], which: np.ndarray, grams: np.ndarray, counts: np.ndarray, symbols: int) -> ContextTrees:
-        seen = np.bincount(grams & 255, counts, 256)
-        frequent = sorted(np.argsort(-seen, kind="stable")[: symbols - 1])
-        symbol = np.full(256, symbols - 1, np.uint8)
-        symbol[frequent] = np.arange(symbols - 1)
-        s = symbol.astype(np.int64)
-        last, one, two, three = (s[(grams >> k) & 255] for k in (0, 8, 16, 24))
-        context = (three * symbols + two) * symbols + one
-        known, place = np.unique(context, return_inverse=True)
-        row = len(known) + np.arange(symbols**3) % symbols**2
-        row[known] = np.arange(len(known))
-        # Every known context of three, then all of two; a context of three that no language knows is one of two.
-        bits = np.zeros(((len(known) + symbols**2) * symbols, len(languages)), np.float32)
-        for k in range(len(languages)):
-            m = which == k
-            flat0 = np.bincount(last[m], counts[m], symbols)
-            flat1 = np.bincount(one[m] * symbols + last[m], counts[m], symbols**2).reshape(-1, symbols)
-            flat2 = np.bincount((two[m] * symbols + one[m]) * symbols + last[m], counts[m], symbols**3).reshape(-1, symbols)
-            flat3 = np.bincount(place[m] * symbols + last[m], counts[m], len(known) * symbols).reshape(-1, symbols)
-            p0 = _shares(flat0[None], np.full((1, symbols), 1 / symbols))
-            p1 = _shares(flat1, np.broadcast_to(p0, flat1.shape))
-            p2 = _shares(flat2, p1[np.arange(symbols**2) % symbols])
-            p3 = _shares(flat3, p2[known % symbols**2])
-            bits[:, k] = -np.log2(np.maximum(np.concatenate((p3, p2)).ravel(), 1e-30))
-        return ContextTrees(languages, symbol, row.astype(np.int32), bits, float(np.log2(256 - symbols + 1)))
+    def fit(languages: list[str], which: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> ContextTrees:
+        n, orders = len(languages), []
+        shorter_keys = shorter = None
+        for k in range(4):
+            keys, place = np.unique(grams & ((1 << 8 * (k + 1)) - 1), return_inverse=True)
+            seen = np.bincount(place * n + which, counts, len(keys) * n).reshape(-1, n)
+            contexts, behind = np.unique(keys >> 8, return_inverse=True)
+            below = np.full((len(keys), n), 1 / 256) if k == 0 else shorter[np.searchsorted(shorter_keys, keys & ((1 << 8 * k) - 1))]
+            # Sums over the bytes of a context; the keys are in the order of their contexts.
+            edges = np.searchsorted(behind, np.arange(len(contexts)))
+            total, kinds, taken = (np.add.reduceat(x, edges) for x in (seen, (seen > 0).astype(float), np.where(seen > 0, below, 0.0)))
+            left = np.where(kinds < 256, np.maximum(1 - taken, 1e-300), 1.0)
+            escape = np.where(kinds < 256, kinds, 0.0)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                rest = escape / (total + escape) / left
+                share = np.where(seen > 0, seen / (total + escape)[behind], np.where(total[behind] > 0, rest[behind] * below, below))
+                bits = np.where((total > 0) & (escape > 0), -np.log2(np.maximum(rest, 1e-300)), 0.0)
+            orders.append(Order(Index(keys), -np.log2(np.maximum(share, 1e-300)).astype(np.float32), Index(contexts), bits.astype(np.float32)))
+            shorter_keys, shorter = keys, share
+        return ContextTrees(languages, orders)
+
+    def costs(self, grams: np.ndarray) -> np.ndarray:
+        """(place, language) bits of every byte behind its three predecessors."""
+        out = np.zeros((len(grams), len(self.languages)), np.float32)
+        left = np.arange(len(grams))
+        for k in (3, 2, 1, 0):
+            order, keys = self.orders[k], grams[left] & np.uint32((1 << 8 * (k + 1)) - 1)
+            at = order.grams.find(keys)
+            found = at >= 0
+            out[left[found]] += order.bits[at[found]]
+            left, keys = left[~found], keys[~found]
+            if not len(left):
+                return out
+            at = order.contexts.find(keys >> np.uint32(8))
+            known = at >= 0
+            out[left[known]] += order.escape[at[known]]
+        out[left] += 8
+        return out
 
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """(text, language) bits of whole lower-cased texts."""
-        k, n = int(self.symbol.max()) + 1, len(data)
         out = np.zeros((len(offsets) - 1, len(self.languages)))
-        if n == 0:
-            return out
-        s = self.symbol[data].astype(np.int32)
-        pad = int(self.symbol[_PAD])
-        context = np.zeros(n, np.int32)
-        for j in (3, 2, 1):
-            back = np.full(n, pad, np.int32)
-            back[j:] = s[:-j]
-            for d in range(j):
-                at = offsets[:-1] + d
-                back[at[at < offsets[1:]]] = pad
-            context = context * k + back
-        cost = self.bits[self.row[context].astype(np.int64) * k + s]
-        full = np.flatnonzero(np.diff(offsets) > 0)
-        out[full] = np.add.reduceat(cost, offsets[:-1][full], 0, dtype=np.float64)
-        rare = np.add.reduceat((s == k - 1).astype(np.int64), offsets[:-1][full])
-        out[full] += rare[:, None] * self.shared_bits
+        if len(data):
+            full = np.flatnonzero(np.diff(offsets) > 0)
+            out[full] = np.add.reduceat(self.costs(_grams(data, offsets)), offsets[:-1][full], 0, dtype=np.float64)
         return out
 
 
@@ -196,7 +226,7 @@ def train(labelled: DataFrame, work: Workspace, params: LanguageModel = Language
         return None
     languages = sorted(counted["lang"].unique())
     which = counted["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy()
-    return ContextTrees.fit(languages, which, counted["gram"].to_numpy(), counted["n"].to_numpy(), params.symbols)
+    return ContextTrees.fit(languages, which, counted["gram"].to_numpy(), counted["n"].to_numpy())
 
 
 def predict_language(docs: DataFrame, keep: list[str], train_on: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", params: LanguageModel = LanguageModel()) -> DataFrame:

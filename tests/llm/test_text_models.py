@@ -31,51 +31,60 @@ def con():
 # language
 
 
-def ppm_bits(counts, text, symbols, symbol):
-    """Code length by recursion over ever shorter contexts, bytes already ruled out left aside."""
-    total = 0.0
-    padded = b"\n\n\n" + text
-    for i in range(3, len(padded)):
-        context, x = [symbol[b] for b in padded[i - 3 : i]], symbol[padded[i]]
-
-        def share(k, x):
-            below = (lambda y: 1 / symbols) if k == 0 else (lambda y: share(k - 1, y))
-            here = counts[k].get(tuple(context[3 - k :]), {})
-            n, q = sum(here.values()), len(here)
-            if n == 0:
-                return below(x)
-            left = sum(below(y) for y in range(symbols) if y not in here)
-            if left <= 0:
-                return here.get(x, 0) / n
-            return here[x] / (n + q) if x in here else q / (n + q) * below(x) / left
-
-        p = share(3, x)
-        total += -math.log2(p) + (math.log2(256 - symbols + 1) if x == symbols - 1 else 0)
-    return total
+def ppm_shares(counts, context):
+    """Shares of all 256 bytes behind a context, by recursion over ever shorter ones; bytes already ruled out left aside."""
+    k = len(context)
+    below = [1 / 256] * 256 if k == 0 else ppm_shares(counts, context[1:])
+    here = counts[k].get(context, {})
+    n, q = sum(here.values()), len(here)
+    if n == 0:
+        return below
+    left = sum(below[y] for y in range(256) if y not in here)
+    if left <= 0:
+        return [here.get(x, 0) / n for x in range(256)]
+    return [here[x] / (n + q) if x in here else q / (n + q) * below[x] / left for x in range(256)]
 
 
 def test_code_lengths_are_exact():
-    training, symbols = [b"abra cadabra", b"bar baz"], 8
-    grams = Counter()
-    for t in training:
-        padded = b"\n\n\n" + t
-        for i in range(3, len(padded)):
-            grams[padded[i - 3] << 24 | padded[i - 2] << 16 | padded[i - 1] << 8 | padded[i]] += 1
-    keys = np.array(sorted(grams), np.int64)
-    model = ContextTrees.fit(["xx"], np.zeros(len(keys), int), keys, np.array([grams[k] for k in keys]), symbols)
-    counts = [defaultdict(dict) for _ in range(4)]
-    for key, n in grams.items():
-        s = [int(model.symbol[key >> 8 * k & 255]) for k in (3, 2, 1, 0)]
-        for k in range(4):
-            here = counts[k][tuple(s[3 - k : 3])]
-            here[s[3]] = here.get(s[3], 0) + n
-    texts = ["abracadabra", "zebra!", "", "rab"]
+    training = {"xx": ["abra cadabra", "bar baz"], "yy": ["\u03b1\u03b2\u03c1\u03b1 \u3042\u3044 bar", "zaz"], "zz": [bytes(range(128)).decode() * 2]}
+    languages, grams, counts = sorted(training), Counter(), {x: [defaultdict(dict) for _ in range(4)] for x in training}
+    for language, texts in training.items():
+        for t in texts:
+            padded = b"\n\n\n" + t.encode()
+            for i in range(3, len(padded)):
+                grams[language, padded[i - 3] << 24 | padded[i - 2] << 16 | padded[i - 1] << 8 | padded[i]] += 1
+                for k in range(4):
+                    here = counts[language][k][padded[i - k : i]]
+                    here[padded[i]] = here.get(padded[i], 0) + 1
+    keys = sorted(grams)
+    model = ContextTrees.fit(languages, np.array([languages.index(x) for x, _ in keys]), np.array([g for _, g in keys], np.int64), np.array([grams[g] for g in keys]))
+    texts = ["abracadabra", "zebra!", "", "rab", "\u03b1\u03c1\u03b2 \u3046\u3044", "\x01\x02 \x05"]
     data, offsets = flat(pa.array(texts))
-    got = model.code_lengths(lowered(data), offsets)[:, 0]
-    want = [ppm_bits(counts, t.encode(), symbols, [int(x) for x in model.symbol]) for t in texts]
-    assert np.allclose(got, want, rtol=1e-5)
-    # behind every context the shares of all symbols add up to one
-    assert np.allclose(np.exp2(-model.bits.reshape(-1, symbols)).sum(1), 1, atol=1e-4)
+    got = model.code_lengths(data, offsets)
+    for j, language in enumerate(languages):
+        for i, t in enumerate(texts):
+            padded = b"\n\n\n" + t.encode()
+            want = sum(-math.log2(ppm_shares(counts[language], padded[x - 3 : x])[padded[x]]) for x in range(3, len(padded)))
+            assert got[i, j] == pytest.approx(want, rel=1e-5)
+    # behind every context, seen or not, the shares of all 256 bytes add up to one in every language
+    for context in (b"abr", b"zeb", b"\n\n\n", b"\xce\xb1\xce", b"\x03\x04\x05", b"qqq"):
+        behind = np.array([context[0] << 24 | context[1] << 16 | context[2] << 8 | x for x in range(256)], np.uint32)
+        assert np.allclose(np.exp2(-model.costs(behind).astype(float)).sum(0), 1, atol=1e-4)
+
+
+def test_languages_that_differ_in_rare_bytes(spark):
+    """Two languages of one script with the same words but for letters whose last bytes are seldom used: far more than 64 bytes occur."""
+    rng = random.Random(8)
+    marks = {"one": [chr(0x4E00 + 64 * i + j) for i in range(30) for j in range(0, 20)], "two": [chr(0x4E00 + 64 * i + j) for i in range(30) for j in range(30, 50)]}
+    common, rows = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(6)) for _ in range(40)], []
+    for language, letters in marks.items():
+        for k in range(90):
+            words = rng.sample(common, 20) + rng.sample(letters, 6)
+            rng.shuffle(words)
+            rows.append((k, " ".join(words), language, k % 3 != 1))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, train boolean")
+    got = predict_language(df, ["lang", "train"], F.col("train")).collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in got if not r["train"]) >= 57
 
 
 def test_languages_of_held_out_documents(spark, con):
@@ -90,7 +99,7 @@ def test_language_of_odd_rows(documents):
     rows = [(1, "the cat and the dog", "en", "s"), (2, "le chat et le chien", "fr", "s"), (3, None, "en", None), (4, "", None, "s"), (5, "12 34 !!", "en", "s"), (6, "the " * 40000, None, None),
             (None, "et le chien", "fr", None), (6, "the " * 40000, None, None), (7, "ñ", None, None)]
     docs = documents(rows)
-    got = predict_language(docs, ["doc_id", "size"], F.lit(True), params=LanguageModel(symbols=24)).collect()
+    got = predict_language(docs, ["doc_id", "size"], F.lit(True)).collect()
     by = {r["doc_id"]: r["lang_pred"] for r in got}
     assert len(got) == len(rows) and by[1] == "en" and by[2] == "fr" and by[3] == by[4] == by[5] == "und" and by[6] == "en" and by[None] == "fr" and by[7] in ("en", "fr")
     nothing = predict_language(docs, ["doc_id"], F.lit(False)).collect()
