@@ -407,7 +407,7 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     is 10 ^ (-score / n_tokens). A null text is empty and has the end as its only token. With nothing to learn from all
     tokens are unknown. Repeated rows are scored alike; an empty table gives an empty result; further columns are not read.
     """
-    work = Workspace(docs.sparkSession, "pitman-yor")
+    work = Workspace(docs.sparkSession, "pitman-yor", tidy=True)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), held_out.alias("held_out"))
     if params.context_part is None:
         from fleetmart.llm import word_contexts

@@ -9,6 +9,8 @@ from fleetmart.session import run_dir
 
 #: Rows per Arrow batch of whole texts: bounds the memory of a Python worker.
 TEXT_ROWS = "1000"
+#: Spark's setting for the removal of a finished query's shuffle files.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def every(df: DataFrame) -> list[Column]:
@@ -19,15 +21,25 @@ def every(df: DataFrame) -> list[Column]:
 class Workspace:
     """A fresh folder below ``spark.checkpoint.dir`` for the intermediate tables of one run."""
 
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.path, self._n = spark, run_dir(spark, name), 0
+    def __init__(self, spark: SparkSession, name: str, tidy: bool = False):
+        """``tidy``: the shuffle files of a table go once it is written. A lost table is computed anew all the same."""
+        self.spark, self.path, self._n, self._tidy = spark, run_dir(spark, name), 0, tidy
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS)
 
     def save(self, df: DataFrame, name: str = "table") -> DataFrame:
         """Writes a table and reads it back with the same schema."""
         self._n += 1
         path = f"{self.path}/{self._n}-{name}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(_CLEANUP, None)
+        if self._tidy:
+            self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if self._tidy and before is None:
+                self.spark.conf.unset(_CLEANUP)
+            elif self._tidy:
+                self.spark.conf.set(_CLEANUP, before)
         saved = self.spark.read.schema(df.schema).parquet(path)
         saved._workspace_path = path
         return saved

@@ -1,9 +1,16 @@
 """The Pitman-Yor model of ``pitman_yor`` with a restaurant for every previous word, whatever its frequency.
 
-Nothing grows on the driver: words, contexts and word pairs are Spark tables. A pair seen once has one table for certain,
-so only pairs seen more often are seated. They are grouped by word, with the table total of each context joined in; a word
-with very many contexts is cut into pieces that see each other's tables as of the round before. Table totals of contexts
-and the numbers of the parent are exchanged between rounds. A context that was never seen passes on to the parent whole.
+Texts become chunks of numbered words (``word_chunks``), read once. Every chunk sends the fingerprints of its different pairs
+to buckets of equal ranges of fingerprints. There they are counted over all chunks, and every chunk is told which of its pairs
+training texts hold never, once or more often; one of the chunks that show a pair seen more often is its owner and learns the
+count. A pair seen once has one table for certain, so it is never stored, and only pairs seen more often are seated, each as
+one row from its owner.
+
+Nothing grows on the driver: words and seated pairs are Spark tables. The seated pairs are grouped by word, with the table total
+of each context joined in; a word with very many contexts is cut into pieces that see each other's tables as of the round
+before. Table totals of contexts and the numbers of the parent are exchanged between rounds. A context that was never
+seen passes on to the parent whole. The predictive probability of a token is formed for every kept sweep, with that sweep's
+tables in all restaurants, and then averaged.
 
 Every text begins behind END, so a context is itself a word of the model and has as many customers as that word has tokens.
 """
@@ -12,66 +19,85 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetmart.llm.pitman_yor import END, PitmanYor, _Counter, _tokens, _uniform, log_stirling, sample_tables
+from fleetmart.llm.pitman_yor import PitmanYor, _uniform, log_stirling, sample_tables
 from fleetmart.llm.store import Workspace
+from fleetmart.llm.word_chunks import CHUNKS, Chunk, by_bucket, chunks, each_chunk, pack, pack_sorted, pair_keys, unpack, unpack_sorted
 
 #: Seated pairs per row of the sampler, and per batch it works on.
 PIECE, BATCH = 20_000, 200_000
-#: Tokens whose pairs are counted at once.
-COUNTED = 3_000_000
+#: Fingerprints of a bucket, counted over the chunks that send them.
+BUCKET = 3_000_000
+#: What a chunk is told of a pair: its count in training texts plus one to the owner, else one of these.
+NEVER, ONCE, OFTEN = 0, 1, 2
 
 
-def _previous(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Context of every token: the one before it, END at the start of a text."""
-    out = np.empty_like(tokens)
-    out[1:] = tokens[:-1]
-    out[first[:-1]] = END
-    return out
+def pair_key() -> Column:
+    """64-bit fingerprint of a word (w) behind a context (ctx)."""
+    return F.col("w").bitwiseXOR(F.xxhash64("ctx"))
 
 
-def _rotated(x: np.ndarray, k: int) -> np.ndarray:
-    return (x << np.uint64(k)) | (x >> np.uint64(64 - k))
+def _asking(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c in each_chunk(batches):
+            rows = [(b, pack_sorted(c.keys[at]), pack(c.trained[at])) for b, at in by_bucket(c.keys, buckets)]
+            b, keys, n = zip(*rows)
+            yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array([c.number] * len(b), pa.int64()), pa.array(keys, pa.binary()), pa.array(n, pa.binary())], ["bucket", "chunk", "keys", "n"])
 
+    return run
 
-def pair_keys(w: np.ndarray, ctx: np.ndarray) -> np.ndarray:
-    """The same as ``pair_key`` in numpy."""
-    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-    h = _rotated(ctx * p2, 31) * p1 ^ (p5 + np.uint64(50))
-    h = _rotated(h, 27) * p1 + p4
-    h = (h ^ (h >> np.uint64(33))) * p2
-    h = (h ^ (h >> np.uint64(29))) * p3
-    return w ^ h ^ (h >> np.uint64(32))
 
+def _count(asked: pa.Table) -> pa.Table:
+    """What every chunk is told of its pairs in one bucket."""
+    keys = [unpack_sorted(x.as_py()) for x in asked.column("keys")]
+    n = np.concatenate([unpack(x.as_py(), np.int64) for x in asked.column("n")])
+    _, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    total = np.bincount(place, n, len(first)).astype(np.int64)
+    told = np.minimum(total, OFTEN)[place]
+    owned = total > 1
+    told[first[owned]] = total[owned] + 1
+    edges = np.cumsum([len(k) for k in keys])[:-1]
+    answers = [pack(x.astype(np.uint64)) for x in np.split(told, edges)]
+    return pa.table({"bucket": asked.column("bucket"), "chunk": asked.column("chunk"), "told": pa.array(answers, pa.binary())})
 
-def pair_key() -> Column:
-    """64-bit fingerprint of a word (w) behind a context (ctx)."""
-    return F.col("w").bitwiseXOR(F.xxhash64("ctx"))
 
+def _tell(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+    told = [x["told"] for x in sorted(answers.to_pylist(), key=lambda x: x["bucket"])]
+    whole = pack(np.concatenate([unpack(x, np.uint64) for x in told]))
+    return chunk.append_column("told", pa.array([whole], pa.binary()))
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    size = 0
 
-    def counted() -> pa.RecordBatch:
-        w, ctx = (np.concatenate(x) for x in zip(*held))
-        _, at, n = np.unique(pair_keys(w, ctx), return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(w[at].view(np.int64)), pa.array(ctx[at].view(np.int64)), pa.array(n.astype(np.int64))], ["w", "ctx", "n"])
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per chunk and word: tokens, and pairs seen once, seen more often and seen twice by word and by context."""
+    for c in each_chunk(batches):
+        w, ctx = c.pairs
+        size = len(c.words)
+        n = np.bincount(c.tokens, c.in_training, size)
+        once, owned, twice = (c.told == ONCE) & (c.trained > 0), c.told > OFTEN, c.told == 3
+        found = [n, *(np.bincount(x, y, size) for y in (once, owned) for x in (w, ctx)), np.bincount(w, twice, size)]
+        keep = np.flatnonzero(np.any(found, axis=0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c.words[keep].view(np.int64)), *(pa.array(x[keep].astype(np.int64)) for x in found)], ["w", "n", "singles", "tails", "more", "back", "twice"]
+        )
 
-    for batch in batches:
-        for _, _, t, first in _tokens(batch.column("text")):
-            held.append((t, _previous(t, first)))
-            size += len(t)
-            if size >= COUNTED:
-                yield counted()
-                held, size = [], 0
-    if size:
-        yield counted()
+
+def _owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs to be seated."""
+    for c in each_chunk(batches):
+        at = np.flatnonzero(c.told > OFTEN)
+        w, ctx = (c.words[x[at]].view(np.int64) for x in c.pairs)
+        yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(ctx), pa.array(c.told[at].astype(np.int64) - 1)], ["w", "ctx", "n"])
+
+
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for c in each_chunk(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(c.keys[(c.told == ONCE) & (c.trained > 0)].view(np.int64))], ["key"])
 
 
 @dataclass
@@ -95,6 +121,28 @@ class Parent:
         return (customers - tables * d) / (s + self.customers) + (s + d * self.tables) / (s + self.customers) * self.base
 
 
+@dataclass
+class Sweeps:
+    """The parent in every kept sweep; ``chance`` is the mean of theirs."""
+
+    parents: list[Parent]
+
+    @property
+    def words(self) -> int:
+        return self.parents[0].words
+
+    @property
+    def discount(self) -> float:
+        return self.parents[0].discount
+
+    @property
+    def strength(self) -> float:
+        return self.parents[0].strength
+
+    def chance(self, customers, tables):
+        return sum(p.chance(customers, tables) for p in self.parents) / len(self.parents)
+
+
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, n = [], 0
     for batch in batches:
@@ -107,6 +155,12 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
+def _lists(by_sweep: list[np.ndarray]) -> pa.ListArray:
+    """One list per row with its number in every sweep."""
+    values = np.stack(by_sweep, 1).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * len(by_sweep)), pa.array(values.ravel()))
+
+
 def _gibbs(parent: Parent, params: PitmanYor):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inner = log_stirling(parent.discount, params.exact_customers)
@@ -122,7 +176,7 @@ def _gibbs(parent: Parent, params: PitmanYor):
             t = np.ones(len(n), np.int64)
             own = np.bincount(word, t, len(w))
             above, tops = own + fixed, np.ones(len(w), np.int64)
-            t_sum, own_sum, top_sum = np.zeros(len(n)), np.zeros(len(w)), np.zeros(len(w))
+            kept_t, kept_own, kept_tops = [], [], []
             c, d1, s = parent.customers, parent.parent_discount, parent.strength
             fresh = (s + d1 * parent.tables) * parent.base
             for sweep in range(params.burn_in + params.samples):
@@ -140,53 +194,75 @@ def _gibbs(parent: Parent, params: PitmanYor):
                 tops = np.ones(len(w), np.int64)
                 tops[many] = sample_tables(np.rint(above[many]).astype(np.int64), root[many], d1, outer, base, *draws)
                 if sweep >= params.burn_in:
-                    t_sum += t
-                    own_sum += own
-                    top_sum += tops
-            m = float(params.samples)
-            kept = pa.ListArray.from_arrays(
-                pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), pa.StructArray.from_arrays([pa.array(ctx), pa.array(n), pa.array(t_sum / m)], ["ctx", "n", "t"])
-            )
+                    kept_t.append(t)
+                    kept_own.append(own)
+                    kept_tops.append(tops)
+            edges = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
+            kept = pa.ListArray.from_arrays(edges, pa.StructArray.from_arrays([pa.array(ctx), pa.array(n), _lists(kept_t)], ["ctx", "n", "t"]))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(x) for x in ("w", "piece", "n", "singles")), kept, pa.array(own_sum / m), pa.array(top_sum / m)], ["w", "piece", "n", "singles", "seats", "own", "tops"]
+                [*(batch.column(x) for x in ("w", "piece", "n", "singles")), kept, _lists(kept_own), _lists(kept_tops)], ["w", "piece", "n", "singles", "seats", "own", "tops"]
             )
 
     return run
 
 
-_SEATED = "w long, piece int, n long, singles long, seats array<struct<ctx: long, n: long, t: double>>, own double, tops double"
+_SEATED = "w long, piece int, n long, singles long, seats array<struct<ctx: long, n: long, t: array<int>>>, own array<int>, tops array<int>"
 
 
 @dataclass
 class WordModel:
-    """words (w, c, p, back): tokens, parent's probability, and the parent's weight where w is the context;
-    pairs (key, v): customers less discounted tables of a pair."""
+    """words (w, c, above, tops, ks, p, back): tokens, customers and tables in the parent and tables as a context by sweep, the
+    mean probability in the parent, and the mean weight of the parent where w is the context; seats (w, ctx, n, t): seated
+    pairs with the sum of their tables over the sweeps; pairs (key, v): customers less discounted tables of every pair."""
 
     words: DataFrame
+    seats: DataFrame
     pairs: DataFrame
-    parent: Parent
+    parent: Sweeps
     train_tokens: int
 
 
-def fit(texts: DataFrame, work: Workspace, params: PitmanYor = PitmanYor()) -> WordModel:
-    """Counts and seats the training texts (column text)."""
-    pairs = work.save(texts.mapInArrow(_count_pairs, "w long, ctx long, n long").groupBy("w", "ctx").agg(F.sum("n").alias("n")), "pairs")
-    once, more = F.count_if(F.col("n") == 1), F.count_if(F.col("n") > 1)
-    words = work.save(pairs.groupBy("w").agg(F.sum("n").alias("n"), once.alias("singles"), more.alias("more")), "words")
-    contexts = work.save(pairs.groupBy("ctx").agg(once.alias("singles"), more.alias("more")), "contexts")
-    ones, twos = F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")
-    v = words.agg(F.count("*").alias("words"), F.sum("n").alias("n"), ones, twos).first()
-    u = pairs.agg(F.count("*").alias("pairs"), ones, twos).first()
-    discount = lambda r: float(np.clip(r["n1"] / max(r["n1"] + 2 * r["n2"], 1), 0.05, 0.95))
-    parent = Parent(float(u["pairs"]), float(v["words"]), v["words"], discount(u), discount(v), params.strength)
-
-    # At most one row for every PIECE pairs.
-    large = F.broadcast(words.where(F.col("more") > PIECE).select("w", F.ceil(F.col("more") / PIECE).cast("int").alias("pieces"), F.col("more").cast("double").alias("total")))
+def _mean(x: str, samples: int) -> Column:
+    return F.aggregate(x, F.lit(0.0), lambda a, t: a + t) / samples
+
+
+def _by_sweep(x: str, samples: int, over=F.sum) -> Column:
+    return F.array(*(over(F.col(x)[i]).cast("double") for i in range(samples)))
+
+
+def _read(texts: DataFrame, work: Workspace) -> DataFrame:
+    """Chunks of the texts (doc_id, held_out, text), told of their pairs."""
+    read = work.save(texts.select("doc_id", "held_out", "text").mapInArrow(chunks, CHUNKS), "chunks")
+    tokens = read.agg(F.sum("n_tokens")).first()[0] or 0
+    asked = read.mapInArrow(_asking(max(1, -(-tokens // BUCKET))), "bucket int, chunk long, keys binary, n binary")
+    answers = work.save(asked.groupBy("bucket").applyInArrow(_count, "bucket int, chunk long, told binary"), "answers")
+    told = work.save(read.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_tell, CHUNKS + ", told binary"), "told")
+    work.drop(read)
+    work.drop(answers)
+    return told
+
+
+def _seat(told: DataFrame, work: Workspace, params: PitmanYor) -> WordModel:
+    m, numbers = params.samples, ["n", "singles", "tails", "more", "back", "twice"]
+    words = work.save(told.mapInArrow(_words, ", ".join(["w long", *(f"{x} long" for x in numbers)])).groupBy("w").agg(*(F.sum(x).alias(x) for x in numbers)), "words")
+    v = words.agg(
+        F.count("*").alias("words"), F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"),
+        F.sum(F.col("singles") + F.col("more")).alias("pairs"), F.sum("singles").alias("u1"), F.sum("twice").alias("u2"),
+    ).first()
+    n = {x: v[x] or 0 for x in ("words", "n", "n1", "n2", "pairs", "u1", "u2")}
+    discount = lambda n1, n2: float(np.clip(n1 / max(n1 + 2 * n2, 1), 0.05, 0.95))
+    inner, outer = discount(n["u1"], n["u2"]), discount(n["n1"], n["n2"])
+    parent = Parent(float(n["pairs"]), float(n["words"]), n["words"], inner, outer, params.strength)
+
+    # At most one row for every PIECE pairs; not all of a large table's need fit a broadcast, so Spark chooses.
+    large = words.where(F.col("more") > PIECE).select("w", F.ceil(F.col("more") / PIECE).cast("int").alias("pieces"), F.col("more").cast("double").alias("total"))
     pieces = F.coalesce("pieces", F.lit(1))
-    seats = pairs.where("n > 1").join(large, "w", "left").select("w", F.pmod(F.xxhash64("ctx"), pieces).cast("int").alias("piece"), "ctx", "n")
+    owned = told.mapInArrow(_owned, "w long, ctx long, n long")
+    seats = owned.join(large, "w", "left").select("w", F.pmod(F.xxhash64("ctx"), pieces).cast("int").alias("piece"), "ctx", "n")
     rows = words.join(large, "w", "left").select("w", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"), "n", "singles", F.lit(None).cast("double").alias("own"))
-    totals = contexts.select("ctx", (F.col("singles") + F.col("more")).cast("double").alias("k"))
-    old = None
+    contexts = words.select(F.col("w").alias("ctx"), "tails", "back")
+    totals = contexts.where("back > 0").select("ctx", (F.col("tails") + F.col("back")).cast("double").alias("k"))
+    old = []
     for _ in range(2):
         lists = seats.join(totals, "ctx").groupBy("w", "piece").agg(F.collect_list(F.struct("ctx", "n", "k")).alias("seats"))
         joined = rows.join(lists, ["w", "piece"], "left").join(large.select("w", "total"), "w", "left")
@@ -194,84 +270,100 @@ def fit(texts: DataFrame, work: Workspace, params: PitmanYor = PitmanYor()) -> W
         rest = F.coalesce(F.col("total") - F.coalesce("own", F.size(got).cast("double")), F.lit(0.0))
         asked = joined.select("w", "piece", "n", "singles", (F.col("singles") + rest).alias("fixed"), got.alias("seats"))
         seated = work.save(asked.mapInArrow(_gibbs(parent, params), _SEATED), "seated")
-        if old is not None:
-            work.drop(old)
-        seats = seated.select("w", "piece", F.explode("seats").alias("s")).select("w", "piece", "s.ctx", "s.n", "s.t")
-        grown = seats.groupBy("ctx").agg(F.sum("t").alias("t"))
-        totals = work.save(contexts.join(grown, "ctx", "left").select("ctx", (F.col("singles") + F.coalesce("t", F.lit(0.0))).alias("k")), "totals")
-        rows = seated.select("w", "piece", "n", "singles", "own")
-        large = F.broadcast(seated.groupBy("w").agg(F.sum("own").alias("total"), F.count("*").alias("m")).where("m > 1").select("w", "total"))
-        old = seated
-        customers = totals.agg(F.sum("k")).first()[0] or 0.0
-        tops = seated.groupBy("w").agg(F.avg("tops").alias("tops")).agg(F.sum("tops")).first()[0] or 0.0
-        parent = Parent(customers, tops, v["words"], parent.discount, parent.parent_discount, params.strength)
-
-    s, d = params.strength, parent.discount
-    per_word = seated.groupBy("w").agg(F.first("n").alias("c"), (F.first("singles") + F.sum("own")).alias("above"), F.avg("tops").alias("tops"))
-    back = (s + d * F.coalesce("k", F.lit(0.0))) / (s + F.col("c"))
-    known = per_word.join(totals.withColumnRenamed("ctx", "w"), "w", "left").select("w", "c", parent.chance(F.col("above"), F.col("tops")).alias("p"), back.alias("back"))
-    single = pairs.where("n = 1").select(pair_key().alias("key"), F.lit(1 - d).alias("v"))
-    return WordModel(known, single.unionByName(seats.select(pair_key().alias("key"), (F.col("n") - d * F.col("t")).alias("v"))), parent, v["n"] or 0)
-
-
-def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The different tokens and pairs of every block."""
-    found: dict[int, tuple[_Counter, _Counter]] = {}
-    for batch in batches:
-        block = batch.column("block").to_numpy(zero_copy_only=False)
-        for b in np.unique(block):
-            counters = found.setdefault(int(b), (_Counter(), _Counter()))
-            for _, _, t, first in _tokens(batch.column("text").filter(pa.array(block == b))):
-                for counter, keys in zip(counters, (t, pair_keys(t, _previous(t, first)))):
-                    counter.add(*np.unique(keys, return_counts=True))
-    for b, counters in found.items():
-        for pair, counter in zip((False, True), counters):
-            counter.merge()
-            n = len(counter.keys)
-            yield pa.RecordBatch.from_arrays([pa.array(counter.keys.view(np.int64)), pa.array(np.full(n, pair)), pa.array(np.full(n, b, np.int32))], ["key", "pair", "block"])
-
-
-def _sorted(table: pa.Table, pair: bool, *names: str) -> list[np.ndarray]:
-    at = np.flatnonzero(table.column("pair").to_numpy() == pair)
-    keys = table.column("key").to_numpy()[at].view(np.uint64)
+        taken = seated.select("w", "piece", F.explode("seats").alias("s")).select("w", "piece", "s.ctx", "s.n", "s.t")
+        grown = work.save(taken.groupBy("ctx").agg(_by_sweep("t", m).alias("ks")), "totals")
+        for table in old:
+            work.drop(table)
+        old, seats = [seated, grown], taken.drop("t")
+        totals = contexts.where("back > 0").join(grown, "ctx").select("ctx", (F.col("tails") + _mean("ks", m)).alias("k"))
+        rows = seated.select("w", "piece", "n", "singles", _mean("own", m).alias("own"))
+        large = seated.groupBy("w").agg(F.sum(_mean("own", m)).alias("total"), F.count("*").alias("m")).where("m > 1").select("w", "total")
+        tops = seated.groupBy("w").agg(_by_sweep("tops", m, F.avg).alias("tops")).agg(_by_sweep("tops", m).alias("tops")).first()["tops"]
+        own = seated.agg(_by_sweep("own", m).alias("own")).first()["own"]
+        sweeps = [Parent(n["u1"] + (o or 0.0), t or 0.0, n["words"], inner, outer, params.strength) for o, t in zip(own, tops)]
+        mean = lambda x: sum(getattr(p, x) for p in sweeps) / m
+        parent = Parent(mean("customers"), mean("tables"), n["words"], inner, outer, params.strength)
+
+    per_word = seated.groupBy("w").agg(
+        F.first("n").alias("c"), F.array(*(F.first("singles") + F.sum(F.col("own")[i]).cast("double") for i in range(m))).alias("above"), _by_sweep("tops", m, F.avg).alias("tops")
+    )
+    tables = contexts.join(grown, "ctx", "left").select(F.col("ctx").alias("w"), F.array(*(F.col("tails") + F.coalesce(F.col("ks")[i], F.lit(0.0)) for i in range(m))).alias("ks"))
+    chance = reduce(lambda a, b: a + b, (p.chance(F.col("above")[i], F.col("tops")[i]) for i, p in enumerate(sweeps))) / m
+    back = (params.strength + inner * _mean("ks", m)) / (params.strength + F.col("c"))
+    known = work.save(per_word.join(tables, "w"), "known")
+    summed = taken.select("w", "ctx", "n", F.aggregate("t", F.lit(0), lambda a, t: a + t).alias("t"))
+    once = told.mapInArrow(_once, "key long").select("key", F.lit(1 - inner).alias("v"))
+    pairs = once.unionByName(summed.select(pair_key().alias("key"), (F.col("n") - inner * F.col("t") / m).alias("v")))
+    return WordModel(known.select("*", chance.alias("p"), back.alias("back")), summed, pairs, Sweeps(sweeps), n["n"])
+
+
+def fit(texts: DataFrame, work: Workspace, params: PitmanYor = PitmanYor()) -> WordModel:
+    """Counts and seats the training texts (column text)."""
+    rows = texts.select(F.lit(None).cast("long").alias("doc_id"), F.lit(False).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
+    return _seat(_read(rows, work), work, params)
+
+
+#: Kinds of fingerprints that a chunk asks the model for.
+WORD, PAIR = 0, 1
+
+
+def _wanted(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c in each_chunk(batches):
+            for kind, keys in ((WORD, c.words), (PAIR, c.keys[c.told >= OFTEN])):
+                for b, at in by_bucket(keys, buckets):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([kind], pa.int32()), pa.array([b], pa.int32()), pa.array([c.number], pa.int64()), pa.array([pack_sorted(keys[at])], pa.binary())], ["kind", "bucket", "chunk", "keys"]
+                    )
+
+    return run
+
+
+def _answer(wanted: pa.Table, model: pa.Table) -> pa.Table:
+    """The model's numbers at the place of every fingerprint asked for; zeros where it has none."""
+    keys = model.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    return [keys[order], *(table.column(x).to_numpy()[at][order] for x in names)]
-
-
-def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return at, keys[at] == wanted
-
-
-def _scorer(parent: Parent, train_tokens: int):
-    def take(values, at, known, other):
-        return np.where(known, values[at], other) if len(values) else np.full(len(at), other)
-
-    def score(texts: pa.Table, told: pa.Table) -> pa.Table:
-        w, c, p, back = _sorted(told, False, "c", "a", "b")
-        pairs, v = _sorted(told, True, "a")
-        unseen = parent.chance(0.0, 0.0)
-        outs = [[], [], [], []]
-        column = texts.column("text").combine_chunks()
-        if isinstance(column, pa.ChunkedArray):
-            column = pa.concat_arrays(column.chunks)
-        for _, _, t, first in _tokens(column):
-            context = _previous(t, first)
-            at, known = _found(w, t)
-            count, above = take(c, at, known, 0), take(p, at, known, unseen)
-            at, known = _found(w, context)
-            customers, weight = take(c, at, known, 0), take(back, at, known, 1.0)
-            direct = take(v, *_found(pairs, pair_keys(t, context)), 0.0) / (parent.strength + customers)
-            whole = np.log10(direct + weight * above)
-            base = np.log10((count + 1) / (train_tokens + parent.words + 1))
-            for out, values in zip(outs, (np.ones(len(t), np.int64), (count > 0).astype(np.int64), base, whole)):
-                out.append(np.add.reduceat(values, first[:-1]))
-        n, seen, base, whole = (np.concatenate(x) if x else np.zeros(0) for x in outs)
+    keys = keys[order]
+    values = model.column("value").combine_chunks().flatten().to_numpy().reshape(len(keys), -1)[order] if len(keys) else np.zeros((1, 0))
+    answers = []
+    for x in wanted.column("keys"):
+        asked = unpack_sorted(x.as_py())
+        if not len(keys):
+            answers.append(pack(np.zeros(0)))
+            continue
+        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+        answers.append(pack(np.where((keys[at] == asked)[:, None], values[at], 0.0).T.ravel()))
+    return pa.table({**{x: wanted.column(x) for x in ("kind", "bucket", "chunk")}, "answer": pa.array(answers, pa.binary())})
+
+
+def _answers(answers: list[dict], kind: int, sizes: list[int], width: int) -> np.ndarray:
+    """Numbers of all fingerprints of a kind, one row each."""
+    got = [unpack(x["answer"], np.float64) for x in sorted(answers, key=lambda x: x["bucket"]) if x["kind"] == kind]
+    parts = [x.reshape(width, -1).T if len(x) else np.zeros((n, width)) for x, n in zip(got, sizes)]
+    return np.concatenate(parts) if parts else np.zeros((0, width))
+
+
+def _scorer(sweeps: Sweeps, train_tokens: int, buckets: int):
+    m, d, s = len(sweeps.parents), sweeps.discount, sweeps.strength
+
+    def score(row: pa.Table, answers: pa.Table) -> pa.Table:
+        c, told = Chunk(row.to_pylist()[0]), answers.to_pylist()
+        often = c.told >= OFTEN
+        cut = lambda keys: [at.stop - at.start for _, at in by_bucket(keys, buckets)]
+        words = _answers(told, WORD, cut(c.words), 1 + 3 * m)
+        seated = _answers(told, PAIR, cut(c.keys[often]), 2)
+        count, above, tops, ks = words[:, 0], words[:, 1 : m + 1], words[:, m + 1 : 2 * m + 1], words[:, 2 * m + 1 :]
+        v = np.where(c.told == ONCE, 1 - d, 0.0)
+        v[often] = seated[:, 0] - d * seated[:, 1] / m
+        w, ctx = c.pairs
+        whole = np.zeros(len(w))
+        for i, p in enumerate(sweeps.parents):
+            whole += ((s + d * ks[:, i]) / (s + count))[ctx] * p.chance(above[:, i], tops[:, i])[w]
+        whole = whole / m + v / (s + count)[ctx]
+        base = np.log10((count + 1) / (train_tokens + sweeps.words + 1))
         return pa.table({
-            "doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "n_tokens": pa.array(n.astype(np.int64)), "n_known": pa.array(seen.astype(np.int64)),
-            "train_tokens": pa.array(np.full(len(n), train_tokens, np.int64)), "base_score": pa.array(base.astype(float)), "score": pa.array(whole.astype(float)),
+            "doc_id": pa.array(c.ids, pa.int64()), "held_out": pa.array(c.held), "n_tokens": pa.array(c.sizes), "n_known": pa.array(c.over_words((count > 0).astype(np.int64))),
+            "train_tokens": pa.array(np.full(len(c.ids), train_tokens, np.int64)), "base_score": pa.array(c.over_words(base)), "score": pa.array(c.over_texts(np.log10(whole))),
         })
 
     return score
@@ -279,12 +371,15 @@ def _scorer(parent: Parent, train_tokens: int):
 
 def score(texts: DataFrame, work: Workspace, params: PitmanYor, schema: str) -> DataFrame:
     """Scores of texts (doc_id, text, held_out); learns from those not held out."""
-    model = fit(texts.where(~F.col("held_out")).select("text"), work, params)
-    blocks = max(1, -(-model.train_tokens // params.block_tokens))
-    dealt = texts.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
-    asked = dealt.select("block", "text").mapInArrow(_asked, "key long, pair boolean, block int")
-    no = F.lit(0.0)
-    words = model.words.select(F.col("w").alias("key"), F.lit(False).alias("pair"), "c", F.col("p").alias("a"), F.col("back").alias("b"))
-    pairs = model.pairs.select("key", F.lit(True).alias("pair"), F.lit(0).cast("long").alias("c"), F.col("v").alias("a"), no.alias("b"))
-    told = asked.join(words.unionByName(pairs), ["key", "pair"]).select("block", "key", "pair", "c", "a", "b")
-    return dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_scorer(model.parent, model.train_tokens), schema)
+    told = _read(texts, work)
+    model = _seat(told, work, params)
+    asked = told.agg(F.sum("n_words")).first()[0] or 0
+    buckets = max(1, -(-asked // BUCKET))
+    wanted = told.mapInArrow(_wanted(buckets), "kind int, bucket int, chunk long, keys binary")
+    words = model.words.select(F.lit(WORD).alias("kind"), F.col("w").alias("key"), F.concat(F.array(F.col("c").cast("double")), "above", "tops", "ks").alias("value"))
+    pairs = model.seats.select(F.lit(PAIR).alias("kind"), pair_key().alias("key"), F.array(F.col("n").cast("double"), F.col("t").cast("double")).alias("value"))
+    bucket = F.shiftrightunsigned(F.shiftrightunsigned("key", 32) * F.lit(buckets).cast("long"), 32).cast("int")
+    numbers = words.unionByName(pairs).withColumn("bucket", bucket)
+    answers = wanted.groupBy("kind", "bucket").cogroup(numbers.groupBy("kind", "bucket")).applyInArrow(_answer, "kind int, bucket int, chunk long, answer binary")
+    answers = work.save(answers, "answers")
+    return told.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_scorer(model.parent, model.train_tokens, buckets), schema)
