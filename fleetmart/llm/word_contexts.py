@@ -32,8 +32,9 @@ from fleetmart.llm.word_chunks import CHUNKS, Chunk, by_bucket, chunks, each_chu
 
 #: Seated pairs per row of the sampler, and per batch it works on.
 PIECE, BATCH = 20_000, 200_000
-#: Fingerprints of a bucket, counted over the chunks that send them.
-BUCKET = 3_000_000
+#: Fingerprints of a bucket, counted over the chunks that send them: of pairs to be counted, and of words asked for with all
+#: their numbers. Both bound the memory of a task.
+BUCKET, WANTED = 2_000_000, 500_000
 #: What a chunk is told of a pair: its count in training texts plus one to the owner, else one of these.
 NEVER, ONCE, OFTEN = 0, 1, 2
 
@@ -311,10 +312,12 @@ def _wanted(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in each_chunk(batches):
             for kind, keys in ((WORD, c.words), (PAIR, c.keys[c.told >= OFTEN])):
-                for b, at in by_bucket(keys, buckets):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([kind], pa.int32()), pa.array([b], pa.int32()), pa.array([c.number], pa.int64()), pa.array([pack_sorted(keys[at])], pa.binary())], ["kind", "bucket", "chunk", "keys"]
-                    )
+                rows = [(b, pack_sorted(keys[at])) for b, at in by_bucket(keys, buckets)]
+                n = len(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([kind] * n, pa.int32()), pa.array([b for b, _ in rows], pa.int32()), pa.array([c.number] * n, pa.int64()), pa.array([x for _, x in rows], pa.binary())],
+                    ["kind", "bucket", "chunk", "keys"],
+                )
 
     return run
 
@@ -374,7 +377,7 @@ def score(texts: DataFrame, work: Workspace, params: PitmanYor, schema: str) ->
     told = _read(texts, work)
     model = _seat(told, work, params)
     asked = told.agg(F.sum("n_words")).first()[0] or 0
-    buckets = max(1, -(-asked // BUCKET))
+    buckets = max(1, -(-asked // WANTED))
     wanted = told.mapInArrow(_wanted(buckets), "kind int, bucket int, chunk long, keys binary")
     words = model.words.select(F.lit(WORD).alias("kind"), F.col("w").alias("key"), F.concat(F.array(F.col("c").cast("double")), "above", "tops", "ks").alias("value"))
     pairs = model.seats.select(F.lit(PAIR).alias("kind"), pair_key().alias("key"), F.array(F.col("n").cast("double"), F.col("t").cast("double")).alias("value"))
