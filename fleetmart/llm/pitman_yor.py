@@ -179,11 +179,16 @@ def log_stirling(discount: float, most: int) -> np.ndarray:
     return out
 
 
-def _uniform(*parts) -> np.ndarray:
-    h = np.uint64(0x243F6A8885A308D3)
+def _hashes(*parts, start=np.uint64(0x243F6A8885A308D3)) -> np.ndarray:
+    h = start
     for p in parts:
         h = mix(np.asarray(p).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + h)
-    return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
+    return h
+
+
+def _uniform(*parts, start=np.uint64(0x243F6A8885A308D3)) -> np.ndarray:
+    """Draws from (0, 1) by the parts; ``start`` are the hashes of parts before these."""
+    return ((_hashes(*parts, start=start) >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
 
 
 def sample_tables(c: np.ndarray, strength: np.ndarray, discount: float, stirling: np.ndarray, chance, draw: np.ndarray, draw2: np.ndarray) -> np.ndarray:
@@ -195,10 +200,11 @@ def sample_tables(c: np.ndarray, strength: np.ndarray, discount: float, stirling
     for size in np.unique(few[few > 1]):
         rows = np.flatnonzero(few == size)
         steps = np.arange(size)
-        gain = np.log(strength[rows, None] + discount * steps) + np.log(chance(rows, steps))
-        weight = stirling[size, 1 : size + 1] + np.cumsum(gain, 1)
-        share = np.cumsum(np.exp(weight - weight.max(1, keepdims=True)), 1)
-        out[rows] = np.minimum((share < draw[rows, None] * share[:, -1:]).sum(1) + 1, size)
+        # A line per number of tables: long lines are worked on faster than many short ones.
+        gain = np.log(strength[rows] + discount * steps[:, None]) + np.log(chance(rows, steps).T, order="C")
+        weight = stirling[size, 1 : size + 1, None] + np.cumsum(gain, 0)
+        share = np.cumsum(np.exp(weight - weight.max(0)), 0)
+        out[rows] = np.minimum((share < draw[rows] * share[-1]).sum(0) + 1, size)
     rows = np.flatnonzero(c > exact)
     if len(rows):
         a = strength[rows] * chance(rows, np.array([0]))[:, 0]

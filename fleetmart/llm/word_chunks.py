@@ -48,14 +48,24 @@ def _rotated(x: np.ndarray, k: int) -> np.ndarray:
     return (x << np.uint64(k)) | (x >> np.uint64(64 - k))
 
 
-def pair_keys(w: np.ndarray, ctx: np.ndarray) -> np.ndarray:
-    """64-bit fingerprints of words behind contexts: ``w ^ xxhash64(ctx)`` as Spark computes it."""
+def _hashed(ctx: np.ndarray) -> np.ndarray:
+    """xxhash64 of 64-bit numbers as Spark computes it."""
     p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
     h = _rotated(ctx * p2, 31) * p1 ^ (p5 + np.uint64(50))
     h = _rotated(h, 27) * p1 + p4
     h = (h ^ (h >> np.uint64(33))) * p2
     h = (h ^ (h >> np.uint64(29))) * p3
-    return w ^ h ^ (h >> np.uint64(32))
+    return h ^ (h >> np.uint64(32))
+
+
+def pair_keys(w: np.ndarray, ctx: np.ndarray) -> np.ndarray:
+    """64-bit fingerprints of words behind contexts: ``w ^ xxhash64(ctx)``."""
+    return w ^ _hashed(ctx)
+
+
+def runs(x: np.ndarray) -> np.ndarray:
+    """Where each run of equal numbers starts."""
+    return np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.zeros(0, np.int64)
 
 
 def by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
@@ -120,20 +130,31 @@ class Chunk:
     @cached_property
     def _codes(self) -> np.ndarray:
         """Word and context of every token in one number."""
-        before = np.empty_like(self.tokens)
-        before[1:] = self.tokens[:-1]
-        before[self.first[:-1]] = np.searchsorted(self.words, END)
-        return self.tokens * len(self.words) + before
+        out = self.tokens * len(self.words)
+        out[1:] += self.tokens[:-1]
+        start = self.first[:-1]
+        out[start] = self.tokens[start] * len(self.words) + np.searchsorted(self.words, END)
+        return out
 
     @cached_property
     def _different(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        u, n = np.unique(self._codes * 2 + self.in_training, return_counts=True)
-        code, start = np.unique(u >> 1, return_index=True)
-        trained = np.add.reduceat(np.where(u & 1, n, 0), start)
-        w, ctx = code // len(self.words), code % len(self.words)
-        keys = pair_keys(self.words[w], self.words[ctx])
-        order = np.argsort(keys, kind="stable")
-        return code, order, keys[order], np.stack((w[order], ctx[order])), trained[order]
+        """(start, order, keys, code, trained): the run of every different pair among the sorted codes, and the pairs' order by
+        fingerprint, in which the others are."""
+        u = self._codes * 2 + self.in_training
+        u.sort()
+        start = runs(u >> 1)
+        trained = np.add.reduceat(u & 1, start)
+        code = u[start] >> 1
+        del u
+        w, ctx = np.divmod(code, len(self.words))
+        keys = self.words[w] ^ _hashed(self.words)[ctx]
+        del w, ctx
+        order = np.argsort(keys)
+        ordered = keys[order]
+        if len(runs(ordered)) < len(ordered):
+            # Pairs of one fingerprint stand in the same order on every machine.
+            order = np.argsort(keys, kind="stable")
+        return start, order, ordered, code[order], trained[order]
 
     @property
     def keys(self) -> np.ndarray:
@@ -143,7 +164,7 @@ class Chunk:
     @property
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Places of word and context among ``words``."""
-        return tuple(self._different[3])
+        return np.divmod(self._different[3], len(self.words))
 
     @property
     def trained(self) -> np.ndarray:
@@ -152,10 +173,12 @@ class Chunk:
 
     def over_texts(self, by_pair: np.ndarray) -> np.ndarray:
         """Sum per text of a value of its pairs."""
-        code, order = self._different[:2]
-        by_code = np.empty(len(code))
+        start, order = self._different[:2]
+        by_code = np.empty(len(order))
         by_code[order] = by_pair
-        return np.add.reduceat(by_code[np.searchsorted(code, self._codes)], self.first[:-1])
+        by_token = np.empty(len(self.tokens))
+        by_token[np.argsort(self._codes)] = np.repeat(by_code, np.diff(start, append=len(by_token)))
+        return np.add.reduceat(by_token, self.first[:-1])
 
     def over_words(self, by_word: np.ndarray) -> np.ndarray:
         """Sum per text of a value of its words."""

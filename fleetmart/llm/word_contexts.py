@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetmart.llm.pitman_yor import PitmanYor, _uniform, log_stirling, sample_tables
+from fleetmart.llm.pitman_yor import PitmanYor, _hashes, _uniform, log_stirling, sample_tables
 from fleetmart.llm.store import Workspace
-from fleetmart.llm.word_chunks import CHUNKS, Chunk, by_bucket, chunks, each_chunk, pack, pack_sorted, pair_keys, unpack, unpack_sorted
+from fleetmart.llm.word_chunks import CHUNKS, Chunk, by_bucket, chunks, each_chunk, pack, pack_sorted, pair_keys, runs, unpack, unpack_sorted
 
 #: Seated pairs per row of the sampler, and per batch it works on.
 PIECE, BATCH = 20_000, 200_000
@@ -58,11 +58,14 @@ def _count(asked: pa.Table) -> pa.Table:
     """What every chunk is told of its pairs in one bucket."""
     keys = [unpack_sorted(x.as_py()) for x in asked.column("keys")]
     n = np.concatenate([unpack(x.as_py(), np.int64) for x in asked.column("n")])
-    _, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    total = np.bincount(place, n, len(first)).astype(np.int64)
-    told = np.minimum(total, OFTEN)[place]
+    sent = np.concatenate(keys)
+    order = np.argsort(sent)
+    start = runs(sent[order])
+    total = np.add.reduceat(n[order], start)
+    told = np.empty(len(sent), np.int64)
+    told[order] = np.repeat(np.minimum(total, OFTEN), np.diff(start, append=len(sent)))
     owned = total > 1
-    told[first[owned]] = total[owned] + 1
+    told[order[start[owned]]] = total[owned] + 1
     edges = np.cumsum([len(k) for k in keys])[:-1]
     answers = [pack(x.astype(np.uint64)) for x in np.split(told, edges)]
     return pa.table({"bucket": asked.column("bucket"), "chunk": asked.column("chunk"), "told": pa.array(answers, pa.binary())})
@@ -174,6 +177,9 @@ def _gibbs(parent: Parent, params: PitmanYor):
             ctx, n, k = (seats.field(x).to_numpy(zero_copy_only=False) for x in ("ctx", "n", "k"))
             of = ctx.view(np.uint64)
             word = np.repeat(np.arange(len(w)), sizes)
+            # Only dishes with many customers need a second draw.
+            by_pair, by_word, crowd = _hashes(w[word], of), _hashes(w), n > params.exact_customers
+            second = np.zeros(len(n))
             t = np.ones(len(n), np.int64)
             own = np.bincount(word, t, len(w))
             above, tops = own + fixed, np.ones(len(w), np.int64)
@@ -184,14 +190,14 @@ def _gibbs(parent: Parent, params: PitmanYor):
                 held = np.maximum(above[word] - t - d1 * tops[word], 0)
                 chance = lambda rows, i: (held[rows, None] + i + fresh) / (s + c + i)
                 strength = s + parent.discount * np.maximum(k - t, 0)
-                draws = [_uniform(w[word], of, np.full(len(n), 4 * sweep + x)) for x in (0, 1)]
-                t = sample_tables(n, strength, parent.discount, inner, chance, *draws)
+                second[crowd] = _uniform(4 * sweep + 1, start=by_pair[crowd])
+                t = sample_tables(n, strength, parent.discount, inner, chance, _uniform(4 * sweep, start=by_pair), second)
                 own = np.bincount(word, t, len(w))
                 above = own + fixed
                 root = s + d1 * np.maximum(parent.tables - tops, 0)
                 base = lambda rows, i: np.full((len(rows), len(i)), parent.base)
                 many = np.flatnonzero(above > 1)
-                draws = [_uniform(w[many], np.full(len(many), 4 * sweep + x)) for x in (2, 3)]
+                draws = [_uniform(4 * sweep + x, start=by_word[many]) for x in (2, 3)]
                 tops = np.ones(len(w), np.int64)
                 tops[many] = sample_tables(np.rint(above[many]).astype(np.int64), root[many], d1, outer, base, *draws)
                 if sweep >= params.burn_in:
