@@ -26,16 +26,18 @@ class Workspace:
         self.spark, self.path, self._n, self._tidy = spark, run_dir(spark, name), 0, tidy
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS)
 
-    def save(self, df: DataFrame, name: str = "table") -> DataFrame:
-        """Writes a table and reads it back with the same schema."""
+    def save(self, df: DataFrame, name: str = "table", rows: int | None = None) -> DataFrame:
+        """Writes a table and reads it back with the same schema. ``rows``: of an Arrow batch, for rows of numbers only."""
         self._n += 1
         path = f"{self.path}/{self._n}-{name}"
         before = self.spark.conf.get(_CLEANUP, None)
+        self.spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS if rows is None else str(rows))
         if self._tidy:
             self.spark.conf.set(_CLEANUP, "true")
         try:
             df.write.parquet(path)
         finally:
+            self.spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS)
             if self._tidy and before is None:
                 self.spark.conf.unset(_CLEANUP)
             elif self._tidy:

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from fleetmart.llm.pitman_yor import END, _tokens
 
 #: Tokens of a chunk; a longer text is a chunk of its own.
-CHUNK = 1_500_000
+CHUNK = 1_200_000
 
 CHUNKS = "chunk long, ids array<long>, held array<boolean>, sizes array<long>, words binary, counts binary, tokens binary, n_tokens long, n_words long, trained long"
 
@@ -177,6 +177,7 @@ class Chunk:
         by_code = np.empty(len(order))
         by_code[order] = by_pair
         by_token = np.empty(len(self.tokens))
+        # Sorted, the tokens of a pair stand together.
         by_token[np.argsort(self._codes)] = np.repeat(by_code, np.diff(start, append=len(by_token)))
         return np.add.reduceat(by_token, self.first[:-1])
 

@@ -32,6 +32,8 @@ from fleetmart.llm.word_chunks import CHUNKS, Chunk, by_bucket, chunks, each_chu
 
 #: Seated pairs per row of the sampler, and per batch it works on.
 PIECE, BATCH = 20_000, 200_000
+#: Rows of an Arrow batch on the way to the sampler.
+ROWS = 20_000
 #: Fingerprints of a bucket, counted over the chunks that send them: of pairs to be counted, and of words asked for with all
 #: their numbers. Both bound the memory of a task.
 BUCKET, WANTED = 2_000_000, 500_000
@@ -147,36 +149,52 @@ class Sweeps:
         return sum(p.chance(customers, tables) for p in self.parents) / len(self.parents)
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _whole_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """(rows, whether a row is a word's own): joined batches that end where a word's rows end; a word's own row comes first."""
     held, n = [], 0
     for batch in batches:
         held.append(batch)
-        n += batch.num_rows + len(batch.column("seats").flatten())
+        n += batch.num_rows
         if n >= BATCH:
-            yield pa.concat_batches(held)
-            held, n = [], 0
+            rows = pa.concat_batches(held)
+            own = rows.column("ctx").is_null().to_numpy(zero_copy_only=False)
+            last = int(np.flatnonzero(own)[-1])
+            if last:
+                yield rows.slice(0, last), own[:last]
+            held, n = [rows.slice(last)], len(own) - last
     if n:
-        yield pa.concat_batches(held)
+        rows = pa.concat_batches(held)
+        yield rows, rows.column("ctx").is_null().to_numpy(zero_copy_only=False)
 
 
-def _lists(by_sweep: list[np.ndarray]) -> pa.ListArray:
-    """One list per row with its number in every sweep."""
-    values = np.stack(by_sweep, 1).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * len(by_sweep)), pa.array(values.ravel()))
+def _numbered(x: str, width: int) -> list[str]:
+    return [f"{x}{i}" for i in range(width)]
 
 
-def _gibbs(parent: Parent, params: PitmanYor):
+def _seated(width: int) -> str:
+    """A word's own row (no ctx: its tokens and pairs seen once, all its tables in the piece, and its tables in the parent), and
+    one for each of its seated pairs; ``width`` numbers of tables each."""
+    return ", ".join(["w long, piece int, ctx long, n long, singles long", *(f"{x} int" for x in _numbered("t", width) + _numbered("tops", width))])
+
+
+def _gibbs(parent: Parent, params: PitmanYor, width: int):
+    """Tables of the kept sweeps, by sweep or (``width`` 1) in sum."""
+    samples = params.samples
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inner = log_stirling(parent.discount, params.exact_customers)
         outer = log_stirling(parent.parent_discount, params.exact_customers)
-        for batch in _gathered(batches):
-            w = batch.column("w").to_numpy(zero_copy_only=False).view(np.uint64)
-            fixed = batch.column("fixed").to_numpy(zero_copy_only=False)
-            lists = batch.column("seats")
-            sizes, seats = lists.value_lengths().to_numpy(zero_copy_only=False), lists.flatten()
-            ctx, n, k = (seats.field(x).to_numpy(zero_copy_only=False) for x in ("ctx", "n", "k"))
+        for batch, head in _whole_words(batches):
+            fill = lambda x: batch.column(x).fill_null(0).to_numpy(zero_copy_only=False)
+            seat = ~head
+            w, singles = fill("w")[head].view(np.uint64), fill("singles")[head]
+            word = np.cumsum(head)[seat] - 1
+            ctx, n, k = (fill(x)[seat] for x in ("ctx", "n", "k"))
+            # A piece of a word sees the tables of the others as of the round before, in the first round one for each pair.
+            total, before = (batch.column(x).to_numpy(zero_copy_only=False)[head] for x in ("k", "own"))
+            here = np.where(np.isnan(before), np.bincount(word, minlength=len(w)), before)
+            fixed = singles + np.where(np.isnan(total), 0.0, total - here)
             of = ctx.view(np.uint64)
-            word = np.repeat(np.arange(len(w)), sizes)
             # Only dishes with many customers need a second draw.
             by_pair, by_word, crowd = _hashes(w[word], of), _hashes(w), n > params.exact_customers
             second = np.zeros(len(n))
@@ -186,7 +204,7 @@ def _gibbs(parent: Parent, params: PitmanYor):
             kept_t, kept_own, kept_tops = [], [], []
             c, d1, s = parent.customers, parent.parent_discount, parent.strength
             fresh = (s + d1 * parent.tables) * parent.base
-            for sweep in range(params.burn_in + params.samples):
+            for sweep in range(params.burn_in + samples):
                 held = np.maximum(above[word] - t - d1 * tops[word], 0)
                 chance = lambda rows, i: (held[rows, None] + i + fresh) / (s + c + i)
                 strength = s + parent.discount * np.maximum(k - t, 0)
@@ -204,18 +222,21 @@ def _gibbs(parent: Parent, params: PitmanYor):
                     kept_t.append(t)
                     kept_own.append(own)
                     kept_tops.append(tops)
-            edges = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
-            kept = pa.ListArray.from_arrays(edges, pa.StructArray.from_arrays([pa.array(ctx), pa.array(n), _lists(kept_t)], ["ctx", "n", "t"]))
+            if width < samples:
+                kept_t, kept_own, kept_tops = ([np.sum(x, 0)] for x in (kept_t, kept_own, kept_tops))
+            tables = []
+            for in_pairs, in_words in [*zip(kept_t, kept_own), *((0, x) for x in kept_tops)]:
+                column = np.empty(len(head), np.int32)
+                column[seat], column[head] = in_pairs, in_words
+                tables.append(column)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(x) for x in ("w", "piece", "n", "singles")), kept, _lists(kept_own), _lists(kept_tops)], ["w", "piece", "n", "singles", "seats", "own", "tops"]
+                [*(batch.column(x) for x in ("w", "piece", "ctx", "n", "singles")), *map(pa.array, tables)],
+                ["w", "piece", "ctx", "n", "singles", *_numbered("t", width), *_numbered("tops", width)],
             )
 
     return run
 
 
-_SEATED = "w long, piece int, n long, singles long, seats array<struct<ctx: long, n: long, t: array<int>>>, own array<int>, tops array<int>"
-
-
 @dataclass
 class WordModel:
     """words (w, c, above, tops, ks, p, back): tokens, customers and tables in the parent and tables as a context by sweep, the
@@ -233,8 +254,12 @@ def _mean(x: str, samples: int) -> Column:
     return F.aggregate(x, F.lit(0.0), lambda a, t: a + t) / samples
 
 
-def _by_sweep(x: str, samples: int, over=F.sum) -> Column:
-    return F.array(*(over(F.col(x)[i]).cast("double") for i in range(samples)))
+def _total(x: str, width: int) -> Column:
+    return reduce(lambda a, b: a + b, (F.col(y).cast("double") for y in _numbered(x, width)))
+
+
+def _by_sweep(x: str, width: int, over=F.sum) -> list[Column]:
+    return [over(y).cast("double").alias(y) for y in _numbered(x, width)]
 
 
 def _read(texts: DataFrame, work: Workspace) -> DataFrame:
@@ -252,11 +277,13 @@ def _read(texts: DataFrame, work: Workspace) -> DataFrame:
 def _seat(told: DataFrame, work: Workspace, params: PitmanYor) -> WordModel:
     m, numbers = params.samples, ["n", "singles", "tails", "more", "back", "twice"]
     words = work.save(told.mapInArrow(_words, ", ".join(["w long", *(f"{x} long" for x in numbers)])).groupBy("w").agg(*(F.sum(x).alias(x) for x in numbers)), "words")
+    # A word of a single token has one table there and in the parent for certain and is not sampled.
+    lone = (F.col("singles") == 1) & (F.col("more") == 0)
     v = words.agg(
         F.count("*").alias("words"), F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"),
-        F.sum(F.col("singles") + F.col("more")).alias("pairs"), F.sum("singles").alias("u1"), F.sum("twice").alias("u2"),
+        F.sum(F.col("singles") + F.col("more")).alias("pairs"), F.sum("singles").alias("u1"), F.sum("twice").alias("u2"), F.count_if(lone).alias("lone"),
     ).first()
-    n = {x: v[x] or 0 for x in ("words", "n", "n1", "n2", "pairs", "u1", "u2")}
+    n = {x: v[x] or 0 for x in ("words", "n", "n1", "n2", "pairs", "u1", "u2", "lone")}
     discount = lambda n1, n2: float(np.clip(n1 / max(n1 + 2 * n2, 1), 0.05, 0.95))
     inner, outer = discount(n["u1"], n["u2"]), discount(n["n1"], n["n2"])
     parent = Parent(float(n["pairs"]), float(n["words"]), n["words"], inner, outer, params.strength)
@@ -266,39 +293,41 @@ def _seat(told: DataFrame, work: Workspace, params: PitmanYor) -> WordModel:
     pieces = F.coalesce("pieces", F.lit(1))
     owned = told.mapInArrow(_owned, "w long, ctx long, n long")
     seats = owned.join(large, "w", "left").select("w", F.pmod(F.xxhash64("ctx"), pieces).cast("int").alias("piece"), "ctx", "n")
-    rows = words.join(large, "w", "left").select("w", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"), "n", "singles", F.lit(None).cast("double").alias("own"))
+    rows = words.where(~lone).join(large, "w", "left").select("w", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"), "n", "singles", F.lit(None).cast("double").alias("own"))
     contexts = words.select(F.col("w").alias("ctx"), "tails", "back")
     totals = contexts.where("back > 0").select("ctx", (F.col("tails") + F.col("back")).cast("double").alias("k"))
     old = []
-    for _ in range(2):
-        lists = seats.join(totals, "ctx").groupBy("w", "piece").agg(F.collect_list(F.struct("ctx", "n", "k")).alias("seats"))
-        joined = rows.join(lists, ["w", "piece"], "left").join(large.select("w", "total"), "w", "left")
-        got = F.coalesce("seats", F.array().cast("array<struct<ctx: long, n: long, k: double>>"))
-        rest = F.coalesce(F.col("total") - F.coalesce("own", F.size(got).cast("double")), F.lit(0.0))
-        asked = joined.select("w", "piece", "n", "singles", (F.col("singles") + rest).alias("fixed"), got.alias("seats"))
-        seated = work.save(asked.mapInArrow(_gibbs(parent, params), _SEATED), "seated")
-        taken = seated.select("w", "piece", F.explode("seats").alias("s")).select("w", "piece", "s.ctx", "s.n", "s.t")
-        grown = work.save(taken.groupBy("ctx").agg(_by_sweep("t", m).alias("ks")), "totals")
+    for width in (1, m):
+        heads = rows.join(large.select("w", F.col("total").alias("k")), "w", "left").withColumn("ctx", F.lit(None).cast("long"))
+        asked = heads.unionByName(seats.join(totals, "ctx"), allowMissingColumns=True).select("w", "piece", "ctx", "n", "k", "singles", "own")
+        asked = asked.repartition("w", "piece").sortWithinPartitions("w", "piece", F.col("ctx").asc_nulls_first())
+        seated = work.save(asked.mapInArrow(_gibbs(parent, params, width), _seated(width)), "seated", rows=ROWS)
+        heads, taken = seated.where("ctx is null"), seated.where("ctx is not null").select("w", "piece", "ctx", "n", *_numbered("t", width))
+        grown = work.save(taken.groupBy("ctx").agg(F.array(*_by_sweep("t", width)).alias("ks")), "totals")
         for table in old:
             work.drop(table)
-        old, seats = [seated, grown], taken.drop("t")
+        old, seats = [seated, grown], taken.select("w", "piece", "ctx", "n")
         totals = contexts.where("back > 0").join(grown, "ctx").select("ctx", (F.col("tails") + _mean("ks", m)).alias("k"))
-        rows = seated.select("w", "piece", "n", "singles", _mean("own", m).alias("own"))
-        large = seated.groupBy("w").agg(F.sum(_mean("own", m)).alias("total"), F.count("*").alias("m")).where("m > 1").select("w", "total")
-        tops = seated.groupBy("w").agg(_by_sweep("tops", m, F.avg).alias("tops")).agg(_by_sweep("tops", m).alias("tops")).first()["tops"]
-        own = seated.agg(_by_sweep("own", m).alias("own")).first()["own"]
-        sweeps = [Parent(n["u1"] + (o or 0.0), t or 0.0, n["words"], inner, outer, params.strength) for o, t in zip(own, tops)]
-        mean = lambda x: sum(getattr(p, x) for p in sweeps) / m
+        rows = heads.select("w", "piece", "n", "singles", (_total("t", width) / m).alias("own"))
+        large = heads.groupBy("w").agg(F.sum(_total("t", width) / m).alias("total"), F.count("*").alias("m")).where("m > 1").select("w", "total")
+        # A word in pieces has the mean of its pieces' tables in the parent.
+        by_word = heads.groupBy("w").agg(*_by_sweep("t", width), *_by_sweep("tops", width, F.avg))
+        sums = by_word.agg(*_by_sweep("t", width), *_by_sweep("tops", width)).first()
+        own, tops = ([(sums[y] or 0.0) * width / m for y in _numbered(x, width)] for x in ("t", "tops"))
+        sweeps = [Parent(n["u1"] + o, n["lone"] + t, n["words"], inner, outer, params.strength) for o, t in zip(own, tops)]
+        mean = lambda x: sum(getattr(p, x) for p in sweeps) / width
         parent = Parent(mean("customers"), mean("tables"), n["words"], inner, outer, params.strength)
 
-    per_word = seated.groupBy("w").agg(
-        F.first("n").alias("c"), F.array(*(F.first("singles") + F.sum(F.col("own")[i]).cast("double") for i in range(m))).alias("above"), _by_sweep("tops", m, F.avg).alias("tops")
+    sampled = heads.groupBy("w").agg(
+        F.first("n").alias("c"), F.array(*(F.first("singles") + x for x in _by_sweep("t", m))).alias("above"), F.array(*_by_sweep("tops", m, F.avg)).alias("tops")
     )
+    one = F.array(*[F.lit(1.0)] * m)
+    per_word = sampled.unionByName(words.where(lone).select("w", F.col("n").alias("c"), one.alias("above"), one.alias("tops")))
     tables = contexts.join(grown, "ctx", "left").select(F.col("ctx").alias("w"), F.array(*(F.col("tails") + F.coalesce(F.col("ks")[i], F.lit(0.0)) for i in range(m))).alias("ks"))
     chance = reduce(lambda a, b: a + b, (p.chance(F.col("above")[i], F.col("tops")[i]) for i, p in enumerate(sweeps))) / m
     back = (params.strength + inner * _mean("ks", m)) / (params.strength + F.col("c"))
     known = work.save(per_word.join(tables, "w"), "known")
-    summed = taken.select("w", "ctx", "n", F.aggregate("t", F.lit(0), lambda a, t: a + t).alias("t"))
+    summed = taken.select("w", "ctx", "n", _total("t", m).cast("long").alias("t"))
     once = told.mapInArrow(_once, "key long").select("key", F.lit(1 - inner).alias("v"))
     pairs = once.unionByName(summed.select(pair_key().alias("key"), (F.col("n") - inner * F.col("t") / m).alias("v")))
     return WordModel(known.select("*", chance.alias("p"), back.alias("back")), summed, pairs, Sweeps(sweeps), n["n"])
@@ -346,10 +375,10 @@ def _answer(wanted: pa.Table, model: pa.Table) -> pa.Table:
 
 
 def _answers(answers: list[dict], kind: int, sizes: list[int], width: int) -> np.ndarray:
-    """Numbers of all fingerprints of a kind, one row each."""
+    """Numbers of all fingerprints of a kind, one line for each of the ``width`` numbers."""
     got = [unpack(x["answer"], np.float64) for x in sorted(answers, key=lambda x: x["bucket"]) if x["kind"] == kind]
-    parts = [x.reshape(width, -1).T if len(x) else np.zeros((n, width)) for x, n in zip(got, sizes)]
-    return np.concatenate(parts) if parts else np.zeros((0, width))
+    parts = [x.reshape(width, -1) if len(x) else np.zeros((width, n)) for x, n in zip(got, sizes)]
+    return np.concatenate(parts, 1) if parts else np.zeros((width, 0))
 
 
 def _scorer(sweeps: Sweeps, train_tokens: int, buckets: int):
@@ -360,19 +389,29 @@ def _scorer(sweeps: Sweeps, train_tokens: int, buckets: int):
         often = c.told >= OFTEN
         cut = lambda keys: [at.stop - at.start for _, at in by_bucket(keys, buckets)]
         words = _answers(told, WORD, cut(c.words), 1 + 3 * m)
+        count, above, tops, ks = words[0].copy(), words[1 : m + 1], words[m + 1 : 2 * m + 1], words[2 * m + 1 :]
+        back = [(s + d * ks[i]) / (s + count) for i in range(m)]
+        chance = [p.chance(above[i], tops[i]) for i, p in enumerate(sweeps.parents)]
+        # Arrays of pairs are a task's largest; each goes as soon as it has been used.
+        del words, above, tops, ks
+        whole = np.where(c.told == ONCE, 1 - d, 0.0)
         seated = _answers(told, PAIR, cut(c.keys[often]), 2)
-        count, above, tops, ks = words[:, 0], words[:, 1 : m + 1], words[:, m + 1 : 2 * m + 1], words[:, 2 * m + 1 :]
-        v = np.where(c.told == ONCE, 1 - d, 0.0)
-        v[often] = seated[:, 0] - d * seated[:, 1] / m
+        whole[often] = seated[0] - d * seated[1] / m
+        del seated, often, told
         w, ctx = c.pairs
-        whole = np.zeros(len(w))
-        for i, p in enumerate(sweeps.parents):
-            whole += ((s + d * ks[:, i]) / (s + count))[ctx] * p.chance(above[:, i], tops[:, i])[w]
-        whole = whole / m + v / (s + count)[ctx]
+        whole /= (s + count)[ctx]
+        mixed = np.zeros(len(w))
+        for x, y in zip(back, chance):
+            mixed += x[ctx] * y[w]
+        del w, ctx
+        mixed /= m
+        mixed += whole
+        del whole
+        scores = c.over_texts(np.log10(mixed, out=mixed))
         base = np.log10((count + 1) / (train_tokens + sweeps.words + 1))
         return pa.table({
             "doc_id": pa.array(c.ids, pa.int64()), "held_out": pa.array(c.held), "n_tokens": pa.array(c.sizes), "n_known": pa.array(c.over_words((count > 0).astype(np.int64))),
-            "train_tokens": pa.array(np.full(len(c.ids), train_tokens, np.int64)), "base_score": pa.array(c.over_words(base)), "score": pa.array(c.over_texts(np.log10(whole))),
+            "train_tokens": pa.array(np.full(len(c.ids), train_tokens, np.int64)), "base_score": pa.array(c.over_words(base)), "score": pa.array(scores),
         })
 
     return score

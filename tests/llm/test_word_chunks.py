@@ -1,6 +1,7 @@
 """Packed chunks of the word model: round trips, counts over chunks, and results that do not depend on the cut."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -60,3 +61,80 @@ def test_scores_do_not_depend_on_the_chunks(spark, documents):
     for i, r in one.items():
         assert [r[x] for x in ("held_out", "n_tokens", "n_known", "train_tokens")] == [many[i][x] for x in ("held_out", "n_tokens", "n_known", "train_tokens")]
         assert r["base_score"] == pytest.approx(many[i]["base_score"]) and r["score"] == pytest.approx(many[i]["score"], rel=1e-6)
+
+
+def one_chunk(monkeypatch, texts):
+    monkeypatch.setattr(word_chunks, "TaskContext", type("Here", (), {"get": staticmethod(lambda: type("At", (), {"partitionId": lambda self: 0})())}))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array([i % 7 == 2 for i in range(len(texts))]), pa.array(texts)], ["doc_id", "held_out", "text"])
+    (row,) = word_chunks.chunks(iter([batch]))
+    return word_chunks.Chunk(row.to_pylist()[0])
+
+
+def test_pairs_of_a_chunk_take_little_memory(monkeypatch):
+    """A task's memory goes with its chunk: deriving these pairs once took 52 bytes for each token."""
+    rng = random.Random(8)
+    chunk = one_chunk(monkeypatch, [" ".join(str(int(min(rng.paretovariate(0.25), 1e9))) for _ in range(2000)) for _ in range(100)])
+    chunk._codes
+    tracemalloc.start()
+    chunk.keys
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40 * len(chunk.tokens)
+
+
+def test_pairs_and_sums_of_a_chunk_equal_brute_force(monkeypatch):
+    rng = random.Random(9)
+    texts = ["", "a", *(" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(30))) for _ in range(40))]
+    chunk = one_chunk(monkeypatch, texts)
+    seen, trained = Counter(), Counter()
+    for i, text in enumerate(texts):
+        words = [None, *text.split(), None]
+        seen.update(zip(words, words[1:]))
+        if i % 7 != 2:
+            trained.update(zip(words, words[1:]))
+    assert len(chunk.keys) == len(seen) and np.all(np.diff(chunk.keys.astype(object)) > 0)
+    assert sorted(chunk.trained.tolist()) == sorted(trained[x] for x in seen)
+    value = np.arange(len(chunk.keys), dtype=float)
+    w, ctx = chunk.pairs
+    place = {(a, b): v for a, b, v in zip(w.tolist(), ctx.tolist(), value)}
+    end = int(np.searchsorted(chunk.words, pitman_yor.END))
+    sums = []
+    for i, j in zip(chunk.first[:-1], chunk.first[1:]):
+        tokens = chunk.tokens[i:j].tolist()
+        sums.append(sum(place[x] for x in zip(tokens, [end, *tokens[:-1]])))
+    assert chunk.over_texts(value).tolist() == sums
+
+
+def test_sampled_tables_do_not_depend_on_the_batches(monkeypatch):
+    rng = random.Random(10)
+    rows = []
+    for w in range(60):
+        rows.append((w, 0, None, 50, 60.0 if w % 3 else None, 4, 20.0 if w % 2 else None))
+        rows += [(w, 0, c, rng.choice([2, 3, 5, 90]), 30.0, None, None) for c in rng.sample(range(99), rng.randrange(12))]
+    columns = ["w", "piece", "ctx", "n", "k", "singles", "own"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.float64()]
+    whole = pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows), kinds)], columns)
+    parent = word_contexts.Parent(900.0, 60.0, 60, 0.6, 0.5, 1.0)
+
+    def sampled(size, width):
+        monkeypatch.setattr(word_contexts, "BATCH", size)
+        batches = (whole.slice(i, size) for i in range(0, len(rows), size))
+        return pa.Table.from_batches(word_contexts._gibbs(parent, pitman_yor.PitmanYor(), width)(batches))
+
+    one = sampled(10_000, 4)
+    assert one.equals(sampled(7, 4).combine_chunks()) and one.column("ctx").to_pylist() == [r[2] for r in rows]
+    summed = np.sum([one.column(f"t{i}").to_numpy() for i in range(4)], 0)
+    assert summed.tolist() == sampled(50, 1).column("t0").to_pylist()
+    assert all(1 <= t <= r[3] for r, t in zip(rows, one.column("t3").to_pylist()) if r[2] is not None)
+
+
+def test_words_of_one_token_are_not_sampled(spark, monkeypatch):
+    """They have one table for certain; most words of a large corpus are such."""
+    saved, save = {}, pitman_yor.Workspace.save
+    monkeypatch.setattr(pitman_yor.Workspace, "save", lambda self, df, name="table", **more: saved.setdefault(name, []).append(save(self, df, name, **more)) or saved[name][-1])
+    df = spark.createDataFrame([("a b a b once",), ("a b never again",)], "text string")
+    model = word_contexts.fit(df, pitman_yor.Workspace(spark, "t"))
+    rows = {r["w"]: r for r in model.words.collect()}
+    assert sorted(r["c"] for r in rows.values()) == [1, 1, 1, 2, 3, 3]
+    assert all(r["above"] == r["tops"] == [1.0] * 4 for r in rows.values() if r["c"] == 1)
+    assert {r["w"] for r in saved["seated"][-1].select("w").distinct().collect()} == {w for w, r in rows.items() if r["c"] > 1}
