@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from fleetmart.llm.pitman_yor import END, _tokens
 
 #: Tokens of a chunk; a longer text is a chunk of its own.
-CHUNK = 1_200_000
+CHUNK = 1_000_000
 
 CHUNKS = "chunk long, ids array<long>, held array<boolean>, sizes array<long>, words binary, counts binary, tokens binary, n_tokens long, n_words long, trained long"
 

@@ -31,7 +31,7 @@ from fleetmart.llm.store import Workspace
 from fleetmart.llm.word_chunks import CHUNKS, Chunk, by_bucket, chunks, each_chunk, pack, pack_sorted, pair_keys, runs, unpack, unpack_sorted
 
 #: Seated pairs per row of the sampler, and per batch it works on.
-PIECE, BATCH = 20_000, 200_000
+PIECE, BATCH = 20_000, 100_000
 #: Rows of an Arrow batch on the way to the sampler.
 ROWS = 20_000
 #: Fingerprints of a bucket, counted over the chunks that send them: of pairs to be counted, and of words asked for with all
