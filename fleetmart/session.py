@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 
 HUGE_METHOD_BYTES = "8000"
+STATE_PARTITIONS_PER_CORE = 3
 
 
 def build_session(app_name: str = "fleetmart", master: str | None = None, **conf: str) -> SparkSession:
@@ -38,6 +41,22 @@ def use_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[int]:
+    """Streams started inside keep their state in no more partitions than keep the cores busy.
+
+    A state partition is loaded and saved in every batch, whatever it holds. The number stays with a stream's checkpoint.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    parts = max(1, min(int(before), STATE_PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism))
+    spark.conf.set(name, parts)
+    try:
+        yield parts
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 

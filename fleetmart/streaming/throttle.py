@@ -5,17 +5,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor
 
 MINIMUM_GAP_SECONDS = 10
 GAPS_PER_SLICE = 64
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 BEFORE_ALL = -(2**62)
+KEY_BUCKETS = 1024
+ROWS_PER_PIECE = 10_000
+UNORDERED = (T.ArrayType, T.StructType, T.MapType, T.VariantType)
+LAST = pa.schema([("_k", pa.string()), ("us", pa.int64())])
 
 
 def min_gap_seconds(pings_per_minute: int) -> int:
@@ -159,82 +164,142 @@ def _clock_free(field: T.StructField) -> bool:
     return not isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType))
 
 
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(stored: bytes) -> pa.Table:
+    return pa.ipc.open_stream(stored).read_all()
+
+
+def _first_at(group: np.ndarray, t: np.ndarray, of: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The first row of group ``of`` at or after each wanted time, or -1; the rows come sorted by group and time."""
+    n = len(t)
+    order = np.lexsort((np.arange(n + len(of)) < n, np.concatenate([t, wanted]), np.concatenate([group, of])))
+    row = order < n
+    at = np.empty(len(of), np.int64)
+    at[order[~row] - n] = np.cumsum(row)[~row]
+    found = at < n
+    found[found] = group[at[found]] == of[found]
+    return np.where(found, at, -1)
+
+
 class Thinner(StatefulProcessor):
-    """Pings of a key that the watermark has not passed, as a list, and the last one kept; a timer decides the passed ones."""
+    """Pings of a bucket of keys that the watermark has not passed, in Arrow pieces, and the last one kept of each key.
+
+    A timer decides the passed ones of all keys of the bucket together, so the cost follows the rows and not the keys.
+    """
 
     def __init__(self, schema: T.StructType, columns: list[str], gap_us: int):
         self.schema, self.columns, self.gap_us = schema, columns, gap_us
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.schema)
-        self.last = handle.getValueState("last", "us long")
-
-    def _rows(self, frame: pd.DataFrame) -> list[tuple]:
-        whole = [isinstance(f.dataType, T.IntegralType) for f in self.schema]
-        plain = frame[self.schema.names].astype(object)
-        return [tuple(None if pd.isna(v) else int(v) if w else v for v, w in zip(row, whole)) for row in plain.itertuples(index=False)]
+        self.waiting = handle.getListState("waiting", "pings binary")
+        self.last = handle.getValueState("last", "keys binary")
+        self.settled: set = set()
 
     def _wake(self, us: int) -> None:
         self.handle.registerTimer(us // 1000 + 1)
 
+    def _shape(self) -> pa.Schema:
+        return to_arrow_schema(self.schema)
+
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        first = None
         for frame in rows:
             if len(frame):
                 # Spark hands on names that begin with an underscore by their place.
                 frame = frame.set_axis(self.columns, axis=1)
-                self.waiting.appendList(self._rows(frame))
-                self._wake(int(frame["_us"].min()))
+                pings = pa.Table.from_pandas(frame[self.schema.names], schema=self._shape(), preserve_index=False, nthreads=1)
+                self.waiting.appendValue((_packed(pings),))
+                low = int(frame["_us"].min())
+                first = low if first is None else min(first, low)
+        if first is not None:
+            self._wake(first)
         return iter([])
 
+    def _sorted(self, pings: pa.Table) -> pa.Table:
+        """By key and time; equal times by the other columns, as far as they have an order."""
+        rest = [f.name for f in self.schema if f.name not in ("_k", "_us") and not isinstance(f.dataType, UNORDERED)]
+        order = pc.sort_indices(pings, [(c, "ascending") for c in ("_k", "_us", *rest)], null_placement="at_end")
+        return pings.take(order).combine_chunks()
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        # All timers of a bucket that the watermark has passed come one after another; the first one decides everything.
+        if key in self.settled:
+            return
+        self.settled.add(key)
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        known = self.last.get() if self.last.exists() else None
-        last = known[0] if known else None
-        frame = pd.DataFrame(list(self.waiting.get()), columns=self.schema.names, dtype=object)
-        frame = frame.sort_values(["_us", *[c for c in self.schema.names if c != "_us"]], kind="stable").reset_index(drop=True)
-        t = frame["_us"].to_numpy().astype(np.int64)
-        ready = int(np.searchsorted(t, mark, side="right"))
-        keep, i = [], 0 if last is None else int(np.searchsorted(t, last + self.gap_us))
-        while i < ready:
-            keep.append(i)
-            last = int(t[i])
-            i = int(np.searchsorted(t, last + self.gap_us))
-        # The first ping that waits always has a timer of its own.
-        if ready:
+        stored = self.last.get()
+        last = _unpacked(stored[0]) if stored else LAST.empty_table()
+        last_us = last["us"].to_numpy()
+        pings = [_unpacked(p) for (p,) in self.waiting.get()]
+        pings = self._sorted(pa.concat_tables(pings)) if pings else self._shape().empty_table()
+        t = pings["_us"].to_numpy()
+
+        codes = pings["_k"].combine_chunks().dictionary_encode()
+        group = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        known = pc.index_in(codes.dictionary, value_set=last["_k"].combine_chunks())
+        earliest = np.full(len(codes.dictionary), BEFORE_ALL, np.int64)
+        has = known.is_valid().to_numpy(zero_copy_only=False)
+        earliest[has] = last_us[known.drop_null().to_numpy()] + self.gap_us
+        at, next_ = _first_at(group, t, np.arange(len(earliest)), earliest), _first_at(group, t, group, t + self.gap_us)
+        keep = np.zeros(len(t), bool)
+        while len(at := at[at >= 0]) and len(at := at[t[at] <= mark]):
+            keep[at] = True
+            at = next_[at]
+
+        # A key's last ping kept is held while others of it wait, and until a gap has passed.
+        kept = np.full(len(earliest), BEFORE_ALL, np.int64)
+        kept[group[keep]] = t[keep]
+        rest, found = pings.filter(pa.array(t > mark)), pa.array(kept != BEFORE_ALL)
+        fresh = pa.table([codes.dictionary.filter(found), pa.array(kept).filter(found)], schema=LAST)
+        last = pa.concat_tables([last.filter(pc.invert(pc.is_in(last["_k"], value_set=fresh["_k"].combine_chunks()))), fresh])
+        needed = pc.greater(last["us"], mark - self.gap_us)
+        ends = last["us"].filter(needed)
+        last = last.filter(pc.or_(needed, pc.is_in(last["_k"], value_set=rest["_k"].combine_chunks())))
+        if rest.num_rows:
+            self.waiting.put([(_packed(pa.Table.from_batches([b])),) for b in rest.to_batches(max_chunksize=ROWS_PER_PIECE)])
+        else:
             self.waiting.clear()
-            if ready < len(t):
-                self.waiting.put(self._rows(frame.iloc[ready:]))
-                self._wake(int(t[ready]))
-            else:
-                self._wake(last + self.gap_us)
-            self.last.update((last,))
-        elif not len(t) and last is not None and last + self.gap_us <= mark:
+        if last.num_rows:
+            self.last.update((_packed(last.combine_chunks()),))
+        else:
             self.last.clear()
-        if keep:
-            yield frame.iloc[keep]
+        wakes = [pc.min(column).as_py() + plus for column, plus in ((rest["_us"], 0), (ends, self.gap_us)) if len(column)]
+        if wakes:
+            self._wake(min(wakes))
+        if keep.any():
+            yield pings.filter(pa.array(keep)).drop_columns(["_k"]).to_pandas(integer_object_nulls=True, use_threads=False)
 
     def close(self) -> None:
         pass
 
 
-def stream_ping_downsample(pings: DataFrame, key: str, ts: str, gap_seconds: int, lateness: str = "1 hour") -> DataFrame:
+def stream_ping_downsample(pings: DataFrame, key: str, ts: str, gap_seconds: int, lateness: str = "1 hour", buckets: int = KEY_BUCKETS) -> DataFrame:
     """The same rule on a stream whose pings may come up to ``lateness`` late; later ones are left out.
 
     A ping is decided once the watermark has passed it, as none before it can come any more; until then it waits in the
-    state of its key (``Thinner``), with the time of the last ping kept. Timers in event time decide, and free the state when nothing waits and the gap after the
+    state of its key's bucket (``Thinner``), with the times of the last pings kept. Timers in event time decide, and free the state when nothing waits and the gap after the
     last kept ping has passed. The last pings of a stream are handed on when a later event moves the watermark. State
-    of this kind needs the RocksDB store, which is set on the session.
+    of this kind needs the RocksDB store, which is set on the session. Calls from Spark to Python cost milliseconds each,
+    so the keys are dealt to ``buckets`` that are handled as a whole; one bucket's pings are held at a time. A key must
+    find its bucket again, so the number belongs to a checkpoint like the gap.
     """
     pings.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    moments = [f for f in pings.schema if not _clock_free(f)]
     # Times go through the state as numbers, which no time zone of a worker can touch.
     plain = pings.withWatermark(ts, lateness).withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp"))).where("_us is not null")
-    state = T.StructType([T.StructField("_us", T.LongType())] + [f if _clock_free(f) else T.StructField(f.name, T.LongType()) for f in pings.schema])
-    names = {f.name: f"_as_{f.name}" for f in moments}
+    names = {f.name: "_us" if f.name == ts else f"_as_{f.name}" for f in pings.schema if not _clock_free(f)}
+    moments = {n: F.unix_micros(F.col(c).cast("timestamp")) for c, n in names.items() if n != "_us"}
     text = F.when(F.col(key).isNull(), "0").otherwise(F.concat(F.lit("1"), F.col(key).cast("string")))
-    numbered = plain.withColumns({**{n: F.unix_micros(F.col(c).cast("timestamp")) for c, n in names.items()}, "_k": text})
-    stored = T.StructType([T.StructField(names.get(f.name, f.name), f.dataType, True) for f in state])
-    kept = numbered.groupBy("_k").transformWithStateInPandas(Thinner(stored, numbered.columns, gap_seconds * 1_000_000), stored, "append", "EventTime")
+    numbered = plain.withColumns({**moments, "_k": text}).withColumn("_bucket", F.pmod(F.xxhash64("_k"), F.lit(buckets)))
+    other = [T.StructField(names.get(f.name, f.name), f.dataType if _clock_free(f) else T.LongType()) for f in pings.schema if names.get(f.name) != "_us"]
+    out = T.StructType([T.StructField("_us", T.LongType()), *other])
+    held = T.StructType([*out, T.StructField("_k", T.StringType())])
+    kept = numbered.groupBy("_bucket").transformWithStateInPandas(Thinner(held, numbered.columns, gap_seconds * 1_000_000), out, "append", "EventTime")
     back = lambda f: F.timestamp_micros(names[f.name]).cast(f.dataType).alias(f.name) if f.name in names else F.col(f.name)
     return kept.select(*[back(f) for f in pings.schema])

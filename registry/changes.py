@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from fleetmart.operators import changes
 from fleetmart.operators.sequence import row_slices, with_neighbour
 from fleetmart.plans import timeline
-from fleetmart.session import run_dir
+from fleetmart.session import run_dir, state_partitions
 from fleetmart.sources import readers
 from fleetmart.streaming import apply, lag, landing, throttle
 from registry.checks import status_log
@@ -379,7 +379,7 @@ def _(d):
     # Batches in the order of arrival; every tenth ping comes half a day late. A heartbeat from far ahead closes the stream.
     rows = pings(d)
     path, out, ck = run_dir(d.spark, "pings"), run_dir(d.spark, "kept"), run_dir(d.spark, "ck")
-    d.spark.createDataFrame([], rows.schema).write.parquet(path)
+    rows.limit(0).write.parquet(path)
     arrived = F.unix_seconds("ts") + F.when(F.col("event_id") % 10 == 0, 12 * 3600).otherwise(0)
     timed = rows.withColumn("arrived", arrived)
     low, high = timed.agg(F.min("arrived"), F.max("arrived")).first()
@@ -391,5 +391,6 @@ def _(d):
     for k in range(BATCHES + 1):
         arriving = timed.where(batch == k).drop("arrived") if k < BATCHES else beat
         arriving.write.mode("append").parquet(path)
-        kept.writeStream.format("parquet").option("checkpointLocation", ck).trigger(availableNow=True).start(out).awaitTermination()
+        with state_partitions(d.spark):
+            kept.writeStream.format("parquet").option("checkpointLocation", ck).trigger(availableNow=True).start(out).awaitTermination()
     return d.spark.read.schema(rows.schema).parquet(out).where("event_id >= 0")
