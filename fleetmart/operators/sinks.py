@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.operators.dedup import latest_per_key
 from fleetmart.operators.merge import evolve_schema, merge_append_only, merge_if_newer, merge_overwrite
-from fleetmart.session import run_dir
+from fleetmart.session import freed_shuffles, run_dir
 
 # Write dispositions by name.
 DISPOSITIONS = {"WRITE_TRUNCATE": "overwrite", "WRITE_APPEND": "append", "WRITE_EMPTY": "errorifexists"}
@@ -140,6 +140,51 @@ def materialize_table(spark: SparkSession, df: DataFrame, name: str, root: str)
     return spark.table(name)
 
 
+#: A merge is cut into so many slices at most, each of so many bytes of files read at least.
+SLICES = 8
+SLICE_BYTES = 32 * 1024 * 1024
+UNKNOWN_BYTES = 2**62
+
+
+def slice_count(*inputs: DataFrame) -> int:
+    """Slices in which a rewrite of these rows is done one after another, so that its shuffles take a part of the disk.
+
+    Each slice reads the inputs anew. That gives the same rows only if nothing in the plan is random, picks some rows or
+    tells the time; otherwise, and where little is read, there is one slice. Rows that come from no file count as few.
+    """
+    read = 0
+    for df in inputs:
+        plan = df._jdf.queryExecution().analyzed()
+        patterns = df.sparkSession._jvm.org.apache.spark.sql.catalyst.trees.TreePattern
+        if not plan.deterministic() or any(plan.containsPattern(p) for p in (patterns.LIMIT(), patterns.OFFSET(), patterns.CURRENT_LIKE())):
+            return 1
+        leaves = plan.collectLeaves()
+        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length())]
+        read += sum(x for x in sizes if x < UNKNOWN_BYTES)
+    return max(1, min(SLICES, -(-read // SLICE_BYTES)))
+
+
+def key_slices(keys: list[str], *inputs: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
+    """The inputs by hash of the key, so that all rows of a key, in all inputs, are in one slice."""
+    n = slice_count(*inputs)
+    for i in range(n):
+        yield tuple(df if n == 1 else df.filter(F.pmod(F.xxhash64(*keys), F.lit(n)) == i) for df in inputs)
+
+
+def _partition_groups(rows: dict, n: int) -> list[list]:
+    """Partition values in at most ``n`` groups of about as many rows."""
+    groups, share, seen = [[] for _ in range(n)], -(-sum(rows.values()) // n), 0
+    for value, count in sorted(rows.items(), key=lambda x: (x[0] is not None, x[0])):
+        groups[min(n - 1, seen // share)].append(value)
+        seen += count
+    return [g for g in groups if g]
+
+
+def _in_partitions(values: list) -> Column:
+    inside = F.col(PARTITION_COLUMN).isin([v for v in values if v is not None])
+    return inside | F.col(PARTITION_COLUMN).isNull() if None in values else inside
+
+
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 #: Readers pass over names that begin with an underscore.
 JOURNAL = "_merge_journal"
@@ -160,8 +205,11 @@ def finish_merge(spark: SparkSession, path: str) -> bool:
         return False
     staged = spark.read.parquet(f"{journal}/rows")
     touched = [r[0] for r in spark.read.parquet(f"{journal}/touched").toLocalIterator()]
-    filled = {r[0] for r in staged.select(PARTITION_COLUMN).distinct().toLocalIterator()}
-    partition_overwrite(staged, path, PARTITION_COLUMN)
+    filled = {r[0]: r[1] for r in staged.groupBy(PARTITION_COLUMN).count().toLocalIterator()}
+    groups = _partition_groups(filled, slice_count(staged)) if filled else [[]]
+    with freed_shuffles(spark):
+        for group in groups:
+            partition_overwrite(staged.filter(_in_partitions(group)) if len(groups) > 1 else staged, path, PARTITION_COLUMN)
     for day in touched:
         if day not in filled:
             remove_path(spark, f"{path}/{PARTITION_COLUMN}={NULL_PARTITION if day is None else day}")
@@ -169,6 +217,25 @@ def finish_merge(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def _first_load(
+    spark: SparkSession, path: str, source: DataFrame, keys: list[str], order_cols: list[str], partition_col: str, grain: str, cluster_cols: list[str]
+) -> None:
+    """The table's first rows; several slices become the table only when all of them are written."""
+    with freed_shuffles(spark):
+        if slice_count(source) == 1:
+            write_partitioned(latest_per_key(source, keys, order_cols), path, partition_col, grain, cluster_cols)
+            return
+        loading = f"{path}-loading-{uuid.uuid4().hex[:12]}"
+        try:
+            for (rows,) in key_slices(keys, source):
+                write_partitioned(latest_per_key(rows, keys, order_cols), loading, partition_col, grain, cluster_cols, "append")
+            made, fs = _path_object(spark, loading)
+            if not fs.rename(made, _path_object(spark, path)[0]):
+                raise RuntimeError(f"{loading} could not be renamed to {path}")
+        finally:
+            remove_path(spark, loading)
+
+
 def merge_table(
     spark: SparkSession, path: str, source: DataFrame, keys: list[str], order_cols: list[str], partition_col: str,
     grain: str = "DAY", mode: str = "if_newer", cluster_cols: list[str] = (), partition_fixed: bool = False,
@@ -180,15 +247,18 @@ def merge_table(
     its partition, and the keys of other partitions are not read. The merged partitions and their list are first written
     to a journal inside the table's folder and marked ready; only then is anything replaced, and the journal goes last.
     A replacement that breaks off is completed from the journal by ``finish_merge``, which every merge calls first.
+    Where much is read, all this is done in slices by key, and the replacement by groups of partitions.
     ``mode``: if_newer, overwrite, append_only.
     """
     if not path_exists(spark, path):
-        write_partitioned(latest_per_key(source, keys, order_cols), path, partition_col, grain, cluster_cols)
+        _first_load(spark, path, source, keys, order_cols, partition_col, grain, cluster_cols)
         return
     finish_merge(spark, path)
     with staging_table(spark, "source") as source_path:
-        placed = latest_per_key(source, keys, order_cols).withColumn(PARTITION_COLUMN, partition_value(partition_col, grain))
-        placed.write.parquet(source_path)
+        with freed_shuffles(spark):
+            for (rows,) in key_slices(keys, source):
+                placed = latest_per_key(rows, keys, order_cols).withColumn(PARTITION_COLUMN, partition_value(partition_col, grain))
+                placed.write.mode("append").parquet(source_path)
         fresh = spark.read.schema(placed.schema).parquet(source_path)
         stored = spark.read.option("mergeSchema", True).parquet(path)
         # A folder that holds the NULL partition alone says nothing about the type.
@@ -202,12 +272,13 @@ def merge_table(
             places = places.union(target.join(fresh.select(*keys), keys, "left_semi").select(PARTITION_COLUMN))
         journal = f"{path}/{JOURNAL}"
         # One value per table partition, such as a day: bounded by the layout, not by the rows.
-        places.distinct().coalesce(1).write.mode("overwrite").parquet(f"{journal}/touched")
+        with freed_shuffles(spark):
+            places.distinct().coalesce(1).write.mode("overwrite").parquet(f"{journal}/touched")
         touched = [r[0] for r in spark.read.schema(places.schema).parquet(f"{journal}/touched").toLocalIterator()]
-        inside = F.col(PARTITION_COLUMN).isin([d for d in touched if d is not None])
-        scope = target.filter(inside | F.col(PARTITION_COLUMN).isNull() if None in touched else inside)
-        merged = merge_if_newer(scope, fresh, keys, order_cols) if mode == "if_newer" else merge_overwrite(scope, fresh, keys)
-        merged.write.mode("overwrite").parquet(f"{journal}/rows")
+        with freed_shuffles(spark):
+            for i, (scope, rows) in enumerate(key_slices(keys, target.filter(_in_partitions(touched)), fresh)):
+                merged = merge_if_newer(scope, rows, keys, order_cols) if mode == "if_newer" else merge_overwrite(scope, rows, keys)
+                merged.write.mode("append" if i else "overwrite").parquet(f"{journal}/rows")
         hadoop, fs = _path_object(spark, f"{journal}/{_READY}")
         fs.create(hadoop, True).close()
     finish_merge(spark, path)

@@ -57,6 +57,21 @@ def state_partitions(spark: SparkSession) -> Iterator[int]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Writes inside give up their shuffle files when they end, not when the driver happens to collect its garbage.
+
+    For writes alone: an iterator over a result would lose what it still has to read.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
